@@ -66,9 +66,9 @@ def exact_quantiles(
     for lo, hi in zip(edges[::2], edges[1::2]):
         inside = inside | F.col("v").between(lo, hi)
     counts = (
-        placed.select(*by, inside.alias("inside"), F.when(inside, F.col("v")).otherwise(gap).alias("edge"))
+        placed.select(*by, "v", inside.alias("inside"), F.when(inside, F.col("v")).otherwise(gap).alias("edge"))
         .groupBy(*by, "edge", "inside")
-        .agg(F.count("*").alias("c"))
+        .agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
     )
 
     # A gap below an edge sorts before the values at that edge; the gap above all edges is null and sorts last.
@@ -76,17 +76,24 @@ def exact_quantiles(
     ordered = part.orderBy(F.col("edge").asc_nulls_last(), "inside")
     ranked = counts.select(
         *by,
-        F.when(F.col("inside"), F.col("edge")).alias("v"),
-        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
         "c",
+        "least",
+        "most",
+        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
         F.sum("c").over(part).alias("n"),
     )
     picks = []
     for i, p in enumerate(probs):
         k = F.floor(F.lit(p) * (F.col("n") - 1))
         for name, rank in ((f"lo{i}", k), (f"hi{i}", F.least(k + 1, F.col("n") - 1))):
-            here = (F.col("upto") > rank) & (F.col("upto") - F.col("c") <= rank)
-            picks.append(F.max(F.when(here, F.col("v"))).alias(name))
+            # The first and last value of a gap are known too: with few rows a neighbouring rank can lie there.
+            place = rank - (F.col("upto") - F.col("c"))
+            at = (
+                F.when(place == 0, F.col("least"))
+                .when(place == F.col("c") - 1, F.col("most"))
+                .when((place > 0) & (place < F.col("c")) & (F.col("least") == F.col("most")), F.col("least"))
+            )
+            picks.append(F.max(at).alias(name))
     found = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
 
     values = []
