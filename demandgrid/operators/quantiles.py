@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -10,12 +9,18 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.numbers import nan_to_null
 
+ACCURACY = 1000  # of the sketch, per task
+GRID = 250  # points kept of each partial sketch
+SALTS = 64  # partial sketches per bucket
+MARGIN = 2.0 / GRID  # covers the errors of sketch and grid
+SLICES = 4000  # equal-width slots per enclosure
 
-def _brackets(probs: Sequence[float], margin: float) -> list[tuple[float, float]]:
+
+def _brackets(probs: Sequence[float]) -> list[tuple[float, float]]:
     """Probability intervals around the requested ones, overlapping intervals merged."""
     out: list[tuple[float, float]] = []
     for p in sorted(set(probs)):
-        lo, hi = p - margin, p + margin
+        lo, hi = max(p - MARGIN, 0.0), min(p + MARGIN, 1.0)
         if out and lo <= out[-1][1]:
             out[-1] = (out[-1][0], hi)
         else:
@@ -23,89 +28,91 @@ def _brackets(probs: Sequence[float], margin: float) -> list[tuple[float, float]
     return out
 
 
+def _cuts(rows: DataFrame, by: list[str], ends: list[float]) -> DataFrame:
+    """Approximate quantiles at ``ends`` per bucket, as array ``cuts``.
+
+    Sketches of many tasks would queue up at one reducer, so they are merged per bucket and salt first; each salt hands
+    on a fixed grid of points weighted by its rows.
+    """
+    grid = F.expr(f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})")
+    partial = rows.groupBy(*by, (F.spark_partition_id() % SALTS).alias("salt")).agg(
+        F.count("*").alias("w"), F.percentile_approx("v", grid, ACCURACY).alias("points")
+    )
+    points = partial.select(*by, "w", F.explode("points").alias("v"))
+    return points.groupBy(*by).agg(F.percentile("v", ends, F.col("w")).alias("cuts"))
+
+
+def _slot(brackets: list[tuple[float, float]]) -> Column:
+    """Ordinal of the stretch of the number line that holds ``v``: gap, slices of an enclosure, gap, …"""
+    v, width = F.col("v"), SLICES + 1
+    slot = F.lit(len(brackets) * width)
+    for i in reversed(range(len(brackets))):
+        lo, hi = F.col("cuts")[2 * i], F.col("cuts")[2 * i + 1]
+        part = F.coalesce(F.floor(F.try_divide(v - lo, hi - lo) * SLICES), F.lit(0))
+        part = F.greatest(F.least(part, F.lit(SLICES - 1)), F.lit(0))
+        slot = F.when(v < lo, F.lit(i * width)).when(v <= hi, F.lit(i * width + 1) + part).otherwise(slot)
+    return slot.cast("int")
+
+
 def _interpolate(low: Column, high: Column, t: Column) -> Column:
     # Anchored at the nearer neighbour, so that t = 0 and t = 1 return it unchanged.
     return F.when(t < 0.5, low + (high - low) * t).otherwise(high - (high - low) * (1 - t))
 
 
-def exact_quantiles(
-    df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), accuracy: int = 10_000
-) -> DataFrame:
+def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """Linear-interpolated quantiles of ``value`` (NaN and null skipped) per calendar bucket ``by``, or overall.
 
-    Two scans. A mergeable sketch first gives, per bucket, values that enclose each quantile; then every row is counted
-    either under its own value (inside an enclosure) or under the gap it falls in (outside). Those counts are combined
-    map-side, so a bucket with a third of all rows sends no more than the others, and their running total gives exact
-    ranks. Only the share ``8 / accuracy`` of a bucket's rows, less repeats, is ever sorted together.
+    Three scans of the one column, none of which sends a bucket's rows to one task:
+
+    1. a sketch encloses each quantile between two values;
+    2. rows are counted per slot of the number line (each enclosure cut into equal slices, and the gaps between),
+       combined before the shuffle; the running total over these few slots tells which slot holds each wanted rank;
+    3. the distinct values of the wanted slots alone are counted and ranked.
 
-    The sketch's error bound guarantees that the rank lies inside the enclosure; were it ever outside, the query
-    fails and asks for a higher ``accuracy`` instead of returning a wrong number.
+    The slots cover every value, so the result is exact whatever the sketch says; a poor sketch only makes the last
+    step larger.
 
-    ``by`` must be calendar columns (year, month, date): the enclosures are broadcast, and a calendar bounds them
-    (12 rows a year).
+    ``by`` must be calendar columns (year, month, date): the enclosures and wanted slots are broadcast, and a calendar
+    bounds their number (12 buckets a year).
 
     Returns ``by`` columns, ``n`` (rows counted) and ``quantiles`` (array in the order of ``probs``).
     """
     by = list(by)
     rows = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("v")).where(F.col("v").isNotNull())
-    brackets = _brackets(probs, 4.0 / accuracy)
-    ends = [min(max(p, 0.0), 1.0) for pair in brackets for p in pair]
-    sketch = rows.groupBy(*by).agg(F.percentile_approx("v", ends, accuracy).alias("cuts"))
-    # Open ends: an enclosure that reaches past 0 or 1 has no bound on that side.
-    edges = []
-    for i, (lo, hi) in enumerate(brackets):
-        edges.append(F.lit(-math.inf) if lo <= 0 else F.col("cuts")[2 * i])
-        edges.append(F.lit(math.inf) if hi >= 1 else F.col("cuts")[2 * i + 1])
-
-    sketch = F.broadcast(sketch)
-    placed = rows.join(sketch, by) if by else rows.crossJoin(sketch)
-    inside = F.lit(False)
-    gap = F.lit(None).cast("double")
-    for edge in reversed(edges):
-        gap = F.when(F.col("v") < edge, edge).otherwise(gap)
-    for lo, hi in zip(edges[::2], edges[1::2]):
-        inside = inside | F.col("v").between(lo, hi)
-    counts = (
-        placed.select(*by, "v", inside.alias("inside"), F.when(inside, F.col("v")).otherwise(gap).alias("edge"))
-        .groupBy(*by, "edge", "inside")
-        .agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
-    )
-
-    # A gap below an edge sorts before the values at that edge; the gap above all edges is null and sorts last.
-    part = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    ordered = part.orderBy(F.col("edge").asc_nulls_last(), "inside")
-    ranked = counts.select(
-        *by,
-        "c",
-        "least",
-        "most",
-        F.sum("c").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("upto"),
-        F.sum("c").over(part).alias("n"),
-    )
-    picks = []
-    for i, p in enumerate(probs):
-        k = F.floor(F.lit(p) * (F.col("n") - 1))
-        for name, rank in ((f"lo{i}", k), (f"hi{i}", F.least(k + 1, F.col("n") - 1))):
-            # The first and last value of a gap are known too: with few rows a neighbouring rank can lie there.
-            place = rank - (F.col("upto") - F.col("c"))
-            at = (
-                F.when(place == 0, F.col("least"))
-                .when(place == F.col("c") - 1, F.col("most"))
-                .when((place > 0) & (place < F.col("c")) & (F.col("least") == F.col("most")), F.col("least"))
-            )
-            picks.append(F.max(at).alias(name))
-    found = ranked.groupBy(*by).agg(F.max("n").alias("n"), *picks)
-
-    values = []
+    brackets = _brackets(probs)
+    cuts = F.broadcast(_cuts(rows, by, [p for pair in brackets for p in pair]))
+    placed = (rows.join(cuts, by) if by else rows.crossJoin(cuts)).select(*by, _slot(brackets).alias("slot"), "v")
+
+    bucket = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
+    slots = placed.groupBy(*by, "slot").agg(F.count("*").alias("c"))
+    running = F.sum("c").over(bucket.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
+    slots = slots.select(*by, "slot", (running - F.col("c")).alias("before"), running.alias("upto"), F.sum("c").over(bucket).alias("n"))
+
+    def ranks(p: float) -> tuple[Column, Column]:
+        k = F.floor(F.lit(float(p)) * (F.col("n") - 1))
+        return k, F.least(k + 1, F.col("n") - 1)
+
+    def holds(rank: Column) -> Column:
+        return (F.col("before") <= rank) & (rank < F.col("upto"))
+
+    wanted = F.lit(False)
+    for p in probs:
+        for rank in ranks(p):
+            wanted = wanted | holds(rank)
+    wanted = F.broadcast(slots.where(wanted).select(*by, "slot", "before", "n"))  # at most 2 rows per quantile
+
+    values = placed.join(wanted, [*by, "slot"]).groupBy(*by, "slot", "before", "n", "v").agg(F.count("*").alias("c"))
+    in_slot = Window.partitionBy(*by, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    upto = F.col("before") + F.sum("c").over(in_slot)
+    values = values.select(*by, "n", "v", (upto - F.col("c")).alias("before"), upto.alias("upto"))
+    picks = [
+        F.max(F.when(holds(rank), F.col("v"))).alias(f"{side}{i}")
+        for i, p in enumerate(probs)
+        for side, rank in zip(("lo", "hi"), ranks(p))
+    ]
+    found = values.groupBy(*by).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *picks)
+    out = []
     for i, p in enumerate(probs):
-        pos = F.lit(p) * (F.col("n") - 1)
-        lo, hi = F.col(f"lo{i}"), F.col(f"hi{i}")
-        values.append(
-            F.when(
-                lo.isNull() | hi.isNull(),
-                F.when(F.col("n") > 0, F.raise_error(F.lit("quantile outside its enclosure: raise accuracy"))).cast(
-                    "double"
-                ),
-            ).otherwise(_interpolate(lo, hi, pos - F.floor(pos)))
-        )
-    return found.select(*by, "n", F.array(*values).alias("quantiles"))
+        position = F.lit(float(p)) * (F.col("n") - 1)
+        out.append(_interpolate(F.col(f"lo{i}"), F.col(f"hi{i}"), position - F.floor(position)))
+    return found.select(*by, "n", F.array(*out).alias("quantiles"))

@@ -69,12 +69,13 @@ def load_rides_or_fail(spark: SparkSession, path: str, months: Months, rules: Tr
 
 
 def missing_months(spark: SparkSession, path: str, months: Months) -> DataFrame:
-    """Requested months with no trip on file, instead of skipping them silently."""
-    months = list(months)
-    wanted = spark.createDataFrame(months, "year int, month int")
-    # Only partition columns are read, and rows are reduced to one per month before the join.
-    found = read_trips(spark, path, months).select("year", "month").distinct()
-    return wanted.join(found, ["year", "month"], "left_anti")
+    """Requested months without a file, instead of skipping them silently.
+
+    Only file names are listed (one row per file, contents are not opened), whatever the number of trips.
+    """
+    wanted = spark.createDataFrame(list(months), "year int, month int")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    return wanted.join(files.select("year", "month").distinct(), ["year", "month"], "left_anti")
 
 
 def write_trips(trips: DataFrame, path: str, mode: str = "errorifexists") -> None:

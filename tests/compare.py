@@ -31,6 +31,19 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
     return df.sort_values(list(df.columns), ignore_index=True)
 
 
+# Spark type names and what the SQL side must return for them.
+TYPES = {
+    "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN",
+    "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_difference(dtypes: list[tuple[str, str]], con: duckdb.DuckDBPyConnection, sql: str) -> str | None:
+    want = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    wrong = [(c, t, want.get(c)) for c, t in dtypes if TYPES.get(t) != want.get(c)]
+    return f"types {wrong}" if wrong else None
+
+
 def difference(got: pd.DataFrame, want: pd.DataFrame) -> str | None:
     if sorted(got.columns) != sorted(want.columns):
         return f"columns {sorted(got.columns)} != {sorted(want.columns)}"
@@ -58,7 +71,8 @@ def main(sf_dir: str, names: list[str]) -> int:
     for name in names or QUERIES:
         t = time.time()
         try:
-            got = QUERIES[name](spark, sf_dir).toPandas()
+            df = QUERIES[name](spark, sf_dir)
+            got = df.toPandas()
         except Exception as e:  # noqa: BLE001
             print(f"{name}: FAILED {str(e)[:1500]}", flush=True)
             bad += 1
@@ -70,7 +84,7 @@ def main(sf_dir: str, names: list[str]) -> int:
         t = time.time()
         try:
             want = con.execute(ORACLE[name]).df()
-            diff = difference(got, want)
+            diff = difference(got, want) or type_difference(df.dtypes, con, ORACLE[name])
         except Exception as e:  # noqa: BLE001
             diff = f"SQL {str(e)[:600]}"
         bad += diff is not None
