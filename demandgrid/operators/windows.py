@@ -30,7 +30,11 @@ def _sliding(df: DataFrame, value: str, window: int, step: int, chunk: int) -> D
     ordered = Window.partitionBy(SERIES).orderBy(TIME)
     numbered = df.select(SERIES, TIME, F.col(value).alias("v"), (F.row_number().over(ordered) - 1).alias("pos"))
     first = F.greatest(F.lit(0), F.expr(f"(pos - {window} + {step} - 1) div {span}"))
-    chunked = numbered.select(SERIES, TIME, "v", "pos", F.explode(F.sequence(first, F.expr(f"pos div {span}"))).alias("chunk"))
+    reach = numbered.withColumns({"first": first, "last": F.expr(f"pos div {span}")})
+    # With a step beyond the window, rows between two windows belong to no chunk.
+    chunked = reach.where(F.col("first") <= F.col("last")).select(
+        SERIES, TIME, "v", "pos", F.explode(F.sequence("first", "last")).alias("chunk")
+    )
     arrays = (
         chunked.groupBy(SERIES, "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("pos", TIME, "v"))).alias("rows"))
