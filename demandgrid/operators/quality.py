@@ -26,6 +26,7 @@ class TripRules:
 
 
 def duration(trips: DataFrame) -> Column:
+    """As an interval; the rules compare times instead, which is cheaper per row."""
     return trips["tpep_dropoff_datetime"] - trips["tpep_pickup_datetime"]
 
 
@@ -47,20 +48,23 @@ def flag_trips(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     require_columns(
         trips, "tpep_pickup_datetime", "tpep_dropoff_datetime", "total_amount", "PULocationID", "year", "month"
     )
-    # One row per filing month: bounded by the calendar, so it may be broadcast whatever the size of the trips.
-    flagged = trips.join(F.broadcast(amount_limits(trips, rules)), ["year", "month"], "left")
-    length = duration(trips)
-    amount = nan_to_null(F.col("total_amount"))
-    pickup = F.col("tpep_pickup_datetime")
+    # One row per filing month: bounded by the calendar, so it may be broadcast whatever the size of the trips. It also
+    # carries the month's bounds, worked out once per month rather than per trip.
     first = F.make_timestamp_ntz("year", "month", F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    following = first + F.make_ym_interval(F.lit(0), F.lit(1))
+    months = amount_limits(trips, rules).withColumns({"month_start": first, "month_end": following})
+    flagged = trips.join(F.broadcast(months), ["year", "month"], "left")
+    amount = nan_to_null(F.col("total_amount"))
+    pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
     no, yes = F.lit(False), F.lit(True)
     return flagged.withColumns(
         {
-            "ok_duration": F.coalesce((length > F.lit(timedelta(0))) & (length <= F.lit(rules.max_duration)), no),
+            "ok_duration": F.coalesce((dropoff > pickup) & (dropoff <= pickup + F.lit(rules.max_duration)), no),
             "ok_amount": F.coalesce((amount > 0) & (amount <= F.col("amount_limit")), no),
             "ok_location": F.coalesce(~F.col("PULocationID").isin(*rules.excluded_locations), yes),
+            # A month without any amount has no limit row.
             "ok_period": F.coalesce(
-                (pickup >= first) & (pickup < first + F.make_ym_interval(F.lit(0), F.lit(1))), no
+                (pickup >= F.coalesce("month_start", first)) & (pickup < F.coalesce("month_end", following)), no
             ),
         }
     )

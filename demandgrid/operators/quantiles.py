@@ -9,10 +9,9 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.numbers import nan_to_null
 
-ACCURACY = 1000  # of the sketch, per task
-GRID = 250  # points kept of each partial sketch
-SALTS = 64  # partial sketches per bucket
-MARGIN = 2.0 / GRID  # covers the errors of sketch and grid
+SKETCH_SIZE = 800  # rank error about 0.4 %, some 20 kB
+SALTS = 64  # partial merges per bucket
+MARGIN = 0.005  # on either side of a wanted probability, to cover the sketch's error
 SLICES = 4000  # equal-width slots per enclosure
 
 
@@ -31,15 +30,15 @@ def _brackets(probs: Sequence[float]) -> list[tuple[float, float]]:
 def _cuts(rows: DataFrame, by: list[str], ends: list[float]) -> DataFrame:
     """Approximate quantiles at ``ends`` per bucket, as array ``cuts``.
 
-    Sketches of many tasks would queue up at one reducer, so they are merged per bucket and salt first; each salt hands
-    on a fixed grid of points weighted by its rows.
+    The sketches of very many tasks would queue up at one reducer, so they are merged per bucket and salt first.
     """
-    grid = F.expr(f"array({', '.join(f'{i / GRID}D' for i in range(GRID + 1))})")
-    partial = rows.groupBy(*by, (F.spark_partition_id() % SALTS).alias("salt")).agg(
-        F.count("*").alias("w"), F.percentile_approx("v", grid, ACCURACY).alias("points")
+    salted = rows.groupBy(*by, (F.spark_partition_id() % SALTS).alias("salt")).agg(
+        F.kll_sketch_agg_double("v", F.lit(SKETCH_SIZE)).alias("sketch")
     )
-    points = partial.select(*by, "w", F.explode("points").alias("v"))
-    return points.groupBy(*by).agg(F.percentile("v", ends, F.col("w")).alias("cuts"))
+    merged = salted.groupBy(*by).agg(F.kll_merge_agg_double("sketch", F.lit(SKETCH_SIZE)).alias("sketch"))
+    filled = F.kll_sketch_get_n_double("sketch") > 0
+    at_ends = F.kll_sketch_get_quantile_double("sketch", F.array(*[F.lit(p) for p in ends]))
+    return merged.select(*by, F.when(filled, at_ends).alias("cuts"))
 
 
 def _slot(brackets: list[tuple[float, float]]) -> Column:
@@ -66,11 +65,12 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
     1. a sketch encloses each quantile between two values;
     2. rows are counted per slot of the number line (each enclosure cut into equal slices, and the gaps between),
-       combined before the shuffle; the running total over these few slots tells which slot holds each wanted rank;
-    3. the distinct values of the wanted slots alone are counted and ranked.
+       combined before the shuffle; the running total over these few slots tells which slot holds each wanted rank,
+       and how many rows lie before it;
+    3. the distinct values between the least and greatest of a wanted slot are counted and ranked.
 
-    The slots cover every value, so the result is exact whatever the sketch says; a poor sketch only makes the last
-    step larger.
+    The slots cover every value and the counts are exact, so the result is exact whatever the sketch says; a poor
+    sketch only makes the last step larger.
 
     ``by`` must be calendar columns (year, month, date): the enclosures and wanted slots are broadcast, and a calendar
     bounds their number (12 buckets a year).
@@ -84,9 +84,11 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     placed = (rows.join(cuts, by) if by else rows.crossJoin(cuts)).select(*by, _slot(brackets).alias("slot"), "v")
 
     bucket = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    slots = placed.groupBy(*by, "slot").agg(F.count("*").alias("c"))
+    slots = placed.groupBy(*by, "slot").agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
     running = F.sum("c").over(bucket.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
-    slots = slots.select(*by, "slot", (running - F.col("c")).alias("before"), running.alias("upto"), F.sum("c").over(bucket).alias("n"))
+    slots = slots.select(
+        *by, "least", "most", (running - F.col("c")).alias("before"), running.alias("upto"), F.sum("c").over(bucket).alias("n")
+    )
 
     def ranks(p: float) -> tuple[Column, Column]:
         k = F.floor(F.lit(float(p)) * (F.col("n") - 1))
@@ -99,10 +101,16 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     for p in probs:
         for rank in ranks(p):
             wanted = wanted | holds(rank)
-    wanted = F.broadcast(slots.where(wanted).select(*by, "slot", "before", "n"))  # at most 2 rows per quantile
-
-    values = placed.join(wanted, [*by, "slot"]).groupBy(*by, "slot", "before", "n", "v").agg(F.count("*").alias("c"))
-    in_slot = Window.partitionBy(*by, "slot").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+    # At most two slots per quantile and bucket. They are passed on as value ranges: the last scan does not depend on
+    # the sketch, which may differ between evaluations.
+    wanted = F.broadcast(slots.where(wanted).select(*by, "least", "most", "before", "n"))
+    near = rows.join(wanted, by) if by else rows.crossJoin(wanted)
+    values = (
+        near.where(F.col("v").between(F.col("least"), F.col("most")))
+        .groupBy(*by, "before", "n", "v")
+        .agg(F.count("*").alias("c"))
+    )
+    in_slot = Window.partitionBy(*by, "before").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("c").over(in_slot)
     values = values.select(*by, "n", "v", (upto - F.col("c")).alias("before"), upto.alias("upto"))
     picks = [

@@ -72,6 +72,12 @@ def test_limit_is_taken_before_other_rules_and_per_filing_month(spark):
     assert report[2].rejected_amount == 1 and report[2].percent_dropped == pytest.approx(100 / 3)
 
 
+def test_month_without_amounts(spark):
+    rows = [trip(amount=None), trip(datetime(2024, 3, 1), amount=None)]
+    row = quality.reject_report(spark.createDataFrame(rows, TRIPS)).first()
+    assert (row.total_records, row.rejected_amount, row.rejected_period) == (2, 2, 1)
+
+
 def test_quantiles_against_numpy(spark):
     rng = np.random.default_rng(7)
     probs = [0.0, 0.001, 0.25, 0.5, 0.9, 0.999, 1.0]
