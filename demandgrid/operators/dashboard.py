@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from demandgrid.functions.numbers import floor_at
 from demandgrid.functions.times import next_hour, ntz, wall_time
 from demandgrid.operators.series import SERIES, TIME
-from demandgrid.operators.windows import unpivot
+from demandgrid.operators.windows import FOUR_WEEKS, scoring_windows, unpivot
 from demandgrid.sources.zones import add_zone
 
 ALL_ZONES = "All Zones"
@@ -53,11 +53,12 @@ def top_demand(shown: DataFrame, n: int = 10) -> DataFrame:
     return shown.orderBy(F.desc("predicted_demand"), SERIES, TIME).limit(n)
 
 
-def top_history(shown: DataFrame, windows: DataFrame, n: int = 10) -> DataFrame:
-    """Lag history and predicted value of the top locations as (location, time, rides) rows, in one job.
+def top_history(shown: DataFrame, series: DataFrame, window_size: int = FOUR_WEEKS, n: int = 10) -> DataFrame:
+    """Last ``window_size`` hours and the predicted value of the top locations as (location, time, rides) rows.
 
-    Keyed by location id: names repeat between locations. The top rows are at most ``n``, so they are broadcast and
-    the windows are filtered where they lie.
+    One job for all of them. Keyed by location id: names repeat between locations. The top rows are at most ``n``, so
+    they are broadcast, and windows are built for their series alone.
     """
     top = F.broadcast(top_demand(shown, n).select(SERIES, "predicted_demand"))
-    return unpivot(windows.join(top, SERIES), F.col("predicted_demand"))
+    latest = scoring_windows(series.join(top, SERIES, "left_semi"), "rides", window_size, anchor="end")
+    return unpivot(latest.join(top, SERIES), F.col("predicted_demand"))

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from demandgrid.functions.numbers import round_half_even
 from demandgrid.functions.times import ntz
 from demandgrid.operators.features import AVERAGE, ArrayToVector, CalendarFeatures, SeasonalAverage
+from demandgrid.session import materialize
 
 TARGET = "target"
 
@@ -118,7 +119,8 @@ def random_search(
         parallelism=parallelism,
         seed=seed,
     )
-    return search.fit(with_folds(prepared, folds).select("features", TARGET, "fold"))
+    rows = with_folds(prepared, folds).select("features", TARGET, "fold")
+    return search.fit(materialize(rows, "folds"))  # read once per draw and fold
 
 
 def best_pipeline(search: CrossValidatorModel, lags_only: bool = False) -> PipelineModel:

@@ -116,7 +116,8 @@ def monitor_job(spark: SparkSession, root: str, as_of: datetime, hours: int = 12
 
 
 def dashboard_job(
-    predictions: DataFrame, windows: DataFrame, names: DataFrame, as_of: datetime, zone: str = boards.ALL_ZONES
+    predictions: DataFrame, series: DataFrame, names: DataFrame, as_of: datetime, zone: str = boards.ALL_ZONES,
+    window: int = FOUR_WEEKS,
 ) -> dict[str, DataFrame]:
     """Every table of the next-hour page. Raises when nothing was predicted for the hour."""
     upcoming = boards.next_hour_predictions(predictions, as_of)
@@ -129,5 +130,5 @@ def dashboard_job(
         "zones": boards.zone_options(shown),
         "stats": boards.demand_stats(picked),
         "top": boards.top_demand(picked),
-        "history": boards.top_history(picked, windows),
+        "history": boards.top_history(picked, series, window),
     }

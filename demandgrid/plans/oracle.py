@@ -256,9 +256,9 @@ FROM orders, f""",
     "q_hourly_counts": WITH + _counts() + "\n" + HOURLY + "counts",
     "q_gap_fill": WITH + FILLED + "\n" + HOURLY + "filled",
     "q_gap_fill_zones": WITH + _counts() + "," + USER_ZONES + """,
-hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-29', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS pickup_hour),
+hours AS (SELECT unnest(generate_series(TIMESTAMP '2024-01-01', TIMESTAMP '2024-01-31 23:00:00', INTERVAL 1 HOUR)) AS pickup_hour),
 places AS (
-  SELECT pickup_location_id FROM counts WHERE pickup_hour >= TIMESTAMP '2024-01-29'
+  SELECT pickup_location_id FROM counts
   UNION SELECT pickup_location_id FROM names
 )
 SELECT h.pickup_hour, p.pickup_location_id, coalesce(c.rides, 0)::BIGINT AS rides, n.zone
@@ -282,7 +282,7 @@ lagged AS (
   SELECT pickup_location_id, max(pickup_hour) OVER (PARTITION BY pickup_location_id) + INTERVAL 1 HOUR AS pickup_hour,
          rides, 672 - back AS k, 0 AS target FROM num WHERE back <= 672
 )""" + _summary(672, target=False) + " HAVING count(*) = 672",
-    "q_window_single": WITH + _counts() + FILL + _numbered("(SELECT * FROM filled WHERE pickup_location_id = 7)") + """
+    "q_window_single": WITH + _counts("SELECT ts, 0 AS user_id FROM events") + FILL + _numbered() + """
 SELECT pickup_hour, """ + ", ".join(f"lag(rides, {12 - i}) OVER w AS feature_{i + 1}" for i in range(12)) + """,
        rides AS target FROM num WINDOW w AS (ORDER BY pickup_hour) QUALIFY row_number() OVER w > 12""",
     "q_window_wide": WITH + FILLED + _numbered() + """

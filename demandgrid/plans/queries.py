@@ -125,7 +125,7 @@ def gap_fill(spark: SparkSession, sf: str) -> DataFrame:
 def gap_fill_zones(spark: SparkSession, sf: str) -> DataFrame:
     """Fixed bounds and every customer, silent ones included; zone name attached after the grid."""
     names = inputs.user_zones(spark, sf)
-    lo, hi = datetime(2024, 1, 29), datetime(2024, 1, 31, 23)
+    lo, hi = datetime(2024, 1, 1), datetime(2024, 1, 31, 23)
     return zones.add_zone(series.hourly_series(inputs.rides(spark, sf), lo=lo, hi=hi, locations=names), names)
 
 
@@ -180,7 +180,10 @@ def window_latest(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def window_single(spark: SparkSession, sf: str) -> DataFrame:
-    return windows.single_series_windows(gap_fill(spark, sf), 7, "rides", 12, 1)
+    """All rides as one series, picked by its name."""
+    city = inputs.rides(spark, sf).withColumn("pickup_location_id", F.lit(0).cast("bigint"))
+    named = series.hourly_series(city).withColumn("zone", F.lit("City"))
+    return windows.single_series_windows(named, None, "rides", 12, 1, location_name="City")
 
 
 def window_wide(spark: SparkSession, sf: str) -> DataFrame:
@@ -292,9 +295,7 @@ def top10(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top10_history(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.top_history(
-        _shown(spark, sf), windows.scoring_windows(gap_fill(spark, sf), "rides", windows.WEEK, anchor="end")
-    )
+    return dashboard.top_history(_shown(spark, sf), gap_fill(spark, sf), windows.WEEK)
 
 
 def zone_options(spark: SparkSession, sf: str) -> DataFrame:

@@ -97,8 +97,12 @@ class KeyedTable:
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema], *([latest_by] if latest_by else [])
         )
         rest = ([latest_by] if latest_by else []) + [n for n in names if n not in keys]
-        unique = typed.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r"))
-        unique = unique.select(*[n if n in keys else F.col(f"r.{n}").alias(n) for n in names])
+        if len(rest) == 1:
+            # A plain maximum is combined in a hash table; the maximum of a struct needs sorted input.
+            unique = typed.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(*names)
+        else:
+            unique = typed.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r"))
+            unique = unique.select(*[n if n in keys else F.col(f"r.{n}").alias(n) for n in names])
         staged = materialize(unique.withColumn(DATE, F.to_date(self.spec.event_time)), "batch")
 
         # One row to the driver: the date range, used as a literal so that untouched partitions are never listed.

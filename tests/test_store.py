@@ -117,15 +117,15 @@ def test_feature_to_dashboard(spark, hourly_frame):
     assert report["by_hour"].count() == 13
 
     names = spark.createDataFrame([(50, "Corona"), (60, None)], "pickup_location_id bigint, zone string")
-    windows = jobs.scoring_windows(features.read(), "rides", 24, anchor="end")
-    boards = jobs.dashboard_job(forecasts.read(), windows, names, as_of)
+    series = features.read()
+    boards = jobs.dashboard_job(forecasts.read(), series, names, as_of, window=24)
     assert [r.zone for r in boards["zones"].collect()] == ["All Zones", "Corona"]
     assert boards["predictions"].count() == 2 and boards["history"].count() == 2 * 25
     assert boards["predictions"].first().pickup_hour == datetime(2025, 1, 1, 5)
-    picked = jobs.dashboard_job(forecasts.read(), windows, names, as_of, "Corona")
+    picked = jobs.dashboard_job(forecasts.read(), series, names, as_of, "Corona", 24)
     assert picked["stats"].first().maximum_rides == picked["top"].first().predicted_demand
     with pytest.raises(ValueError):
-        jobs.dashboard_job(forecasts.read(), windows, names, as_of + timedelta(days=9))
+        jobs.dashboard_job(forecasts.read(), series, names, as_of + timedelta(days=9))
 
 
 def test_training_job(spark, hourly_frame):
@@ -145,8 +145,7 @@ def test_history_is_keyed_by_id_not_by_name(spark, hourly_frame):
     predictions = spark.createDataFrame([(56, 5.0, START), (57, 4.0, START)], "pickup_location_id bigint, predicted_demand double, pickup_hour timestamp_ntz")
     names = spark.createDataFrame([(56, "Corona"), (57, "Corona")], "pickup_location_id bigint, zone string")
     shown = dashboard.display_predictions(predictions, names)
-    w = jobs.scoring_windows(hourly_frame({56: [1] * 6, 57: [2] * 6}), "rides", 4, anchor="end")
-    history = dashboard.top_history(shown, w, 1).collect()
+    history = dashboard.top_history(shown, hourly_frame({56: [1] * 6, 57: [2] * 6}), 4, 1).collect()
     assert {r.pickup_location_id for r in history} == {56} and len(history) == 5
     assert dashboard.pick_zone(shown, "Corona").count() == 2
 
