@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark import keyword_only
 from pyspark.ml import Transformer
 from pyspark.ml.functions import array_to_vector
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol, Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasInputCols, HasOutputCol, Param, Params, TypeConverters
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,15 +65,22 @@ class CalendarFeatures(Transformer, HasInputCol, DefaultParamsReadable, DefaultP
         return out.drop(self.getInputCol(), "pickup_location_id") if self.getOrDefault(self.dropKeys) else out
 
 
-class ArrayToVector(Transformer, HasInputCol, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
-    """Array column to a dense vector, done in the JVM."""
+class FeatureVector(Transformer, HasInputCol, HasInputCols, HasOutputCol, DefaultParamsReadable, DefaultParamsWritable):
+    """The lag array followed by the scalar ``inputCols``, as one dense vector, done in the JVM.
+
+    A plain column expression: unlike the stock assembler it neither runs a job to learn the vector's length nor fails
+    on an empty frame.
+    """
 
     @keyword_only
-    def __init__(self, *, inputCol: str = "lags", outputCol: str = "lags_vector"):
+    def __init__(self, *, inputCol: str = "lags", inputCols: list[str] | None = None, outputCol: str = "features"):
         super().__init__()
-        self._setDefault(inputCol="lags", outputCol="lags_vector")
-        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="lags", inputCols=[], outputCol="features")
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
-        lags = F.col(self.getInputCol()).cast("array<double>")
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(lags))
+        require_columns(dataset, self.getInputCol(), *self.getInputCols())
+        values = F.col(self.getInputCol()).cast("array<double>")
+        if self.getInputCols():
+            values = F.concat(values, F.array(*[F.col(c).cast("double") for c in self.getInputCols()]))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(values))

@@ -11,7 +11,6 @@ import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel, Transformer
 from pyspark.ml.evaluation import RegressionEvaluator
-from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel
 from pyspark.sql import Column, DataFrame
@@ -19,7 +18,7 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions.numbers import round_half_even
 from demandgrid.functions.times import ntz
-from demandgrid.operators.features import AVERAGE, ArrayToVector, CalendarFeatures, SeasonalAverage
+from demandgrid.operators.features import AVERAGE, CalendarFeatures, FeatureVector, SeasonalAverage
 from demandgrid.session import materialize
 
 TARGET = "target"
@@ -32,9 +31,9 @@ def feature_pipeline(lags_only: bool = False, **params) -> Pipeline:
     """
     tree = GBTRegressor(featuresCol="features", labelCol=TARGET, predictionCol="prediction", **params)
     if lags_only:
-        return Pipeline(stages=[ArrayToVector(outputCol="features"), tree])
-    assembled = VectorAssembler(inputCols=["lags_vector", AVERAGE, "hour", "day_of_week"], outputCol="features")
-    return Pipeline(stages=[SeasonalAverage(), CalendarFeatures(), ArrayToVector(), assembled, tree])
+        return Pipeline(stages=[FeatureVector(), tree])
+    vector = FeatureVector(inputCols=[AVERAGE, "hour", "day_of_week"])
+    return Pipeline(stages=[SeasonalAverage(), CalendarFeatures(), vector, tree])
 
 
 class FourWeekMean(SeasonalAverage):

@@ -103,6 +103,11 @@ def scoring_windows(
     )
 
 
+def short_series(series: DataFrame, window_size: int) -> DataFrame:
+    """Series that give no window, with their number of rows: what ``training_windows`` leaves out."""
+    return series.groupBy(SERIES).agg(F.count("*").alias("rows")).where(F.col("rows") <= window_size)
+
+
 def _pad(series: DataFrame, value: str, window: int) -> DataFrame:
     """Repeat the first row of short series until they have ``window + 1`` rows."""
     rows = series.select(SERIES, TIME, value)

@@ -67,6 +67,9 @@ def fit_and_test(windows: DataFrame, cutoff: datetime, lags_only: bool = False,
     """
     windows = materialize(windows, "windows")
     train, test = split_by_time(windows, cutoff)
+    for part, name in ((train, "before"), (test, "from")):
+        if part.isEmpty():
+            raise ValueError(f"no window {name} {cutoff}: no series is long enough, or the cutoff lies outside")
     model = feature_pipeline(lags_only, **params).fit(train)
     report = mae(model.transform(train)).select(F.col("mae").alias("train_mae")).crossJoin(
         mae(model.transform(test)).select(F.col("mae").alias("test_mae"))

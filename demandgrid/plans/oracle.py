@@ -304,6 +304,8 @@ padded AS (
   SELECT pickup_location_id, pickup_hour, rides FROM counts
   UNION ALL SELECT pickup_location_id, pickup_hour, rides FROM firsts, range(65) t(i) WHERE i < 65 - n
 )""" + _numbered("padded") + _windows(64, 5) + _summary(64),
+    "q_short_series": WITH + _counts() + """
+SELECT pickup_location_id, count(*) AS rows FROM counts GROUP BY pickup_location_id HAVING count(*) <= 64""",
     "q_backfill": WITH + FILLED + BACKFILL + "\nSELECT * FROM preds",
     "q_seasonal_mean": WITH + FILLED + BACKFILL + """
 SELECT pickup_location_id, pickup_hour, prediction AS average_rides_last_4_weeks FROM mean4 WHERE (pos - 672) % 23 = 0""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from demandgrid.functions import times
@@ -200,6 +200,10 @@ def window_padded(spark: SparkSession, sf: str) -> DataFrame:
     return _summary(windows.training_windows(counts, "rides", 64, 5, pad_short=True), "target")
 
 
+def short_series(spark: SparkSession, sf: str) -> DataFrame:
+    return windows.short_series(series.hourly_counts(inputs.rides(spark, sf)), 64)
+
+
 def backfill(spark: SparkSession, sf: str) -> DataFrame:
     return jobs.backfill(gap_fill(spark, sf))
 
@@ -425,12 +429,32 @@ def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     return out.unionByName(mean.select(F.lit("four_week_mean").alias("model"), "train_mae", "test_mae"))
 
 
+def training_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored features to a registered model; the registry row with its errors."""
+    root = scratch_path(spark, "store")
+    store.KeyedTable.create_or_get(spark, root, store.FEATURES).upsert(gap_fill(spark, sf))
+    jobs.training_job(spark, root, NOW, datetime(2024, 1, 29, 12), maxIter=1, maxDepth=3, seed=42)
+    return registry.ModelRegistry(spark, root).table().select(
+        "name", "version", F.col("metrics")["train_mae"].alias("train_mae"), F.col("metrics")["test_mae"].alias("test_mae")
+    )
+
+
 def random_search(spark: SparkSession, sf: str) -> DataFrame:
+    """Cross-validated error of each draw, and the held-out error of the best one refitted."""
     w = materialize(windows.training_windows(gap_fill(spark, sf), "rides", windows.WEEK, windows.WEEK), "windows")
-    train, _ = windows.split_by_time(w, datetime(2024, 1, 29))
+    train, test = windows.split_by_time(w, datetime(2024, 1, 29))
     search = models.random_search(train, {"maxDepth": [2, 3], "maxBins": [16, 32]}, draws=2, maxIter=2, lags_only=True)
-    return models.search_report(search, train).select(
-        "draw", F.col("params")["maxDepth"].alias("max_depth"), F.col("params")["maxBins"].alias("max_bins"), "mae"
+    held_out = models.mae(models.best_pipeline(search, lags_only=True).transform(test))
+    return (
+        models.search_report(search, train)
+        .crossJoin(F.broadcast(held_out.withColumnRenamed("mae", "test_mae")))  # one row
+        .select(
+            "draw",
+            F.col("params")["maxDepth"].alias("max_depth"),
+            F.col("params")["maxBins"].alias("max_bins"),
+            "mae",
+            F.when(F.col("mae") == F.min("mae").over(Window.partitionBy(F.lit(0))), F.col("test_mae")).alias("test_mae"),
+        )
     )
 
 
@@ -484,6 +508,7 @@ QUERIES = {
     "q_window_wide": window_wide,
     "q_window_unpivot": window_unpivot,
     "q_window_padded": window_padded,
+    "q_short_series": short_series,
     "q_backfill": backfill,
     "q_seasonal_mean": seasonal_mean,
     "q_temporal_features": temporal_features,
@@ -514,6 +539,7 @@ QUERIES = {
     "q_promote": promote,
     "q_run_log": run_log,
     "q_train_gbt": train_gbt,
+    "q_training_job": training_job,
     "q_random_search": random_search,
     "q_stream_hourly": stream_hourly,
     "q_stream_upsert": stream_upsert,

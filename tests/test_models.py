@@ -47,6 +47,17 @@ def test_stages_and_persistence(small_windows):
     assert features.CalendarFeatures.load(path).getOrDefault("dropKeys") is True
 
 
+def test_feature_vector(small_windows):
+    w = small_windows()
+    out = features.FeatureVector(inputCols=["target"]).transform(w).first()
+    assert list(out.features) == [float(x) for x in out.lags] + [float(out.target)]
+    empty = models.feature_pipeline().getStages()[:-1]
+    frame = w.limit(0)
+    for stage in empty:
+        frame = stage.transform(frame)
+    assert frame.count() == 0
+
+
 def test_seasonal_forecast_is_exact_on_a_daily_pattern(small_windows):
     w = small_windows()
     assert models.mae(models.FourWeekMean().transform(w)).first().mae == 0.0

@@ -137,6 +137,8 @@ def test_training_job(spark, hourly_frame):
     assert version == 1 and set(metrics) == {"train_mae", "test_mae"}
     again, same = jobs.training_job(spark, root, as_of, cutoff, step=12, maxIter=1, maxDepth=2, seed=3)
     assert again is None and same["test_mae"] == pytest.approx(metrics["test_mae"])
+    with pytest.raises(ValueError):
+        jobs.training_job(spark, root, as_of, START + timedelta(hours=5000), step=12, maxIter=1)
     scored = jobs.inference_job(spark, root, START + timedelta(hours=800)).read()
     assert scored.count() == 3
 

@@ -35,6 +35,11 @@ def test_lengths_around_the_window(hourly_frame):
     )
 
 
+def test_short_series_are_reported(hourly_frame):
+    df = hourly_frame({1: [0] * 13, 2: [0] * 12, 3: [0]})
+    assert {r.pickup_location_id: r["rows"] for r in windows.short_series(df, 12).collect()} == {2: 12, 3: 1}
+
+
 def test_window_and_step_must_be_positive(hourly_frame):
     with pytest.raises(ValueError):
         windows.training_windows(hourly_frame({1: [1, 2]}), "rides", 0)
