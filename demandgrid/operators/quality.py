@@ -40,9 +40,10 @@ def amount_limits(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame
     return limits.select("year", "month", F.col("quantiles")[0].alias("amount_limit"))
 
 
-def flag_trips(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+def flag_trips(trips: DataFrame, rules: TripRules = TripRules(), limits: DataFrame | None = None) -> DataFrame:
     """Trips with one boolean per rule (``ok_duration`` …), never null.
 
+    ``limits`` takes stored ``amount_limits`` of the same trips, so that several results need not work them out again.
     A missing time or amount fails its rule; a missing location passes, because only listed ids are excluded.
     """
     require_columns(
@@ -52,7 +53,8 @@ def flag_trips(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     # carries the month's bounds, worked out once per month rather than per trip.
     first = F.make_timestamp_ntz("year", "month", F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     following = first + F.make_ym_interval(F.lit(0), F.lit(1))
-    months = amount_limits(trips, rules).withColumns({"month_start": first, "month_end": following})
+    limits = amount_limits(trips, rules) if limits is None else limits
+    months = limits.withColumns({"month_start": first, "month_end": following})
     flagged = trips.join(F.broadcast(months), ["year", "month"], "left")
     amount = nan_to_null(F.col("total_amount"))
     pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
@@ -74,10 +76,10 @@ def all_rules() -> Column:
     return F.col("ok_duration") & F.col("ok_amount") & F.col("ok_location") & F.col("ok_period")
 
 
-def filter_trips(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+def filter_trips(trips: DataFrame, rules: TripRules = TripRules(), limits: DataFrame | None = None) -> DataFrame:
     """Rides (pickup_datetime, pickup_location_id) of the trips that pass every rule."""
     return (
-        flag_trips(trips, rules)
+        flag_trips(trips, rules, limits)
         .where(all_rules())
         .select(
             F.col("tpep_pickup_datetime").alias("pickup_datetime"),
@@ -86,12 +88,12 @@ def filter_trips(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
     )
 
 
-def reject_report(trips: DataFrame, rules: TripRules = TripRules()) -> DataFrame:
+def reject_report(trips: DataFrame, rules: TripRules = TripRules(), limits: DataFrame | None = None) -> DataFrame:
     """Per filing month: total, valid and dropped rows, drop percentage, rejects per rule, negative amounts."""
     valid = F.count_if(all_rules())
     total = F.count("*")
     return (
-        flag_trips(trips, rules)
+        flag_trips(trips, rules, limits)
         .groupBy("year", "month")
         .agg(
             total.alias("total_records"),

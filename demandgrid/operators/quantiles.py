@@ -7,8 +7,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandgrid.functions.numbers import nan_to_null
-
 SKETCH_SIZE = 800  # rank error about 0.4 %, some 20 kB
 SALTS = 64  # partial merges per bucket
 MARGIN = 0.005  # on either side of a wanted probability, to cover the sketch's error
@@ -43,19 +41,24 @@ def _cuts(rows: DataFrame, by: list[str], ends: list[float]) -> DataFrame:
 
 def _slot(brackets: list[tuple[float, float]]) -> Column:
     """Ordinal of the stretch of the number line that holds ``v``: gap, slices of an enclosure, gap, …"""
-    v, width = F.col("v"), SLICES + 1
-    slot = F.lit(len(brackets) * width)
-    for i in reversed(range(len(brackets))):
-        lo, hi = F.col("cuts")[2 * i], F.col("cuts")[2 * i + 1]
-        part = F.coalesce(F.floor(F.try_divide(v - lo, hi - lo) * SLICES), F.lit(0))
-        part = F.greatest(F.least(part, F.lit(SLICES - 1)), F.lit(0))
-        slot = F.when(v < lo, F.lit(i * width)).when(v <= hi, F.lit(i * width + 1) + part).otherwise(slot)
-    return slot.cast("int")
+    width, cases = SLICES + 1, []
+    for i in range(len(brackets)):
+        lo, hi = f"cuts[{2 * i}]", f"cuts[{2 * i + 1}]"
+        slice_ = f"coalesce(floor(try_divide(v - {lo}, {hi} - {lo}) * {SLICES}), 0)"
+        cases.append(f"WHEN v < {lo} THEN {i * width}")
+        cases.append(f"WHEN v <= {hi} THEN {i * width + 1} + greatest(least({slice_}, {SLICES - 1}), 0)")
+    return F.expr(f"int(CASE {' '.join(cases)} ELSE {len(brackets) * width} END)")
+
+
+def _ranks(p: float) -> tuple[str, str]:
+    """SQL for the two zero-based ranks that the quantile lies between, among ``n`` rows."""
+    return f"floor({p}D * (n - 1))", f"least(floor({p}D * (n - 1)) + 1, n - 1)"
 
 
-def _interpolate(low: Column, high: Column, t: Column) -> Column:
-    # Anchored at the nearer neighbour, so that t = 0 and t = 1 return it unchanged.
-    return F.when(t < 0.5, low + (high - low) * t).otherwise(high - (high - low) * (1 - t))
+def _interpolated(i: int, p: float) -> str:
+    # Anchored at the nearer neighbour, so that a share of 0 or 1 returns it unchanged.
+    t = f"({p}D * (n - 1) - floor({p}D * (n - 1)))"
+    return f"if({t} < 0.5D, lo{i} + (hi{i} - lo{i}) * {t}, hi{i} - (hi{i} - lo{i}) * (1 - {t}))"
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -77,8 +80,9 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
 
     Returns ``by`` columns, ``n`` (rows counted) and ``quantiles`` (array in the order of ``probs``).
     """
-    by = list(by)
-    rows = df.select(*by, nan_to_null(F.col(value).cast("double")).alias("v")).where(F.col("v").isNotNull())
+    by, probs = list(by), [float(p) for p in probs]
+    v = F.col(value).cast("double")
+    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*by, v.alias("v"))
     brackets = _brackets(probs)
     cuts = F.broadcast(_cuts(rows, by, [p for pair in brackets for p in pair]))
     placed = (rows.join(cuts, by) if by else rows.crossJoin(cuts)).select(*by, _slot(brackets).alias("slot"), "v")
@@ -90,37 +94,23 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
         *by, "least", "most", (running - F.col("c")).alias("before"), running.alias("upto"), F.sum("c").over(bucket).alias("n")
     )
 
-    def ranks(p: float) -> tuple[Column, Column]:
-        k = F.floor(F.lit(float(p)) * (F.col("n") - 1))
-        return k, F.least(k + 1, F.col("n") - 1)
+    def holds(rank: str) -> str:
+        return f"(before <= {rank} AND {rank} < upto)"
 
-    def holds(rank: Column) -> Column:
-        return (F.col("before") <= rank) & (rank < F.col("upto"))
-
-    wanted = F.lit(False)
-    for p in probs:
-        for rank in ranks(p):
-            wanted = wanted | holds(rank)
     # At most two slots per quantile and bucket. They are passed on as value ranges: the last scan does not depend on
     # the sketch, which may differ between evaluations.
+    wanted = " OR ".join(holds(rank) for p in probs for rank in _ranks(p))
     wanted = F.broadcast(slots.where(wanted).select(*by, "least", "most", "before", "n"))
     near = rows.join(wanted, by) if by else rows.crossJoin(wanted)
-    values = (
-        near.where(F.col("v").between(F.col("least"), F.col("most")))
-        .groupBy(*by, "before", "n", "v")
-        .agg(F.count("*").alias("c"))
-    )
+    values = near.where("v BETWEEN least AND most").groupBy(*by, "before", "n", "v").agg(F.count("*").alias("c"))
     in_slot = Window.partitionBy(*by, "before").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("c").over(in_slot)
     values = values.select(*by, "n", "v", (upto - F.col("c")).alias("before"), upto.alias("upto"))
     picks = [
-        F.max(F.when(holds(rank), F.col("v"))).alias(f"{side}{i}")
+        F.expr(f"max(if({holds(rank)}, v, NULL))").alias(f"{side}{i}")
         for i, p in enumerate(probs)
-        for side, rank in zip(("lo", "hi"), ranks(p))
+        for side, rank in zip(("lo", "hi"), _ranks(p))
     ]
-    found = values.groupBy(*by).agg(F.coalesce(F.max("n"), F.lit(0)).alias("n"), *picks)
-    out = []
-    for i, p in enumerate(probs):
-        position = F.lit(float(p)) * (F.col("n") - 1)
-        out.append(_interpolate(F.col(f"lo{i}"), F.col(f"hi{i}"), position - F.floor(position)))
-    return found.select(*by, "n", F.array(*out).alias("quantiles"))
+    found = values.groupBy(*by).agg(F.expr("coalesce(max(n), 0)").alias("n"), *picks)
+    out = ", ".join(_interpolated(i, p) for i, p in enumerate(probs))
+    return found.select(*by, "n", F.expr(f"array({out})").alias("quantiles"))

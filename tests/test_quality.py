@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from demandgrid.operators import profiles, quality
 from demandgrid.operators.quantiles import exact_quantiles
 from demandgrid.schemas import TRIPS, ZONES
-from demandgrid.session import scratch_path
+from demandgrid.session import materialize, scratch_path
 from demandgrid.sources import trips, zones
 
 JAN = datetime(2024, 1, 10, 12)
@@ -72,6 +72,13 @@ def test_limit_is_taken_before_other_rules_and_per_filing_month(spark):
     assert report[2].rejected_amount == 1 and report[2].percent_dropped == pytest.approx(100 / 3)
 
 
+def test_stored_limits_give_the_same_rides(spark):
+    trips_ = spark.createDataFrame([trip(amount=float(a)) for a in range(1, 40)], TRIPS)
+    limits = materialize(quality.amount_limits(trips_), "limits")
+    assert quality.filter_trips(trips_, limits=limits).count() == quality.filter_trips(trips_).count() == 38
+    assert quality.reject_report(trips_, limits=limits).collect() == quality.reject_report(trips_).collect()
+
+
 def test_month_without_amounts(spark):
     rows = [trip(amount=None), trip(datetime(2024, 3, 1), amount=None)]
     row = quality.reject_report(spark.createDataFrame(rows, TRIPS)).first()
