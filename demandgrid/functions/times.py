@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -13,21 +13,21 @@ REPLAY_SHIFT = timedelta(weeks=52)
 
 
 def as_datetime(value: datetime | str) -> datetime:
-    """ISO text or datetime; anything else is an error."""
+    """ISO text or datetime as UTC wall time; anything else is an error. A zoned value is converted."""
     if isinstance(value, str):
-        return datetime.fromisoformat(value)
+        value = datetime.fromisoformat(value)
     if not isinstance(value, datetime):
         raise ValueError(f"expected a datetime or ISO text, got {value!r}")
-    return value
+    return value if value.tzinfo is None else value.astimezone(timezone.utc).replace(tzinfo=None)
 
 
 def clock_floor(as_of: datetime) -> datetime:
-    return as_of.replace(minute=0, second=0, microsecond=0)
+    return as_datetime(as_of).replace(minute=0, second=0, microsecond=0)
 
 
 def clock_ceil(as_of: datetime) -> datetime:
     floor = clock_floor(as_of)
-    return floor if floor == as_of else floor + HOUR
+    return floor if floor == as_datetime(as_of) else floor + HOUR
 
 
 def next_hour(as_of: datetime) -> datetime:
@@ -36,7 +36,7 @@ def next_hour(as_of: datetime) -> datetime:
 
 
 def ntz(value: datetime) -> Column:
-    return F.lit(value.replace(tzinfo=None)).cast("timestamp_ntz")
+    return F.lit(as_datetime(value)).cast("timestamp_ntz")
 
 
 def interval(delta: timedelta) -> Column:

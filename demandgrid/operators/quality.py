@@ -51,7 +51,7 @@ def flag_trips(trips: DataFrame, rules: TripRules = TripRules(), limits: DataFra
     )
     # One row per filing month: bounded by the calendar, so it may be broadcast whatever the size of the trips. It also
     # carries the month's bounds, worked out once per month rather than per trip.
-    first = F.make_timestamp_ntz("year", "month", F.lit(1), F.lit(0), F.lit(0), F.lit(0))
+    first = F.try_make_timestamp_ntz("year", "month", F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     following = first + F.make_ym_interval(F.lit(0), F.lit(1))
     limits = amount_limits(trips, rules) if limits is None else limits
     months = limits.withColumns({"month_start": first, "month_end": following})

@@ -11,6 +11,7 @@ SKETCH_SIZE = 800  # rank error about 0.4 %, some 20 kB
 SALTS = 64  # partial merges per bucket
 MARGIN = 0.005  # on either side of a wanted probability, to cover the sketch's error
 SLICES = 4000  # equal-width slots per enclosure
+CALENDAR = frozenset({"year", "month", "day", "date", "year_month"})
 
 
 def _brackets(probs: Sequence[float]) -> list[tuple[float, float]]:
@@ -75,12 +76,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     The slots cover every value and the counts are exact, so the result is exact whatever the sketch says; a poor
     sketch only makes the last step larger.
 
-    ``by`` must be calendar columns (year, month, date): the enclosures and wanted slots are broadcast, and a calendar
-    bounds their number (12 buckets a year).
+    ``by`` must be calendar columns (``CALENDAR``): the enclosures and wanted slots are broadcast, and a calendar bounds
+    their number (12 or 366 buckets a year).
 
     Returns ``by`` columns, ``n`` (rows counted) and ``quantiles`` (array in the order of ``probs``).
     """
     by, probs = list(by), [float(p) for p in probs]
+    if not set(by) <= CALENDAR:
+        raise ValueError(f"buckets must be calendar columns {sorted(CALENDAR)}, not {by}")
     v = F.col(value).cast("double")
     rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*by, v.alias("v"))
     brackets = _brackets(probs)

@@ -6,10 +6,12 @@ training, ``target`` (that value). Input must be gap-filled: windows count rows,
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from demandgrid.functions.times import HOUR, interval
+from demandgrid.functions.times import HOUR, interval, ntz
 from demandgrid.operators.series import SERIES, TIME
 from demandgrid.schemas import require_columns
 
@@ -185,8 +187,8 @@ def seasonal_lags(series: DataFrame, feature_col: str = "rides", weeks: int = 4)
     )
 
 
-def split_by_time(df: DataFrame, cutoff, time: str = TIME) -> tuple[DataFrame, DataFrame]:
+def split_by_time(df: DataFrame, cutoff: datetime, time: str = TIME) -> tuple[DataFrame, DataFrame]:
     """(before ``cutoff``, from ``cutoff`` on); the target stays a column."""
-    return df.where(F.col(time) < F.lit(cutoff)), df.where(F.col(time) >= F.lit(cutoff))
+    return df.where(F.col(time) < ntz(cutoff)), df.where(F.col(time) >= ntz(cutoff))
 
 

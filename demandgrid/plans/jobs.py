@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandgrid.functions.numbers import round_half_even, row_mean
-from demandgrid.functions.times import HOUR, clock_ceil, next_hour
+from demandgrid.functions.times import HOUR, as_datetime, clock_ceil, next_hour
 from demandgrid.operators import dashboard as boards
 from demandgrid.operators.models import feature_pipeline, mae, predict
 from demandgrid.operators.monitor import errors, macro_mae, mae_by_hour, micro_mae, trailing_start
@@ -135,3 +135,15 @@ def dashboard_job(
         "top": boards.top_demand(picked),
         "history": boards.top_history(picked, series, window),
     }
+
+
+def dashboard_from_store(
+    spark: SparkSession, root: str, names: DataFrame, as_of: datetime, zone: str = boards.ALL_ZONES,
+    window: int = FOUR_WEEKS,
+) -> dict[str, DataFrame]:
+    """``dashboard_job`` on the stored tables; one date of predictions and the last 29 days of features are read."""
+    as_of = as_datetime(as_of)
+    hour = next_hour(as_of)
+    predictions = KeyedTable.create_or_get(spark, root, FORECASTS).read_range(hour, hour)
+    series = KeyedTable.create_or_get(spark, root, FEATURES).read_range(as_of - timedelta(days=29), as_of - HOUR)
+    return dashboard_job(predictions, series, names, as_of, zone, window)

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from demandgrid.functions.times import ntz
+from demandgrid.functions.times import as_datetime, ntz
 from demandgrid.schemas import HOURLY, PREDICTIONS, require_columns
 from demandgrid.session import materialize
 
@@ -63,12 +63,12 @@ class KeyedTable:
 
     def read_range(self, start: datetime, end: datetime) -> DataFrame:
         """Rows with event time in the closed range: whole dates by partition, then exactly."""
-        time = F.col(self.spec.event_time)
+        start, end, time = as_datetime(start), as_datetime(end), F.col(self.spec.event_time)
         rows = self._files().where(F.col(DATE).between(F.lit(start.date()), F.lit(end.date())))
         return rows.where(time.between(ntz(start), ntz(end))).select(*self.spec.schema.names)
 
     def read_from(self, start: datetime) -> DataFrame:
-        time = F.col(self.spec.event_time)
+        start, time = as_datetime(start), F.col(self.spec.event_time)
         return self._files().where((F.col(DATE) >= F.lit(start.date())) & (time >= ntz(start))).select(
             *self.spec.schema.names
         )

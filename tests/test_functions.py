@@ -56,6 +56,12 @@ def test_parse_time(spark):
     assert got == [datetime(2024, 1, 2, 3, 4, 5)] * 2 + [None, None]
 
 
+def test_zoned_clock_is_read_as_utc():
+    new_york = datetime.fromisoformat("2024-01-01T05:20:00-05:00")
+    assert times.as_datetime(new_york) == datetime(2024, 1, 1, 10, 20)
+    assert times.next_hour(new_york) == times.clock_ceil(new_york) == datetime(2024, 1, 1, 11)
+
+
 def test_as_datetime():
     assert times.as_datetime("2024-01-02T03:00:00") == datetime(2024, 1, 2, 3)
     with pytest.raises(ValueError):

@@ -114,6 +114,16 @@ def test_quantiles_by_month_with_one_heavy_month(spark):
     assert by_month == {1: 2499.5, **{m: float(m) for m in range(2, 13)}}
 
 
+def test_quantile_buckets_must_be_calendar_columns(spark):
+    with pytest.raises(ValueError):
+        exact_quantiles(spark.range(3), "id", [0.5], ["id"])
+
+
+def test_bad_filing_month_fails_the_period_rule(spark):
+    row = quality.reject_report(spark.createDataFrame([trip(filed=(2024, 13))], TRIPS)).first()
+    assert (row.valid_records, row.rejected_period) == (0, 1)
+
+
 def test_empty_input(spark):
     empty = spark.createDataFrame([], TRIPS)
     assert quality.filter_trips(empty).count() == 0

@@ -118,6 +118,8 @@ def test_feature_to_dashboard(spark, hourly_frame):
 
     names = spark.createDataFrame([(50, "Corona"), (60, None)], "pickup_location_id bigint, zone string")
     series = features.read()
+    stored = jobs.dashboard_from_store(spark, root, names, as_of)
+    assert stored["history"].count() == 2 * 673
     boards = jobs.dashboard_job(forecasts.read(), series, names, as_of, window=24)
     assert [r.zone for r in boards["zones"].collect()] == ["All Zones", "Corona"]
     assert boards["predictions"].count() == 2 and boards["history"].count() == 2 * 25
