@@ -19,15 +19,17 @@ WEEK = 24 * 7
 FOUR_WEEKS = 4 * WEEK
 
 
-def _sliding(df: DataFrame, value: str, window: int, step: int, chunk: int) -> DataFrame:
+def _sliding(df: DataFrame, value: str, window: int, step: int, chunk: int | None) -> DataFrame:
     """(series, lags, target, time) for window starts 0, step, 2·step … of each series.
 
     Series are cut into chunks of ``chunk`` window starts; a row joins each chunk whose windows reach it (one, or two
     near a border). An array therefore never holds more than ``chunk + window`` values however long a series is, and
-    the chunks of one series need no exchange beyond the one by series that numbers its rows.
+    the chunks of one series need no exchange beyond the one by series that numbers its rows. The default of three
+    windows repeats a third of the rows.
     """
     if window < 1 or step < 1:
         raise ValueError("window and step must be positive")
+    chunk = chunk or max(3 * window, 1000)
     span = max(chunk // step, 1) * step
     ordered = Window.partitionBy(SERIES).orderBy(TIME)
     numbered = df.select(SERIES, TIME, F.col(value).alias("v"), (F.row_number().over(ordered) - 1).alias("pos"))
@@ -37,23 +39,24 @@ def _sliding(df: DataFrame, value: str, window: int, step: int, chunk: int) -> D
     chunked = reach.where(F.col("first") <= F.col("last")).select(
         SERIES, TIME, "v", "pos", F.explode(F.sequence("first", "last")).alias("chunk")
     )
-    arrays = (
+    starts = (
         chunked.groupBy(SERIES, "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("pos", TIME, "v"))).alias("rows"))
         .where(F.size("rows") > window)
         .select(
             SERIES,
-            F.col("rows.v").alias("vs"),
-            F.col(f"rows.{TIME}").alias("ts"),
+            "rows",
             # Guarded as well as filtered: sequence raises on a negative end.
             F.explode(F.sequence(F.lit(0), F.greatest(F.size("rows") - window - 1, F.lit(0)), F.lit(step))).alias("i"),
         )
     )
-    return arrays.select(
-        F.slice("vs", F.col("i") + 1, window).alias("lags"),
-        F.get("vs", F.col("i") + window).alias("target"),
+    # Slice first, then pick the field: taking the field of the whole array would be repeated for every window.
+    after = F.get("rows", F.col("i") + window)
+    return starts.select(
+        F.slice("rows", F.col("i") + 1, window).getField("v").alias("lags"),
+        after.getField("v").alias("target"),
         SERIES,
-        F.get("ts", F.col("i") + window).alias(TIME),
+        after.getField(TIME).alias(TIME),
     )
 
 
@@ -63,7 +66,7 @@ def training_windows(
     window_size: int = 12,
     step_size: int = 1,
     pad_short: bool = False,
-    chunk: int = 8760,
+    chunk: int | None = None,
 ) -> DataFrame:
     """Lags and target, every ``step_size`` rows from the start of each series.
 
@@ -82,7 +85,7 @@ def scoring_windows(
     window_size: int = 12,
     step_size: int = 1,
     anchor: str = "start",
-    chunk: int = 8760,
+    chunk: int | None = None,
 ) -> DataFrame:
     """Lags without target.
 
