@@ -109,14 +109,13 @@ class KeyedTable:
         first, last = staged.agg(F.min(DATE), F.max(DATE)).first()
         if first is None:
             return
-        dates = F.broadcast(staged.select(DATE).distinct())  # calendar dates of the batch
-        kept = (
-            self._files()
-            .where(F.col(DATE).between(F.lit(first), F.lit(last)))
-            .join(dates, DATE, "left_semi")
-            .join(staged.select(*keys), keys, "left_anti")
-        )
-        merged = materialize(kept.unionByName(staged), "merged")
+        existing = self._files().where(F.col(DATE).between(F.lit(first), F.lit(last)))
+        if existing.isEmpty():
+            merged = staged  # first load, or new dates only
+        else:
+            dates = F.broadcast(staged.select(DATE).distinct())  # calendar dates of the batch
+            kept = existing.join(dates, DATE, "left_semi").join(staged.select(*keys), keys, "left_anti")
+            merged = materialize(kept.unionByName(staged), "merged")
         # Rebalanced by date: few files per date, and a large date split over several tasks. The order is the one the
         # partitioned write needs, extended by the key, so that file statistics narrow reads of one location.
         (

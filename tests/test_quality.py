@@ -170,6 +170,18 @@ def test_month_files_are_pruned_and_missing_months_reported(spark):
         trips.load_rides_or_fail(spark, path, [(2022, 5)])
 
 
+def test_scans_read_only_what_they_need(spark):
+    path = scratch_path(spark, "trips")
+    trips.write_trips(spark.createDataFrame([trip(amount=float(a)) for a in range(5)], TRIPS), path)
+    df = trips.read_trips(spark, path, [(2024, 1)])
+    plan = quality.amount_limits(df)._jdf.queryExecution().executedPlan().toString()
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len(scans) == 3
+    for scan in scans:
+        assert "ReadSchema: struct<total_amount:double>" in scan and "IsNotNull(total_amount)" in scan
+        assert "PartitionFilters: []" not in scan
+
+
 def test_month_arguments():
     assert trips.months_of_year(2023) == [(2023, m) for m in range(1, 13)]
     for bad in ([0], [13], ["1"]):
