@@ -36,7 +36,8 @@ def next_hour(as_of: datetime) -> datetime:
 
 
 def ntz(value: datetime) -> Column:
-    return F.lit(as_datetime(value)).cast("timestamp_ntz")
+    # By way of text: a datetime literal would pass through the zones of Python and of the session.
+    return F.lit(as_datetime(value).isoformat(sep=" ")).cast("timestamp_ntz")
 
 
 def interval(delta: timedelta) -> Column:
