@@ -84,22 +84,26 @@ def _placed(ordered: DataFrame) -> DataFrame:
 
 
 def _cuts(placed: DataFrame, n_shards: int, whole_group: float) -> DataFrame:
-    """``shard`` and the rank of its first row, for the shards that have rows."""
-    groups = (
-        placed.groupBy(F.col("text_crc32").alias("c"), F.col("text_hash").alias("h"))
-        .agg(F.min("start").alias("g_start"), F.sum("size").alias("g_size"), F.count("*").alias("copies"))
-        .where((F.col("copies") > 1))
+    """``shard`` and the rank of its first row, for the shards that have rows.
+
+    Groups of equal texts are summed before the shuffle. The larger ones, which are cut, are at most
+    ``n_shards / whole_group`` in number, so their keys can be broadcast to find their rows.
+    """
+    groups = placed.groupBy("text_crc32", "text_hash").agg(
+        F.min("start").alias("at"), F.sum("size").alias("held"), F.min("rank").alias("first"), F.max("total").alias("all"),
+        F.count("*").alias("copies"),
+    )
+    cut_up = (F.col("copies") > 1) & (F.col("held") > whole_group * F.col("all") / n_shards)
+    groups = materialize(groups.withColumn("cut_up", cut_up), "shard-groups")
+    large = groups.where("cut_up").select("text_crc32", "text_hash")
+    rows = placed.join(F.broadcast(large), ["text_crc32", "text_hash"]).select(
+        F.col("start").alias("at"), F.col("size").alias("held"), F.col("rank").alias("first"), F.col("total").alias("all")
     )
-    small = F.col("g_size") <= whole_group * F.col("total") / n_shards
-    twice = F.when(small, 2 * F.col("g_start") + F.col("g_size")).otherwise(2 * F.col("start") + F.col("size"))
-    shard = F.least(F.lit(n_shards - 1), F.expr("twice * n div (2 * total)"))
+    middle = F.expr(f"(2 * at + held) * {n_shards}L div (2 * all)")
     return (
-        placed.select("text_crc32", "text_hash", "start", "size", "rank", "total")
-        .join(groups, (F.col("text_crc32") == F.col("c")) & (F.col("text_hash") == F.col("h")), "left")
-        .withColumn("twice", twice)
-        .withColumn("n", F.lit(n_shards).cast("bigint"))
-        .groupBy(shard.cast("int").alias("shard"))
-        .agg(F.min("rank").alias("first"))
+        groups.where("not cut_up").select("at", "held", "first", "all").unionByName(rows)
+        .groupBy(F.least(F.lit(n_shards - 1), middle).cast("int").alias("shard"))
+        .agg(F.min("first").alias("first"))
     )
 
 
