@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import types as T
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from demandgrid.session import materialize, scratch_path
 
-__all__ = ["WORD", "chunks_of", "clean_text", "hash60", "held_out", "materialize", "rate_below", "scratch_path", "table"]
+__all__ = [
+    "WORD", "chunks_of", "clean_text", "hash60", "held_out", "map_texts", "materialize", "rate_below", "scratch_path", "table",
+    "with_row",
+]
 
 #: A word: a run of anything but the ASCII blanks.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -52,6 +59,33 @@ def chunks_of(texts: Sequence[str], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
-def texts_of(column: Iterable[str | None]) -> list[str]:
-    """Texts of a pandas column; nulls as empty."""
-    return [t if isinstance(t, str) else "" for t in column]
+def with_row(docs: DataFrame) -> DataFrame:
+    """All columns in one struct, so that added columns can't clash with them."""
+    return docs.select(F.struct("*").alias("whole_row"))
+
+
+def map_texts(
+    df: DataFrame, make: Callable[[], Callable[[list[str]], list]], added: str, text: str = "text"
+) -> DataFrame:
+    """Add columns worked out from texts, Arrow batch by Arrow batch.
+
+    ``make`` runs once in each task and returns a function from texts (nulls as empty) to one list or array per added column.
+    ``text`` is dropped; with ``whole_row.text`` it is read from the struct and the struct is kept as it is.
+    """
+    new = T.StructType.fromDDL(added)
+    kinds = [to_arrow_type(f.dataType) for f in new]
+    outer, _, inner = text.partition(".")
+    names = [f.name for f in df.schema if inner or f.name != outer]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = make()
+        for batch in batches:
+            column = batch.column(outer)
+            texts = [t or "" for t in (pc.struct_field(column, inner) if inner else column).to_pylist()]
+            columns = work(texts)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(n) for n in names] + [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
+                names + [f.name for f in new],
+            )
+
+    return df.mapInArrow(run, T.StructType([f for f in df.schema if f.name in names] + list(new)))

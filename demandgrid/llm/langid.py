@@ -1,8 +1,8 @@
 """Language by compression: the text is encoded against a raw-content zstandard dictionary per language.
 
 Learning takes a bounded, repeatable sample of labelled rows (``per_language`` rows of each language on average, the first
-``dictionary_bytes`` of their lower-cased text) and makes one dictionary per language. A text is cut into pieces of
-``PIECE`` characters, each piece is compressed with every dictionary, and the language with the smallest sum wins; so the
+``sample_chars`` of each) and makes one dictionary of at most ``dictionary_bytes`` per language. Texts are lower-cased and
+what isn't a letter becomes a blank. A text is cut into pieces of ``PIECE`` characters, each piece is compressed with every dictionary, and the language with the smallest sum wins; so the
 whole text counts and a long text's own history doesn't drown the dictionary. ``margin`` is the share of bytes that the
 second language needs more; below ``min_margin`` the row is marked ``rejected`` (the prediction stays).
 
@@ -14,23 +14,25 @@ each. The dictionaries are broadcast: ``dictionary_bytes`` for each language.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandgrid.llm.common import rate_below, texts_of
+from demandgrid.llm.common import map_texts, rate_below
 
 UNKNOWN = "und"
 PIECE = 1500
-LETTER = re.compile(r"[^\W\d_]")
+OTHER = re.compile(r"[\W\d_]+")
+
+
+def letters(text: str) -> str:
+    return OTHER.sub(" ", text.lower()).strip()
 
 
 def learn_dictionaries(
-    labelled: DataFrame, per_language: int = 300, dictionary_bytes: int = 64_000, sample_chars: int = 2_000
+    labelled: DataFrame, per_language: int = 1_500, dictionary_bytes: int = 250_000, sample_chars: int = 1_000
 ) -> dict[str, bytes]:
     """One dictionary per language from ``doc_id, text, lang``; languages in order."""
     known = labelled.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
@@ -46,7 +48,7 @@ def learn_dictionaries(
     )
     found = {}
     for lang in sorted(counts):
-        texts = [r["text"].lower() for r in sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"])) if r["lang"] == lang]
+        texts = [letters(r["text"]) for r in sorted(rows, key=lambda r: (str(r["doc_id"]), r["text"])) if r["lang"] == lang]
         found[lang] = "\n".join(texts).encode()[-dictionary_bytes:]
     return {k: v for k, v in found.items() if len(v) >= 8}
 
@@ -54,35 +56,34 @@ def learn_dictionaries(
 def _predictor(dictionaries: dict[str, bytes], min_margin: float):
     langs = list(dictionaries)
 
-    def predict(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def make():
         tools = []
         for lang in langs:
             raw = zstandard.ZstdCompressionDict(dictionaries[lang], dict_type=zstandard.DICT_TYPE_RAWCONTENT)
             raw.precompute_compress(level=3)
             options = {"dict_data": raw, "write_content_size": False, "write_dict_id": False}
             tools.append(zstandard.ZstdCompressor(level=3, **options).compress)
-        for batch in batches:
-            out = []
-            for text in texts_of(batch.pop("text")):
-                if not tools or not LETTER.search(text):
-                    out.append((UNKNOWN, 0.0, 0.0, True))
-                    continue
-                lower = text.lower()
-                pieces = [lower[i : i + PIECE].encode() for i in range(0, len(lower), PIECE)]
-                sizes = np.array([sum(len(f(p)) for p in pieces) for f in tools], dtype=float)
-                best = int(sizes.argmin())
-                second = np.partition(sizes, 1)[1] if len(sizes) > 1 else sizes[0] * 2
-                margin = (second - sizes[best]) / second
-                odds = np.exp2(-np.minimum(sizes - sizes[best], 60.0))
-                out.append((langs[best], 1.0 / odds.sum(), margin, bool(margin < min_margin)))
-            batch["lang_pred"], batch["score"], batch["margin"], batch["rejected"] = zip(*out, strict=True) if out else [[]] * 4
-            yield batch
-
-    return predict
-
-
-def predict_language(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.01) -> DataFrame:
-    """``doc_id, held-out and other narrow columns of docs, lang_pred, score, margin, rejected``; ``text`` is consumed."""
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
-    schema = ", ".join([*kept, "lang_pred string, score double, margin double, rejected boolean"])
-    return docs.mapInPandas(_predictor(dictionaries, min_margin), schema)
+
+        def one(text: str) -> tuple[str, float, float, bool]:
+            text = letters(text)
+            if not tools or not text:
+                return UNKNOWN, 0.0, 0.0, True
+            pieces = [text[i : i + PIECE].encode() for i in range(0, len(text), PIECE)]
+            sizes = np.array([sum(len(f(p)) for p in pieces) for f in tools], dtype=float)
+            best = int(sizes.argmin())
+            second = np.partition(sizes, 1)[1] if len(sizes) > 1 else sizes[0] * 2
+            margin = float((second - sizes[best]) / second)
+            odds = np.exp2(-np.minimum(sizes - sizes[best], 60.0))
+            return langs[best], float(1.0 / odds.sum()), margin, margin < min_margin
+
+        return lambda texts: list(zip(*map(one, texts), strict=True)) if texts else [[]] * 4
+
+    return make
+
+
+def predict_language(
+    docs: DataFrame, dictionaries: dict[str, bytes], min_margin: float = 0.01, text: str = "text"
+) -> DataFrame:
+    """The other columns of ``docs`` with ``lang_pred, score, margin, rejected``."""
+    added = "lang_pred string, score double, margin double, rejected boolean"
+    return map_texts(docs, _predictor(dictionaries, min_margin), added, text)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import langid, mixing, shards
+from demandgrid.llm import langid, mixing, shards, toxicity
 from demandgrid.llm.common import held_out, table
 
 LANG_HELD, TOXIC_HELD, QUALITY_HELD, MODEL_HELD = (4, 2), (5, 0), (3, 1), (5, 1)
@@ -19,6 +19,14 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict_language(docs.select("doc_id", held_out(*LANG_HELD).alias("held_out"), "text"), learned)
 
 
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(*TOXIC_HELD)).select("doc_id", "toxic")
+    model = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    scored = toxicity.score_toxicity(docs.select("doc_id", held_out(*TOXIC_HELD).alias("held_out"), "text"), model, spans=True)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
@@ -29,7 +37,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_language_id, op8_source_mix, op10_shards)
+    f.__name__: f for f in (op4_language_id, op5_toxicity, op8_source_mix, op10_shards)
 }
 
 ORACLE: dict[str, str] = {
