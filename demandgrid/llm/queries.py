@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import langid, mixing, shards, toxicity
+from demandgrid.llm import langid, mixing, neardup, quality, shards, toxicity
 from demandgrid.llm.common import held_out, table
 
 LANG_HELD, TOXIC_HELD, QUALITY_HELD, MODEL_HELD = (4, 2), (5, 0), (3, 1), (5, 1)
@@ -27,17 +27,29 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(~held_out(*QUALITY_HELD)).select("doc_id", "quality")
+    model = quality.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    scored = quality.score_quality(docs.select("doc_id", held_out(*QUALITY_HELD).alias("held_out"), "text"), model)
+    return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
+
+
 def op8_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_plan(table(spark, sf_dir, "documents"))
 
 
+def op9_near_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_classes(table(spark, sf_dir, "documents"))
+
+
 def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = shards.shard_plan(table(spark, sf_dir, "documents"), 24)
     return plan.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_language_id, op5_toxicity, op8_source_mix, op10_shards)
+    f.__name__: f for f in (op4_language_id, op5_toxicity, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
 }
 
 ORACLE: dict[str, str] = {
