@@ -189,7 +189,7 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
     return model
 
 
-def learn(labelled: DataFrame, sample_docs: int = 2_500, **options) -> ToxicModel:
+def learn(labelled: DataFrame, sample_docs: int = 1_200, **options) -> ToxicModel:
     """From ``doc_id, text, toxic``: a repeatable sample of rows, about ``sample_docs`` of them toxic."""
     known = labelled.where(F.col("toxic").isin(0, 1)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
     counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows at most
