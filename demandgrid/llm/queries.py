@@ -7,12 +7,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import decontaminate, langid, mixing, neardup, quality, shards, toxicity
+from demandgrid.llm import decontaminate, fingerprints, langid, mixing, neardup, quality, shards, toxicity
 from demandgrid.llm.common import held_out, table
 
 LANG_HELD, TOXIC_HELD, QUALITY_HELD, MODEL_HELD = (4, 2), (5, 0), (3, 1), (5, 1)
 
 
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_edits(table(spark, sf_dir, "documents"))
+
+
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
 
@@ -53,7 +57,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_decontaminate, op4_language_id, op5_toxicity, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
+    f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op4_language_id, op5_toxicity, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
 }
 
 ORACLE: dict[str, str] = {
