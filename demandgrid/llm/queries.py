@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import decontaminate, fingerprints, langid, mixing, neardup, quality, shards, toxicity
+from demandgrid.llm import decontaminate, fingerprints, langid, mixing, neardup, quality, repeats, shards, toxicity
 from demandgrid.llm.common import held_out, table
 
 LANG_HELD, TOXIC_HELD, QUALITY_HELD, MODEL_HELD = (4, 2), (5, 0), (3, 1), (5, 1)
@@ -35,6 +35,10 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.find_repeats(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(~held_out(*QUALITY_HELD)).select("doc_id", "quality")
@@ -57,7 +61,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op4_language_id, op5_toxicity, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
+    f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op4_language_id, op5_toxicity, op6_repeats, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
 }
 
 ORACLE: dict[str, str] = {
