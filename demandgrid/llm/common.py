@@ -14,7 +14,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from demandgrid.session import materialize, scratch_path
 
 __all__ = [
-    "WORD", "chunks_of", "clean_text", "hash60", "held_out", "map_texts", "materialize", "rate_below", "scratch_path", "table",
+    "WORD", "chunks_of", "clean_text", "hash60", "held_out", "labelled_sample", "map_texts", "materialize", "rate_below", "scratch_path", "table",
     "with_row",
 ]
 
@@ -47,6 +47,24 @@ def rate_below(key: Column, rate: Column) -> Column:
     return hash60(key) < F.least(rate, F.lit(1.0)) * float(1 << 60)
 
 
+def labelled_sample(
+    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int]
+) -> tuple[list[tuple[str, int]], dict[int, int]]:
+    """Texts with their labels, and how many ids have each label.
+
+    A repeatable sample with about ``wanted[y]`` ids of label ``y``. It is drawn from the narrow label table, so its ids (as many as
+    wanted) can be broadcast and no text but the sample's is moved. Other and null labels are left out; equal rows come once.
+    """
+    known = labels.where(F.col(label).isin(*wanted)).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
+    counts = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count("*").alias("n")).collect()}  # a row per label
+    rate = F.lit(0.0)
+    for y, n in counts.items():
+        rate = F.when(F.col("label") == y, wanted[y] / n).otherwise(rate)
+    chosen = known.where(rate_below(F.col("doc_id"), rate))
+    rows = docs.select("doc_id", clean_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "label").distinct()
+    return sorted((r["text"], r["label"]) for r in rows.collect()), counts
+
+
 def chunks_of(texts: Sequence[str], most: int) -> Iterator[tuple[int, int]]:
     """Index ranges of neighbouring texts with about ``most`` characters together, one text at least."""
     start, held = 0, 0

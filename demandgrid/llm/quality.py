@@ -17,9 +17,8 @@ from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from demandgrid.llm.common import chunks_of, map_texts, rate_below
+from demandgrid.llm.common import chunks_of, labelled_sample, map_texts
 
 STRIDE, HALF = 4, 128
 PLACES = HALF // STRIDE
@@ -152,19 +151,13 @@ def train(
     return QualityModel(**{k: v.astype(np.float32) for k, v in w.items()}, base_rate=share)
 
 
-def learn(labelled: DataFrame, sample_docs: int = 2_500, **options) -> QualityModel:
-    """From ``doc_id, text, quality``: a repeatable sample of about ``sample_docs`` rows of either label."""
-    known = labelled.where(F.col("quality").isin(0, 1)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "quality")
-    counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(F.count("*").alias("n")).collect()}  # two rows at most
-    rate = F.lit(0.0)
-    for label, n in counts.items():
-        rate = F.when(F.col("quality") == label, float(sample_docs) / n).otherwise(rate)
-    rows = known.where(rate_below(F.col("doc_id"), rate)).collect()
-    unique = sorted({(r["text"], int(r["quality"])) for r in rows})
+def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = 2_500, **options) -> QualityModel:
+    """From ``doc_id, text`` and ``doc_id, quality``: a repeatable sample of about ``sample_docs`` rows of either label."""
+    rows, counts = labelled_sample(docs, labels, "quality", {0: sample_docs, 1: sample_docs})
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if len(counts) < 2:
         return QualityModel(base_rate=share if counts else 0.5)
-    return train([t for t, _ in unique], [y for _, y in unique], share, **options)
+    return train([t for t, _ in rows], [y for _, y in rows], share, **options)
 
 
 def _scorer(model: QualityModel):

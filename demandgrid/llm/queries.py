@@ -30,7 +30,7 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(~held_out(*TOXIC_HELD)).select("doc_id", "toxic")
-    model = toxicity.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = toxicity.learn(docs, labels)
     scored = toxicity.score_toxicity(docs.select("doc_id", held_out(*TOXIC_HELD).alias("held_out"), "text"), model, spans=True)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
@@ -42,7 +42,7 @@ def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").where(~held_out(*QUALITY_HELD)).select("doc_id", "quality")
-    model = quality.learn(docs.select("doc_id", "text").join(labels, "doc_id"))
+    model = quality.learn(docs, labels)
     scored = quality.score_quality(docs.select("doc_id", held_out(*QUALITY_HELD).alias("held_out"), "text"), model)
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 

@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandgrid.llm.common import chunks_of, map_texts, rate_below, with_row
+from demandgrid.llm.common import chunks_of, labelled_sample, map_texts, with_row
 
 TOKEN = re.compile(r"\w+|[.!?\n]+")
 ENDS = ".!?\n"
@@ -189,16 +189,10 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
     return model
 
 
-def learn(labelled: DataFrame, sample_docs: int = 1_200, **options) -> ToxicModel:
-    """From ``doc_id, text, toxic``: a repeatable sample of rows, about ``sample_docs`` of them toxic."""
-    known = labelled.where(F.col("toxic").isin(0, 1)).select("doc_id", F.coalesce("text", F.lit("")).alias("text"), "toxic")
-    counts = {r["toxic"]: r["n"] for r in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}  # two rows at most
-    rate = F.lit(0.0)
-    for label, n in counts.items():
-        rate = F.when(F.col("toxic") == label, float(sample_docs * (1 if label else CLEAN_SHARE)) / n).otherwise(rate)
-    rows = known.where(rate_below(F.col("doc_id"), rate)).collect()
-    unique = sorted({(r["text"], int(r["toxic"])) for r in rows})
-    return train([t for t, _ in unique], [y for _, y in unique], **options)
+def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_200, **options) -> ToxicModel:
+    """From ``doc_id, text`` and ``doc_id, toxic``: a repeatable sample of rows, about ``sample_docs`` of them toxic."""
+    rows, _ = labelled_sample(docs, labels, "toxic", {0: sample_docs * CLEAN_SHARE, 1: sample_docs})
+    return train([t for t, _ in rows], [y for _, y in rows], **options)
 
 
 def _spans(p: np.ndarray, first: np.ndarray, docs: np.ndarray, at: list[tuple[int, int]], n: int) -> list[list[dict]]:
