@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import decontaminate, fingerprints, langid, mixing, neardup, quality, repeats, shards, toxicity
+from demandgrid.llm import decontaminate, fingerprints, langid, mixing, neardup, ngram_lm, quality, repeats, shards, toxicity
 from demandgrid.llm.common import held_out, table
 
 LANG_HELD, TOXIC_HELD, QUALITY_HELD, MODEL_HELD = (4, 2), (5, 0), (3, 1), (5, 1)
@@ -21,6 +21,11 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
 
 
+def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out(*MODEL_HELD).alias("held_out"), "text")
+    return ngram_lm.score_texts(docs, ngram_lm.train(docs.where("not held_out")))
+
+
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     learned = langid.learn_dictionaries(docs.where(~held_out(*LANG_HELD)).select("doc_id", "text", "lang"))
@@ -61,7 +66,7 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op4_language_id, op5_toxicity, op6_repeats, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
+    f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_language_model, op4_language_id, op5_toxicity, op6_repeats, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
 }
 
 ORACLE: dict[str, str] = {
