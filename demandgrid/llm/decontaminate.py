@@ -112,7 +112,8 @@ def _windows(docs: DataFrame, items: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, limit: float = SIMILARITY) -> DataFrame:
     """``doc_id, k1, k2, item_id, start_word, n_words, distance, similarity``: each window that reaches ``limit``."""
     items = benchmark.where(F.col("text").isNotNull()).select("item_id", _words().alias("words"))
-    items = _fingerprinted(items.withColumn("n_words", F.size("words")).where("n_words > 0"))
+    items = items.withColumns({"n_words": F.size("words"), "item": F.monotonically_increasing_id()}).where("n_words > 0")
+    items = _fingerprinted(items)  # written, so the numbers stay what they are
     windows = _windows(docs, items)
     if windows is None:
         nothing = "item_id bigint, start_word int, n_words int, distance int, similarity double"
@@ -132,10 +133,10 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, limit: float = SIMILARITY)
         F.zip_with("blocks", "item_blocks", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda s, x: s + x
     )
     pairs = (
-        _by_block(contents, "content").join(_by_block(items, "item_id"), ["n_words", "block", "value"])
-        .select("content", "item_id").distinct()
+        _by_block(contents, "content").join(_by_block(items, "item"), ["n_words", "block", "value"])
+        .select("content", "item").distinct()
         .join(contents.drop("words"), "content")
-        .join(items.select("item_id", F.col("elements").alias("item_elements"), F.col("blocks").alias("item_blocks")), "item_id")
+        .join(items.select("item", "item_id", F.col("elements").alias("item_elements"), F.col("blocks").alias("item_blocks")), "item")
         .withColumn("distance", differing).where(F.col("distance") <= RADIUS)
     )
     letters = lambda e: F.aggregate(e, F.lit(0), lambda s, x: s + x["letters"])

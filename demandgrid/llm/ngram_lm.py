@@ -131,9 +131,9 @@ class Reader:
         return self.open[part.path]
 
     def _routed(self, level: int, keys: np.ndarray, firsts: list[int]) -> Iterator[tuple[Part, np.ndarray]]:
-        parts = self.model.levels[level - 1]
-        if not parts or not len(keys):
+        if level > len(self.model.levels) or not len(keys):
             return
+        parts = self.model.levels[level - 1]
         to = np.searchsorted(np.array(firsts, np.int64), keys, side="right") - 1
         for p in np.unique(to[to >= 0]).tolist():
             yield parts[p], np.flatnonzero(to == p)

@@ -57,14 +57,14 @@ def responses(model: QualityModel, data: np.ndarray) -> np.ndarray:
 
 def score_texts(model: QualityModel, texts: list[str]) -> np.ndarray:
     data, halves = padded(texts)
-    top = responses(model, data).max(1)
+    found = responses(model, data)
+    # The last place of a chunk's second half would look out of the chunk.
+    second = found[:, :-1].max(1)
+    first = np.maximum(second, found[:, -1])
     ends = np.cumsum(halves)
     starts = ends - halves
-    # The last place of a text's last half would look into the next text.
-    inside = np.ones(len(top), bool)
-    inside[ends - 1] = False
-    chunk = np.maximum(top, np.concatenate((top[1:], top[-1:])))
-    chunk[~inside] = 0
+    chunk = np.maximum(first, np.concatenate((second[1:], second[-1:])))
+    chunk[ends - 1] = 0  # no chunk begins with a text's last half
     mean = np.add.reduceat(chunk, starts, axis=0) / (halves - 1)[:, None]
     most = np.maximum.reduceat(chunk, starts, axis=0)
     z = np.concatenate((mean, most), axis=1) @ model.out + model.out_bias

@@ -153,13 +153,14 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
     if not len(label) or label.min() == label.max():
         return ToxicModel(base_rate=float(label.mean()) if len(label) else 0.0)
     counts = Counter(w for text in texts for w in TOKEN.findall(text.lower()) if w[0] not in ENDS)
-    words = {w: i + 1 for i, w in enumerate(w for w, n in sorted(counts.items(), key=lambda x: (-x[1], x[0])) if n >= 3)}
+    words = {w: i + 1 for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0])))}
+    often = sum(n >= 3 for n in counts.values())
     ids, first, docs, _ = tokens_of(texts, words)
     toxic = label[docs]
     bad = _toxic_words(ids, first, toxic, len(words) + 1)
     bad[0] = False
-    # Keep the toxic words and the commonest others; renumber.
-    keep = np.union1d(np.flatnonzero(bad), np.arange(1, min(vocabulary, len(words)) + 1))
+    # Keep the toxic words and the commonest others, if seen three times; renumber.
+    keep = np.union1d(np.flatnonzero(bad), np.arange(1, min(vocabulary, often) + 1))
     renumber = np.zeros(len(words) + 1, np.int64)
     renumber[keep] = np.arange(1, len(keep) + 1)
     words = {w: int(renumber[i]) for w, i in words.items() if renumber[i]}
