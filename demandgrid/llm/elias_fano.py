@@ -12,16 +12,21 @@ import numpy as np
 ONE = np.uint64(1)
 
 
+# Broadword constants: a byte's worth of each pattern in all eight bytes.
+_1, _0F, _33, _55, _80 = (np.uint64(int(x * 8, 16)) for x in ("01", "0f", "33", "55", "80"))
+#: Place of the r-th set bit of a byte, at 8 * byte + r.
+IN_BYTE = np.array([([i for i in range(8) if b >> i & 1] + [0] * 8)[r] for b in range(256) for r in range(8)], np.uint8)
+
+
 def _select(word: np.ndarray, r: np.ndarray) -> np.ndarray:
-    """Place of the r-th set bit (from 0) of each word, by halving."""
-    word, r, place = word.copy(), r.astype(np.int64), np.zeros(len(word), np.int64)
-    for step in (32, 16, 8, 4, 2, 1):
-        held = np.bitwise_count(word & np.uint64((1 << step) - 1)).astype(np.int64)
-        beyond = r >= held
-        r -= np.where(beyond, held, 0)
-        word = np.where(beyond, word >> np.uint64(step), word)
-        place += np.where(beyond, step, 0)
-    return place
+    """Place of the r-th set bit (from 0) of each word: sums up to each byte name the byte, a table the bit."""
+    r = r.astype(np.uint64)
+    sums = word - ((word >> ONE) & _55)
+    sums = (sums & _33) + ((sums >> np.uint64(2)) & _33)
+    sums = ((sums + (sums >> np.uint64(4))) & _0F) * _1
+    place = np.bitwise_count((((r * _1) | _80) - sums) & _80).astype(np.uint64) * np.uint64(8)
+    before = ((sums << np.uint64(8)) >> place) & np.uint64(255)
+    return (place + IN_BYTE[(((word >> place) & np.uint64(255)) * np.uint64(8) + r - before).astype(np.int64)]).astype(np.int64)
 
 
 @dataclass
@@ -56,6 +61,19 @@ class EliasFano:
         bits = np.asarray(self.upper[word])
         return word * 64 + _select(~bits if flip else bits, k - before[word])
 
+    def _next_zero(self, at: np.ndarray) -> np.ndarray:
+        """Place of the first zero of ``upper`` at or after each place."""
+        word = at >> 6
+        rest = ~self.upper[word] >> (at & 63).astype(np.uint64)
+        found = at + np.bitwise_count(~rest & (rest - ONE))
+        todo = np.flatnonzero(rest == 0)
+        while len(todo):
+            word[todo] += 1
+            rest = ~self.upper[word[todo]]
+            found[todo] = word[todo] * 64 + np.bitwise_count(~rest & (rest - ONE))
+            todo = todo[rest == 0]
+        return found
+
     def _lows(self, i: np.ndarray) -> np.ndarray:
         if not self.width:
             return np.zeros(len(i), np.uint64)
@@ -76,8 +94,9 @@ class EliasFano:
         n_zeros = int(len(self.upper)) * 64 - self.n
         inside = np.flatnonzero((high >= 0) & (high < n_zeros - 1)) if self.n else np.zeros(0, np.int64)
         h, low = high[inside], values[inside] & np.uint64((1 << self.width) - 1)
-        hi = self._nth(h, self.zeros, True) - h
-        lo = np.where(h > 0, self._nth(np.maximum(h - 1, 0), self.zeros, True) - (h - 1), 0)
+        # The run lies between the zero before it and the next zero.
+        at = np.where(h > 0, self._nth(np.maximum(h - 1, 0), self.zeros, True) + 1, 0)
+        lo, hi = at - h, self._next_zero(at) - h
         end = hi.copy()
         while len(lo) and (lo < hi).any():
             mid = (lo + hi) >> 1

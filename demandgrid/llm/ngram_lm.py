@@ -2,7 +2,7 @@
 
 Tokens are the words of a text with A-Z lowered, then one end. Level one is the sorted sequence of word hashes; a word's id is
 its place. Level n is sorted by (context, word), where a context is a node of level n - 1 (a context of level two is a word
-id, or the number of words for the start of a text). It is cut into parts, each a file with: its contexts, a monotone
+id, or the number of words for the start of a text). It is cut into parts, each a file with: a monotone
 pointer per context to its first successor, and the successors' ids made monotone by counting each context's from the last
 of the one before. A word after a context is found by a successor search from the context's base. Counts are kept as
 monotone sums, probabilities and back-off weights as 8-bit codes.
@@ -38,7 +38,8 @@ from demandgrid.llm.elias_fano import EliasFano, load, save
 END = "\n"
 DISCOUNT = 0.75
 ID_BITS = 31
-SLICE_CHARS = 6_000_000
+WORD_MASK = (1 << ID_BITS) - 1
+SLICE_CHARS, SLICE_TOKENS = 6_000_000, 1_000_000
 
 
 # Tokens
@@ -52,12 +53,6 @@ class Tokens:
     hashes: np.ndarray
     counts: np.ndarray
 
-    @property
-    def first(self) -> np.ndarray:
-        mark = np.zeros(len(self.code), bool)
-        mark[(np.cumsum(self.counts) - self.counts)] = True
-        return mark
-
 
 def tokenize(texts: pa.Array) -> Tokens:
     words = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
@@ -103,11 +98,13 @@ class Part:
     first_word: int
     base: int
     n: int
+    contexts: int
     gammas: dict[int, float] = field(default_factory=dict)
 
 
 @dataclass
 class Model:
+    folder: str = ""
     levels: list[list[Part]] = field(default_factory=list)
     tokens: int = 0
     words: int = 0
@@ -138,19 +135,22 @@ class Reader:
         for p in np.unique(to[to >= 0]).tolist():
             yield parts[p], np.flatnonzero(to == p)
 
-    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Id (-1 if unknown), probability and count of each hash."""
-        ids, p = np.full(len(hashes), -1, np.int64), np.full(len(hashes), self.model.unknown)
-        counts = np.zeros(len(hashes), np.int64)
+    def numbers(self, hashes: np.ndarray) -> np.ndarray:
+        """Id of each word hash, -1 if unknown."""
+        ids = np.full(len(hashes), -1, np.int64)
         for part, rows in self._routed(1, hashes, [q.first_word for q in self.model.levels[0]] if self.model.levels else []):
-            f = self._file(part)
-            at = f["keys"].find((hashes[rows] - np.int64(part.first_word)).view(np.uint64))
-            hit = at >= 0
-            at, rows = at[hit], rows[hit]
-            ids[rows] = part.base + at
+            at = self._file(part)["keys"].find((hashes[rows] - np.int64(part.first_word)).view(np.uint64))
+            ids[rows] = np.where(at >= 0, part.base + at, -1)
+        return ids
+
+    def by_number(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probability and count of words by id; those of unknown words for -1."""
+        p, counts = np.full(len(ids), self.model.unknown), np.zeros(len(ids), np.int64)
+        for part, rows in self._routed(1, ids, [q.base for q in self.model.levels[0]] if self.model.levels else []):
+            f, at = self._file(part), ids[rows] - part.base
             p[rows] = f["book"][f["codes"][at]]
             counts[rows] = (f["sums"].get(at + 1) - f["sums"].get(at)).astype(np.int64)
-        return ids, p, counts
+        return p, counts
 
     def count(self, level: int, nodes: np.ndarray) -> np.ndarray:
         """Counts of nodes of a level."""
@@ -163,21 +163,25 @@ class Reader:
             found[rows] = (sums.get(at + 1) - sums.get(at)).astype(np.int64)
         return found
 
-    def successors(self, level: int, contexts: np.ndarray, words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Node (-1 if there is none) and discounted probability of each word after its context."""
-        nodes, p = np.full(len(words), -1, np.int64), np.zeros(len(words))
+    def successors(self, level: int, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Node (-1 if there is none) and discounted probability of each (context, word), keys in increasing order."""
+        nodes, p = np.full(len(keys), -1, np.int64), np.zeros(len(keys))
         firsts = [q.first_context << ID_BITS | q.first_word for q in self.model.levels[level - 1]]
-        for part, rows in self._routed(level, contexts << ID_BITS | words, firsts):
+        for part, rows in self._routed(level, keys, firsts):
             f = self._file(part)
-            distinct, which = np.unique(contexts[rows], return_inverse=True)
-            at = f["contexts"].find((distinct - part.first_context).view(np.uint64))
-            begin = f["pointers"].get(np.maximum(at, 0)).astype(np.int64)
+            context, word = (keys[rows] >> ID_BITS) - part.first_context, keys[rows] & WORD_MASK
+            inside = context < part.contexts
+            rows, context, word = rows[inside], context[inside], word[inside]
+            if not len(rows):
+                continue
+            new = np.concatenate(([True], context[1:] != context[:-1]))
+            distinct, which = context[new], np.cumsum(new) - 1
+            begin, stop = f["pointers"].get(distinct).astype(np.int64), f["pointers"].get(distinct + 1).astype(np.int64)
             base = np.where(begin > 0, f["successors"].get(np.maximum(begin - 1, 0)).astype(np.int64) + 1, 0)
-            stop = f["pointers"].get(np.maximum(at, 0) + 1).astype(np.int64)
-            last = f["successors"].get(np.maximum(stop - 1, 0)).astype(np.int64)
-            target = base[which] + words[rows]
-            # Beyond the context's last successor the numbers belong to the next context.
-            there = np.flatnonzero((at[which] >= 0) & (target <= last[which]))
+            # Beyond a context's last successor the numbers belong to the next context.
+            last = np.where(stop > begin, f["successors"].get(np.maximum(stop - 1, 0)).astype(np.int64), -1)
+            target = base[which] + word
+            there = np.flatnonzero(target <= last[which])
             spot = f["successors"].find(target[there].view(np.uint64))
             there, spot = there[spot >= 0], spot[spot >= 0]
             nodes[rows[there]] = part.base + spot
@@ -188,53 +192,54 @@ class Reader:
         """Weight of the shorter context; 1 for a context without successors."""
         gamma = np.ones(len(contexts))
         firsts = [q.first_context << ID_BITS | q.first_word for q in self.model.levels[level - 1]]
-        for part, rows in self._routed(level, contexts << ID_BITS | ((1 << ID_BITS) - 1), firsts):
+        for part, rows in self._routed(level, contexts << ID_BITS | WORD_MASK, firsts):
             f = self._file(part)
-            at = f["contexts"].find((contexts[rows] - part.first_context).view(np.uint64))
-            hit = at >= 0
-            gamma[rows[hit]] = f["gamma_book"][f["gamma_codes"][at[hit]]]
+            at = contexts[rows] - part.first_context
+            rows, at = rows[at < part.contexts], at[at < part.contexts]
+            gamma[rows] = f["gamma_book"][f["gamma_codes"][at]]
             for context, value in part.gammas.items():
-                gamma[rows[contexts[rows] == context]] = value
+                gamma[rows[at == context - part.first_context]] = value
         return gamma
 
 
-def walk(reader: Reader, tokens: Tokens, top: int):
-    """Level by level: ``n``, context and word of each token, its node (-1 for none), and the probability so far."""
-    ids, p, counts = reader.words(tokens.hashes)
-    word, prob = ids[tokens.code], p[tokens.code]
-    node, first = word, tokens.first
-    yield 1, None, word, node, prob, counts[tokens.code]
+def walk(reader: Reader, numbers: np.ndarray, first: np.ndarray, top: int):
+    """Level by level, for each token: context, node (-1 for none), probability so far; at level one counts for contexts."""
+    model = reader.model
+    some, which = np.unique(numbers, return_inverse=True)
+    p, counts = reader.by_number(some)
+    word, node, prob = numbers.astype(np.int64), numbers.astype(np.int64), p[which]
+    yield 1, counts[which], node, prob
+    kept = word >= 0
     for n in range(2, top + 1):
         context = np.full(len(word), -1, np.int64)
         context[1:] = node[:-1]
-        context[first] = reader.model.words if n == 2 else -1
-        if n > len(reader.model.levels):
-            yield n, context, word, None, prob, None
-            return
+        context[first] = model.words if n == 2 else -1
         node = np.full(len(word), -1, np.int64)
-        has = np.flatnonzero(context >= 0)
-        some, which = np.unique(context[has], return_inverse=True)
-        prob = prob.copy()
-        gamma = reader.back_off(n, some)[which]
-        own = np.zeros(len(has))
-        known = np.flatnonzero((word[has] >= 0) & (gamma < 1))
-        keys, back = np.unique(context[has[known]] << ID_BITS | word[has[known]], return_inverse=True)
-        found, alpha = reader.successors(n, keys >> ID_BITS, keys & ((1 << ID_BITS) - 1))
-        node[has[known]], own[known] = found[back], alpha[back]
-        prob[has] = own + gamma * prob[has]
-        yield n, context, word, node, prob, None
+        if n <= len(model.levels):
+            has = np.flatnonzero(context >= 0)
+            gamma = reader.back_off(n, context[has])
+            own = np.zeros(len(has))
+            # An n-gram is kept only if its last n - 1 words are.
+            known = np.flatnonzero(kept[has] & (gamma < 1))
+            keys, back = np.unique(context[has[known]] << ID_BITS | word[has[known]], return_inverse=True)
+            found, alpha = reader.successors(n, keys)
+            node[has[known]], own[known] = found[back], alpha[back]
+            prob = prob.copy()
+            prob[has] = own + gamma * prob[has]
+        yield n, context, node, prob
+        kept = node >= 0
 
 
 # Building
 
 
-def _book(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """At most 256 means of equally many neighbouring values, and each value's code."""
+def _book(values: np.ndarray, most: int = 256) -> tuple[np.ndarray, np.ndarray]:
+    """At most ``most`` means of equally many neighbouring values, and each value's code."""
     distinct = np.unique(values)
-    if len(distinct) <= 256:
+    if len(distinct) <= most:
         return distinct, np.searchsorted(distinct, values).astype(np.uint8)
     logs = np.log(np.sort(values))
-    book = np.unique(np.exp([c.mean() for c in np.array_split(logs, 256) if len(c)]))
+    book = np.unique(np.exp([c.mean() for c in np.array_split(logs, most) if len(c)]))
     return book, np.searchsorted((book[1:] + book[:-1]) / 2, values).astype(np.uint8)
 
 
@@ -282,7 +287,7 @@ def _write_level(folder: str, model: Model, level: int):
         if not columns:
             return
         keys, n = columns
-        context, word = keys >> ID_BITS, keys & ((1 << ID_BITS) - 1)
+        context, word = keys >> ID_BITS, keys & WORD_MASK
         begins = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
         some, ends = context[begins], np.append(begins[1:], len(keys))
         times = np.full(len(some), model.texts, np.int64)
@@ -295,12 +300,17 @@ def _write_level(folder: str, model: Model, level: int):
         lasts = word[ends - 1] + 1
         base = np.repeat(np.cumsum(lasts) - lasts, sizes)
         book, codes = _book(alpha)
-        gamma_book, gamma_codes = _book(gamma)
+        # Pointers and weights for all contexts from the first to the last; code 0 is that of a context without successors.
+        spots = some - some[0]
+        held, gamma_codes = np.zeros(int(spots[-1]) + 1, np.int64), np.zeros(int(spots[-1]) + 1, np.uint8)
+        held[spots] = sizes
+        gamma_book, used = _book(gamma, 255)
+        gamma_codes[spots] = used + 1
         path = os.path.join(folder, f"level{level}-{int(keys[0]):020d}")
         save(
-            path, contexts=EliasFano.of((some - some[0]).view(np.uint64)), pointers=EliasFano.of(np.append(begins, len(keys))),
-            successors=EliasFano.of((base + word).view(np.uint64)), sums=EliasFano.of(np.concatenate(([0], np.cumsum(n)))),
-            book=book, codes=codes, gamma_book=gamma_book, gamma_codes=gamma_codes,
+            path, pointers=EliasFano.of(np.concatenate(([0], np.cumsum(held)))), successors=EliasFano.of((base + word).view(np.uint64)),
+            sums=EliasFano.of(np.concatenate(([0], np.cumsum(n)))), book=book, codes=codes,
+            gamma_book=np.concatenate(([1.0], gamma_book)), gamma_codes=gamma_codes,
         )
         edge = [int(v) for k in (0, -1) for v in (kept[k], sizes[k], times[k])]
         yield _manifest(path, int(some[0]), int(word[0]), int(some[-1]), len(keys), *edge)
@@ -313,7 +323,7 @@ def _parts(rows: list) -> list[Part]:
     rows = sorted(rows, key=lambda r: (r["first_context"], r["first_word"]))
     parts, base, shared = [], 0, {}
     for r in rows:
-        parts.append(Part(r["path"], r["first_context"], r["first_word"], base, r["n"]))
+        parts.append(Part(r["path"], r["first_context"], r["first_word"], base, r["n"], r["last_context"] - r["first_context"] + 1))
         base += r["n"]
         edges = {(r["first_context"], "head"), (r["last_context"], "tail")}
         if r["first_context"] == r["last_context"]:
@@ -337,26 +347,69 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(t.hashes), pa.array(np.bincount(t.code, minlength=len(t.hashes)))], ["hash", "n"])
 
 
-def _count_level(model: Model, level: int, least: int):
-    """Count (context, word) of a level; of words and contexts that can't reach the least count nothing is sent."""
+def _numbered(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows of a batch in slices: from, to, ids of all their tokens, and each text's number of tokens."""
+    column = batch.column("ids")
+    n = pc.binary_length(column).to_numpy(zero_copy_only=False).astype(np.int64) // 4
+    ends = np.cumsum(n)
+    start = 0
+    while start < len(column):
+        done = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, done + SLICE_TOKENS, side="right")))
+        yield start, stop, np.frombuffer(b"".join(column.slice(start, stop - start).to_pylist()), "<i4"), n[start:stop]
+        start = stop
+
+
+def _first(counts: np.ndarray) -> np.ndarray:
+    mark = np.zeros(int(counts.sum()), bool)
+    mark[np.cumsum(counts) - counts] = True
+    return mark
+
 
+def _number(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = model.reader()
         for batch in batches:
-            texts, found, sums = batch.column("text"), [], []
+            texts, blobs = batch.column("text"), []
             for lo, hi in slices(texts):
                 t = tokenize(texts.slice(lo, hi - lo))
-                often = None
-                for n, context, word, _, _, counts in walk(reader, t, level):
-                    often = counts >= least if n == 1 else often
-                use = (context >= 0) & (word >= 0) & often
+                ids = reader.numbers(t.hashes)[t.code].astype("<i4")
+                ends = np.cumsum(t.counts).tolist()
+                blobs += [ids[a:b].tobytes() for a, b in zip([0, *ends], ends, strict=False)]
+            names = [c for c in batch.schema.names if c != "text"]
+            yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + [pa.array(blobs, pa.binary())], [*names, "ids"])
+
+    return run
+
+
+def _count_level(model: Model, level: int, least: int):
+    """Count (context, word) of a level. An n-gram can't reach the least count if a shorter one in it doesn't: of those with
+    a first or last part that wasn't kept nothing is sent."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        reader = model.reader()
+        for batch in batches:
+            found, sums = [], []
+            for _, _, ids, counts in _numbered(batch):
+                word, first = ids.astype(np.int64), _first(counts)
+                for n, head, node, _ in walk(reader, ids, first, level - 1):
+                    kept = head >= least if n == 1 else node >= 0
+                context = np.full(len(word), -1, np.int64)
+                context[1:] = node[:-1]
+                context[first] = model.words if level == 2 else -1
+                use = (context >= 0) & kept
                 if level == 2:
-                    use[1:] &= often[:-1] | t.first[1:]
+                    use[1:] &= kept[:-1] | first[1:]
                 keys, many = np.unique(context[use] << ID_BITS | word[use], return_counts=True)
                 found.append(keys)
                 sums.append(many)
-            keys, which = np.unique(np.concatenate(found), return_inverse=True) if found else (np.zeros(0, np.int64), [])
-            many = np.bincount(which, np.concatenate(sums), len(keys)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
+            if not found:
+                continue
+            keys, many = np.concatenate(found), np.concatenate(sums)
+            order = np.argsort(keys, kind="stable")
+            keys, many = keys[order], many[order]
+            new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
+            keys, many = keys[new], np.add.reduceat(many, new) if len(new) else many
             for lo in range(0, len(keys), 200_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + 200_000]), pa.array(many[lo : lo + 200_000])], ["key", "n"])
 
@@ -373,18 +426,18 @@ def _folder(df: DataFrame) -> str:
     return path
 
 
-def train(texts: DataFrame, order: int = 3, min_count: int = 2) -> Model:
-    """From the column ``text``: all words, and the n-grams of up to ``order`` words with at least ``min_count`` places."""
+def train_words(texts: DataFrame) -> Model:
+    """Level one from the column ``text``: all words."""
     texts = texts.select(clean_text().alias("text"))
     folder, parts = _folder(texts), int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     counted = texts.mapInArrow(_count_words, "hash bigint, n bigint").repartition(parts, "hash")
     words = materialize(counted.groupBy("hash").agg(F.sum("n").alias("n")), "lm-words")
     once = F.sum((F.col("n") == 1).cast("bigint"))
     all_of = words.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(once, F.lit(0)).alias("once")).first()
-    model = Model([], all_of["tokens"], all_of["words"])
+    model = Model(folder, [], all_of["tokens"], all_of["words"])
     if not model.words:
         return model
-    if model.words >= (1 << ID_BITS) - 1:
+    if model.words >= WORD_MASK:
         raise ValueError(f"{model.words} words do not fit ids of {ID_BITS} bits")
     # Discounting each word by the share of words seen once leaves unknown words the share of tokens that are such words.
     discount = min(0.9, max(0.01, all_of["once"] / model.words))
@@ -393,16 +446,39 @@ def train(texts: DataFrame, order: int = 3, min_count: int = 2) -> Model:
     model.texts = words.where(F.col("hash") == end).first()["n"]
     rows = words.repartitionByRange(parts, "hash").sortWithinPartitions("hash").mapInArrow(_write_words(folder, model.tokens, discount), MANIFEST_DDL)
     model.levels.append(_parts(rows.collect()))  # one row per part, as below
+    return model
+
+
+def number_words(docs: DataFrame, model: Model) -> DataFrame:
+    """``text`` becomes ``ids``: the word ids of its tokens (-1 for unknown words), four bytes each. Written, because each level
+    and the scoring read it."""
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
+    rows = docs.withColumn("text", clean_text()).mapInArrow(_number(model), ", ".join([*kept, "ids binary"]))
+    return materialize(rows, "lm-numbered")
+
+
+def train_levels(numbered: DataFrame, model: Model, order: int = 3, min_count: int = 2) -> Model:
+    """Add levels two to ``order`` from the column ``ids``: n-grams with at least ``min_count`` places."""
+    parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for level in range(2, order + 1):
-        counted = texts.mapInArrow(_count_level(model, level, min_count), "key bigint, n bigint").repartition(parts, "key")
+        if not model.levels or sum(p.n for p in model.levels[-1]) >= 1 << (62 - ID_BITS):
+            break
+        counted = numbered.select("ids").mapInArrow(_count_level(model, level, min_count), "key bigint, n bigint").repartition(parts, "key")
         kept = materialize(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), f"lm-{level}")
-        rows = kept.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(_write_level(folder, model, level), MANIFEST_DDL)
-        model.levels.append(_parts(rows.collect()))
-        if not model.levels[-1] or sum(p.n for p in model.levels[-1]) >= 1 << (62 - ID_BITS):
+        rows = kept.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(_write_level(model.folder, model, level), MANIFEST_DDL)
+        parts_of = _parts(rows.collect())
+        if not parts_of:
             break
+        model.levels.append(parts_of)
     return model
 
 
+def train(texts: DataFrame, order: int = 3, min_count: int = 2) -> Model:
+    """A model of the column ``text``."""
+    model = train_words(texts)
+    return train_levels(number_words(texts.select("text"), model), model, order, min_count) if order > 1 and model.levels else model
+
+
 # Scoring
 
 
@@ -411,28 +487,31 @@ def _score(model: Model):
         reader = model.reader()
         floor = 0.5 / (model.tokens + 0.5 * (model.words + 1))
         for batch in batches:
-            texts = batch.column("text")
             out = [[], [], [], []]
-            for lo, hi in slices(texts):
-                t = tokenize(texts.slice(lo, hi - lo))
-                begin = np.cumsum(t.counts) - t.counts
-                for n, _, word, _, prob, counts in walk(reader, t, max(1, len(model.levels))):
+            for _, _, ids, n_tokens in _numbered(batch):
+                begin = np.cumsum(n_tokens) - n_tokens
+                for n, counts, _, prob in walk(reader, ids, _first(n_tokens), max(1, len(model.levels))):
                     if n == 1:
-                        known, base = word >= 0, np.log10((counts + 0.5) * 2 * floor)
-                out[0].append(t.counts)
-                out[1].append(np.add.reduceat(known.astype(np.int64), begin))
+                        base = np.log10((counts + 0.5) * 2 * floor)
+                out[0].append(n_tokens)
+                out[1].append(np.add.reduceat((ids >= 0).astype(np.int64), begin))
                 out[2].append(np.add.reduceat(base, begin))
                 out[3].append(np.add.reduceat(np.log10(prob), begin))
             if out[0]:
                 columns = [pa.array(np.concatenate(c)) for c in out]
-                names = [c for c in batch.schema.names if c != "text"]
+                names = [c for c in batch.schema.names if c != "ids"]
                 yield pa.RecordBatch.from_arrays([batch.column(c) for c in names] + columns, [*names, "n_tokens", "n_known", "base_score", "score"])
 
     return run
 
 
-def score_texts(docs: DataFrame, model: Model) -> DataFrame:
-    """The other columns of ``docs`` with ``n_tokens, n_known, base_score, score`` (log10) and ``train_tokens``."""
-    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
+def score_numbered(numbered: DataFrame, model: Model) -> DataFrame:
+    """The other columns with ``n_tokens, n_known, base_score, score`` (log10) and ``train_tokens``."""
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema if f.name != "ids"]
     schema = ", ".join([*kept, "n_tokens bigint, n_known bigint, base_score double, score double"])
-    return docs.mapInArrow(_score(model), schema).withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
+    return numbered.mapInArrow(_score(model), schema).withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))
+
+
+def score_texts(docs: DataFrame, model: Model) -> DataFrame:
+    """``score_numbered`` for documents with ``text``."""
+    return score_numbered(number_words(docs, model), model)

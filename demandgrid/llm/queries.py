@@ -23,7 +23,9 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out(*MODEL_HELD).alias("held_out"), "text")
-    return ngram_lm.score_texts(docs, ngram_lm.train(docs.where("not held_out")))
+    model = ngram_lm.train_words(docs.where("not held_out"))
+    numbered = ngram_lm.number_words(docs, model)
+    return ngram_lm.score_numbered(numbered, ngram_lm.train_levels(numbered.where("not held_out"), model))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
