@@ -11,7 +11,7 @@ Smoothing: absolute discounting, interpolated, with counts before pruning: of an
 times, (c - d) / t; the rest of the context's mass goes to the shorter context. N-grams of two words and more with a count
 below ``min_count`` are not kept (their mass is part of that rest). Words with unknown hash share the mass of words seen once.
 
-Building: n-grams are counted per batch, summed by Spark and dealt into parts by ranges of (context, word), so a hot context
+Building: n-grams are counted per batch, dealt by hashed key, summed over all batches, and put into parts by ranges of (context, word), so a hot context
 is spread over parts; the driver gets one row per part. Files go to the shared scratch folder, which must be reachable as a
 path on all machines; a part is written under another name and moved, so a repeated task does no harm.
 
@@ -24,6 +24,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -127,16 +128,17 @@ class Reader:
             self.open[part.path] = load(part.path)
         return self.open[part.path]
 
-    def _routed(self, level: int, keys: np.ndarray, firsts: list[int]) -> Iterator[tuple[Part, np.ndarray]]:
+    def _routed(self, level: int, keys: np.ndarray, firsts: list[int]) -> Iterator[tuple[Part, slice]]:
+        """The parts that increasing keys belong to, with the stretch of keys of each."""
         if level > len(self.model.levels) or not len(keys):
             return
-        parts = self.model.levels[level - 1]
-        to = np.searchsorted(np.array(firsts, np.int64), keys, side="right") - 1
-        for p in np.unique(to[to >= 0]).tolist():
-            yield parts[p], np.flatnonzero(to == p)
+        cuts = [*np.searchsorted(keys, np.array(firsts, np.int64)).tolist(), len(keys)]
+        for part, lo, hi in zip(self.model.levels[level - 1], cuts, cuts[1:], strict=False):
+            if lo < hi:
+                yield part, slice(lo, hi)
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
-        """Id of each word hash, -1 if unknown."""
+        """Id of each word hash (increasing), -1 if unknown."""
         ids = np.full(len(hashes), -1, np.int64)
         for part, rows in self._routed(1, hashes, [q.first_word for q in self.model.levels[0]] if self.model.levels else []):
             at = self._file(part)["keys"].find((hashes[rows] - np.int64(part.first_word)).view(np.uint64))
@@ -144,7 +146,7 @@ class Reader:
         return ids
 
     def by_number(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probability and count of words by id; those of unknown words for -1."""
+        """Probability and count of words by id (increasing); those of unknown words for -1."""
         p, counts = np.full(len(ids), self.model.unknown), np.zeros(len(ids), np.int64)
         for part, rows in self._routed(1, ids, [q.base for q in self.model.levels[0]] if self.model.levels else []):
             f, at = self._file(part), ids[rows] - part.base
@@ -153,13 +155,10 @@ class Reader:
         return p, counts
 
     def count(self, level: int, nodes: np.ndarray) -> np.ndarray:
-        """Counts of nodes of a level."""
-        parts, found = self.model.levels[level - 1], np.zeros(len(nodes), np.int64)
-        bases = np.array([p.base for p in parts], np.int64)
-        to = np.searchsorted(bases, nodes, side="right") - 1
-        for k in np.unique(to).tolist():
-            rows = np.flatnonzero(to == k)
-            sums, at = self._file(parts[k])["sums"], nodes[rows] - parts[k].base
+        """Counts of nodes of a level, in increasing order."""
+        found = np.zeros(len(nodes), np.int64)
+        for part, rows in self._routed(level, nodes, [q.base for q in self.model.levels[level - 1]]):
+            sums, at = self._file(part)["sums"], nodes[rows] - part.base
             found[rows] = (sums.get(at + 1) - sums.get(at)).astype(np.int64)
         return found
 
@@ -170,9 +169,9 @@ class Reader:
         for part, rows in self._routed(level, keys, firsts):
             f = self._file(part)
             context, word = (keys[rows] >> ID_BITS) - part.first_context, keys[rows] & WORD_MASK
-            inside = context < part.contexts
-            rows, context, word = rows[inside], context[inside], word[inside]
-            if not len(rows):
+            inside = int(np.searchsorted(context, part.contexts))
+            context, word = context[:inside], word[:inside]
+            if not inside:
                 continue
             new = np.concatenate(([True], context[1:] != context[:-1]))
             distinct, which = context[new], np.cumsum(new) - 1
@@ -183,49 +182,63 @@ class Reader:
             target = base[which] + word
             there = np.flatnonzero(target <= last[which])
             spot = f["successors"].find(target[there].view(np.uint64))
-            there, spot = there[spot >= 0], spot[spot >= 0]
-            nodes[rows[there]] = part.base + spot
-            p[rows[there]] = f["book"][f["codes"][spot]]
+            there, spot = there[spot >= 0] + rows.start, spot[spot >= 0]
+            nodes[there] = part.base + spot
+            p[there] = f["book"][f["codes"][spot]]
         return nodes, p
 
     def back_off(self, level: int, contexts: np.ndarray) -> np.ndarray:
-        """Weight of the shorter context; 1 for a context without successors."""
+        """Weight of the shorter context, for increasing contexts; 1 for one without successors."""
         gamma = np.ones(len(contexts))
-        firsts = [q.first_context << ID_BITS | q.first_word for q in self.model.levels[level - 1]]
+        firsts = [q.first_context << ID_BITS | q.first_word for q in self.model.levels[level - 1]] if level <= len(self.model.levels) else []
         for part, rows in self._routed(level, contexts << ID_BITS | WORD_MASK, firsts):
             f = self._file(part)
             at = contexts[rows] - part.first_context
-            rows, at = rows[at < part.contexts], at[at < part.contexts]
-            gamma[rows] = f["gamma_book"][f["gamma_codes"][at]]
+            at = at[: int(np.searchsorted(at, part.contexts))]
+            gamma[rows.start : rows.start + len(at)] = f["gamma_book"][f["gamma_codes"][at]]
             for context, value in part.gammas.items():
-                gamma[rows[at == context - part.first_context]] = value
+                lo, hi = np.searchsorted(at, [context - part.first_context, context - part.first_context + 1])
+                gamma[rows.start + lo : rows.start + hi] = value
         return gamma
 
 
+def _weights(reader: Reader, level: int, nodes: np.ndarray) -> np.ndarray:
+    """Back-off weights of nodes as contexts of a level; nodes increase but for -1 in between, which weigh 1."""
+    gamma, real = np.ones(len(nodes)), np.flatnonzero(nodes >= 0)
+    gamma[real] = reader.back_off(level, nodes[real])
+    return gamma
+
+
 def walk(reader: Reader, numbers: np.ndarray, first: np.ndarray, top: int):
-    """Level by level, for each token: context, node (-1 for none), probability so far; at level one counts for contexts."""
+    """Level by level, for each token: its node (-1 for none) and the probability so far; at level one also counts.
+
+    Look-ups are made for distinct keys in order; ``weight`` is that of a token's node as a context of the next level.
+    """
     model = reader.model
     some, which = np.unique(numbers, return_inverse=True)
     p, counts = reader.by_number(some)
-    word, node, prob = numbers.astype(np.int64), numbers.astype(np.int64), p[which]
+    word = node = numbers.astype(np.int64)
+    prob = p[which]
     yield 1, counts[which], node, prob
-    kept = word >= 0
+    if top == 1:
+        return
+    weight, kept = _weights(reader, 2, some.astype(np.int64))[which], word >= 0
+    start = reader.back_off(2, np.array([model.words]))[0] if model.levels else 1.0
     for n in range(2, top + 1):
-        context = np.full(len(word), -1, np.int64)
-        context[1:] = node[:-1]
-        context[first] = model.words if n == 2 else -1
-        node = np.full(len(word), -1, np.int64)
-        if n <= len(model.levels):
-            has = np.flatnonzero(context >= 0)
-            gamma = reader.back_off(n, context[has])
-            own = np.zeros(len(has))
-            # An n-gram is kept only if its last n - 1 words are.
-            known = np.flatnonzero(kept[has] & (gamma < 1))
-            keys, back = np.unique(context[has[known]] << ID_BITS | word[has[known]], return_inverse=True)
+        context, gamma = np.empty(len(word), np.int64), np.empty(len(word))
+        context[1:], gamma[1:] = node[:-1], weight[:-1]
+        context[first], gamma[first] = (model.words, start) if n == 2 else (-1, 1.0)
+        node, weight = np.full(len(word), -1, np.int64), np.ones(len(word))
+        # An n-gram is kept only if its first and its last n - 1 words are.
+        known = np.flatnonzero(kept & (gamma < 1))
+        prob = prob * gamma
+        if n <= len(model.levels) and len(known):
+            keys, back = np.unique(context[known] << ID_BITS | word[known], return_inverse=True)
             found, alpha = reader.successors(n, keys)
-            node[has[known]], own[known] = found[back], alpha[back]
-            prob = prob.copy()
-            prob[has] = own + gamma * prob[has]
+            node[known] = found[back]
+            prob[known] += alpha[back]
+            if n < top:
+                weight[known] = _weights(reader, n + 1, found)[back]
         yield n, context, node, prob
         kept = node >= 0
 
@@ -339,12 +352,80 @@ def _parts(rows: list) -> list[Part]:
     return parts
 
 
-def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = batch.column("text")
-        for lo, hi in slices(texts):
-            t = tokenize(texts.slice(lo, hi - lo))
-            yield pa.RecordBatch.from_arrays([pa.array(t.hashes), pa.array(np.bincount(t.code, minlength=len(t.hashes)))], ["hash", "n"])
+BLOB = "bucket int, keys binary, counts binary"
+BUCKETS = 4  # to a partition
+
+
+def _dealt(keys: np.ndarray, many: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Increasing keys and their counts, a row per bucket of hashed keys: bytes of their steps, and of the counts."""
+    mixed = (keys.view(np.uint64) ^ (keys.view(np.uint64) >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
+    bucket = ((mixed >> np.uint64(32)) % np.uint64(buckets)).astype(np.uint16)
+    order = np.argsort(bucket, kind="stable")
+    ends = np.searchsorted(bucket[order], np.arange(buckets + 1)).tolist()
+    keys, many = keys[order], many[order].astype("<i8")
+    rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)) if lo < hi]
+    steps = [np.diff(keys[lo:hi], prepend=0).astype("<i8").tobytes() for _, lo, hi in rows]
+    counts = [many[lo:hi].tobytes() if many[lo:hi].max() > 255 else many[lo:hi].astype("u1").tobytes() for _, lo, hi in rows]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "keys", "counts"])
+
+
+def _summed(keys: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys in order, with the sums of their counts."""
+    if not len(keys):
+        return keys, many
+    order = np.argsort(keys, kind="stable")
+    keys, many = keys[order], many[order]
+    new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+    return keys[new], np.add.reduceat(many, new)
+
+
+def _merge(least: int, name: str):
+    """Sums over all batches, bucket by bucket (rows come in their order): keys with at least ``least`` places."""
+
+    def rows(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        keys, many = [], []
+        for k, c in held:
+            steps = np.frombuffer(k, "<i8")
+            keys.append(np.cumsum(steps))
+            many.append(np.frombuffer(c, "u1" if len(c) == len(steps) else "<i8").astype(np.int64))
+        keys, many = _summed(np.concatenate(keys), np.concatenate(many))
+        keys, many = keys[many >= least], many[many >= least]
+        yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(many)], [name, "n"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for bucket, k, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if held and bucket != now:
+                    yield from rows(held)
+                    held = []
+                now = bucket
+                held.append((k, c))
+        if held:
+            yield from rows(held)
+
+    return run
+
+
+def _counted(df: DataFrame, count, least: int, name: str) -> DataFrame:
+    """``name, n``: keys with their sums. Batches send their sums packed, a few rows each, and a task merges its buckets."""
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = df.mapInArrow(count(min(60_000, BUCKETS * parts)), BLOB).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    return dealt.mapInArrow(_merge(least, name), f"{name} bigint, n bigint")
+
+
+def _count_words(buckets: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts, keys, many = batch.column("text"), [], []
+            for lo, hi in slices(texts):
+                t = tokenize(texts.slice(lo, hi - lo))
+                keys.append(t.hashes)
+                many.append(np.bincount(t.code, minlength=len(t.hashes)))
+            if keys:
+                yield _dealt(*_summed(np.concatenate(keys), np.concatenate(many)), buckets)
+
+    return run
 
 
 def _numbered(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
@@ -382,7 +463,7 @@ def _number(model: Model):
     return run
 
 
-def _count_level(model: Model, level: int, least: int):
+def _count_level(model: Model, level: int, least: int, buckets: int):
     """Count (context, word) of a level. An n-gram can't reach the least count if a shorter one in it doesn't: of those with
     a first or last part that wasn't kept nothing is sent."""
 
@@ -403,15 +484,8 @@ def _count_level(model: Model, level: int, least: int):
                 keys, many = np.unique(context[use] << ID_BITS | word[use], return_counts=True)
                 found.append(keys)
                 sums.append(many)
-            if not found:
-                continue
-            keys, many = np.concatenate(found), np.concatenate(sums)
-            order = np.argsort(keys, kind="stable")
-            keys, many = keys[order], many[order]
-            new = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
-            keys, many = keys[new], np.add.reduceat(many, new) if len(new) else many
-            for lo in range(0, len(keys), 200_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[lo : lo + 200_000]), pa.array(many[lo : lo + 200_000])], ["key", "n"])
+            if found:
+                yield _dealt(*_summed(np.concatenate(found), np.concatenate(sums)), buckets)
 
     return run
 
@@ -430,8 +504,7 @@ def train_words(texts: DataFrame) -> Model:
     """Level one from the column ``text``: all words."""
     texts = texts.select(clean_text().alias("text"))
     folder, parts = _folder(texts), int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counted = texts.mapInArrow(_count_words, "hash bigint, n bigint").repartition(parts, "hash")
-    words = materialize(counted.groupBy("hash").agg(F.sum("n").alias("n")), "lm-words")
+    words = materialize(_counted(texts, _count_words, 1, "hash"), "lm-words")
     once = F.sum((F.col("n") == 1).cast("bigint"))
     all_of = words.agg(F.count("*").alias("words"), F.coalesce(F.sum("n"), F.lit(0)).alias("tokens"), F.coalesce(once, F.lit(0)).alias("once")).first()
     model = Model(folder, [], all_of["tokens"], all_of["words"])
@@ -463,8 +536,8 @@ def train_levels(numbered: DataFrame, model: Model, order: int = 3, min_count: i
     for level in range(2, order + 1):
         if not model.levels or sum(p.n for p in model.levels[-1]) >= 1 << (62 - ID_BITS):
             break
-        counted = numbered.select("ids").mapInArrow(_count_level(model, level, min_count), "key bigint, n bigint").repartition(parts, "key")
-        kept = materialize(counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= min_count), f"lm-{level}")
+        count = partial(_count_level, model, level, min_count)
+        kept = materialize(_counted(numbered.select("ids"), count, min_count, "key"), f"lm-{level}")
         rows = kept.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(_write_level(model.folder, model, level), MANIFEST_DDL)
         parts_of = _parts(rows.collect())
         if not parts_of:
