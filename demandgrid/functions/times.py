@@ -8,6 +8,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 HOUR = timedelta(hours=1)
+EPOCH = datetime(1970, 1, 1)
 # 52 weeks, not a calendar year: the shift keeps the weekday.
 REPLAY_SHIFT = timedelta(weeks=52)
 
@@ -45,7 +46,9 @@ def interval(delta: timedelta) -> Column:
 
 
 def floor_hour(ts: Column) -> Column:
-    return F.date_trunc("hour", ts).cast("timestamp_ntz")
+    """Start of the hour of a wall time. Minutes and seconds are taken off, so no zone has a say."""
+    ts = ts.cast("timestamp_ntz")
+    return ts - F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.extract(F.lit("SECOND"), ts))
 
 
 def ceil_hour(ts: Column) -> Column:
@@ -58,12 +61,25 @@ def next_hour_of(ts: Column) -> Column:
 
 
 def month_of(ts: Column) -> Column:
-    return F.date_trunc("month", ts).cast("timestamp_ntz")
+    zero = F.lit(0)
+    return F.try_make_timestamp_ntz(F.year(ts), F.month(ts), F.lit(1), zero, zero, zero)
 
 
-def drop_zone(ts: Column) -> Column:
-    """Zoned instant to wall time of the (UTC) session."""
-    return ts.cast("timestamp_ntz")
+def utc_instant(ts: Column) -> Column:
+    """The instant of a UTC wall time, whatever the session's zone."""
+    since = ts - ntz(EPOCH)  # an interval; the functions that count microseconds go through the session's zone
+    days, hours, minutes = (F.extract(F.lit(f), since).cast("bigint") for f in ("DAY", "HOUR", "MINUTE"))
+    micros = (F.extract(F.lit("SECOND"), since) * 1_000_000).cast("bigint")
+    return F.timestamp_micros(((days * 24 + hours) * 60 + minutes) * 60_000_000 + micros)
+
+
+def drop_zone(instant: Column) -> Column:
+    """UTC wall time of an instant, whatever the session's zone."""
+    micros = F.unix_micros(instant)
+    day = 86_400_000_000
+    days = F.floor(micros / F.lit(day).cast("decimal(12,0)")).cast("int")
+    seconds = (micros - days.cast("bigint") * day).cast("decimal(18,0)") / F.lit(1_000_000).cast("decimal(8,0)")
+    return ntz(EPOCH) + F.make_dt_interval(days, F.lit(0), F.lit(0), seconds.cast("decimal(18,6)"))
 
 
 def wall_time(ts: Column, zone: str = "America/New_York", source_zone: str = "UTC") -> Column:
@@ -73,7 +89,7 @@ def wall_time(ts: Column, zone: str = "America/New_York", source_zone: str = "UT
 
 def parse_time(text: Column) -> Column:
     """Timestamp from text, null where it does not parse."""
-    return F.try_to_timestamp(text).cast("timestamp_ntz")
+    return text.try_cast("timestamp_ntz")
 
 
 def hour_of_day(ts: Column) -> Column:

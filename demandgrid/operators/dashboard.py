@@ -53,12 +53,21 @@ def top_demand(shown: DataFrame, n: int = 10) -> DataFrame:
     return shown.orderBy(F.desc("predicted_demand"), SERIES, TIME).limit(n)
 
 
-def top_history(shown: DataFrame, series: DataFrame, window_size: int = FOUR_WEEKS, n: int = 10) -> DataFrame:
-    """Last ``window_size`` hours and the predicted value of the top locations as (location, time, rides) rows.
-
-    One job for all of them. Keyed by location id: names repeat between locations. The top rows are at most ``n``, so
-    they are broadcast, and windows are built for their series alone.
+def top_history(
+    shown: DataFrame, upcoming: DataFrame, series: DataFrame, names: DataFrame, window_size: int = FOUR_WEEKS, n: int = 10,
+    zone: str = "America/New_York",
+) -> DataFrame:
+    """The ``window_size`` hours before the predicted hour and the prediction, for the top locations of ``shown``: rows of
+    location, zone name, ``window_hour``, ``datetime`` (both in the zone of the page) and rides.
+
+    ``upcoming`` has the predicted hour in UTC, as ``series`` has. Only hours before it count, and a series that doesn't reach it is
+    left out. Keyed by location id: names repeat between locations. The top rows are at most ``n``, so they are broadcast, and
+    windows are built for their series alone.
     """
-    top = F.broadcast(top_demand(shown, n).select(SERIES, "predicted_demand"))
-    latest = scoring_windows(series.join(top, SERIES, "left_semi"), "rides", window_size, anchor="end")
-    return unpivot(latest.join(top, SERIES), F.col("predicted_demand"))
+    top = top_demand(shown, n).select(SERIES, "predicted_demand")
+    top = F.broadcast(top.join(upcoming.select(SERIES, F.col(TIME).alias("hour")), SERIES))
+    before = series.join(top.select(SERIES, "hour"), SERIES).where(F.col(TIME) < F.col("hour")).drop("hour")
+    latest = scoring_windows(before, "rides", window_size, anchor="end")
+    matched = latest.join(top.withColumnRenamed("hour", TIME), [SERIES, TIME])
+    rows = unpivot(matched, F.col("predicted_demand"))
+    return add_zone(rows.withColumns({c: wall_time(F.col(c), zone) for c in ("window_hour", "datetime")}), names)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 SKETCH_SIZE = 800  # rank error about 0.4 %, some 20 kB
 SALTS = 64  # partial merges per bucket
 MARGIN = 0.005  # on either side of a wanted probability, to cover the sketch's error
-SLICES = 4000  # equal-width slots per enclosure
+SLICES, PER_OCTAVE = 4000, 62  # slots per enclosure; their number each time the distance to the nearer end doubles
 CALENDAR = frozenset({"year", "month", "day", "date", "year_month"})
 
 
@@ -41,13 +41,20 @@ def _cuts(rows: DataFrame, by: list[str], ends: list[float]) -> DataFrame:
 
 
 def _slot(brackets: list[tuple[float, float]]) -> Column:
-    """Ordinal of the stretch of the number line that holds ``v``: gap, slices of an enclosure, gap, …"""
-    width, cases = SLICES + 1, []
+    """Ordinal of the stretch of the number line that holds ``v``: gap, slices of an enclosure, gap, …
+
+    Slices are narrow near either end of their enclosure and double in width towards its middle, so values that crowd at
+    one end, because a single huge value lies at the other, still fall into many slices.
+    """
+    width, half, cases = SLICES + 1, SLICES // 2, []
     for i in range(len(brackets)):
         lo, hi = f"cuts[{2 * i}]", f"cuts[{2 * i + 1}]"
-        slice_ = f"coalesce(floor(try_divide(v - {lo}, {hi} - {lo}) * {SLICES}), 0)"
+        octaves = lambda x: f"floor(log2(2 * try_divide({x}, {hi} - {lo})) * {PER_OCTAVE})"
+        lower = f"coalesce(greatest({half - 1} + {octaves(f'v - {lo}')}, 0), 0)"
+        upper = f"coalesce(least({half} - {octaves(f'{hi} - v')}, {SLICES - 1}), {SLICES - 1})"
+        nearer = f"CASE WHEN v - {lo} < {hi} - v THEN least({lower}, {half - 1}) ELSE greatest({upper}, {half}) END"
         cases.append(f"WHEN v < {lo} THEN {i * width}")
-        cases.append(f"WHEN v <= {hi} THEN {i * width + 1} + greatest(least({slice_}, {SLICES - 1}), 0)")
+        cases.append(f"WHEN v <= {hi} THEN {i * width + 1} + {nearer}")
     return F.expr(f"int(CASE {' '.join(cases)} ELSE {len(brackets) * width} END)")
 
 
@@ -59,7 +66,10 @@ def _ranks(p: float) -> tuple[str, str]:
 def _interpolated(i: int, p: float) -> str:
     # Anchored at the nearer neighbour, so that a share of 0 or 1 returns it unchanged.
     t = f"({p}D * (n - 1) - floor({p}D * (n - 1)))"
-    return f"if({t} < 0.5D, lo{i} + (hi{i} - lo{i}) * {t}, hi{i} - (hi{i} - lo{i}) * (1 - {t}))"
+    between = f"if({t} < 0.5D, lo{i} + (hi{i} - lo{i}) * {t}, hi{i} - (hi{i} - lo{i}) * (1 - {t}))"
+    inf = "double('infinity')"
+    ends = f"CASE WHEN lo{i} = -{inf} AND hi{i} = {inf} THEN if({t} < 0.5D, lo{i}, hi{i}) WHEN hi{i} = {inf} THEN hi{i} ELSE lo{i} END"
+    return f"CASE WHEN {t} = 0 OR lo{i} = hi{i} THEN lo{i} WHEN abs(lo{i}) = {inf} OR abs(hi{i}) = {inf} THEN {ends} ELSE {between} END"
 
 
 def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -68,13 +78,14 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     Three scans of the one column, none of which sends a bucket's rows to one task:
 
     1. a sketch encloses each quantile between two values;
-    2. rows are counted per slot of the number line (each enclosure cut into equal slices, and the gaps between),
-       combined before the shuffle; the running total over these few slots tells which slot holds each wanted rank,
-       and how many rows lie before it;
+    2. rows are counted per slot of the number line (each enclosure cut into slices, and the gaps between), combined before the
+       shuffle; the running total over these few slots tells which slot holds each wanted rank, and how many rows lie
+       before it;
     3. the distinct values between the least and greatest of a wanted slot are counted and ranked.
 
     The slots cover every value and the counts are exact, so the result is exact whatever the sketch says; a poor
-    sketch only makes the last step larger.
+    sketch only makes the last step larger. Infinities are values like others; strictly between a value and an infinity the
+    quantile is the infinity, between both infinities the nearer one.
 
     ``by`` must be calendar columns (``CALENDAR``): the enclosures and wanted slots are broadcast, and a calendar bounds
     their number (12 or 366 buckets a year).
@@ -84,8 +95,17 @@ def exact_quantiles(df: DataFrame, value: str, probs: Sequence[float], by: Seque
     by, probs = list(by), [float(p) for p in probs]
     if not set(by) <= CALENDAR:
         raise ValueError(f"buckets must be calendar columns {sorted(CALENDAR)}, not {by}")
-    v = F.col(value).cast("double")
-    rows = df.where(v.isNotNull() & ~F.isnan(v)).select(*by, v.alias("v"))
+    return _quantiles(df.select(*by, F.col(value).cast("double").alias("v")), by, probs)
+
+
+def exact_quantiles_of(df: DataFrame, values: Sequence[str], probs: Sequence[float]) -> DataFrame:
+    """``measure, n, quantiles`` for several columns, in the same three scans as for one."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("v")) for c in values])
+    return _quantiles(df.select(F.inline(pairs)), ["measure"], [float(p) for p in probs])
+
+
+def _quantiles(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+    rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
     brackets = _brackets(probs)
     cuts = F.broadcast(_cuts(rows, by, [p for pair in brackets for p in pair]))
     placed = (rows.join(cuts, by) if by else rows.crossJoin(cuts)).select(*by, _slot(brackets).alias("slot"), "v")

@@ -109,53 +109,6 @@ def replay(rides: DataFrame, start: datetime | str, end: datetime | str, shift:
     return rides.where((at >= ntz(lo)) & (at < ntz(hi))).withColumn("pickup_datetime", at + interval(shift))
 
 
-def replay_expanding(
-    rides: DataFrame,
-    start: datetime | str,
-    end: datetime | str,
-    min_records: int = 1000,
-    max_expansions: int = 6,
-    ring_days: int = 30,
-    shift: timedelta = REPLAY_SHIFT,
-) -> DataFrame:
-    """As ``replay`` but widened by ``ring_days`` on both sides, as few times as needed to reach ``min_records`` rides.
-
-    Rides are counted per ring in one pass. When even the widest range holds too few, the result is one all-zero
-    ride slot (location 0, ``rides`` 0) per hour from ``start`` to ``end``, shifted like the rides. Other rows carry
-    ``rides`` 1.
-    """
-    lo, hi = replay_range(start, end, shift)
-    at = F.col("pickup_datetime")
-    widest = timedelta(days=ring_days * max_expansions)
-    near = rides.where((at >= ntz(lo - widest)) & (at < ntz(hi + widest)))
-    ring = F.lit(None).cast("int")
-    for k in range(max_expansions, -1, -1):
-        pad = timedelta(days=ring_days * k)
-        ring = F.when((at >= ntz(lo - pad)) & (at < ntz(hi + pad)), F.lit(k)).otherwise(ring)
-    ringed = near.select("pickup_datetime", SERIES, ring.alias("ring"))
-    # At most max_expansions + 1 rows, then one row.
-    sizes = ringed.groupBy("ring").agg(F.count("*").alias("c"))
-    reached = sizes.select(
-        "ring", F.sum("c").over(Window.orderBy("ring").rowsBetween(Window.unboundedPreceding, 0)).alias("total")
-    )
-    chosen = reached.where(F.col("total") >= min_records).agg(F.min("ring").alias("chosen"))
-    kept = (
-        ringed.crossJoin(F.broadcast(chosen))
-        .where(F.col("ring") <= F.col("chosen"))
-        .select((at + interval(shift)).alias("pickup_datetime"), F.col(SERIES).cast("bigint").alias(SERIES),
-                F.lit(1).cast("bigint").alias("rides"))
-    )
-    slots = chosen.where(F.col("chosen").isNull()).select(
-        F.explode(F.sequence(ntz(as_datetime(start)), ntz(as_datetime(end)), interval(HOUR))).alias("slot")
-    )
-    fallback = slots.select(
-        (F.col("slot") + interval(shift)).alias("pickup_datetime"),
-        F.lit(0).cast("bigint").alias(SERIES),
-        F.lit(0).cast("bigint").alias("rides"),
-    )
-    return kept.unionByName(fallback)
-
-
 def rows_by_month(df: DataFrame, time: str = TIME, first: datetime | None = None, last: datetime | None = None) -> DataFrame:
     """Rows per calendar month, months limited to the closed range ``first`` … ``last``."""
     month = month_of(F.col(time))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from datetime import datetime, timedelta
+from typing import NamedTuple
 
 from pyspark.ml import Transformer
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from demandgrid.functions.numbers import round_half_even, row_mean
-from demandgrid.functions.times import HOUR, as_datetime, clock_ceil, next_hour
+from demandgrid.functions.times import HOUR, as_datetime, clock_floor, next_hour, ntz
 from demandgrid.operators import dashboard as boards
 from demandgrid.operators.models import feature_pipeline, mae, predict
 from demandgrid.operators.monitor import errors, macro_mae, mae_by_hour, micro_mae, trailing_start
@@ -26,27 +27,39 @@ from demandgrid.operators.windows import (
 )
 from demandgrid.session import materialize
 from demandgrid.sources.store import FEATURES, FORECASTS, KeyedTable
-from demandgrid.sources.trips import load_rides, months_between
+from demandgrid.sources.trips import load_rides, months_between, stored_limits
 
 JOB_STEP = 23
 MODEL_NAME = "demand_next_hour"
 
 
-def feature_rides(rides: DataFrame, as_of: datetime, days: int = 28) -> DataFrame:
-    """The hourly table of the last ``days`` days before the next full hour, replayed from 52 weeks earlier."""
-    end = clock_ceil(as_of)
-    return hourly_series(replay(rides, end - timedelta(days=days), end))
+def feature_rides(
+    rides: DataFrame, as_of: datetime, days: int = 28, locations: DataFrame | None = None
+) -> DataFrame:
+    """The hourly table of the last ``days`` days before the next full hour, replayed from 52 weeks earlier.
+
+    Every hour of that range is there for every counted location, and for those of ``locations``; so writing it again
+    replaces each cell, quiet ones included.
+    """
+    end = next_hour(as_of)
+    start = clock_floor(end - timedelta(days=days))
+    return hourly_series(replay(rides, start, end), lo=start, hi=end - HOUR, locations=locations)
 
 
 def feature_job(
-    spark: SparkSession, trips_path: str, root: str, as_of: datetime, days: int = 28, rules: TripRules = TripRules()
+    spark: SparkSession, trips_path: str, root: str, as_of: datetime, days: int = 28, rules: TripRules = TripRules(),
+    limits_path: str | None = None, locations: DataFrame | None = None,
 ) -> KeyedTable:
-    """Trips of the replayed range → rules → hourly table → keyed store. Only the months in range are read."""
-    end = clock_ceil(as_of)
-    lo, hi = replay_range(end - timedelta(days=days), end)
-    rides = load_rides(spark, trips_path, months_between(lo, hi), rules)
+    """Trips of the replayed range → rules → hourly table → keyed store. Only the months in range are read.
+
+    With ``limits_path`` the amount limits of months are worked out once and stored there.
+    """
+    end = next_hour(as_of)
+    months = months_between(*replay_range(end - timedelta(days=days), end))
+    limits = stored_limits(spark, trips_path, limits_path, months, rules) if limits_path else None
+    rides = load_rides(spark, trips_path, months, rules, limits)
     table = KeyedTable.create_or_get(spark, root, FEATURES)
-    table.upsert(feature_rides(rides, as_of, days))
+    table.upsert(feature_rides(rides, as_of, days, locations))
     return table
 
 
@@ -89,17 +102,30 @@ def training_job(
     return ModelRegistry(spark, root).register_if_better(name, model, metrics, windows), metrics
 
 
+class Inference(NamedTuple):
+    """The table of predictions, and the locations left out with their stored hours and the last of them."""
+
+    table: KeyedTable
+    skipped: DataFrame
+
+
 def inference_job(
     spark: SparkSession, root: str, as_of: datetime, model: Transformer | None = None, window: int = FOUR_WEEKS,
-    anchor: str = "end", step: int = JOB_STEP, name: str = MODEL_NAME,
-) -> KeyedTable:
-    """Stored features of the last 29 days → windows → predictions for the next hour → keyed store."""
-    series = KeyedTable.create_or_get(spark, root, FEATURES).read_range(as_of - timedelta(days=29), as_of - HOUR)
-    windows = scoring_windows(series, "rides", window, step, anchor)
+    name: str = MODEL_NAME,
+) -> Inference:
+    """Stored features of the 29 days before the next full hour → the window that ends there → predictions → keyed store.
+
+    A window describes the hour after its last; only windows of the stamped hour are scored. Locations whose stored hours are
+    too few or end earlier get no prediction and are reported.
+    """
+    hour = next_hour(as_of)
+    series = KeyedTable.create_or_get(spark, root, FEATURES).read_range(hour - timedelta(days=29), hour - HOUR)
+    windows = scoring_windows(series, "rides", window, anchor="end").where(F.col(TIME) == ntz(hour))
     model = model or ModelRegistry(spark, root).load(name)
     table = KeyedTable.create_or_get(spark, root, FORECASTS)
-    table.upsert(predict(model, windows, next_hour(as_of)))
-    return table
+    table.upsert(predict(model, windows, hour))
+    held = series.groupBy(SERIES).agg(F.count("*").alias("hours"), F.max(TIME).alias("last_hour"))
+    return Inference(table, held.where((F.col("hours") < window) | (F.col("last_hour") < ntz(hour - HOUR))))
 
 
 def backfill(series: DataFrame) -> DataFrame:
@@ -133,7 +159,7 @@ def dashboard_job(
         "zones": boards.zone_options(shown),
         "stats": boards.demand_stats(picked),
         "top": boards.top_demand(picked),
-        "history": boards.top_history(picked, series, window),
+        "history": boards.top_history(picked, upcoming, series, names, window),
     }
 
 
@@ -145,5 +171,5 @@ def dashboard_from_store(
     as_of = as_datetime(as_of)
     hour = next_hour(as_of)
     predictions = KeyedTable.create_or_get(spark, root, FORECASTS).read_range(hour, hour)
-    series = KeyedTable.create_or_get(spark, root, FEATURES).read_range(as_of - timedelta(days=29), as_of - HOUR)
+    series = KeyedTable.create_or_get(spark, root, FEATURES).read_range(hour - timedelta(days=29), hour - HOUR)
     return dashboard_job(predictions, series, names, as_of, zone, window)

@@ -175,23 +175,6 @@ def _extreme(direction: str, side: str) -> str:
     )
 
 
-# Rings of 30 days around the range, one year back; the smallest with 1000 rides, or else an empty grid.
-EXPAND = WITH + TRIPS + """,
-ringed AS (
-  SELECT pickup, loc, (SELECT min(k) FROM (SELECT unnest(range(7)) AS k) r
-    WHERE pickup >= TIMESTAMP '1998-06-01' - INTERVAL 364 DAY - to_days((30 * k)::INTEGER)
-      AND pickup < TIMESTAMP '1998-06-03' - INTERVAL 364 DAY + to_days((30 * k)::INTEGER)) AS ring
-  FROM trips
-),
-chosen AS (
-  SELECT min(k) AS ring FROM (SELECT unnest(range(7)) AS k) r WHERE (SELECT count(*) FROM ringed WHERE ring <= k) >= 1000
-)
-SELECT pickup + INTERVAL 364 DAY AS pickup_datetime, loc::BIGINT AS pickup_location_id, 1::BIGINT AS rides
-FROM ringed, chosen WHERE ringed.ring <= chosen.ring
-UNION ALL
-SELECT unnest(generate_series(TIMESTAMP '1998-06-01', TIMESTAMP '1998-06-03', INTERVAL 1 HOUR)) + INTERVAL 364 DAY, 0, 0
-FROM chosen WHERE ring IS NULL"""
-
 STORED = _counts() + """,
 stored AS (
   SELECT pickup_hour, pickup_location_id,
@@ -200,10 +183,25 @@ stored AS (
 )"""
 
 
-def _replayed(lo: str, hi: str) -> str:
-    return _counts(
-        f"SELECT ts + INTERVAL 364 DAY AS ts, user_id FROM events WHERE ts >= TIMESTAMP '{lo}' AND ts < TIMESTAMP '{hi}'"
-    ) + FILL
+LATE = "SELECT ts + INTERVAL 364 DAY AS ts, user_id FROM events WHERE ts >= TIMESTAMP '2023-12-31 10:00:00' AND ts < TIMESTAMP '2024-01-29 10:00:00'"
+
+# The grid of a requested range; without the cells that inputs.thinned leaves out, and what is skipped for the hour after it.
+RANGE_FILL = """,
+filled AS (
+  SELECT h.pickup_hour, s.pickup_location_id, coalesce(c.rides, 0)::BIGINT AS rides
+  FROM (SELECT unnest(generate_series(TIMESTAMP '{lo}', TIMESTAMP '{hi}', INTERVAL 1 HOUR)) AS pickup_hour) h
+  CROSS JOIN (SELECT DISTINCT pickup_location_id FROM counts) s
+  LEFT JOIN counts c ON c.pickup_hour = h.pickup_hour AND c.pickup_location_id = s.pickup_location_id
+),
+kept AS (
+  SELECT * FROM filled
+  WHERE NOT (pickup_location_id % 10 = 3 AND pickup_hour > TIMESTAMP '{hi}' - INTERVAL 20 HOUR)
+    AND NOT (pickup_location_id % 10 = 7 AND pickup_hour < TIMESTAMP '{hi}' - INTERVAL 100 HOUR)
+),
+skipped AS (
+  SELECT pickup_location_id, count(*) AS hours, max(pickup_hour) AS last_hour FROM kept
+  GROUP BY pickup_location_id HAVING count(*) < 672 OR max(pickup_hour) < TIMESTAMP '{hi}'
+)"""
 
 
 ORACLE = {
@@ -215,7 +213,7 @@ SELECT year(pickup_datetime)::INTEGER AS year, month(pickup_datetime)::INTEGER A
 FROM rides GROUP BY 1, 2""",
     "q_missing_months": WITH + TRIPS + """
 SELECT y::INTEGER AS year, m::INTEGER AS month
-FROM (SELECT unnest(range(1994, 2003)) AS y) CROSS JOIN (SELECT unnest(range(1, 13)) AS m)
+FROM (SELECT unnest(range(min(y) - 1, max(y) + 2)) AS y FROM trips) CROSS JOIN (SELECT unnest(range(1, 13)) AS m)
 WHERE (y, m) NOT IN (SELECT (y, m) FROM trips)""",
     "q_zone_dim": WITH + ZONE_FILE + "\nSELECT * FROM zone_file",
     "q_zone_enrich": WITH + _counts() + "," + USER_ZONES + """
@@ -268,7 +266,6 @@ LEFT JOIN names n ON n.pickup_location_id = p.pickup_location_id""",
     "q_time_shift": """
 SELECT ts + INTERVAL 364 DAY AS pickup_datetime, user_id AS pickup_location_id FROM events
 WHERE ts + INTERVAL 364 DAY >= TIMESTAMP '2024-12-30' AND ts + INTERVAL 364 DAY < TIMESTAMP '2025-01-28 12:30:00'""",
-    "q_expand_range": EXPAND,
     "q_rows_by_month": """
 SELECT date_trunc('month', l_shipdate)::TIMESTAMP AS year_month, count(*) AS rows FROM lineitem
 WHERE date_trunc('month', l_shipdate) BETWEEN TIMESTAMP '1992-01-01' AND TIMESTAMP '2002-02-01' GROUP BY 1""",
@@ -346,16 +343,15 @@ SELECT avg(predicted_demand) AS average_rides, max(predicted_demand) AS maximum_
        greatest(min(predicted_demand), 0) AS minimum_rides FROM shown""",
     "q_top10": WITH + SHOWN + "\nSELECT * FROM top",
     "q_top10_history": WITH + SHOWN + """,
-latest AS (
-  SELECT f.pickup_location_id, f.pickup_hour, f.rides,
-         row_number() OVER (PARTITION BY f.pickup_location_id ORDER BY f.pickup_hour DESC) AS back
-  FROM filled f
-),
-lasts AS (SELECT max(pickup_hour) + INTERVAL 1 HOUR AS window_hour FROM filled)
-SELECT l.pickup_location_id, window_hour, l.pickup_hour AS datetime, l.rides::DOUBLE AS rides
-FROM latest l JOIN top USING (pickup_location_id), lasts WHERE back <= 168
-UNION ALL
-SELECT pickup_location_id, window_hour, window_hour, predicted_demand FROM top, lasts""",
+history AS (
+  SELECT t.pickup_location_id, t.zone, f.pickup_hour AS utc, f.rides::DOUBLE AS rides
+  FROM top t JOIN filled f ON f.pickup_location_id = t.pickup_location_id
+  WHERE f.pickup_hour >= TIMESTAMP '2024-01-23 22:00:00' AND f.pickup_hour < TIMESTAMP '2024-01-30 22:00:00'
+  UNION ALL
+  SELECT pickup_location_id, zone, TIMESTAMP '2024-01-30 22:00:00', predicted_demand FROM top
+)
+SELECT pickup_location_id, zone, TIMESTAMP '2024-01-30 17:00:00' AS window_hour,
+       timezone('America/New_York', timezone('UTC', utc)) AS datetime, rides FROM history""",
     "q_zone_options": WITH + SHOWN + """
 SELECT 0 AS position, 'All Zones' AS zone UNION ALL
 SELECT DISTINCT 1, zone FROM shown WHERE zone IS NOT NULL""",
@@ -371,7 +367,12 @@ SELECT *, 'filter' FROM stored WHERE rides >= 2 AND pickup_hour >= TIMESTAMP '20
     "q_sink_roundtrip": WITH + FLAGGED + """
 SELECT *, year(pickup_datetime)::INTEGER AS year, month(pickup_datetime)::INTEGER AS month FROM rides""",
     "q_matrix_roundtrip": WITH + JOB + _summary(672),
-    "q_feature_job": WITH + _replayed("2024-01-01 10:00:00", "2024-01-29 10:00:00") + "\n" + HOURLY + "filled",
+    "q_feature_job": WITH + _counts(LATE.replace("2023-12-31", "2024-01-01"))
+    + RANGE_FILL.format(lo="2024-12-30 10:00:00", hi="2025-01-27 09:00:00") + "\n" + HOURLY + "filled",
+    "q_feature_job_trips": WITH + FLAGGED + ","
+    + _counts("SELECT pickup_datetime + INTERVAL 364 DAY AS ts, pickup_location_id::BIGINT AS user_id FROM rides "
+              "WHERE pickup_datetime >= TIMESTAMP '1997-12-15 10:00:00' AND pickup_datetime < TIMESTAMP '1998-01-12 10:00:00'")
+    + RANGE_FILL.format(lo="1998-12-14 10:00:00", hi="1999-01-11 09:00:00") + "\n" + HOURLY + "filled",
     # Window and step are equal here, so each row lies in one window: the block before the target's.
     "q_dataset_job": WITH + FLAGGED + ","
     + _counts("SELECT pickup_datetime AS ts, pickup_location_id AS user_id FROM rides") + FILL + _numbered() + """,
@@ -381,15 +382,15 @@ lagged AS (
          lead(rides, (168 - pos % 168)::INTEGER) OVER w AS target
   FROM num WINDOW w AS (PARTITION BY pickup_location_id ORDER BY pos)
 )""" + _summary(168).replace("FROM lagged", "FROM lagged WHERE pickup_hour IS NOT NULL"),
-    "q_inference_job": WITH + _replayed("2023-12-31 10:00:00", "2024-01-29 10:00:00") + """,
-num AS (
-  SELECT *, row_number() OVER (PARTITION BY pickup_location_id ORDER BY pickup_hour DESC) AS back,
-         count(*) OVER (PARTITION BY pickup_location_id) AS n
-  FROM filled WHERE pickup_hour BETWEEN TIMESTAMP '2024-12-29 09:20:00' AND TIMESTAMP '2025-01-27 08:20:00'
-)
-SELECT pickup_location_id, round_even(sum(rides) / 4.0::DOUBLE, 0)::DOUBLE AS predicted_demand,
+    # The stamped hour is 10:00; the same hour one to four weeks earlier counts, whatever the row's position.
+    "q_inference_job": WITH + _counts(LATE) + RANGE_FILL.format(lo="2024-12-29 10:00:00", hi="2025-01-27 09:00:00") + """,
+weeks AS (SELECT TIMESTAMP '2025-01-27 10:00:00' - to_days((7 * k)::INTEGER) AS pickup_hour FROM range(1, 5) t(k))
+SELECT f.pickup_location_id, round_even(sum(f.rides) / 4.0::DOUBLE, 0)::DOUBLE AS predicted_demand,
        TIMESTAMP '2025-01-27 10:00:00' AS pickup_hour
-FROM num WHERE n >= 672 AND back IN (168, 336, 504, 672) GROUP BY pickup_location_id""",
+FROM kept f JOIN weeks w ON w.pickup_hour = f.pickup_hour
+WHERE f.pickup_location_id NOT IN (SELECT pickup_location_id FROM skipped) GROUP BY f.pickup_location_id""",
+    "q_inference_skipped": WITH + _counts(LATE) + RANGE_FILL.format(lo="2024-12-29 10:00:00", hi="2025-01-27 09:00:00") + """
+SELECT * FROM skipped""",
     "q_monitor_job": WITH + ERRORS + """
 SELECT pickup_hour, avg(absolute_error) AS "MAE" FROM errs
 WHERE pickup_hour >= TIMESTAMP '2024-01-29 21:00:00' GROUP BY pickup_hour""",
@@ -404,5 +405,8 @@ SELECT name, run, mae, previous, previous IS NULL OR mae < previous AS promoted
 SELECT 'four_week_mean' AS experiment, name AS model, '672' AS window, run::VARCHAR AS run, 'mae' AS metric, mae AS score
 FROM candidates""",
     "q_stream_hourly": WITH + _counts() + "\n" + HOURLY + "counts",
+    "q_stream_errors": WITH + ERRORS.replace("WHERE p.pickup_hour >= TIMESTAMP '2024-01-02 21:00:00'", "") + """
+SELECT e.pickup_location_id, e.pickup_hour, f.rides, p.predicted_demand, e.absolute_error
+FROM errs e JOIN preds p USING (pickup_location_id, pickup_hour) JOIN filled f USING (pickup_location_id, pickup_hour)""",
     "q_stream_upsert": WITH + _counts() + "\n" + HOURLY + "counts",
 }

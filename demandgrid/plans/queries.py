@@ -9,15 +9,15 @@ from pyspark.sql import functions as F
 
 from demandgrid.functions import times
 from demandgrid.operators import dashboard, features, models, monitor, profiles, quality, registry, series, windows
-from demandgrid.operators.quantiles import exact_quantiles
+from demandgrid.operators.quantiles import exact_quantiles_of
 from demandgrid.plans import inputs, jobs
 from demandgrid.session import materialize, scratch_path
 from demandgrid.sources import store, trips, zones
 from demandgrid.streaming import hourly
 
-YEARS = range(1995, 2002)
 NOW = datetime(2024, 1, 30, 21, 30)
 REPLAY_NOW = datetime(2025, 1, 27, 9, 20)
+TRIPS_NOW = datetime(1999, 1, 11, 9, 20)
 QUANTILES = (0.0, 0.01, 0.012, 0.995, 0.999)
 
 
@@ -28,17 +28,23 @@ def scan_trips(spark: SparkSession, sf: str) -> DataFrame:
     return t.withColumn("duration_seconds", quality.duration_seconds(t))
 
 
+def _all_months(path: str, spark: SparkSession, around: int = 0) -> list[tuple[int, int]]:
+    """Every month of the years that trips are filed under, and of ``around`` years on either side."""
+    first, last = trips.filed_months(spark, path)
+    return [m for y in range(first - around, last + around + 1) for m in trips.months_of_year(y)]
+
+
 def load_months(spark: SparkSession, sf: str) -> DataFrame:
-    months = [m for y in YEARS for m in trips.months_of_year(y)]
-    cleaned = trips.load_rides(spark, inputs.staged_trips(spark, sf), months, inputs.RULES)
+    path = inputs.staged_trips(spark, sf)
+    cleaned = trips.load_rides(spark, path, _all_months(path, spark), inputs.RULES)
     return cleaned.groupBy(F.year("pickup_datetime").alias("year"), F.month("pickup_datetime").alias("month")).agg(
         F.count("*").alias("rides")
     )
 
 
 def missing_months(spark: SparkSession, sf: str) -> DataFrame:
-    months = [m for y in range(1994, 2003) for m in trips.months_of_year(y)]
-    return trips.missing_months(spark, inputs.staged_trips(spark, sf), months)
+    path = inputs.staged_trips(spark, sf)
+    return trips.missing_months(spark, path, _all_months(path, spark, around=1))
 
 
 def trip_filter(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,13 +81,9 @@ def quantiles(spark: SparkSession, sf: str) -> DataFrame:
     t = trips.read_trips(spark, inputs.staged_trips(spark, sf))
     t = t.select("total_amount", quality.duration_seconds(t).alias("duration_seconds"))
     probs = F.array(*[F.lit(p) for p in QUANTILES])
-    out = None
-    for measure in ("total_amount", "duration_seconds"):
-        rows = exact_quantiles(t, measure, QUANTILES).select(
-            F.lit(measure).alias("measure"), F.inline(F.arrays_zip(probs.alias("p"), F.col("quantiles").alias("q")))
-        )
-        out = rows if out is None else out.unionByName(rows)
-    return out.select("measure", F.col("p"), F.round("q", 6).alias("q"))
+    found = exact_quantiles_of(t, ["total_amount", "duration_seconds"], QUANTILES)
+    rows = found.select("measure", F.inline(F.arrays_zip(probs.alias("p"), F.col("quantiles").alias("q"))))
+    return rows.select("measure", F.col("p"), F.round("q", 6).alias("q"))
 
 
 def describe(spark: SparkSession, sf: str) -> DataFrame:
@@ -133,13 +135,6 @@ def time_shift(spark: SparkSession, sf: str) -> DataFrame:
     return series.replay(inputs.rides(spark, sf), "2024-12-30T00:00:00", "2025-01-28T12:30:00")
 
 
-def expand_range(spark: SparkSession, sf: str) -> DataFrame:
-    pickups = trips.read_trips(spark, inputs.staged_trips(spark, sf)).select(
-        F.col("tpep_pickup_datetime").alias("pickup_datetime"), F.col("PULocationID").alias("pickup_location_id")
-    )
-    return series.replay_expanding(pickups, datetime(1998, 6, 1), datetime(1998, 6, 3))
-
-
 def rows_by_month(spark: SparkSession, sf: str) -> DataFrame:
     return series.rows_by_month(
         inputs.table(spark, sf, "lineitem"), "l_shipdate", datetime(1992, 1, 1), datetime(2002, 2, 1)
@@ -226,7 +221,7 @@ def time_split(spark: SparkSession, sf: str) -> DataFrame:
 # --- clock and text
 
 def tz_display(spark: SparkSession, sf: str) -> DataFrame:
-    instant = F.col("ts").cast("timestamp")
+    instant = times.utc_instant(F.col("ts"))
     return inputs.table(spark, sf, "events").select(
         "event_id", times.drop_zone(instant).alias("utc_time"), times.wall_time(F.col("ts")).alias("new_york_time")
     )
@@ -299,7 +294,10 @@ def top10(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def top10_history(spark: SparkSession, sf: str) -> DataFrame:
-    return dashboard.top_history(_shown(spark, sf), gap_fill(spark, sf), windows.WEEK)
+    hours, names = materialize(gap_fill(spark, sf), "hourly"), inputs.user_zones(spark, sf)
+    upcoming = materialize(dashboard.next_hour_predictions(jobs.backfill(hours), NOW), "upcoming")
+    shown = dashboard.display_predictions(upcoming, names)
+    return dashboard.top_history(shown, upcoming, hours, names, windows.WEEK)
 
 
 def zone_options(spark: SparkSession, sf: str) -> DataFrame:
@@ -348,6 +346,14 @@ def matrix_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     return _summary(materialize(_job_windows(spark, sf), "matrix"), "target")
 
 
+def feature_job_trips(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole job on trips over a year end, with stored limits; the second run reads them."""
+    path, root, limits = inputs.staged_trips(spark, sf), scratch_path(spark, "store"), scratch_path(spark, "limits")
+    for _ in range(2):
+        kept = jobs.feature_job(spark, path, root, TRIPS_NOW, rules=inputs.RULES, limits_path=limits)
+    return kept.read()
+
+
 def feature_job(spark: SparkSession, sf: str) -> DataFrame:
     kept = store.KeyedTable.create_or_get(spark, scratch_path(spark, "store"), store.FEATURES)
     kept.upsert(jobs.feature_rides(inputs.rides(spark, sf), REPLAY_NOW))
@@ -356,18 +362,30 @@ def feature_job(spark: SparkSession, sf: str) -> DataFrame:
 
 def dataset_job(spark: SparkSession, sf: str) -> DataFrame:
     """All months of trips to a weekly training matrix."""
-    months = [m for y in YEARS for m in trips.months_of_year(y)]
+    path = inputs.staged_trips(spark, sf)
     out = jobs.dataset_job(
-        spark, inputs.staged_trips(spark, sf), scratch_path(spark, "matrix"), months, windows.WEEK, windows.WEEK, inputs.RULES
+        spark, path, scratch_path(spark, "matrix"), _all_months(path, spark), windows.WEEK, windows.WEEK, inputs.RULES
     )
     return _summary(out, "target")
 
 
-def inference_job(spark: SparkSession, sf: str) -> DataFrame:
-    root = scratch_path(spark, "store")
+def _inference(spark: SparkSession, sf: str) -> jobs.Inference:
+    """A store in which some locations stopped 20 hours ago and some began 100 hours ago."""
+    root, last = scratch_path(spark, "store"), times.next_hour(REPLAY_NOW) - times.HOUR
+    at, location = F.col("pickup_hour"), F.col("pickup_location_id")
+    stopped = (location % 10 == 3) & (at > times.ntz(last - timedelta(hours=20)))
+    late = (location % 10 == 7) & (at < times.ntz(last - timedelta(hours=100)))
     kept = store.KeyedTable.create_or_get(spark, root, store.FEATURES)
-    kept.upsert(jobs.feature_rides(inputs.rides(spark, sf), REPLAY_NOW, days=29))
-    return jobs.inference_job(spark, root, REPLAY_NOW, models.FourWeekMean()).read()
+    kept.upsert(jobs.feature_rides(inputs.rides(spark, sf), REPLAY_NOW, days=29).where(~stopped & ~late))
+    return jobs.inference_job(spark, root, REPLAY_NOW, models.FourWeekMean())
+
+
+def inference_job(spark: SparkSession, sf: str) -> DataFrame:
+    return _inference(spark, sf).table.read()
+
+
+def inference_skipped(spark: SparkSession, sf: str) -> DataFrame:
+    return _inference(spark, sf).skipped
 
 
 def monitor_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -460,10 +478,15 @@ def random_search(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- streaming
 
+def _file_stream(spark: SparkSession, df: DataFrame, order: str, files: int = 4) -> DataFrame:
+    """The rows as a stream of ``files`` files in the order of a time, one file a micro-batch."""
+    path = scratch_path(spark, "stream")
+    df.repartitionByRange(files, order).write.parquet(path)
+    return hourly.ride_stream(spark, path, df.schema, files_per_batch=1)
+
+
 def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    schema = inputs.table(spark, sf, "events").schema
-    raw = hourly.ride_stream(spark, sf, schema, "events*.parquet")
-    return raw.select(F.col("ts").alias("pickup_datetime"), F.col("user_id").alias("pickup_location_id"))
+    return _file_stream(spark, inputs.rides(spark, sf), "pickup_datetime")
 
 
 def stream_hourly(spark: SparkSession, sf: str) -> DataFrame:
@@ -480,6 +503,20 @@ def stream_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return kept.read()
 
 
+def stream_errors(spark: SparkSession, sf: str) -> DataFrame:
+    """Actual and predicted rides as two streams, joined across micro-batches."""
+    hours = materialize(gap_fill(spark, sf), "hourly")
+    predicted = jobs.backfill(hours)
+    first = materialize(predicted, "predicted").agg(F.min("pickup_hour").alias("first"))  # one row
+    actual = hours.crossJoin(F.broadcast(first)).where(F.col("pickup_hour") >= F.col("first")).drop("first")
+    scored = hourly.error_stream(
+        _file_stream(spark, actual, "pickup_hour"), _file_stream(spark, predicted, "pickup_location_id"), "60 days"
+    )
+    out = scratch_path(spark, "errors")
+    hourly.write_updates(scored, out, scratch_path(spark, "state"), mode="append").awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
 QUERIES = {
     "q_scan_trips": scan_trips,
     "q_load_months": load_months,
@@ -499,7 +536,6 @@ QUERIES = {
     "q_gap_fill": gap_fill,
     "q_gap_fill_zones": gap_fill_zones,
     "q_time_shift": time_shift,
-    "q_expand_range": expand_range,
     "q_rows_by_month": rows_by_month,
     "q_window_target": window_target,
     "q_window_features": window_features,
@@ -533,7 +569,9 @@ QUERIES = {
     "q_matrix_roundtrip": matrix_roundtrip,
     "q_feature_job": feature_job,
     "q_dataset_job": dataset_job,
+    "q_feature_job_trips": feature_job_trips,
     "q_inference_job": inference_job,
+    "q_inference_skipped": inference_skipped,
     "q_monitor_job": monitor_job,
     "q_latest_version": latest_version,
     "q_promote": promote,
@@ -543,4 +581,5 @@ QUERIES = {
     "q_random_search": random_search,
     "q_stream_hourly": stream_hourly,
     "q_stream_upsert": stream_upsert,
+    "q_stream_errors": stream_errors,
 }

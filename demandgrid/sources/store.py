@@ -1,13 +1,17 @@
 """Keyed tables: named, versioned, with a primary key and an event time; a repeated key takes the last write.
 
-A table is Parquet partitioned by event date. A batch rewrites the dates it touches and no others.
+A table is Parquet by event date. A batch writes new files for the dates it touches and no others, each batch in a folder of
+its own, and then a manifest that names the folder of every date. Readers take the newest manifest, so a table changes in
+one step: a batch that stops before it leaves the table as it was, and can be run again.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import uuid
 from dataclasses import dataclass
-from datetime import datetime, timedelta
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,12 +53,79 @@ class KeyedTable:
         if spec.event_time not in spec.keys:
             raise ValueError("the key must contain the event time, so that a key never changes its partition")
         table = cls(spark, root, spec)
-        empty = spark.createDataFrame([], table.stored)
-        empty.write.mode("ignore").partitionBy(DATE).parquet(table.path)
+        if not table._manifests():
+            table._switch(0, {})
         return table
 
-    def _files(self) -> DataFrame:
-        return self.spark.read.schema(self.stored).parquet(self.path)
+    # --- the manifest: a small JSON file per state, ``{date: folder}``, the one with the highest number counts
+
+    def _fs(self):
+        jvm = self.spark._jvm
+        folder = jvm.org.apache.hadoop.fs.Path(os.path.join(self.path, "_manifest"))
+        return folder.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), folder, jvm.org.apache.hadoop.fs.Path
+
+    def _manifests(self) -> list[int]:
+        fs, folder, _ = self._fs()
+        names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+        return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
+
+    def _state(self) -> tuple[int, dict[str, str]]:
+        number = self._manifests()[-1]
+        fs, folder, path = self._fs()
+        stream = fs.open(path(folder, f"{number:012d}.json"))
+        try:
+            text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+        return number, json.loads(text)
+
+    def _switch(self, number: int, dates: dict[str, str]) -> None:
+        """Make ``dates`` the state ``number``; fails if another writer was first."""
+        fs, folder, path = self._fs()
+        hidden, shown = path(folder, f"_{uuid.uuid4().hex}"), path(folder, f"{number:012d}.json")
+        stream = fs.create(hidden, False)
+        try:
+            stream.write(bytearray(json.dumps(dates, sort_keys=True).encode()))
+        finally:
+            stream.close()
+        if fs.exists(shown) or not fs.rename(hidden, shown):
+            raise RuntimeError(f"{self.path} was changed by another writer; run the batch again")
+
+    def _files(self, start: date | None = None, end: date | None = None, only: set[str] | None = None) -> DataFrame:
+        """Rows of the dates from ``start`` to ``end``, or of ``only`` those dates; other dates' files are not listed."""
+        dates = {
+            d: folder for d, folder in self._state()[1].items()
+            if (start is None or d >= start.isoformat()) and (end is None or d <= end.isoformat()) and (only is None or d in only)
+        }
+        if not dates:
+            return self.spark.createDataFrame([], self.stored)
+        rows = None
+        by_folder: dict[str, list[str]] = {}
+        for d, folder in dates.items():
+            by_folder.setdefault(folder, []).append(os.path.join(self.path, folder, f"{DATE}={d}"))
+        for folder, paths in sorted(by_folder.items()):
+            base = os.path.join(self.path, folder)
+            part = self.spark.read.schema(self.stored).option("basePath", base).parquet(*sorted(paths))
+            rows = part if rows is None else rows.unionByName(part)
+        return rows
+
+    def vacuum(self, keep: int = 1) -> None:
+        """Delete what only states older than the newest ``keep`` need. Run it when no reader or writer of these is active."""
+        numbers = self._manifests()
+        fs, folder, path = self._fs()
+        used: set[str] = set()
+        for number in numbers[-keep:]:
+            stream = fs.open(path(folder, f"{number:012d}.json"))
+            try:
+                used |= set(json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).values())
+            finally:
+                stream.close()
+        for number in numbers[:-keep]:
+            fs.delete(path(folder, f"{number:012d}.json"), False)
+        for f in fs.listStatus(path(self.path)):
+            name = f.getPath().getName()
+            if name.startswith("batch=") and name not in used:
+                fs.delete(f.getPath(), True)
 
     def read(self, where: Column | None = None) -> DataFrame:
         """The table, or the rows that meet ``where`` (pushed to the files; add a date condition to prune)."""
@@ -64,14 +135,12 @@ class KeyedTable:
     def read_range(self, start: datetime, end: datetime) -> DataFrame:
         """Rows with event time in the closed range: whole dates by partition, then exactly."""
         start, end, time = as_datetime(start), as_datetime(end), F.col(self.spec.event_time)
-        rows = self._files().where(F.col(DATE).between(F.lit(start.date()), F.lit(end.date())))
+        rows = self._files(start.date(), end.date())
         return rows.where(time.between(ntz(start), ntz(end))).select(*self.spec.schema.names)
 
     def read_from(self, start: datetime) -> DataFrame:
         start, time = as_datetime(start), F.col(self.spec.event_time)
-        return self._files().where((F.col(DATE) >= F.lit(start.date())) & (time >= ntz(start))).select(
-            *self.spec.schema.names
-        )
+        return self._files(start.date()).where(time >= ntz(start)).select(*self.spec.schema.names)
 
     def read_training(self, as_of: datetime, days: int) -> DataFrame:
         """The last 365 + ``days`` days up to ``as_of``."""
@@ -84,11 +153,10 @@ class KeyedTable:
     def upsert(self, batch: DataFrame, latest_by: str | None = None) -> None:
         """Insert a batch; rows with a key already stored replace it. Running the same batch again changes nothing.
 
-        Within a batch a repeated key keeps the row with the greatest ``latest_by`` (or else the greatest row), found
-        with a combinable aggregate so that one key with very many rows is no burden.
+        Within a batch a repeated key keeps the row with the greatest ``latest_by``, found with a combinable aggregate so that
+        one key with very many rows is no burden; without ``latest_by`` repeated keys must agree. Null keys are an error.
 
-        The batch and the merged dates are first written to the scratch folder: the table's files are replaced only by
-        a plan that does not read them, and an interrupted run can be repeated.
+        The batch is written to the scratch folder once (several steps read it), each touched date once to the table.
         """
         names = self.spec.schema.names
         require_columns(batch, *names, *([latest_by] if latest_by else []))
@@ -96,33 +164,39 @@ class KeyedTable:
         typed = batch.select(
             *[F.col(f.name).cast(f.dataType).alias(f.name) for f in self.spec.schema], *([latest_by] if latest_by else [])
         )
-        rest = ([latest_by] if latest_by else []) + [n for n in names if n not in keys]
+        values = [n for n in names if n not in keys]
+        rest = ([latest_by] if latest_by else []) + values
         if len(rest) == 1:
             # A plain maximum is combined in a hash table; the maximum of a struct needs sorted input.
-            unique = typed.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0])).select(*names)
+            unique = typed.groupBy(*keys).agg(F.max(rest[0]).alias(rest[0]), (~F.min(rest[0]).eqNullSafe(F.max(rest[0]))).alias("_differ"))
         else:
-            unique = typed.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r"))
-            unique = unique.select(*[n if n in keys else F.col(f"r.{n}").alias(n) for n in names])
-        staged = materialize(unique.withColumn(DATE, F.to_date(self.spec.event_time)), "batch")
-
-        # One row to the driver: the date range, used as a literal so that untouched partitions are never listed.
-        first, last = staged.agg(F.min(DATE), F.max(DATE)).first()
-        if first is None:
+            unique = typed.groupBy(*keys).agg(F.max(F.struct(*rest)).alias("r"), F.min(F.struct(*rest)).alias("s"))
+            unique = unique.select(*keys, *[F.col(f"r.{n}").alias(n) for n in values], (~F.col("r").eqNullSafe(F.col("s"))).alias("_differ"))
+        staged = materialize(unique.select(*names, F.to_date(self.spec.event_time).alias(DATE), "_differ"), "batch")
+
+        # One row per calendar date to the driver.
+        no_key = F.lit(False)
+        for k in keys:
+            no_key = no_key | F.col(k).isNull()
+        found = staged.groupBy(DATE).agg(F.max(no_key).alias("no_key"), F.max("_differ").alias("differ")).collect()
+        if any(r["no_key"] for r in found):
+            raise ValueError(f"rows without {' or '.join(keys)}")
+        if latest_by is None and any(r["differ"] for r in found):
+            raise ValueError("a key is repeated with different values: say by which column the latest is found")
+        if not found:
             return
-        existing = self._files().where(F.col(DATE).between(F.lit(first), F.lit(last)))
-        if existing.isEmpty():
-            merged = staged  # first load, or new dates only
-        else:
-            dates = F.broadcast(staged.select(DATE).distinct())  # calendar dates of the batch
-            kept = existing.join(dates, DATE, "left_semi").join(staged.select(*keys), keys, "left_anti")
-            merged = materialize(kept.unionByName(staged), "merged")
+        dates = {r[DATE].isoformat() for r in found}
+        number, state = self._state()
+        staged = staged.drop("_differ")
+        kept = self._files(only=dates).join(staged.select(*keys), keys, "left_anti") if dates & set(state) else None
+        merged = staged if kept is None else kept.select(*staged.columns).unionByName(staged)
+        folder = f"batch={uuid.uuid4().hex}"
         # Rebalanced by date: few files per date, and a large date split over several tasks. The order is the one the
         # partitioned write needs, extended by the key, so that file statistics narrow reads of one location.
         (
             merged.hint("rebalance", DATE)
             .sortWithinPartitions(DATE, *keys)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(DATE)
-            .parquet(self.path)
+            .write.partitionBy(DATE)
+            .parquet(os.path.join(self.path, folder))
         )
+        self._switch(number + 1, state | dict.fromkeys(dates, folder))

@@ -8,7 +8,7 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.operators.quality import TripRules, filter_trips
+from demandgrid.operators.quality import TripRules, amount_limits, filter_trips
 from demandgrid.schemas import TRIPS, require_columns
 
 Months = Iterable[tuple[int, int]]
@@ -47,6 +47,12 @@ def in_months(months: Months) -> Column:
     return predicate
 
 
+def filed_months(spark: SparkSession, path: str) -> tuple[int, int] | None:
+    """First and last year that trips are filed under; from the folder names, no file is opened."""
+    years = spark.read.schema(TRIPS).parquet(path).agg(F.min("year"), F.max("year")).first()
+    return None if years[0] is None else (years[0], years[1])
+
+
 def read_trips(spark: SparkSession, path: str, months: Months | None = None) -> DataFrame:
     """Trips laid out as ``year=/month=`` directories, with pruned partitions when ``months`` is given."""
     trips = spark.read.schema(TRIPS).parquet(path)
@@ -54,10 +60,37 @@ def read_trips(spark: SparkSession, path: str, months: Months | None = None) ->
 
 
 def load_rides(
-    spark: SparkSession, path: str, months: Months | None = None, rules: TripRules = TripRules()
+    spark: SparkSession, path: str, months: Months | None = None, rules: TripRules = TripRules(),
+    limits: DataFrame | None = None,
 ) -> DataFrame:
-    """Cleaned rides of one or more months or years. A month without files adds no rows (see ``missing_months``)."""
-    return filter_trips(read_trips(spark, path, months), rules)
+    """Cleaned rides of one or more months or years. A month without files adds no rows (see ``missing_months``).
+
+    ``limits`` takes the months' ``stored_limits``; without it they are worked out.
+    """
+    return filter_trips(read_trips(spark, path, months), rules, limits)
+
+
+LIMITS = "year int, month int, amount_limit double, amount_quantile double"
+
+
+def stored_limits(
+    spark: SparkSession, path: str, limits_path: str, months: Months, rules: TripRules = TripRules()
+) -> DataFrame:
+    """Amount limits per filing month. Months that have none stored for the quantile of the rules are worked out and added.
+
+    A stored month is taken as closed: when trips are filed into it later, remove its limit. A month without trips gets none.
+    """
+    months = list(months)
+    spark.createDataFrame([], LIMITS).write.mode("ignore").parquet(limits_path)
+    stored = spark.read.schema(LIMITS).parquet(limits_path).where(F.col("amount_quantile") == rules.amount_quantile)
+    known = {(r["year"], r["month"]) for r in stored.where(in_months(months)).select("year", "month").collect()}  # calendar months
+    missing = [m for m in months if m not in known]
+    if missing:
+        new = amount_limits(read_trips(spark, path, missing), rules)
+        new.withColumn("amount_quantile", F.lit(rules.amount_quantile)).coalesce(1).write.mode("append").parquet(limits_path)
+        stored = spark.read.schema(LIMITS).parquet(limits_path).where(F.col("amount_quantile") == rules.amount_quantile)
+    # Two runs may have added the same month; its limit is the same.
+    return stored.where(in_months(months)).groupBy("year", "month").agg(F.max("amount_limit").alias("amount_limit"))
 
 
 def load_rides_or_fail(spark: SparkSession, path: str, months: Months, rules: TripRules = TripRules()) -> DataFrame:

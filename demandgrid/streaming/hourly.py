@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from demandgrid.functions.times import drop_zone
+from demandgrid.functions.times import drop_zone, utc_instant
 from demandgrid.operators.models import absolute_error
 from demandgrid.operators.series import SERIES, TIME
 from demandgrid.sources.store import KeyedTable
@@ -29,22 +29,20 @@ def hourly_count_stream(rides: DataFrame, delay: str = "2 hours") -> DataFrame:
     An hour stays open until ``delay`` has passed after it in event time; rides later than that are dropped. State is
     one counter per open hour and location, whatever the number of rides.
     """
-    # Watermarks need a zoned timestamp.
-    zoned = rides.where(F.col(SERIES).isNotNull()).select(
-        F.col("pickup_datetime").cast("timestamp").alias("at"), SERIES
-    )
+    # Watermarks need an instant; a cast would go through the session's zone.
+    zoned = rides.where(F.col(SERIES).isNotNull()).select(utc_instant(F.col("pickup_datetime")).alias("at"), SERIES)
     counted = zoned.withWatermark("at", delay).groupBy(F.window("at", "1 hour"), SERIES).agg(F.count("*").alias("rides"))
     return counted.select(drop_zone(F.col("window.start")).alias(TIME), SERIES, "rides")
 
 
-def write_updates(counts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """Each micro-batch's updated counts under ``batch=<id>``; a repeated micro-batch overwrites its own folder."""
+def write_updates(counts: DataFrame, path: str, checkpoint: str, mode: str = "update") -> StreamingQuery:
+    """Each micro-batch's new or updated rows under ``batch=<id>``; a repeated micro-batch overwrites its own folder."""
 
     def save(batch: DataFrame, batch_id: int) -> None:
         batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
-        counts.writeStream.outputMode("update")
+        counts.writeStream.outputMode(mode)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .foreachBatch(save)
@@ -78,8 +76,8 @@ def error_stream(actual: DataFrame, predicted: DataFrame, delay: str = "2 hours"
     Both sides carry a watermark on the hour, which is a join key, so either side's state is dropped once the hour
     has passed.
     """
-    left = actual.withColumn(TIME, F.col(TIME).cast("timestamp")).withWatermark(TIME, delay)
-    right = predicted.withColumn(TIME, F.col(TIME).cast("timestamp")).withWatermark(TIME, delay)
+    left = actual.withColumn(TIME, utc_instant(F.col(TIME))).withWatermark(TIME, delay)
+    right = predicted.withColumn(TIME, utc_instant(F.col(TIME))).withWatermark(TIME, delay)
     joined = left.select(SERIES, TIME, "rides").join(right.select(SERIES, TIME, "predicted_demand"), [SERIES, TIME])
     return joined.select(
         SERIES,

@@ -66,3 +66,42 @@ def test_as_datetime():
     assert times.as_datetime("2024-01-02T03:00:00") == datetime(2024, 1, 2, 3)
     with pytest.raises(ValueError):
         times.as_datetime(20240102)
+
+
+@pytest.fixture
+def new_york(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    yield spark
+    spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+#: Around both clock changes of New York: hours that don't exist there, or exist twice.
+CHANGES = [datetime(2024, 3, 10, 1, 59, 59, 999_999), datetime(2024, 3, 10, 2, 30), datetime(2024, 11, 3, 1, 30), datetime(1969, 12, 31, 23, 59, 59, 5)]
+
+
+def test_wall_times_know_no_session_zone(new_york):
+    hours = [t.replace(minute=0, second=0, microsecond=0) for t in CHANGES]
+    kind = "timestamp_ntz"
+    assert column(new_york, CHANGES, kind, times.floor_hour) == hours
+    assert column(new_york, CHANGES, kind, times.next_hour_of) == [h + timedelta(hours=1) for h in hours]
+    assert column(new_york, hours, kind, times.ceil_hour) == hours
+    assert column(new_york, CHANGES, kind, times.month_of) == [datetime(t.year, t.month, 1) for t in CHANGES]
+    assert column(new_york, CHANGES, kind, lambda t: times.drop_zone(times.utc_instant(t))) == CHANGES
+    texts = [t.isoformat(sep=" ") for t in CHANGES]
+    assert column(new_york, texts, "string", times.parse_time) == CHANGES
+    assert column(new_york, [None], kind, times.floor_hour) == column(new_york, [None], kind, times.month_of) == [None]
+
+
+def test_stream_equals_batch_in_another_zone(new_york):
+    from demandgrid.operators.series import hourly_counts
+    from demandgrid.session import scratch_path
+    from demandgrid.streaming import hourly
+
+    rows = [(t, i % 2) for i, t in enumerate(CHANGES[:3] * 3)]
+    rides = new_york.createDataFrame(rows, "pickup_datetime timestamp_ntz, pickup_location_id bigint")
+    path, out = scratch_path(new_york, "rides"), scratch_path(new_york, "updates")
+    rides.write.parquet(path)
+    stream = hourly.hourly_count_stream(hourly.ride_stream(new_york, path, rides.schema), "900 days")
+    hourly.write_updates(stream, out, scratch_path(new_york, "state")).awaitTermination()
+    got = {tuple(r) for r in hourly.read_updates(new_york, out).collect()}
+    assert got == {tuple(r) for r in hourly_counts(rides).collect()}

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from demandgrid.operators import profiles, quality
 from demandgrid.operators.quantiles import exact_quantiles
+from demandgrid.operators.quantiles import exact_quantiles_of as quantiles_of
 from demandgrid.schemas import TRIPS, ZONES
 from demandgrid.session import materialize, scratch_path
 from demandgrid.sources import trips, zones
@@ -98,6 +99,56 @@ def test_quantiles_against_numpy(spark):
         assert row.quantiles == pytest.approx(list(np.quantile(values, probs)), rel=1e-12, abs=1e-12)
 
 
+def test_quantiles_next_to_infinities(spark):
+    inf = float("inf")
+    got = lambda values, p: exact_quantiles(spark.createDataFrame([(v,) for v in values], "x double"), "x", [p]).first().quantiles[0]
+    assert got([1.0, 2.0, inf], 0.5) == 2.0 and got([1.0, 2.0, inf], 0.6) == inf and got([1.0, 2.0, inf], 1.0) == inf
+    assert got([-inf, 1.0, 2.0], 0.5) == 1.0 and got([-inf, 1.0, 2.0], 0.25) == -inf
+    assert got([-inf, inf], 0.4) == -inf and got([-inf, inf], 0.6) == inf and got([inf] * 9, 0.3) == inf
+
+
+@pytest.mark.parametrize("outlier", [1e9, -1e9])
+def test_one_huge_value_leaves_slots_small(spark, outlier):
+    from demandgrid.operators import quantiles
+
+    n, p = 200_000, 0.999 if outlier > 0 else 0.001
+    df = spark.range(n).select((F.xxhash64("id") % 1_000_000_007 / 1_000.0).alias("v")).union(spark.createDataFrame([(outlier,)], "v double"))
+    brackets = quantiles._brackets([p])
+    cuts = quantiles._cuts(df, [], [q for pair in brackets for q in pair])
+    slots = df.crossJoin(cuts).groupBy(quantiles._slot(brackets).alias("slot")).agg(F.count("*").alias("c")).orderBy("slot").collect()
+    upto, rank = 0, int(p * n)
+    for r in slots:
+        upto += r.c
+        if upto > rank:
+            assert r.c < 100 * n / 1_000_000 + 10
+            break
+    values = sorted(r.v for r in df.collect())
+    assert exact_quantiles(df, "v", [p]).first().quantiles[0] == pytest.approx(float(np.quantile(values, p)))
+
+
+def test_quantiles_of_several_columns(spark):
+    df = spark.createDataFrame([(float(i), i * i, None if i % 2 else 5.0) for i in range(101)], "a double, b bigint, c double")
+    got = {r.measure: (r.n, r.quantiles) for r in quantiles_of(df, ["a", "b", "c"], [0.5, 0.9]).collect()}
+    assert got == {"a": (101, [50.0, 90.0]), "b": (101, [2500.0, 8100.0]), "c": (51, [5.0, 5.0])}
+
+
+def test_stored_limits_are_worked_out_once(spark, monkeypatch):
+    path, limits = scratch_path(spark, "trips"), scratch_path(spark, "limits")
+    rows = [trip(JAN, amount=float(i)) for i in range(1, 50)] + [trip(datetime(2024, 2, 3), amount=9.0, filed=(2024, 2))]
+    trips.write_trips(spark.createDataFrame(rows, TRIPS), path)
+    months = [(2024, 1), (2024, 2), (2024, 3)]
+    first = {tuple(r) for r in trips.stored_limits(spark, path, limits, months[:1]).collect()}
+    got = trips.stored_limits(spark, path, limits, months)
+    assert first < {tuple(r) for r in got.collect()} == {tuple(r) for r in quality.amount_limits(trips.read_trips(spark, path)).collect()}
+    assert trips.load_rides(spark, path, months, limits=got).count() == trips.load_rides(spark, path, months).count()
+
+    def again(*_):
+        raise AssertionError("worked out again")
+
+    monkeypatch.setattr(trips, "amount_limits", again)
+    assert trips.stored_limits(spark, path, limits, months[:2]).count() == 2
+
+
 def test_quantiles_with_a_poor_sketch(spark, monkeypatch):
     """The sketch only steers the work: enclosures that miss the ranks altogether change nothing."""
     from demandgrid.operators import quantiles

@@ -72,21 +72,6 @@ def test_replay_over_a_year_end(rides_frame):
         series.replay(rides, 5, "2024-12-29")
 
 
-def test_replay_expanding(rides_frame):
-    start, end = datetime(2025, 1, 1), datetime(2025, 1, 2)
-    base = start - timedelta(weeks=52)
-    rows = [(base + timedelta(hours=h), 1) for h in range(24)] + [(base - timedelta(days=d), 2) for d in range(1, 61)]
-    rides = rides_frame(rows)
-    enough = series.replay_expanding(rides, start, end, min_records=24).collect()
-    assert len(enough) == 24 and {r.rides for r in enough} == {1}
-    wider = series.replay_expanding(rides, start, end, min_records=25).collect()
-    assert len(wider) == 24 + 30
-    widest = series.replay_expanding(rides, start, end, min_records=60).collect()
-    assert len(widest) == 84
-    none = series.replay_expanding(rides, start, end, min_records=500).collect()
-    assert len(none) == 25 and {(r.pickup_location_id, r.rides) for r in none} == {(0, 0)}
-
-
 def test_rows_by_month(rides_frame):
     rides = rides_frame([(datetime(2024, m, 3), 1) for m in (1, 2, 2, 3)])
     got = series.rows_by_month(rides, "pickup_datetime", datetime(2024, 2, 20), datetime(2024, 3, 1)).collect()

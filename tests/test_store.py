@@ -56,13 +56,45 @@ def test_repeated_key_within_a_batch(spark, table):
     assert contents(table.read()) == {(1, START): 48}
 
 
+def test_repeated_keys_must_agree_and_keys_must_be_there(spark, table):
+    kind = "pickup_hour timestamp_ntz, pickup_location_id bigint, rides bigint"
+    table.upsert(spark.createDataFrame([(START, 1, 5), (START, 1, 5)], kind))
+    with pytest.raises(ValueError, match="repeated"):
+        table.upsert(spark.createDataFrame([(START, 1, 5), (START, 1, 6)], kind))
+    for rows in ([(None, 1, 2)], [(None, 1, 2), (START, 2, 2)], [(START, None, 2)]):
+        with pytest.raises(ValueError, match="without"):
+            table.upsert(spark.createDataFrame(rows, kind))
+    assert contents(table.read()) == {(1, START): 5}
+
+
+def test_a_stop_before_the_switch_leaves_the_table(spark, table, hourly_frame, monkeypatch):
+    first, second = hourly_frame({1: [1] * 48}), hourly_frame({1: [2] * 5, 2: [3] * 30})
+    table.upsert(first)
+
+    def stop(*_):
+        raise OSError("stopped")
+
+    with monkeypatch.context() as m:
+        m.setattr(store.KeyedTable, "_switch", stop)
+        with pytest.raises(OSError):
+            table.upsert(second)
+    assert contents(table.read()) == contents(first)
+    table.upsert(second)
+    want = contents(first) | contents(second)
+    assert contents(table.read()) == want
+    table.vacuum()
+    assert contents(table.read()) == want
+    with pytest.raises(RuntimeError):  # a second writer of the same state
+        table._switch(table._state()[0], {})
+
+
 def test_range_reads_prune_dates(spark, table, hourly_frame):
     table.upsert(hourly_frame({1: list(range(120))}))
     lo, hi = START + timedelta(hours=30), START + timedelta(hours=50)
     ranged = table.read_range(lo, hi)
     assert sorted(r.rides for r in ranged.collect()) == list(range(30, 51))
-    plan = ranged._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(event_date" in plan and "GreaterThanOrEqual(pickup_hour" in plan
+    assert {f.split("event_date=")[1][:10] for f in ranged.inputFiles()} == {"2024-01-02", "2024-01-03"}
+    assert "GreaterThanOrEqual(pickup_hour" in ranged._jdf.queryExecution().executedPlan().toString()
     assert table.read_from(START + timedelta(hours=100)).count() == 20
     assert table.read(F.col("rides") >= 118).count() == 2
     assert table.read_training(START + timedelta(hours=60), 1).count() == 61
@@ -103,7 +135,8 @@ def test_feature_to_dashboard(spark, hourly_frame):
     trips.write_trips(spark.createDataFrame(rows, TRIPS), path)
     features = jobs.feature_job(spark, path, root, as_of, days=29, rules=TripRules(amount_quantile=1.0))
     assert features.read().agg(F.sum("rides")).first()[0] == len(rows)
-    forecasts = jobs.inference_job(spark, root, as_of, models.FourWeekMean())
+    forecasts, skipped = jobs.inference_job(spark, root, as_of, models.FourWeekMean())
+    assert skipped.isEmpty()
     got = {r.pickup_location_id: (r.predicted_demand, r.pickup_hour) for r in forecasts.read().collect()}
     assert got[60] == (3.0, datetime(2025, 1, 1, 10)) and set(got) == {50, 60}
     jobs.inference_job(spark, root, as_of, models.FourWeekMean())
@@ -130,6 +163,22 @@ def test_feature_to_dashboard(spark, hourly_frame):
         jobs.dashboard_job(forecasts.read(), series, names, as_of + timedelta(days=9))
 
 
+@pytest.mark.parametrize("as_of", [datetime(2024, 2, 1, 9, 20), datetime(2024, 2, 1, 9)])
+def test_inference_describes_the_stamped_hour(spark, hourly_frame, as_of):
+    """Rides are the hour of the day; one location stopped twenty hours ago, one began too late."""
+    root, hour = scratch_path(spark, "store"), datetime(2024, 2, 1, 10)
+    n = int((hour - START) / timedelta(hours=1))
+    values = {1: [h % 24 for h in range(n)], 2: [h % 24 for h in range(n - 20)]}
+    kept = store.KeyedTable.create_or_get(spark, root, store.FEATURES)
+    kept.upsert(hourly_frame(values))
+    kept.upsert(hourly_frame({3: [1] * 100}, hour - timedelta(hours=100)))
+    table, skipped = jobs.inference_job(spark, root, as_of, models.FourWeekMean())
+    got = [(r.pickup_location_id, r.predicted_demand, r.pickup_hour) for r in table.read().collect()]
+    assert got == [(1, 10.0, hour)]
+    left = {r.pickup_location_id: (r.hours, r.last_hour) for r in skipped.collect()}
+    assert left == {2: (29 * 24 - 20, hour - timedelta(hours=21)), 3: (100, hour - timedelta(hours=1))}
+
+
 def test_training_job(spark, hourly_frame):
     root = scratch_path(spark, "store")
     values = {loc: [(i * loc) % 5 for i in range(800)] for loc in (1, 2, 3)}
@@ -141,7 +190,7 @@ def test_training_job(spark, hourly_frame):
     assert again is None and same["test_mae"] == pytest.approx(metrics["test_mae"])
     with pytest.raises(ValueError):
         jobs.training_job(spark, root, as_of, START + timedelta(hours=5000), step=12, maxIter=1)
-    scored = jobs.inference_job(spark, root, START + timedelta(hours=800)).read()
+    scored = jobs.inference_job(spark, root, START + timedelta(hours=799, minutes=30)).table.read()
     assert scored.count() == 3
 
 
@@ -149,8 +198,13 @@ def test_history_is_keyed_by_id_not_by_name(spark, hourly_frame):
     predictions = spark.createDataFrame([(56, 5.0, START), (57, 4.0, START)], "pickup_location_id bigint, predicted_demand double, pickup_hour timestamp_ntz")
     names = spark.createDataFrame([(56, "Corona"), (57, "Corona")], "pickup_location_id bigint, zone string")
     shown = dashboard.display_predictions(predictions, names)
-    history = dashboard.top_history(shown, hourly_frame({56: [1] * 6, 57: [2] * 6}), 4, 1).collect()
-    assert {r.pickup_location_id for r in history} == {56} and len(history) == 5
+    series = hourly_frame({56: [1] * 9, 57: [2] * 9}, START - timedelta(hours=6))  # goes on after the predicted hour
+    history = dashboard.top_history(shown, predictions, series, names, 4, 1).collect()
+    assert {(r.pickup_location_id, r.zone) for r in history} == {(56, "Corona")} and len(history) == 5
+    shown_hours = [START - timedelta(hours=5 + k) for k in range(5)]  # New York time
+    assert {(r.datetime, r.rides) for r in history} == {(h, 5.0 if i == 0 else 1.0) for i, h in enumerate(shown_hours)}
+    late = hourly_frame({56: [1] * 6}, START - timedelta(hours=9))  # ends three hours before
+    assert dashboard.top_history(shown, predictions, late, names, 4, 1).count() == 0
     assert dashboard.pick_zone(shown, "Corona").count() == 2
 
 
