@@ -13,8 +13,9 @@ one document that follow each other and share an anchor are a sheaf (about ``REA
 2. Second digit: all bytes of the sheaf. If another sheaf with this core is the same, all windows of both are repeated.
 3. Of the kinds of sheaf that a core has, if one stands alone: windows whose anchor is at a distance of ``BIN * b`` to
    ``BIN * (b + 1) - 1`` share all but ``BIN - 1`` of their bytes; those bytes are the third digit. (A repeated kind takes
-   part once, as something to be equal to.)
-4. Last digit: each window of the bins that are left, in full. A window with an equal in another sheaf is repeated.
+   part once, as something to be equal to.) Bins that are the same as a whole are repeated.
+4. Last digit: each window of the bins that are left, one of each kind, in full. A window with an equal in another is
+   repeated.
 
 Repeated windows that follow each other make spans of bytes; a document's spans are merged and cut out.
 
@@ -124,17 +125,22 @@ def _bin_rows(window: int, width: int):
             for b in range((a - last) // width, (a - first) // width + 1):
                 left = a - b * width
                 lo, hi = max(first, left - width + 1), min(last, left)
-                yield s["core"], b, digest(raw[left : left - width + 1 + window]), r["k1"], r["k2"], lo, a, s["alone"], raw[lo : hi + window]
+                place = ((lo << SHIFT | (hi - lo)) << SHIFT) | (a - lo)
+                yield s["core"], b, digest(raw[left : left - width + 1 + window]), digest(raw[lo : hi + window], a - lo), r["k1"], r["k2"], place, s["alone"]
 
-    kinds = {"core": pa.int64(), "bin": pa.int32(), "shared": "hash", "k1": pa.int64(), "k2": pa.int64(), "lo": pa.int64(), "anchor": pa.int64(), "alone": pa.bool_(), "piece": pa.binary()}
+    kinds = {"core": pa.int64(), "bin": pa.int32(), "shared": "hash", "whole": "hash", "k1": pa.int64(), "k2": pa.int64(), "place": pa.int64(), "alone": pa.bool_()}
     return _emit(rows, kinds)
 
 
 def _window_rows(window: int):
+    """Each window of the bins listed for a text."""
+
     def rows(r: dict) -> Iterator[tuple]:
-        piece, lo = r["piece"], r["lo"]
-        for i in range(len(piece) - window + 1):
-            yield r["core"], r["anchor"] - lo - i, xxhash.xxh3_64_intdigest(piece[i : i + window]), r["k1"], r["k2"], lo + i, r["alone"]
+        raw = r["text"].encode()
+        for s in r["bins"]:
+            first, last, a = _unpacked(s["place"])
+            for i in range(first, last + 1):
+                yield s["core"], a - i, xxhash.xxh3_64_intdigest(raw[i : i + window]), r["k1"], r["k2"], i, s["alone"]
 
     return _emit(rows, {"core": pa.int64(), "back": pa.int64(), "whole": "hash", "k1": pa.int64(), "k2": pa.int64(), "start": pa.int64(), "alone": pa.bool_()})
 
@@ -186,15 +192,27 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, reach: int = REACH, widt
     )
     bins = materialize(
         texts.join(by_text, ["k1", "k2"]).select("k1", "k2", "text", "sheaves").mapInArrow(
-            _bin_rows(window, width),
-            "core bigint, bin int, shared bigint, k1 bigint, k2 bigint, lo bigint, anchor bigint, alone boolean, piece binary",
+            _bin_rows(window, width), "core bigint, bin int, shared bigint, whole bigint, k1 bigint, k2 bigint, place bigint, alone boolean"
         ),
         "repeat-bins",
     )
     key = ["core", "bin", "shared"]
     live = bins.groupBy(*key).agg(F.count("*").alias("n"), F.max("alone").alias("any")).where("n > 1 and any").select(*key)
+    bin_kinds = materialize(
+        bins.join(live, key).groupBy(*key, "whole")
+        .agg(F.count("*").alias("n"), F.max("alone").alias("any"), F.min(F.struct("k1", "k2", "place")).alias("one")),
+        "repeat-bin-kinds",
+    )
+    same = bins.where("alone").join(bin_kinds.where("n > 1").select(*key, "whole"), [*key, "whole"]).select("k1", "k2", "place")
+    # Of the bins that have a window standing alone, one of each kind.
+    open_bins = bin_kinds.where("n = 1 and any").select(*key).distinct()
+    by_text = (
+        bin_kinds.join(open_bins, key, "left_semi")
+        .select("one.k1", "one.k2", F.struct("core", "one.place", ((F.col("n") == 1) & F.col("any")).alias("alone")).alias("part"))
+        .groupBy("k1", "k2").agg(F.collect_list("part").alias("bins"))  # at most a text's own
+    )
     windows = materialize(
-        bins.join(live, key).mapInArrow(
+        texts.join(by_text, ["k1", "k2"]).select("k1", "k2", "text", "bins").mapInArrow(
             _window_rows(window), "core bigint, back bigint, whole bigint, k1 bigint, k2 bigint, start bigint, alone boolean"
         ),
         "repeat-windows",
@@ -203,9 +221,8 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, reach: int = REACH, widt
     equal = windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
     single = windows.where("alone").join(equal, key).select("k1", "k2", F.col("start").alias("first"), F.col("start").alias("last"))
     first = F.shiftright("place", 2 * SHIFT)
-    whole = sharing.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"]).select(
-        "k1", "k2", first.alias("first"), (first + F.shiftright("place", SHIFT).bitwiseAND(MASK)).alias("last")
-    )
+    whole = sharing.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"]).select("k1", "k2", "place").unionByName(same)
+    whole = whole.select("k1", "k2", first.alias("first"), (first + F.shiftright("place", SHIFT).bitwiseAND(MASK)).alias("last"))
     spans = (
         single.unionByName(whole).groupBy("k1", "k2")
         .agg(F.collect_set(F.struct("first", "last")).alias("spans"))  # at most a text's windows
