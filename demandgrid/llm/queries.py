@@ -73,7 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLE: dict[str, str] = {
     "op8_source_mix": r"""
-WITH d AS (
+WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
          CAST('0x' || substr(md5(coalesce(CAST(doc_id AS VARCHAR), text, '')), 1, 15) AS BIGINT) AS hash
   FROM documents),
@@ -91,14 +91,23 @@ t AS (
   SELECT source, source_size, least(weight * max(own_level) OVER (), 3 * source_size)::DOUBLE AS target
   FROM l),
 r AS (SELECT *, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS repeats FROM t),
-h AS (SELECT source, hash, sum(size) AS held FROM d GROUP BY source, hash),
-c AS (
-  SELECT h.source, h.hash, h.held, r.target - r.repeats * r.source_size AS rest,
-         sum(h.held) OVER (PARTITION BY h.source ORDER BY h.hash) AS upto
-  FROM h JOIN r ON h.source IS NOT DISTINCT FROM r.source),
-k AS (SELECT source, hash FROM c WHERE upto <= rest OR (upto - held <= rest AND upto - rest < rest - (upto - held)))
+h AS (
+  SELECT h.source, hash, held, row_number() OVER (PARTITION BY h.source ORDER BY hash) AS i,
+         target - repeats * source_size AS rest, 0.002::DOUBLE * target AS near
+  FROM (SELECT source, hash, sum(size) AS held FROM d WHERE size > 0 GROUP BY source, hash) h
+  JOIN r ON h.source IS NOT DISTINCT FROM r.source),
+f AS (  -- in the order of the hashes each that fits; a misfit ends it once the rest is near
+  SELECT source, i, hash, held <= rest AND rest > near AS fits, rest - CASE WHEN held <= rest AND rest > near THEN held ELSE 0 END AS rest,
+         near, rest <= near AS done
+  FROM h WHERE i = 1
+  UNION ALL
+  SELECT h.source, h.i, h.hash, NOT f.done AND h.held <= f.rest, f.rest - CASE WHEN NOT f.done AND h.held <= f.rest THEN h.held ELSE 0 END,
+         f.near, f.done OR (h.held > f.rest AND f.rest <= f.near)
+  FROM f JOIN h ON h.source IS NOT DISTINCT FROM f.source AND h.i = f.i + 1),
+k AS (SELECT source, hash FROM f WHERE fits)
 SELECT d.doc_id, d.source, d.size, r.source_size, r.target,
-       r.repeats + (k.hash IS NOT NULL)::BIGINT AS copies, (r.repeats + (k.hash IS NOT NULL)::BIGINT) * d.size AS taken
+       r.repeats + (k.hash IS NOT NULL AND d.size > 0)::BIGINT AS copies,
+       (r.repeats + (k.hash IS NOT NULL AND d.size > 0)::BIGINT) * d.size AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.hash = k.hash
 """,

@@ -30,7 +30,7 @@ def test_targets_and_taken(docs_frame, sources):
     rows, i = [], 0
     for s, n in sources.items():
         for _ in range(n):
-            rows.append((i, " ".join(words(i, 1 + i % 9)), "en", s))
+            rows.append((i, " ".join(words(i, 400 if i % 50 == 3 else 1 + i % 9)), "en", s))  # a few are huge
             i += 1
     got = mix_plan(docs_frame(rows)).collect()
     sizes = Counter()
@@ -43,7 +43,10 @@ def test_targets_and_taken(docs_frame, sources):
         assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == r["copies"] * r["size"]
         taken[r["source"]] += r["taken"]
     for s in sources:
-        assert abs(taken[s] - want[s]) <= 9  # the largest document
+        left = want[s] - taken[s]
+        own = [r for r in got if r["source"] == s]
+        unused = [r["size"] for r in own if r["copies"] == min(x["copies"] for x in own)]
+        assert -1e-6 <= left and (left <= 0.002 * want[s] or left < min(unused))
     assert sorted(map(tuple, got)) == sorted(map(tuple, mix_plan(docs_frame(rows)).collect()))
 
 
