@@ -95,11 +95,12 @@ def random_search(
     seed: int = 42,
     parallelism: int = 2,
     lags_only: bool = False,
+    fold: Column | None = None,
     **params,
 ) -> CrossValidatorModel:
     """Random draws from ``grid`` (tree parameters by name), cross-validated on MAE; the best is refitted on all rows.
 
-    Draws are capped by the size of the grid. Features are prepared once; only the tree learner runs per draw and fold.
+    ``fold`` numbers the folds from 0; by default they come from a hash of the key. Draws are capped by the size of the grid. Features are prepared once; only the tree learner runs per draw and fold.
     """
     stages = feature_pipeline(lags_only, **params).getStages()
     prepared = train
@@ -118,7 +119,8 @@ def random_search(
         parallelism=parallelism,
         seed=seed,
     )
-    rows = with_folds(prepared, folds).select("features", TARGET, "fold")
+    folded = with_folds(prepared, folds) if fold is None else prepared.withColumn("fold", fold.cast("int"))
+    rows = folded.select("features", TARGET, "fold")
     return search.fit(materialize(rows, "folds"))  # read once per draw and fold
 
 

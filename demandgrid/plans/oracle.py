@@ -204,6 +204,37 @@ skipped AS (
 )"""
 
 
+def _stump(runs: str, source: str = "lagged") -> str:
+    """Predictions of a tree of one split for each run; ``runs`` has run, least (rows on either side) and fold (left out)."""
+    return f""",
+runs AS ({runs}),
+train AS (SELECT r.run, r.least, l.* FROM {source} l, runs r WHERE pickup_hour < TIMESTAMP '2024-01-24' AND l.fold <> r.fold),
+total AS (SELECT run, count(*) AS n, sum(target) AS s FROM train WHERE k = 0 GROUP BY run),
+by_value AS (SELECT run, any_value(least) AS least, k, rides, count(*) AS n, sum(target) AS s FROM train GROUP BY run, k, rides),
+sides AS (
+  SELECT run, least, k, rides, sum(n) OVER w AS nl, sum(s) OVER w AS sl, lead(rides) OVER (PARTITION BY run, k ORDER BY rides) AS following
+  FROM by_value WINDOW w AS (PARTITION BY run, k ORDER BY rides)
+),
+split AS (
+  SELECT d.run, k, (rides + following) / 2.0::DOUBLE AS threshold, sl::DOUBLE / nl AS low, (s - sl)::DOUBLE / (n - nl) AS high
+  FROM sides d JOIN total t ON t.run = d.run
+  WHERE following IS NOT NULL AND nl >= least AND n - nl >= least
+  QUALIFY row_number() OVER (PARTITION BY d.run ORDER BY sl::DOUBLE * sl / nl + (s - sl)::DOUBLE * (s - sl) / (n - nl) DESC, k, rides) = 1
+),
+tree AS (
+  SELECT t.run, l.pickup_location_id, l.pickup_hour, l.fold, l.target,
+         CASE WHEN p.run IS NULL THEN t.s::DOUBLE / t.n WHEN l.rides <= p.threshold THEN p.low ELSE p.high END AS prediction
+  FROM total t LEFT JOIN split p ON p.run = t.run JOIN {source} l ON l.k = coalesce(p.k, 0)
+)"""
+
+
+SIX = FILLED + _numbered() + _windows(6, 24)
+FOLDED = """,
+folded AS (SELECT *, ((dayofyear(pickup_hour) + pickup_location_id) % 3)::INTEGER AS fold FROM lagged)"""
+ONE_RUN = "SELECT 0 AS run, 1 AS least, -1 AS fold"
+BEFORE, AFTER = "pickup_hour < TIMESTAMP '2024-01-24'", "pickup_hour >= TIMESTAMP '2024-01-24'"
+ERROR = "avg(abs(prediction - target))"
+
 ORACLE = {
     "q_scan_trips": WITH + TRIPS + """
 SELECT pickup AS tpep_pickup_datetime, dropoff AS tpep_dropoff_datetime, amount AS total_amount, loc AS "PULocationID",
@@ -404,6 +435,39 @@ SELECT name, run, mae, previous, previous IS NULL OR mae < previous AS promoted
     "q_run_log": WITH + CANDIDATES + """
 SELECT 'four_week_mean' AS experiment, name AS model, '672' AS window, run::VARCHAR AS run, 'mae' AS metric, mae AS score
 FROM candidates""",
+    "q_train_stump": WITH + SIX + FOLDED + _stump(ONE_RUN, "folded") + f"""
+SELECT round({ERROR} FILTER ({BEFORE}), 9) AS train_mae, round({ERROR} FILTER ({AFTER}), 9) AS test_mae FROM tree""",
+    "q_training_job": WITH + FILLED.replace("filled AS (", "whole AS (") + """,
+filled AS (SELECT * FROM whole WHERE pickup_hour <= TIMESTAMP '2024-01-30 21:30:00')""" + _numbered() + _windows(6, 24)
+    + FOLDED + _stump(ONE_RUN, "folded") + f"""
+SELECT 'demand_next_hour' AS name, 1::INTEGER AS version, round({ERROR} FILTER ({BEFORE}), 9) AS train_mae,
+       round({ERROR} FILTER ({AFTER}), 9) AS test_mae, count(*) AS scored, sum(round_even(prediction, 0))::DOUBLE AS predicted
+FROM tree""",
+    "q_random_search": WITH + SIX + FOLDED + _stump(
+        "SELECT row_number() OVER () AS run, least, fold FROM (SELECT unnest([1, 900]) AS least), (SELECT unnest([-1, 0, 1, 2]) AS fold)",
+        "folded",
+    ) + f""",
+each AS (
+  SELECT r.least, r.fold, avg(abs(t.prediction - t.target)) FILTER (t.{BEFORE} AND t.fold = r.fold) AS inner_mae,
+         avg(abs(t.prediction - t.target)) FILTER (t.{AFTER} AND r.fold = -1) AS test_mae
+  FROM tree t JOIN runs r ON r.run = t.run GROUP BY r.least, r.fold
+),
+draws AS (SELECT least, avg(inner_mae) FILTER (fold >= 0) AS mae, max(test_mae) AS test_mae FROM each GROUP BY least)
+SELECT least::INTEGER AS least, round(mae, 9) AS mae, CASE WHEN mae = min(mae) OVER () THEN round(test_mae, 9) END AS test_mae FROM draws""",
+    "q_window_narrow": WITH + FILLED + _numbered() + _windows(24, 24) + _summary(24),
+    "q_dashboard_job": WITH + SHOWN + """,
+past AS (
+  SELECT t.pickup_location_id, sum(f.rides) AS rides FROM top t JOIN filled f ON f.pickup_location_id = t.pickup_location_id
+  WHERE f.pickup_hour >= TIMESTAMP '2024-01-23 22:00:00' AND f.pickup_hour < TIMESTAMP '2024-01-30 22:00:00' GROUP BY 1
+)
+SELECT 'predictions' AS part, 'rows' AS name, count(*)::DOUBLE AS value FROM shown
+UNION ALL SELECT 'zones', 'All Zones', 0
+UNION ALL SELECT DISTINCT 'zones', zone, 1 FROM shown WHERE zone IS NOT NULL
+UNION ALL SELECT 'stats', 'average', avg(predicted_demand) FROM shown
+UNION ALL SELECT 'stats', 'maximum', max(predicted_demand) FROM shown
+UNION ALL SELECT 'stats', 'minimum', greatest(min(predicted_demand), 0) FROM shown
+UNION ALL SELECT 'top', pickup_location_id::VARCHAR, predicted_demand FROM top
+UNION ALL SELECT 'history', t.pickup_location_id::VARCHAR, p.rides + t.predicted_demand FROM top t JOIN past p USING (pickup_location_id)""",
     "q_stream_hourly": WITH + _counts() + "\n" + HOURLY + "counts",
     "q_stream_errors": WITH + ERRORS.replace("WHERE p.pickup_hour >= TIMESTAMP '2024-01-02 21:00:00'", "") + """
 SELECT e.pickup_location_id, e.pickup_hour, f.rides, p.predicted_demand, e.absolute_error
