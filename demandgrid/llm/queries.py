@@ -18,7 +18,7 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2")
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("k1", "k2", "distance")
 
 
 def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,6 +72,55 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE: dict[str, str] = {
+    # Every window that a shared shingle lines up with an item, compared exactly; no fingerprints.
+    "op2_decontaminate": r"""
+WITH t AS (SELECT DISTINCT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM documents WHERE text IS NOT NULL),
+items AS (
+  SELECT item_id, w, len(w) AS n, least(len(w), 5) AS l
+  FROM (SELECT item_id, regexp_extract_all(lower(text), '[\p{L}\p{N}]+') AS w FROM benchmark WHERE text IS NOT NULL) WHERE len(w) > 0),
+known AS (
+  SELECT DISTINCT n, l, o, array_to_string(list_slice(w, o + 1, o + l), ' ') AS shingle
+  FROM (SELECT *, unnest(range(n - l + 1)) AS o FROM items)),
+held AS (
+  SELECT doc_id, w, l, p, array_to_string(list_slice(w, p + 1, p + l), ' ') AS shingle
+  FROM (SELECT t.*, s.l, unnest(range(len(w) - s.l + 1)) AS p FROM t, (SELECT DISTINCT l FROM items) s WHERE len(w) >= s.l)),
+windows AS (
+  SELECT DISTINCT doc_id, h.w, k.n, greatest(0, least(p - o, len(h.w) - k.n)) AS start
+  FROM held h JOIN known k ON k.l = h.l AND k.shingle = h.shingle),
+cut AS (SELECT doc_id, start, n, list_slice(w, start + 1, start + n) AS w FROM windows),
+a AS (
+  SELECT doc_id, start, n, shingle, count(*) AS c FROM (
+    SELECT doc_id, start, n, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS shingle
+    FROM (SELECT *, unnest(range(greatest(len(w) - 4, 1))) AS i FROM cut)) GROUP BY ALL),
+b AS (
+  SELECT item_id, n, shingle, count(*) AS c FROM (
+    SELECT item_id, n, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS shingle
+    FROM (SELECT *, unnest(range(greatest(n - 4, 1))) AS i FROM items)) GROUP BY ALL),
+sa AS (SELECT doc_id, start, n, sum(c * len(shingle)) AS s FROM a GROUP BY ALL),
+sb AS (SELECT item_id, n, sum(c * len(shingle)) AS s FROM b GROUP BY ALL),
+common AS (
+  SELECT doc_id, start, a.n, item_id, sum(least(a.c, b.c) * len(a.shingle)) AS s
+  FROM a JOIN b ON a.n = b.n AND a.shingle = b.shingle GROUP BY ALL)
+SELECT c.doc_id, c.item_id, c.start::INTEGER AS start_word, c.n::INTEGER AS n_words, c.s::DOUBLE / (sa.s + sb.s - c.s) AS similarity
+FROM common c JOIN sa USING (doc_id, start, n) JOIN sb USING (item_id, n) WHERE c.s::DOUBLE / (sa.s + sb.s - c.s) >= 0.8
+""",
+    # Every window of every text, hashed and counted.
+    "op6_repeats": r"""
+WITH d AS (SELECT doc_id, row_number() OVER () AS r, hex(encode(coalesce(text, ''))) AS x, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+w AS (SELECT r, p, md5(substr(x, 2 * p + 1, 800)) AS h FROM (SELECT r, x, unnest(range(n - 399)) AS p FROM d WHERE n >= 400)),
+again AS (SELECT h FROM w GROUP BY h HAVING count(*) > 1),
+hits AS (SELECT r, p, lag(p) OVER (PARTITION BY r ORDER BY p) AS last FROM w WHERE h IN (SELECT h FROM again)),
+runs AS (SELECT r, p, sum((last IS NULL OR p > last + 400)::INTEGER) OVER (PARTITION BY r ORDER BY p) AS run FROM hits),
+spans AS (SELECT r, run, min(p) AS lo, max(p) + 400 AS hi FROM runs GROUP BY r, run),
+gaps AS (
+  SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS lo, lo AS hi FROM spans
+  UNION ALL SELECT d.r, coalesce(max(s.hi), 0), any_value(d.n) FROM d LEFT JOIN spans s ON s.r = d.r GROUP BY d.r),
+kept AS (SELECT g.r, string_agg(substr(d.x, 2 * g.lo + 1, 2 * (g.hi - g.lo)), '' ORDER BY g.lo) AS x FROM gaps g JOIN d ON d.r = g.r GROUP BY g.r),
+cut AS (SELECT r, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(c.n_removed, 0)::BIGINT AS n_removed, coalesce(c.n_spans, 0)::BIGINT AS n_spans,
+       sha256(unhex(k.x)) AS kept_sha256
+FROM d JOIN kept k ON k.r = d.r LEFT JOIN cut c ON c.r = d.r
+""",
     "op8_source_mix": r"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, CAST(coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS BIGINT) AS size,
@@ -110,5 +159,24 @@ SELECT d.doc_id, d.source, d.size, r.source_size, r.target,
        (r.repeats + (k.hash IS NOT NULL AND d.size > 0)::BIGINT) * d.size AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.hash = k.hash
+""",
+    # All pairs of texts with a common shingle, compared exactly.
+    "op9_near_classes": r"""
+WITH RECURSIVE texts AS (
+  SELECT min(doc_id) AS node, text, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS w FROM documents WHERE text IS NOT NULL GROUP BY text),
+cells AS (
+  SELECT node, shingle, count(*) AS c FROM (
+    SELECT node, array_to_string(list_slice(w, i + 1, i + 5), ' ') AS shingle
+    FROM (SELECT node, w, unnest(range(greatest(len(w) - 4, 1))) AS i FROM texts WHERE len(w) > 0)) GROUP BY ALL),
+sizes AS (SELECT node, sum(c) AS n FROM cells GROUP BY node),
+pairs AS (
+  SELECT a.node AS u, b.node AS v, sum(least(a.c, b.c)) AS s FROM cells a JOIN cells b ON a.shingle = b.shingle AND a.node <> b.node GROUP BY ALL),
+links AS (
+  SELECT u, v FROM pairs JOIN sizes x ON x.node = u JOIN sizes y ON y.node = v WHERE s >= 0.8 * (x.n + y.n - s)),
+reach AS (SELECT u, v FROM links UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u),
+classes AS (SELECT u AS node, min(least(u, v)) AS class_id FROM reach GROUP BY u),
+counts AS (SELECT u AS node, count(*) AS n_links FROM links GROUP BY u)
+SELECT d.doc_id, coalesce(c.class_id, t.node, d.doc_id) AS class_id, coalesce(n.n_links, 0)::BIGINT AS n_links
+FROM documents d LEFT JOIN texts t ON t.text = d.text LEFT JOIN classes c ON c.node = t.node LEFT JOIN counts n ON n.node = t.node
 """,
 }

@@ -109,17 +109,13 @@ def _cuts(placed: DataFrame, n_shards: int, whole_group: float) -> DataFrame:
 
 def _assigned(rows: DataFrame, n_shards: int, whole_group: float) -> DataFrame:
     placed = _placed(_ordered(rows))
-    cuts = materialize(_cuts(placed, n_shards, whole_group), "shard-cuts")
-    after = Window.orderBy("first")
-    spans = cuts.withColumn("next", F.lead("first", 1, (1 << 62)).over(after))
-    spans = spans.agg(F.sort_array(F.collect_list(F.struct("first", "next", "shard"))).alias("spans"))  # n_shards at most
-    span = F.filter("spans", lambda s: (s["first"] <= F.col("rank")) & (F.col("rank") < s["next"]))[0]
-    return (
-        placed.crossJoin(F.broadcast(spans))  # one row
-        .withColumn("span", span)
-        .withColumn("shard", F.col("span")["shard"])
-        .withColumn("slot", F.col("rank") - F.col("span")["first"])
-    )
+    cuts = sorted((r["first"], r["shard"]) for r in _cuts(placed, n_shards, whole_group).collect())  # n_shards rows at most
+    shard, slot = F.lit(None).cast("int"), F.lit(None).cast("bigint")
+    if cuts:
+        firsts, shards = (F.lit(list(x)).cast(f"array<{k}>") for x, k in zip(zip(*cuts, strict=True), ("bigint", "int"), strict=True))
+        span = F.size(F.filter(firsts, lambda f: f <= F.col("rank"))) - 1
+        shard, slot = F.get(shards, span), F.col("rank") - F.get(firsts, span)
+    return placed.withColumn("shard", shard).withColumn("slot", slot)
 
 
 def shard_plan(docs: DataFrame, n_shards: int = 24, whole_group: float = 0.05, overhead: int = OVERHEAD) -> DataFrame:
