@@ -16,11 +16,12 @@ repeated rows teach once and are scored each; spans are character offsets in the
 from __future__ import annotations
 
 import re
-from collections import Counter
+from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -131,10 +132,15 @@ def _toxic_words(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, size: in
     A place is a word with its neighbours; counted once each, so that copies of a text say no more than the text.
     """
     mix = np.uint64(0x9E3779B97F4A7C15)
-    u = ids.astype(np.uint64) + np.uint64(1)
-    before = np.where(first, np.uint64(0), np.concatenate((u[:1], u[:-1])))
-    after = np.concatenate((u[1:], np.zeros(1, np.uint64)))
-    place = ((u * mix ^ before) * mix ^ after) * mix
+    place = ids.astype(np.uint64) + np.uint64(1)
+    before = np.where(first, np.uint64(0), np.concatenate((place[:1], place[:-1])))
+    after = np.concatenate((place[1:], np.zeros(1, np.uint64)))
+    place *= mix
+    place ^= before
+    place *= mix
+    place ^= after
+    place *= mix
+    del before, after
     counts = []
     for label in (0, 1):
         _, one = np.unique(place[toxic == label], return_index=True)
@@ -147,31 +153,55 @@ def _toxic_words(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, size: in
     return (ratio >= LIKELIHOOD_RATIO) & (bad * (1 - share) >= TIMES * (clean + 0.5) * share)
 
 
+def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of each token, chain starts, and tokens of each text; no table of strings is held."""
+    hashes, first, counts = array("Q"), bytearray(), []
+    for text in texts:
+        new, before = True, len(hashes)
+        for word in TOKEN.findall(text.lower()):
+            if word[0] in ENDS:
+                new = True
+                continue
+            hashes.append(xxhash.xxh3_64_intdigest(word))
+            first.append(new)
+            new = False
+        counts.append(len(hashes) - before)
+    return np.frombuffer(hashes, np.uint64), np.frombuffer(first, bool), np.array(counts, np.int64)
+
+
+def _vocabulary(texts: list[str], kept: np.ndarray) -> dict[str, int]:
+    """The words with hashes ``kept``, and the place of the hash there, from 1."""
+    place, words = {h: i + 1 for i, h in enumerate(kept.tolist())}, {}
+    for text in texts:
+        for word in TOKEN.findall(text.lower()):
+            if word[0] not in ENDS and word not in words and (at := place.get(xxhash.xxh3_64_intdigest(word))):
+                words[word] = at
+    return words
+
+
 def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps: int = 40, tokens: int = 300_000) -> ToxicModel:
     """Fit the field and the document score to texts with labels 0 and 1; the field to ``tokens`` tokens of either label."""
     label = np.array(labels, np.int64)
     if not len(label) or label.min() == label.max():
         return ToxicModel(base_rate=float(label.mean()) if len(label) else 0.0)
-    counts = Counter(w for text in texts for w in TOKEN.findall(text.lower()) if w[0] not in ENDS)
-    words = {w: i + 1 for i, (w, _) in enumerate(sorted(counts.items(), key=lambda x: (-x[1], x[0])))}
-    often = sum(n >= 3 for n in counts.values())
-    ids, first, docs, _ = tokens_of(texts, words)
-    toxic = label[docs]
-    bad = _toxic_words(ids, first, toxic, len(words) + 1)
-    bad[0] = False
-    # Keep the toxic words and the commonest others, if seen three times; renumber.
-    keep = np.union1d(np.flatnonzero(bad), np.arange(1, min(vocabulary, often) + 1))
-    renumber = np.zeros(len(words) + 1, np.int64)
+    hashes, first, counts = _coded(texts)
+    toxic = np.repeat(label.astype(np.int8), counts)
+    distinct, ids, seen = np.unique(hashes, return_inverse=True, return_counts=True)
+    bad = _toxic_words(ids, first, toxic, len(distinct))
+    # Keep the toxic words and the commonest others, if seen three times; renumber from 1.
+    common = np.lexsort((distinct, -seen))[:vocabulary]
+    keep = np.union1d(np.flatnonzero(bad), common[seen[common] >= 3])
+    renumber = np.zeros(len(distinct), np.int64)
     renumber[keep] = np.arange(1, len(keep) + 1)
-    words = {w: int(renumber[i]) for w, i in words.items() if renumber[i]}
     is_bad, ids = np.concatenate(([False], bad[keep])), renumber[ids]
-    model = ToxicModel(words, np.zeros(len(words) + 1), base_rate=float(label.mean()))
+    words = _vocabulary(texts, distinct[keep])
+    model = ToxicModel(words, np.zeros(len(keep) + 1), base_rate=float(label.mean()))
 
     used = np.concatenate([np.flatnonzero(toxic == k)[:tokens] for k in (0, 1)])
     x, y = ids[used], is_bad[ids[used]] & (toxic[used] == 1)
     begins = first[used] | (np.arange(len(used)) % 100 == 0)  # chains for fitting are short
     pairs = np.bincount(2 * y[np.flatnonzero(~begins) - 1] + y[~begins], minlength=4).reshape(2, 2)
-    size, rate = len(words) + 1, 1.0
+    size, rate = len(keep) + 1, 1.0
     grads: dict[str, float | np.ndarray] = {"own": np.zeros(size), "bias": 0.0, "moves": np.zeros((2, 2))}
     for _ in range(steps):  # Adagrad on the log likelihood, with a small pull to zero
         p, moves = marginals(emissions(model, x), begins, model.moves)
@@ -179,8 +209,11 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
             g = g - 1e-2 * getattr(model, name)
             grads[name] = grads[name] + g * g
             setattr(model, name, getattr(model, name) + rate * g / np.sqrt(grads[name] + 1e-8))
-    p, _ = marginals(emissions(model, ids), first, model.moves)
-    x = summaries(p, docs, len(texts))
+    parts = []
+    for lo, hi in chunks_of(texts, SUB_BATCH):
+        ids, first, docs, _ = tokens_of(texts[lo:hi], words)
+        parts.append(summaries(marginals(emissions(model, ids), first, model.moves)[0], docs, hi - lo))
+    x = np.concatenate(parts)
     weights = np.zeros(x.shape[1])
     for _ in range(30):  # Newton's steps of a logistic fit with a ridge
         q = _sigmoid(x @ weights)
