@@ -22,6 +22,7 @@ from math import isqrt
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -136,6 +137,15 @@ RESULT = {
 }
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts compressed one by one: they are shuffled whole, and a codec over rows of a shuffle compresses less."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        packed = [pack(t.encode()) for t in batch.column("text").to_pylist()]
+        columns = [batch.column("doc_id"), batch.column("tie"), pa.array(packed, pa.binary())]
+        yield pa.RecordBatch.from_arrays(columns, ["doc_id", "tie", "packed"])
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order, each followed by the one it is compared with; guards are only followers."""
 
@@ -154,8 +164,10 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, RESULT.values(), strict=True)], list(RESULT))
 
     held: list[tuple] = []
+    unpack = zstandard.ZstdDecompressor().decompress
     for batch in batches:
-        rows = list(zip(*(batch.column(c).to_pylist() for c in ("range", "guard", "doc_id", "text")), strict=True))
+        texts = [unpack(t).decode() for t in batch.column("packed").to_pylist()]
+        rows = list(zip(*(batch.column(c).to_pylist() for c in ("range", "guard", "doc_id")), texts, strict=True))
         for lo, hi in chunks_of([r[3] for r in rows], SUB_BATCH):
             held += rows[lo:hi]
             if len(held) > 1:
@@ -188,10 +200,11 @@ def fingerprint_edits(docs: DataFrame, ranges_per_partition: int = 4) -> DataFra
         F.when(F.get(fine, F.col("spot")) == F.col("doc_id"), F.struct((F.col("spot") + 1).alias("range"), F.lit(1).alias("guard"))),
         F.when(F.col("doc_id").eqNullSafe(F.lit(found["top"])), F.struct(F.lit(0).alias("range"), F.lit(2).alias("guard"))),
     ))
-    order = ["range", "guard", F.col("doc_id").desc_nulls_last(), F.xxhash64("text")]
+    order = ["range", "guard", F.col("doc_id").desc_nulls_last(), "tie"]
+    packed = rows.withColumn("tie", F.xxhash64("text")).mapInArrow(_pack, "doc_id bigint, tie bigint, packed binary")
     dealt = (
-        rows.withColumn("spot", spot).select("doc_id", "text", F.explode(places).alias("place"))
-        .select("place.range", "place.guard", "doc_id", "text")
+        packed.withColumn("spot", spot).select("doc_id", "tie", "packed", F.explode(places).alias("place"))
+        .select("place.range", "place.guard", "doc_id", "tie", "packed")
         .repartition(parts, "range").sortWithinPartitions(*order)
     )
     schema = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
