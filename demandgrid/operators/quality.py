@@ -49,13 +49,15 @@ def flag_trips(trips: DataFrame, rules: TripRules = TripRules(), limits: DataFra
     require_columns(
         trips, "tpep_pickup_datetime", "tpep_dropoff_datetime", "total_amount", "PULocationID", "year", "month"
     )
-    # One row per filing month: bounded by the calendar, so it may be broadcast whatever the size of the trips. It also
-    # carries the month's bounds, worked out once per month rather than per trip.
+    # One row per filing month: bounded by the calendar, so it may be broadcast whatever the size of the trips; a caller's
+    # frame is broadcast only if Spark finds it small. It also carries the month's bounds, worked out once per month rather
+    # than per trip.
     first = F.try_make_timestamp_ntz("year", "month", F.lit(1), F.lit(0), F.lit(0), F.lit(0))
     following = first + F.make_ym_interval(F.lit(0), F.lit(1))
+    own = F.broadcast if limits is None else (lambda df: df)
     limits = amount_limits(trips, rules) if limits is None else limits
-    months = limits.withColumns({"month_start": first, "month_end": following})
-    flagged = trips.join(F.broadcast(months), ["year", "month"], "left")
+    months = own(limits.withColumns({"month_start": first, "month_end": following}))
+    flagged = trips.join(months, ["year", "month"], "left")
     amount = nan_to_null(F.col("total_amount"))
     pickup, dropoff = F.col("tpep_pickup_datetime"), F.col("tpep_dropoff_datetime")
     no, yes = F.lit(False), F.lit(True)
