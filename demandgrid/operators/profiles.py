@@ -6,26 +6,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from demandgrid.functions.numbers import nan_to_null
-from demandgrid.operators.quantiles import exact_quantiles
+from demandgrid.operators.quantiles import describe_column, exact_quantiles
 
 
 def describe(df: DataFrame, column: str) -> DataFrame:
-    """Count, mean, sample deviation, min, exact quartiles, max in one row."""
-    v = nan_to_null(F.col(column).cast("double"))
-    moments = df.agg(
-        F.count(v).alias("count"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("std"),
-        F.min(v).alias("min"),
-        F.max(v).alias("max"),
-    )
-    quartiles = exact_quantiles(df, column, [0.25, 0.5, 0.75]).select(
-        *[F.col("quantiles")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
-    )
-    # Two one-row sides; the outer join keeps the row of an empty column.
-    return moments.join(F.broadcast(quartiles), F.lit(True), "left").select(
-        "count", "mean", "std", "min", "p25", "p50", "p75", "max"
-    )
+    """Count, mean, sample deviation, min, exact quartiles, max in one row; three scans of the column."""
+    row = describe_column(df, column, [0.25, 0.5, 0.75])
+    quartiles = [F.col("quantiles")[i].alias(name) for i, name in enumerate(("p25", "p50", "p75"))]
+    return row.select(F.col("n").alias("count"), "mean", "std", F.col("least").alias("min"), *quartiles, F.col("most").alias("max"))
 
 
 def histogram(df: DataFrame, column: str, bins: int = 20) -> DataFrame:

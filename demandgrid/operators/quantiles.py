@@ -104,17 +104,39 @@ def exact_quantiles_of(df: DataFrame, values: Sequence[str], probs: Sequence[flo
     return _quantiles(df.select(F.inline(pairs)), ["measure"], [float(p) for p in probs])
 
 
-def _quantiles(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
+def describe_column(df: DataFrame, value: str, probs: Sequence[float]) -> DataFrame:
+    """One row: ``n, quantiles, mean, std, least, most`` (sample deviation). The moments come from the counts per slot, so there
+    is no scan of their own."""
+    return _quantiles(df.select(F.col(value).cast("double").alias("v")), [], [float(p) for p in probs], moments=True)
+
+
+MOMENTS = ("mean", "squares", "lowest", "highest")
+
+
+def _with_moments(slots: DataFrame, bucket: Window) -> DataFrame:
+    """Each slot's row with the mean, the squares about it, and the ends of its bucket, merged from those of the slots."""
+    c, off = F.col("c"), F.col("m") - F.col("mean")
+    merged = slots.withColumn("mean", F.sum(c * F.col("m")).over(bucket) / F.sum("c").over(bucket))
+    return merged.withColumns({
+        "squares": F.sum(c * (F.col("var") + off * off)).over(bucket),
+        "lowest": F.min("least").over(bucket), "highest": F.max("most").over(bucket),
+    })
+
+
+def _quantiles(rows: DataFrame, by: list[str], probs: list[float], moments: bool = False) -> DataFrame:
     rows = rows.where(F.col("v").isNotNull() & ~F.isnan("v"))
     brackets = _brackets(probs)
     cuts = F.broadcast(_cuts(rows, by, [p for pair in brackets for p in pair]))
     placed = (rows.join(cuts, by) if by else rows.crossJoin(cuts)).select(*by, _slot(brackets).alias("slot"), "v")
 
     bucket = Window.partitionBy(*by) if by else Window.partitionBy(F.lit(0))
-    slots = placed.groupBy(*by, "slot").agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"))
+    more = [F.avg("v").alias("m"), F.var_pop("v").alias("var")] if moments else []
+    counted = placed.groupBy(*by, "slot").agg(F.count("*").alias("c"), F.min("v").alias("least"), F.max("v").alias("most"), *more)
+    counted, carried = (_with_moments(counted, bucket), MOMENTS) if moments else (counted, ())
     running = F.sum("c").over(bucket.orderBy("slot").rowsBetween(Window.unboundedPreceding, 0))
-    slots = slots.select(
-        *by, "least", "most", (running - F.col("c")).alias("before"), running.alias("upto"), F.sum("c").over(bucket).alias("n")
+    slots = counted.select(
+        *by, "least", "most", (running - F.col("c")).alias("before"), running.alias("upto"), F.sum("c").over(bucket).alias("n"),
+        *carried,
     )
 
     def holds(rank: str) -> str:
@@ -123,17 +145,21 @@ def _quantiles(rows: DataFrame, by: list[str], probs: list[float]) -> DataFrame:
     # At most two slots per quantile and bucket. They are passed on as value ranges: the last scan does not depend on
     # the sketch, which may differ between evaluations.
     wanted = " OR ".join(holds(rank) for p in probs for rank in _ranks(p))
-    wanted = F.broadcast(slots.where(wanted).select(*by, "least", "most", "before", "n"))
+    wanted = F.broadcast(slots.where(wanted).select(*by, "least", "most", "before", "n", *carried))
     near = rows.join(wanted, by) if by else rows.crossJoin(wanted)
-    values = near.where("v BETWEEN least AND most").groupBy(*by, "before", "n", "v").agg(F.count("*").alias("c"))
+    values = near.where("v BETWEEN least AND most").groupBy(*by, "before", "n", "v", *carried).agg(F.count("*").alias("c"))
     in_slot = Window.partitionBy(*by, "before").orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.col("before") + F.sum("c").over(in_slot)
-    values = values.select(*by, "n", "v", (upto - F.col("c")).alias("before"), upto.alias("upto"))
+    values = values.select(*by, "n", "v", *carried, (upto - F.col("c")).alias("before"), upto.alias("upto"))
     picks = [
         F.expr(f"max(if({holds(rank)}, v, NULL))").alias(f"{side}{i}")
         for i, p in enumerate(probs)
         for side, rank in zip(("lo", "hi"), _ranks(p))
     ]
-    found = values.groupBy(*by).agg(F.expr("coalesce(max(n), 0)").alias("n"), *picks)
+    found = values.groupBy(*by).agg(F.expr("coalesce(max(n), 0)").alias("n"), *picks, *[F.max(c).alias(c) for c in carried])
     out = ", ".join(_interpolated(i, p) for i, p in enumerate(probs))
-    return found.select(*by, "n", F.expr(f"array({out})").alias("quantiles"))
+    found = found.select(*by, "n", F.expr(f"array({out})").alias("quantiles"), *carried)
+    if not moments:
+        return found
+    std = F.when(F.col("n") > 1, F.sqrt(F.col("squares") / (F.col("n") - 1)))
+    return found.select(*by, "n", "quantiles", "mean", std.alias("std"), F.col("lowest").alias("least"), F.col("highest").alias("most"))
