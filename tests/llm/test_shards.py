@@ -26,6 +26,36 @@ def test_balanced_and_gapless(docs_frame):
     assert len(sizes) == 7 and max(abs(v - mean) for v in sizes.values()) < 0.02 * mean
 
 
+def plain(rows, n, whole=0.05):
+    """Prefix sums over all rows at once, in the order of CRC-32, text and id."""
+    order = sorted((zlib.crc32(t.encode()), t, i) for i, t in rows)
+    size = [len(t.encode()) + 8 for _, t, _ in order]
+    total, start, groups = sum(size), 0, defaultdict(list)
+    places = []
+    for k, (_, t, _) in enumerate(order):
+        places.append(start)
+        groups[t].append(k)
+        start += size[k]
+    shard = {}
+    for members in groups.values():
+        held = sum(size[k] for k in members)
+        together = len(members) == 1 or held <= whole * total / n
+        for k in members:
+            middle = 2 * places[members[0]] + held if together else 2 * places[k] + size[k]
+            shard[k] = min(n - 1, middle * n // (2 * total))
+    seen, out = defaultdict(int), []
+    for k, (_, _, i) in enumerate(order):
+        out.append((i, shard[k], seen[shard[k]]))
+        seen[shard[k]] += 1
+    return sorted(out)
+
+
+def test_against_prefix_sums(docs_frame):
+    rows = [(i, " ".join(words(i % 250, 1 + i % 60))) for i in range(700)] + [(1_000 + i, "copied very often") for i in range(400)]
+    got = shard_plan(docs_frame(rows), 24).collect()
+    assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in got) == plain(rows, 24)
+
+
 def test_copies_stay_together_unless_too_many(docs_frame):
     rows = [(i, " ".join(words(i % 300, 20))) for i in range(900)]
     plan = shard_plan(docs_frame(rows), 5).collect()
