@@ -113,8 +113,9 @@ def _planned(docs: DataFrame, sized: DataFrame, weights: Sequence[int], most: in
     totals = sized.groupBy("source").agg(F.sum("size").cast("bigint").alias("source_size"))
     units = materialize(sized.where("size > 0").groupBy("source", "hash").agg(F.sum("size").alias("held"), F.count("*").alias("rows")), "mix-units")
     plan = materialize(stretches(units, source_targets(totals, weights, most)), "mix-plan")  # a row per source
-    # Rows that share a hash are weighed together; the others need no look at their unit.
+    # Rows that share a hash are weighed together; the others need no look at their unit. Written, so that Spark knows its size.
     shared = units.where("rows > 1").select(F.col("source").alias("u"), F.col("hash").alias("h"), F.col("held").alias("together"))
+    shared = materialize(shared, "mix-shared")
     whole = docs.join(shared, F.col("source").eqNullSafe(F.col("u")) & (F.col("hash") == F.col("h")), "left")
     size = F.coalesce("together", "size")
     taken = F.exists("cuts", lambda c: (F.col("hash") > c["after"]) & (F.col("hash") < c["before"]) & (size <= c["most"]))

@@ -248,8 +248,8 @@ def _links(docs: DataFrame, nodes: DataFrame, limit: float) -> DataFrame:
     return materialize(found, "dart-links")
 
 
-def _classes(docs: DataFrame, limit: float) -> DataFrame:
-    """``doc_id, k1, k2, node, class_id, n_links`` of every document that has a text."""
+def _classes(docs: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
+    """Documents as ``doc_id, k1, k2`` and distinct texts as ``k1, k2, node, class_id, n_links``."""
     signed, nodes = _nodes(docs)
     links = _links(docs, nodes, limit)
     components = connected_components(links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
@@ -258,7 +258,7 @@ def _classes(docs: DataFrame, limit: float) -> DataFrame:
         nodes.drop("bands").join(components, "node", "left").join(counts, "node", "left")
         .select("k1", "k2", "node", F.coalesce("component", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
     )
-    return signed.select("doc_id", "k1", "k2").join(named, ["k1", "k2"])
+    return signed.select("doc_id", "k1", "k2"), named
 
 
 def near_classes(docs: DataFrame, limit: float = SIMILARITY) -> DataFrame:
@@ -266,7 +266,8 @@ def near_classes(docs: DataFrame, limit: float = SIMILARITY) -> DataFrame:
     null = docs.where(F.col("text").isNull()).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links")
     )
-    return _classes(docs, limit).select("doc_id", "class_id", "n_links").unionByName(null)
+    rows, texts = _classes(docs, limit)
+    return rows.join(texts, ["k1", "k2"]).select("doc_id", "class_id", "n_links").unionByName(null)
 
 
 def drop_near(docs: DataFrame, limit: float = SIMILARITY) -> DataFrame:
@@ -274,6 +275,6 @@ def drop_near(docs: DataFrame, limit: float = SIMILARITY) -> DataFrame:
     whole = docs.where(F.col("text").isNotNull()).select(
         F.struct("*").alias("whole_row"), F.coalesce("doc_id", F.xxhash64("text")).alias("id"), *_keys()
     )
-    first = _classes(docs, limit).where("node = class_id").select(F.col("node").alias("id"), "k1", "k2").distinct()
+    first = _classes(docs, limit)[1].where("node = class_id").select(F.col("node").alias("id"), "k1", "k2")
     kept = whole.dropDuplicates(["id", "k1", "k2"]).join(first, ["id", "k1", "k2"], "left_semi")
     return kept.select("whole_row.*").unionByName(docs.where(F.col("text").isNull()))
