@@ -11,7 +11,7 @@ Smoothing: absolute discounting, interpolated, with counts before pruning: of an
 times, (c - d) / t; the rest of the context's mass goes to the shorter context. N-grams of two words and more with a count
 below ``min_count`` are not kept (their mass is part of that rest). Words with unknown hash share the mass of words seen once.
 
-Building: n-grams are counted per batch, dealt by hashed key, summed over all batches, and put into parts by ranges of (context, word), so a hot context
+Building: n-grams are counted per slice of a batch, dealt by hashed key, summed over all batches, and put into parts by ranges of (context, word), so a hot context
 is spread over parts; the driver gets one row per part. Files go to the shared scratch folder, which must be reachable as a
 path on all machines; a part is written under another name and moved, so a repeated task does no harm.
 
@@ -41,6 +41,7 @@ DISCOUNT = 0.75
 ID_BITS = 31
 WORD_MASK = (1 << ID_BITS) - 1
 SLICE_CHARS, SLICE_TOKENS = 6_000_000, 1_000_000
+PART_ROWS = 500_000
 
 
 # Tokens
@@ -470,7 +471,6 @@ def _count_level(model: Model, level: int, least: int, buckets: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = model.reader()
         for batch in batches:
-            found, sums = [], []
             for _, _, ids, counts in _numbered(batch):
                 word, first = ids.astype(np.int64), _first(counts)
                 for n, head, node, _ in walk(reader, ids, first, level - 1):
@@ -481,11 +481,7 @@ def _count_level(model: Model, level: int, least: int, buckets: int):
                 use = (context >= 0) & kept
                 if level == 2:
                     use[1:] &= kept[:-1] | first[1:]
-                keys, many = np.unique(context[use] << ID_BITS | word[use], return_counts=True)
-                found.append(keys)
-                sums.append(many)
-            if found:
-                yield _dealt(*_summed(np.concatenate(found), np.concatenate(sums)), buckets)
+                yield _dealt(*np.unique(context[use] << ID_BITS | word[use], return_counts=True), buckets)
 
     return run
 
@@ -538,7 +534,8 @@ def train_levels(numbered: DataFrame, model: Model, order: int = 3, min_count: i
             break
         count = partial(_count_level, model, level, min_count)
         kept = materialize(_counted(numbered.select("ids"), count, min_count, "key"), f"lm-{level}")
-        rows = kept.repartitionByRange(parts, "key").sortWithinPartitions("key").mapInArrow(_write_level(model.folder, model, level), MANIFEST_DDL)
+        wide = max(parts, -(-kept.count() // PART_ROWS))  # a part is held in memory when it is written
+        rows = kept.repartitionByRange(wide, "key").sortWithinPartitions("key").mapInArrow(_write_level(model.folder, model, level), MANIFEST_DDL)
         parts_of = _parts(rows.collect())
         if not parts_of:
             break

@@ -25,7 +25,7 @@ def op3_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", held_out(*MODEL_HELD).alias("held_out"), "text")
     model = ngram_lm.train_words(docs.where("not held_out"))
     numbered = ngram_lm.number_words(docs, model)
-    return ngram_lm.score_numbered(numbered, ngram_lm.train_levels(numbered.where("not held_out"), model))
+    return ngram_lm.score_numbered(numbered, ngram_lm.train_levels(numbered.where("not held_out"), model, min_count=1))
 
 
 def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:

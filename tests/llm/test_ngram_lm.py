@@ -10,6 +10,7 @@ import pytest
 
 from demandgrid.llm import ngram_lm
 from demandgrid.llm.elias_fano import EliasFano, load, save
+from demandgrid.llm.queries import op3_language_model
 
 
 def tokens(text: str) -> list[bytes]:
@@ -88,6 +89,17 @@ def test_against_dictionaries(docs_frame, order):
         assert r["score"] == pytest.approx(want.score(test[r["doc_id"]]), rel=2e-3)
 
 
+def test_query_counts_ngrams_seen_once(spark, docs_frame, tmp_path):
+    texts = corpus(4, 60)
+    docs_frame(list(enumerate(texts))).write.parquet(str(tmp_path / "documents.parquet"))
+    rows = op3_language_model(spark, str(tmp_path)).collect()
+    whole, pruned = (Plain([texts[r["doc_id"]] for r in rows if not r["held_out"]], 3, least) for least in (1, 2))
+    assert {r["held_out"] for r in rows} == {True, False} and len(rows) == len(texts)
+    for r in rows:
+        assert r["score"] == pytest.approx(whole.score(texts[r["doc_id"]]), rel=2e-3)
+    assert any(abs(whole.score(t) / pruned.score(t) - 1) > 1e-2 for t in texts)
+
+
 def test_probabilities_add_up(docs_frame):
     train = corpus(3, 80)
     want = Plain(train, 3, 2)
