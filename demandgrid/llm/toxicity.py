@@ -5,7 +5,7 @@ transitions are features too. Token labels come from the document labels of a bo
 document is labelled toxic if it is far commoner in toxic documents than in clean ones. The field is fitted to these labels by gradient ascent on the conditional likelihood (forward-backward expectations). The
 marginals of a document (largest, and the sum of all) give its score by a logistic fit on the document labels.
 
-Limits: ``sample_docs`` toxic and ``CLEAN_SHARE`` times as many clean rows on average are learned from; the model that is
+Limits: ``sample_docs`` toxic and ``CLEAN_SHARE`` times as many clean rows on average are learned from, all of their tokens; the model that is
 broadcast holds at most ``vocabulary`` words and the toxic ones. Scoring reads whole texts.
 
 Defined cases: a null or empty text has no tokens and gets the score of a text without any toxic mass; without toxic or
@@ -33,6 +33,8 @@ SUB_BATCH = 1_000_000
 #: What a word must reach to count as toxic in fitting: the likelihood-ratio statistic, and how much commoner it is.
 LIKELIHOOD_RATIO, TIMES = 25.0, 8.0
 CLEAN_SHARE = 3
+#: Tokens whose gradient is worked out at once, and the longest chain in fitting; PIECE is a multiple of CHAIN.
+PIECE, CHAIN = 300_000, 100
 
 
 @dataclass
@@ -179,8 +181,8 @@ def _vocabulary(texts: list[str], kept: np.ndarray) -> dict[str, int]:
     return words
 
 
-def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps: int = 40, tokens: int = 300_000) -> ToxicModel:
-    """Fit the field and the document score to texts with labels 0 and 1; the field to ``tokens`` tokens of either label."""
+def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps: int = 40) -> ToxicModel:
+    """Fit the field and the document score to all tokens of texts with labels 0 and 1."""
     label = np.array(labels, np.int64)
     if not len(label) or label.min() == label.max():
         return ToxicModel(base_rate=float(label.mean()) if len(label) else 0.0)
@@ -197,18 +199,26 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
     words = _vocabulary(texts, distinct[keep])
     model = ToxicModel(words, np.zeros(len(keep) + 1), base_rate=float(label.mean()))
 
-    used = np.concatenate([np.flatnonzero(toxic == k)[:tokens] for k in (0, 1)])
-    x, y = ids[used], is_bad[ids[used]] & (toxic[used] == 1)
-    begins = first[used] | (np.arange(len(used)) % 100 == 0)  # chains for fitting are short
-    pairs = np.bincount(2 * y[np.flatnonzero(~begins) - 1] + y[~begins], minlength=4).reshape(2, 2)
+    x, y = ids, is_bad[ids] & (toxic == 1)
+    begins = first | (np.arange(len(x)) % CHAIN == 0)  # chains for fitting are short, and none lies in two pieces
+    inner = np.flatnonzero(~begins)
+    pairs = np.bincount(2 * y[inner - 1] + y[inner], minlength=4).reshape(2, 2)
+    del hashes, first, toxic, inner
     size, rate = len(keep) + 1, 1.0
     grads: dict[str, float | np.ndarray] = {"own": np.zeros(size), "bias": 0.0, "moves": np.zeros((2, 2))}
     for _ in range(steps):  # Adagrad on the log likelihood, with a small pull to zero
-        p, moves = marginals(emissions(model, x), begins, model.moves)
-        for name, g in (("own", np.bincount(x, y - p, size)), ("bias", (y - p).sum()), ("moves", pairs - moves)):
+        own, bias, moves = np.zeros(size), 0.0, np.zeros((2, 2))
+        for lo in range(0, len(x), PIECE):
+            at = slice(lo, lo + PIECE)
+            p, expected = marginals(emissions(model, x[at]), begins[at], model.moves)
+            own += np.bincount(x[at], y[at] - p, size)
+            bias += (y[at] - p).sum()
+            moves += expected
+        for name, g in (("own", own), ("bias", bias), ("moves", pairs - moves)):
             g = g - 1e-2 * getattr(model, name)
             grads[name] = grads[name] + g * g
             setattr(model, name, getattr(model, name) + rate * g / np.sqrt(grads[name] + 1e-8))
+    del x, y, ids, begins
     parts = []
     for lo, hi in chunks_of(texts, SUB_BATCH):
         ids, first, docs, _ = tokens_of(texts[lo:hi], words)

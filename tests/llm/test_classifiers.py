@@ -62,6 +62,14 @@ def test_toxic_scores_and_spans(spark, docs_frame):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows if i % 5}
 
 
+def test_field_is_fitted_to_all_tokens():
+    """A toxic word in texts behind the first 300,000 tokens of the toxic ones gets its weight."""
+    long = " ".join(words(1, 1_000))
+    texts = [f"a{i} {long}" for i in range(310)] + [f"b{i} vilest " + comment(i, False) for i in range(60)] + [comment(i, False) for i in range(200)]
+    model = toxicity.train(texts, [1] * 370 + [0] * 200, steps=5)
+    assert model.own[model.words["vilest"]] > 1
+
+
 def test_marginals_against_all_taggings():
     rng = np.random.default_rng(2)
     score, moves = rng.normal(0, 2, 9), rng.normal(0, 1, (2, 2))
