@@ -394,15 +394,20 @@ def dataset_job(spark: SparkSession, sf: str) -> DataFrame:
     return _summary(out, "target")
 
 
-def _inference(spark: SparkSession, sf: str) -> jobs.Inference:
+def _inference(spark: SparkSession, sf: str, thin=lambda hourly: hourly) -> jobs.Inference:
+    root = scratch_path(spark, "store")
+    kept = store.KeyedTable.create_or_get(spark, root, store.FEATURES)
+    kept.upsert(thin(jobs.feature_rides(inputs.rides(spark, sf), REPLAY_NOW, days=29)))
+    return jobs.inference_job(spark, root, REPLAY_NOW, models.FourWeekMean())
+
+
+def _stopped_and_late(hourly: DataFrame) -> DataFrame:
     """A store in which some locations stopped 20 hours ago and some began 100 hours ago."""
-    root, last = scratch_path(spark, "store"), times.next_hour(REPLAY_NOW) - times.HOUR
+    last = times.next_hour(REPLAY_NOW) - times.HOUR
     at, location = F.col("pickup_hour"), F.col("pickup_location_id")
     stopped = (location % 10 == 3) & (at > times.ntz(last - timedelta(hours=20)))
     late = (location % 10 == 7) & (at < times.ntz(last - timedelta(hours=100)))
-    kept = store.KeyedTable.create_or_get(spark, root, store.FEATURES)
-    kept.upsert(jobs.feature_rides(inputs.rides(spark, sf), REPLAY_NOW, days=29).where(~stopped & ~late))
-    return jobs.inference_job(spark, root, REPLAY_NOW, models.FourWeekMean())
+    return hourly.where(~stopped & ~late)
 
 
 def inference_job(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,7 +415,7 @@ def inference_job(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def inference_skipped(spark: SparkSession, sf: str) -> DataFrame:
-    return _inference(spark, sf).skipped
+    return _inference(spark, sf, _stopped_and_late).skipped
 
 
 def monitor_job(spark: SparkSession, sf: str) -> DataFrame:
