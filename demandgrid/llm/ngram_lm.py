@@ -530,8 +530,10 @@ def train_levels(numbered: DataFrame, model: Model, order: int = 3, min_count: i
     """Add levels two to ``order`` from the column ``ids``: n-grams with at least ``min_count`` places."""
     parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     for level in range(2, order + 1):
-        if not model.levels or sum(p.n for p in model.levels[-1]) >= 1 << (62 - ID_BITS):
+        if not model.levels:
             break
+        if (nodes := sum(p.n for p in model.levels[-1])) >= 1 << (62 - ID_BITS):
+            raise ValueError(f"{nodes} n-grams of {level - 1} words do not fit contexts of {62 - ID_BITS} bits")
         count = partial(_count_level, model, level, min_count)
         kept = materialize(_counted(numbered.select("ids"), count, min_count, "key"), f"lm-{level}")
         wide = max(parts, -(-kept.count() // PART_ROWS))  # a part is held in memory when it is written

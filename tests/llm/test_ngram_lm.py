@@ -100,6 +100,13 @@ def test_query_counts_ngrams_seen_once(spark, docs_frame, tmp_path):
     assert any(abs(whole.score(t) / pruned.score(t) - 1) > 1e-2 for t in texts)
 
 
+def test_too_many_contexts_raise(docs_frame):
+    numbered = docs_frame([(1, "a")]).selectExpr("cast(text as binary) AS ids")
+    model = ngram_lm.Model(levels=[[ngram_lm.Part("", 0, 0, 0, 1 << 31, 1)]], words=1)
+    with pytest.raises(ValueError, match="do not fit"):
+        ngram_lm.train_levels(numbered, model)
+
+
 def test_probabilities_add_up(docs_frame):
     train = corpus(3, 80)
     want = Plain(train, 3, 2)
