@@ -418,8 +418,7 @@ lagged AS (
 weeks AS (SELECT TIMESTAMP '2025-01-27 10:00:00' - to_days((7 * k)::INTEGER) AS pickup_hour FROM range(1, 5) t(k))
 SELECT f.pickup_location_id, round_even(sum(f.rides) / 4.0::DOUBLE, 0)::DOUBLE AS predicted_demand,
        TIMESTAMP '2025-01-27 10:00:00' AS pickup_hour
-FROM kept f JOIN weeks w ON w.pickup_hour = f.pickup_hour
-WHERE f.pickup_location_id NOT IN (SELECT pickup_location_id FROM skipped) GROUP BY f.pickup_location_id""",
+FROM filled f JOIN weeks w ON w.pickup_hour = f.pickup_hour GROUP BY f.pickup_location_id""",
     "q_inference_skipped": WITH + _counts(LATE) + RANGE_FILL.format(lo="2024-12-29 10:00:00", hi="2025-01-27 09:00:00") + """
 SELECT * FROM skipped""",
     "q_monitor_job": WITH + ERRORS + """
