@@ -27,7 +27,7 @@ def canonical(df: pd.DataFrame) -> pd.DataFrame:
         if str(df[c].dtype).startswith("datetime64"):
             df[c] = df[c].astype("datetime64[us]")
         elif pd.api.types.is_integer_dtype(df[c].dtype):
-            df[c] = df[c].astype("int64")
+            df[c] = df[c].astype("float64" if df[c].isna().any() else "int64")
     return df.sort_values(list(df.columns), ignore_index=True)
 
 
