@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from demandgrid.llm import decontaminate, fingerprints, langid, mixing, neardup, ngram_lm, quality, repeats, shards, toxicity
+from demandgrid.llm import (
+    decontaminate, fim, fingerprints, langid, mixing, neardup, ngram_lm, quality, repeats, shards, simhash, toxicity, whitening,
+)
 from demandgrid.llm.common import held_out, table
 
 LANG_HELD, TOXIC_HELD, QUALITY_HELD, MODEL_HELD = (4, 2), (5, 0), (3, 1), (5, 1)
@@ -43,7 +45,9 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repeats.find_repeats(table(spark, sf_dir, "documents")).drop("spans")
+    found = repeats.find_repeats(table(spark, sf_dir, "documents"))
+    text = F.array_join(F.transform("spans", lambda s: F.concat(s["start"], F.lit("-"), s["end"])), " ")
+    return found.withColumn("spans", text)
 
 
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -67,8 +71,26 @@ def op10_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.withColumns({"law": F.lit("bytes"), "grown_shard": F.lit(None).cast("int")})
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = fim.restore(fim.fill_in_middle(table(spark, sf_dir, "documents")))
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return rows.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+def op12_simhash_components(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten_embeddings(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_fingerprints, op2_decontaminate, op3_language_model, op4_language_id, op5_toxicity, op6_repeats, op7_quality, op8_source_mix, op9_near_classes, op10_shards)
+    f.__name__: f
+    for f in (
+        op1_fingerprints, op2_decontaminate, op3_language_model, op4_language_id, op5_toxicity, op6_repeats, op7_quality,
+        op8_source_mix, op9_near_classes, op10_shards, op11_fill_in_middle, op12_simhash_components, op13_whitening,
+    )
 }
 
 ORACLE: dict[str, str] = {
@@ -116,9 +138,10 @@ gaps AS (
   SELECT r, coalesce(lag(hi) OVER (PARTITION BY r ORDER BY lo), 0) AS lo, lo AS hi FROM spans
   UNION ALL SELECT d.r, coalesce(max(s.hi), 0), any_value(d.n) FROM d LEFT JOIN spans s ON s.r = d.r GROUP BY d.r),
 kept AS (SELECT g.r, string_agg(substr(d.x, 2 * g.lo + 1, 2 * (g.hi - g.lo)), '' ORDER BY g.lo) AS x FROM gaps g JOIN d ON d.r = g.r GROUP BY g.r),
-cut AS (SELECT r, sum(hi - lo) AS n_removed, count(*) AS n_spans FROM spans GROUP BY r)
+cut AS (
+  SELECT r, sum(hi - lo) AS n_removed, count(*) AS n_spans, string_agg(lo || '-' || hi, ' ' ORDER BY lo) AS spans FROM spans GROUP BY r)
 SELECT d.doc_id, d.n::BIGINT AS n_bytes, coalesce(c.n_removed, 0)::BIGINT AS n_removed, coalesce(c.n_spans, 0)::BIGINT AS n_spans,
-       sha256(unhex(k.x)) AS kept_sha256
+       sha256(unhex(k.x)) AS kept_sha256, c.spans
 FROM d JOIN kept k ON k.r = d.r LEFT JOIN cut c ON c.r = d.r
 """,
     "op8_source_mix": r"""
@@ -159,6 +182,31 @@ SELECT d.doc_id, d.source, d.size, r.source_size, r.target,
        (r.repeats + (k.hash IS NOT NULL AND d.size > 0)::BIGINT) * d.size AS taken
 FROM d JOIN r ON d.source IS NOT DISTINCT FROM r.source
 LEFT JOIN k ON d.source IS NOT DISTINCT FROM k.source AND d.hash = k.hash
+""",
+    # Cut and joined text by text; restored by putting the pieces back.
+    "op11_fill_in_middle": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS u,
+         sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS d
+  FROM documents),
+h AS (
+  SELECT *, len(u)::BIGINT AS n, ('0x' || substr(d, 1, 8))::BIGINT AS h1, ('0x' || substr(d, 9, 8))::BIGINT AS h2,
+         ('0x' || substr(d, 17, 8))::BIGINT AS h3, ('0x' || substr(d, 25, 8))::BIGINT AS h4
+  FROM t),
+c AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS lo, greatest(h1 % (n + 1), h2 % (n + 1)) AS hi,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>') OR h3 % 100 >= 90 THEN 'plain'
+              WHEN h4 % 100 < 20 THEN 'spm' ELSE 'psm' END AS form
+  FROM h),
+p AS (
+  SELECT *, array_to_string(u[1:lo], '') AS prefix, array_to_string(u[lo + 1:hi], '') AS middle, array_to_string(u[hi + 1:n], '') AS suffix
+  FROM c)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END::BIGINT AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END::BIGINT AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(prefix || middle || suffix) AS restored_sha256
+FROM p
 """,
     # All pairs of texts with a common shingle, compared exactly.
     "op9_near_classes": r"""
