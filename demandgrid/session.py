@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -56,3 +57,24 @@ def materialize(df: DataFrame, label: str, partition_by: tuple[str, ...] = ()) -
     path = scratch_path(df.sparkSession, label)
     df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def take_name(spark: SparkSession, fs, hidden, shown) -> bool:
+    """Give the complete file ``hidden`` the name ``shown``, for one caller only; False if the name is taken.
+
+    On a local file system that is a hard link, which fails if the name exists; elsewhere a rename that does not replace, as
+    on HDFS. A store whose rename replaces silently needs one writer at a time.
+    """
+    if fs.getScheme() != "file":
+        return not fs.exists(shown) and fs.rename(hidden, shown)
+    files, paths = spark._jvm.java.nio.file.Files, spark._jvm.java.nio.file.Paths
+    local = lambda p: paths.get(fs.makeQualified(p).toUri().getPath(), spark._sc._gateway.new_array(spark._jvm.java.lang.String, 0))
+    try:
+        files.createLink(local(shown), local(hidden))
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+    finally:
+        fs.delete(hidden, False)
+    return True

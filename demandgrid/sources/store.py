@@ -1,8 +1,14 @@
 """Keyed tables: named, versioned, with a primary key and an event time; a repeated key takes the last write.
 
-A table is Parquet by event date. A batch writes new files for the dates it touches and no others, each batch in a folder of
+A table is Parquet by event date. A batch writes new files for the dates it changes and no others, each batch in a folder of
 its own, and then a manifest that names the folder of every date. Readers take the newest manifest, so a table changes in
 one step: a batch that stops before it leaves the table as it was, and can be run again.
+
+The manifest also keeps the number of rows of each date and a digest of them that does not depend on their order. A batch whose
+rows for a date have the same number and digest leaves that date alone, unread and unwritten.
+
+Manifests are numbered, and a number is taken by whoever first gives a complete file that name. A writer that comes second
+looks at what the others did: dates that only it has touched are added to their state, the rest of its batch is merged again.
 """
 
 from __future__ import annotations
@@ -10,6 +16,7 @@ from __future__ import annotations
 import json
 import os
 import uuid
+from collections.abc import Iterable
 from dataclasses import dataclass
 from datetime import date, datetime, timedelta
 
@@ -19,9 +26,12 @@ from pyspark.sql import types as T
 
 from demandgrid.functions.times import as_datetime, ntz
 from demandgrid.schemas import HOURLY, PREDICTIONS, require_columns
-from demandgrid.session import materialize
+from demandgrid.session import materialize, take_name
 
 DATE = "event_date"
+#: So many times a batch is merged again because other writers were first.
+ATTEMPTS = 20
+State = dict[str, dict]
 
 
 @dataclass(frozen=True)
@@ -42,6 +52,10 @@ FORECASTS = TableSpec(
 )
 
 
+class Overtaken(RuntimeError):
+    """Another writer has changed the table in the meantime."""
+
+
 class KeyedTable:
     def __init__(self, spark: SparkSession, root: str, spec: TableSpec):
         self.spark, self.spec = spark, spec
@@ -54,10 +68,13 @@ class KeyedTable:
             raise ValueError("the key must contain the event time, so that a key never changes its partition")
         table = cls(spark, root, spec)
         if not table._manifests():
-            table._switch(0, {})
+            try:
+                table._switch(0, {})
+            except Overtaken:  # it is there now
+                pass
         return table
 
-    # --- the manifest: a small JSON file per state, ``{date: folder}``, the one with the highest number counts
+    # --- the manifest: a small JSON file per state, ``{date: {folder, rows, digest}}``; the one with the highest number counts
 
     def _fs(self):
         jvm = self.spark._jvm
@@ -69,18 +86,22 @@ class KeyedTable:
         names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
         return sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json"))
 
-    def _state(self) -> tuple[int, dict[str, str]]:
-        number = self._manifests()[-1]
+    def _read_manifest(self, number: int) -> State:
         fs, folder, path = self._fs()
         stream = fs.open(path(folder, f"{number:012d}.json"))
         try:
             text = self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
         finally:
             stream.close()
-        return number, json.loads(text)
+        # A date of an older table is only its folder.
+        return {d: {"folder": v} if isinstance(v, str) else v for d, v in json.loads(text).items()}
+
+    def _state(self) -> tuple[int, State]:
+        number = self._manifests()[-1]
+        return number, self._read_manifest(number)
 
-    def _switch(self, number: int, dates: dict[str, str]) -> None:
-        """Make ``dates`` the state ``number``; fails if another writer was first."""
+    def _switch(self, number: int, dates: State) -> None:
+        """Make ``dates`` the state ``number``; raises if another writer was first."""
         fs, folder, path = self._fs()
         hidden, shown = path(folder, f"_{uuid.uuid4().hex}"), path(folder, f"{number:012d}.json")
         stream = fs.create(hidden, False)
@@ -88,26 +109,23 @@ class KeyedTable:
             stream.write(bytearray(json.dumps(dates, sort_keys=True).encode()))
         finally:
             stream.close()
-        if fs.exists(shown) or not fs.rename(hidden, shown):
-            raise RuntimeError(f"{self.path} was changed by another writer; run the batch again")
-
-    def _files(self, start: date | None = None, end: date | None = None, only: set[str] | None = None) -> DataFrame:
-        """Rows of the dates from ``start`` to ``end``, or of ``only`` those dates; other dates' files are not listed."""
-        dates = {
-            d: folder for d, folder in self._state()[1].items()
-            if (start is None or d >= start.isoformat()) and (end is None or d <= end.isoformat()) and (only is None or d in only)
-        }
-        if not dates:
+        if not take_name(self.spark, fs, hidden, shown):
+            raise Overtaken(f"{self.path} was changed by another writer")
+
+    def _read_dates(self, state: State, dates: Iterable[str]) -> DataFrame:
+        """Rows of those dates: one scan, however many batches wrote them. Other dates' files are not listed."""
+        paths = [os.path.join(self.path, state[d]["folder"], f"{DATE}={d}") for d in sorted(dates)]
+        if not paths:
             return self.spark.createDataFrame([], self.stored)
-        rows = None
-        by_folder: dict[str, list[str]] = {}
-        for d, folder in dates.items():
-            by_folder.setdefault(folder, []).append(os.path.join(self.path, folder, f"{DATE}={d}"))
-        for folder, paths in sorted(by_folder.items()):
-            base = os.path.join(self.path, folder)
-            part = self.spark.read.schema(self.stored).option("basePath", base).parquet(*sorted(paths))
-            rows = part if rows is None else rows.unionByName(part)
-        return rows
+        rows = self.spark.read.schema(self.stored).option("basePath", self.path).parquet(*paths)
+        return rows.select(*self.stored.names)
+
+    def _files(self, start: date | None = None, end: date | None = None) -> DataFrame:
+        """Rows of the dates from ``start`` to ``end``."""
+        state = self._state()[1]
+        return self._read_dates(
+            state, [d for d in state if (start is None or d >= start.isoformat()) and (end is None or d <= end.isoformat())]
+        )
 
     def vacuum(self, keep: int = 1) -> None:
         """Delete what only states older than the newest ``keep`` need. Run it when no reader or writer of these is active."""
@@ -115,11 +133,7 @@ class KeyedTable:
         fs, folder, path = self._fs()
         used: set[str] = set()
         for number in numbers[-keep:]:
-            stream = fs.open(path(folder, f"{number:012d}.json"))
-            try:
-                used |= set(json.loads(self.spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")).values())
-            finally:
-                stream.close()
+            used |= {v["folder"] for v in self._read_manifest(number).values()}
         for number in numbers[:-keep]:
             fs.delete(path(folder, f"{number:012d}.json"), False)
         for f in fs.listStatus(path(self.path)):
@@ -150,13 +164,20 @@ class KeyedTable:
         self.read().createOrReplaceTempView(name)
         return self.spark.table(name)
 
-    def upsert(self, batch: DataFrame, latest_by: str | None = None) -> None:
-        """Insert a batch; rows with a key already stored replace it. Running the same batch again changes nothing.
+    def _digests(self) -> list[Column]:
+        """Number of rows and an order-free digest of them, as aggregates."""
+        return [
+            F.count("*").alias("rows"), F.sum(F.xxhash64(*self.spec.schema.names).cast("decimal(38,0)")).cast("string").alias("digest")
+        ]
+
+    def upsert(self, batch: DataFrame, latest_by: str | None = None) -> list[str]:
+        """Insert a batch; rows with a key already stored replace it. Running the same batch again changes nothing and writes nothing.
+        Gives the dates that were written.
 
         Within a batch a repeated key keeps the row with the greatest ``latest_by``, found with a combinable aggregate so that
         one key with very many rows is no burden; without ``latest_by`` repeated keys must agree. Null keys are an error.
 
-        The batch is written to the scratch folder once (several steps read it), each touched date once to the table.
+        The batch is written to the scratch folder once (several steps read it), each changed date once to the table.
         """
         names = self.spec.schema.names
         require_columns(batch, *names, *([latest_by] if latest_by else []))
@@ -178,25 +199,57 @@ class KeyedTable:
         no_key = F.lit(False)
         for k in keys:
             no_key = no_key | F.col(k).isNull()
-        found = staged.groupBy(DATE).agg(F.max(no_key).alias("no_key"), F.max("_differ").alias("differ")).collect()
+        found = staged.groupBy(DATE).agg(F.max(no_key).alias("no_key"), F.max("_differ").alias("differ"), *self._digests()).collect()
         if any(r["no_key"] for r in found):
             raise ValueError(f"rows without {' or '.join(keys)}")
         if latest_by is None and any(r["differ"] for r in found):
             raise ValueError("a key is repeated with different values: say by which column the latest is found")
-        if not found:
-            return
-        dates = {r[DATE].isoformat() for r in found}
-        number, state = self._state()
         staged = staged.drop("_differ")
-        kept = self._files(only=dates).join(staged.select(*keys), keys, "left_anti") if dates & set(state) else None
-        merged = staged if kept is None else kept.select(*staged.columns).unionByName(staged)
+        digests = {r[DATE].isoformat(): {"rows": r["rows"], "digest": r["digest"]} for r in found}
+        number, state = self._state()
+        written: State = {}  # what of this batch lies in the table's folder, each merged with the state ``base``
+        base = state
+        for _ in range(ATTEMPTS):
+            # A date that another writer has changed since it was merged is merged again.
+            written = {d: v for d, v in written.items() if base.get(d) == state.get(d)}
+            todo = self._changed(staged, state, {d: v for d, v in digests.items() if d not in written})
+            written |= self._merge(staged, state, todo)
+            try:
+                if written:
+                    self._switch(number + 1, state | written)
+                return sorted(written)
+            except Overtaken:
+                base, (number, state) = state, self._state()
+        raise Overtaken(f"{self.path}: other writers were first {ATTEMPTS} times; run the batch again")
+
+    def _changed(self, staged: DataFrame, state: State, digests: State) -> set[str]:
+        """Dates on which the batch changes a row. Those with equal digests aren't read; of the others those that are stored are compared."""
+        new = {d for d in digests if d not in state}
+        unequal = {d for d, v in digests.items() if d in state and any(state[d].get(k) != v[k] for k in v)}
+        if not unequal:
+            return new
+        keys, names = list(self.spec.keys), self.spec.schema.names
+        stored = self._read_dates(state, unequal).select(*keys, F.struct(*names).alias("_stored"))
+        rows = staged.where(F.col(DATE).isin([date.fromisoformat(d) for d in unequal]))
+        differs = ~F.struct(*names).eqNullSafe(F.col("_stored"))
+        compared = rows.join(stored, keys, "left").where(differs).select(DATE).distinct()
+        return new | {r[DATE].isoformat() for r in compared.collect()}  # calendar dates
+
+    def _merge(self, staged: DataFrame, state: State, dates: set[str]) -> State:
+        """Write those dates of the state with the batch's rows put in; gives their part of the manifest."""
+        if not dates:
+            return {}
+        keys = list(self.spec.keys)
+        rows = staged.where(F.col(DATE).isin([date.fromisoformat(d) for d in dates]))
+        stored = dates & set(state)
+        merged = rows
+        if stored:
+            kept = self._read_dates(state, stored).join(rows.select(*keys), keys, "left_anti")
+            merged = kept.select(*rows.columns).unionByName(rows)
         folder = f"batch={uuid.uuid4().hex}"
+        path = os.path.join(self.path, folder)
         # Rebalanced by date: few files per date, and a large date split over several tasks. The order is the one the
         # partitioned write needs, extended by the key, so that file statistics narrow reads of one location.
-        (
-            merged.hint("rebalance", DATE)
-            .sortWithinPartitions(DATE, *keys)
-            .write.partitionBy(DATE)
-            .parquet(os.path.join(self.path, folder))
-        )
-        self._switch(number + 1, state | dict.fromkeys(dates, folder))
+        merged.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys).write.partitionBy(DATE).parquet(path)
+        done = self.spark.read.schema(self.stored).parquet(path).groupBy(DATE).agg(*self._digests()).collect()  # calendar dates
+        return {r[DATE].isoformat(): {"folder": folder, "rows": r["rows"], "digest": r["digest"]} for r in done}

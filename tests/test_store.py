@@ -49,6 +49,70 @@ def test_untouched_dates_are_not_rewritten(spark, table, hourly_frame):
     assert kept and kept <= files() and before - files() == before - kept
 
 
+def folders(table):
+    return {v["folder"] for v in table._state()[1].values()}
+
+
+def test_equal_dates_are_not_written(spark, table, hourly_frame):
+    assert len(table.upsert(hourly_frame({1: [1] * 72, 2: [2] * 72}))) == 3
+    number, before = table._state()[0], folders(table)
+    assert table.upsert(hourly_frame({2: [2] * 72, 1: [1] * 72}).repartition(3)) == []  # equal digests
+    assert table.upsert(hourly_frame({2: [2] * 30})) == []  # a part of the stored rows: compared row by row
+    assert table._state()[0] == number and folders(table) == before
+    assert table.upsert(hourly_frame({1: [1] * 30 + [7], 2: [2] * 60})) == ["2024-01-02"]
+    assert contents(table.read())[(1, START + timedelta(hours=30))] == 7 and table.read().count() == 144
+
+
+def test_a_second_run_of_the_job_writes_nothing(spark):
+    root, path = scratch_path(spark, "store"), scratch_path(spark, "trips")
+    base = datetime(2025, 1, 1, 10) - timedelta(weeks=52)
+    rows = [(base - timedelta(hours=h), base - timedelta(hours=h - 1), 9.0, h % 3 + 2, *(base - timedelta(hours=h)).timetuple()[:2]) for h in range(1, 200)]
+    trips.write_trips(spark.createDataFrame(rows, TRIPS), path)
+    run = lambda: jobs.feature_job(spark, path, root, datetime(2025, 1, 1, 9, 20), rules=TripRules(amount_quantile=1.0))
+    first = run()._state()
+    assert run()._state() == first and first[0] == 1
+
+
+def test_many_batches_are_one_scan(spark, table, hourly_frame):
+    for day in range(6):
+        table.upsert(hourly_frame({1: [day] * 24}, START + timedelta(days=day)))
+    plan = table.read()._jdf.queryExecution().executedPlan().toString()
+    assert len(folders(table)) == 6 and plan.count("FileScan") == 1 and "Union" not in plan
+    assert {r.rides for r in table.read_range(START + timedelta(days=2), START + timedelta(days=3, hours=5)).collect()} == {2, 3}
+
+
+def test_two_writers_at_once(spark, table, hourly_frame):
+    """Each finds the same state; both batches are there, whether or not they touch the same dates."""
+    from concurrent.futures import ThreadPoolExecutor
+    from threading import Barrier
+
+    table.upsert(hourly_frame({9: [9] * 24}))
+    for k, shift in enumerate((24, 3)):  # other dates, then the same date
+        barrier = Barrier(2)
+
+        class Slow(store.KeyedTable):
+            first = True
+
+            def _merge(self, *args, barrier=barrier):
+                done = super()._merge(*args)
+                if self.first:
+                    self.first = False
+                    barrier.wait(60)  # no one switches before both have merged
+                return done
+
+        def write(w, k=k, shift=shift):
+            Slow(spark, table.path.rsplit("/", 1)[0], store.FEATURES).upsert(
+                hourly_frame({10 * (k + 1) + w: [w] * 3}, START + timedelta(days=3 * k + 1, hours=shift * w))
+            )
+
+        with ThreadPoolExecutor(2) as pool:
+            list(pool.map(write, (0, 1)))
+    got = {}
+    for (location, _), rides in contents(table.read()).items():
+        got.setdefault(location, []).append(rides)
+    assert got == {9: [9] * 24, 10: [0] * 3, 11: [1] * 3, 20: [0] * 3, 21: [1] * 3}
+
+
 def test_repeated_key_within_a_batch(spark, table):
     rows = [(START, 1, v, v % 7) for v in range(50)]
     batch = spark.createDataFrame(rows, "pickup_hour timestamp_ntz, pickup_location_id bigint, rides bigint, run int")
