@@ -472,4 +472,20 @@ UNION ALL SELECT 'history', t.pickup_location_id::VARCHAR, p.rides + t.predicted
 SELECT e.pickup_location_id, e.pickup_hour, f.rides, p.predicted_demand, e.absolute_error
 FROM errs e JOIN preds p USING (pickup_location_id, pickup_hour) JOIN filled f USING (pickup_location_id, pickup_hour)""",
     "q_stream_upsert": WITH + _counts() + "\n" + HOURLY + "counts",
+    "q_stream_gap_fill": WITH + FILLED + "\n" + HOURLY + "filled",
+    # Late: of a known location, in an hour that the rides of earlier parts have closed.
+    "q_stream_late": WITH + FILLED + """,
+e AS (
+  SELECT date_trunc('hour', ts) AS h, user_id AS u,
+         least(3, (ts >= '2024-01-08')::INTEGER + (ts >= '2024-01-16')::INTEGER + (ts >= '2024-01-23')::INTEGER + (event_id % 10 = 0)::INTEGER) AS k
+  FROM events WHERE ts IS NOT NULL
+),
+clock AS (SELECT k, max(max(h)) OVER (ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM e GROUP BY k),
+known AS (SELECT u, min(k) AS first FROM e WHERE u IS NOT NULL GROUP BY u),
+flagged AS (
+  SELECT e.h, coalesce(n.first < e.k AND e.h <= c.seen - INTERVAL 3 HOUR, false) AS late
+  FROM e JOIN clock c ON c.k = e.k JOIN known n ON n.u = e.u
+)
+SELECT hours.pickup_hour, count(*) FILTER (late = false) AS counted, count(*) FILTER (late) AS late
+FROM hours LEFT JOIN flagged f ON f.h = hours.pickup_hour GROUP BY hours.pickup_hour""",
 }

@@ -563,6 +563,42 @@ def stream_errors(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(out).drop("batch")
 
 
+def _arriving(spark: SparkSession, parts: list[DataFrame], start: datetime) -> DataFrame:
+    """The complete hourly table of rides that arrive in parts; the stream is stopped after each and started again."""
+    path, out, state = (scratch_path(spark, n) for n in ("incoming", "hours", "state"))
+    for part in parts:
+        part.write.mode("append").parquet(path)
+        incoming = hourly.ride_stream(spark, path, part.schema)
+        hourly.write_updates(hourly.hourly_series_stream(incoming, "2 hours", start), out, state, mode="append").awaitTermination()
+    return spark.read.parquet(out).drop("batch")
+
+
+def _arrivals(spark: SparkSession, sf: str, late: Column) -> tuple[list[DataFrame], datetime]:
+    """The rides in four parts by time, those of ``late`` in the next part, then a row that moves the time past the last hour;
+    and the first hour."""
+    events = inputs.table(spark, sf, "events").where(F.col("ts").isNotNull())
+    week = sum((F.col("ts") >= times.ntz(datetime(2024, 1, d))).cast("int") for d in (8, 16, 23))
+    dealt = events.select(
+        F.col("ts").alias("pickup_datetime"), F.col("user_id").alias("pickup_location_id"), F.least(F.lit(3), week + late.cast("int")).alias("part")
+    )
+    ends = dealt.agg(F.min("pickup_datetime").alias("lo"), F.max("pickup_datetime").alias("hi")).first()  # one row
+    closing = spark.createDataFrame([(ends["hi"] + timedelta(hours=3), None)], "pickup_datetime timestamp_ntz, pickup_location_id bigint")
+    return [dealt.where(F.col("part") == k).drop("part") for k in range(4)] + [closing], times.clock_floor(ends["lo"])
+
+
+def stream_gap_fill(spark: SparkSession, sf: str) -> DataFrame:
+    """Every hour of every location, given out as it is closed."""
+    return _arriving(spark, *_arrivals(spark, sf, F.lit(False))).drop("late")
+
+
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Rides counted in time and rides that came too late, by hour. Every tenth ride arrives a part late; those of
+    locations that are not known yet are in time all the same."""
+    rows = _arriving(spark, *_arrivals(spark, sf, F.col("event_id") % 10 == 0))
+    part = lambda late, name: F.sum(F.when(F.col("late") == late, F.col("rides")).otherwise(0)).alias(name)
+    return rows.groupBy("pickup_hour").agg(part(False, "counted"), part(True, "late"))
+
+
 QUERIES = {
     "q_scan_trips": scan_trips,
     "q_load_months": load_months,
@@ -631,4 +667,6 @@ QUERIES = {
     "q_stream_hourly": stream_hourly,
     "q_stream_upsert": stream_upsert,
     "q_stream_errors": stream_errors,
+    "q_stream_gap_fill": stream_gap_fill,
+    "q_stream_late": stream_late,
 }

@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Iterator
+from datetime import datetime
+
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from demandgrid.functions.times import drop_zone, utc_instant
+from demandgrid.functions.times import EPOCH, HOUR, as_datetime, drop_zone, ntz, utc_instant
 from demandgrid.operators.models import absolute_error
 from demandgrid.operators.series import SERIES, TIME
 from demandgrid.sources.store import KeyedTable
@@ -86,3 +94,89 @@ def error_stream(actual: DataFrame, predicted: DataFrame, delay: str = "2 hours"
         "predicted_demand",
         absolute_error(F.col("rides"), F.col("predicted_demand")).alias("absolute_error"),
     )
+
+
+# --- complete hours as rides arrive
+
+#: An open hour and its rides so far, per location, and the first hour that has not been given out.
+OPEN_HOURS = "next bigint, hours array<bigint>, rides array<bigint>"
+HOUR_MICROS = 3_600_000_000
+
+
+def _count_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rides per (location, hour) of each Arrow batch, and one row that only carries the time: the start of its newest hour.
+
+    Hours are numbered since the epoch. Counted rows have no time, so none of them is ever taken for late and dropped.
+    """
+    for batch in batches:
+        table = pa.table({"location": batch.column(SERIES).cast(pa.int64()), "at": batch.column("pickup_datetime").cast(pa.timestamp("us")).cast(pa.int64())})
+        table = table.filter(pc.is_valid(table["at"]))
+        if not len(table):
+            continue
+        hour = pa.array(table["at"].to_numpy() // HOUR_MICROS)
+        counted = table.set_column(1, "hour", hour).filter(pc.is_valid(table["location"])).group_by(["location", "hour"]).aggregate([([], "count_all")])
+        clock = pc.max(hour).as_py() * HOUR_MICROS
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.concat_arrays([*counted["location"].chunks, pa.nulls(1, pa.int64())]),
+                pa.concat_arrays([*counted["hour"].chunks, pa.nulls(1, pa.int64())]),
+                pa.concat_arrays([*counted["count_all"].chunks, pa.nulls(1, pa.int64())]),
+                pa.array([None] * len(counted) + [clock], pa.int64()),
+            ],
+            ["location", "hour", "n", "clock"],
+        )
+
+
+def _close_hours(start: int | None):
+    """State of one location: takes its counts, gives out each hour that the watermark has passed, empty ones too."""
+
+    def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        if key[0] is None or key[0] != key[0]:
+            return  # rows that only carry the time
+        following, hours, rides = state.get if state.exists else (None, [], [])
+        arrived: Counter[int] = Counter()
+        for part in parts:
+            for hour, n in zip(part["hour"].tolist(), part["n"].tolist(), strict=True):
+                arrived[int(hour)] += int(n)
+        if following is None:
+            following = min(arrived) if start is None else start
+        still_open = Counter(dict(zip(hours, rides, strict=True)))
+        late = {h: n for h, n in arrived.items() if h < following}
+        still_open.update({h: n for h, n in arrived.items() if h >= following})
+        watermark = state.getCurrentWatermarkMs()
+        closed = watermark // 3_600_000  # hours before this one have ended by the watermark
+        out = [(h, still_open.pop(h, 0), False) for h in range(following, closed)]
+        following = max(following, closed)
+        out += [(h, n, True) for h, n in sorted(late.items())]
+        state.update((following, list(still_open), list(still_open.values())))
+        state.setTimeoutTimestamp(max((following + 1) * 3_600_000 - 1, watermark + 1))
+        if out:
+            yield pd.DataFrame(out, columns=["hour", "rides", "late"]).assign(location=int(key[0]))[["hour", "location", "rides", "late"]]
+
+    return step
+
+
+def hourly_series_stream(rides: DataFrame, delay: str = "2 hours", start: datetime | None = None) -> DataFrame:
+    """``pickup_hour, pickup_location_id, rides, late``: the complete hourly table as rides arrive, for output mode ``append``.
+
+    An hour is closed once a ride (of any location) has been seen in an hour that begins ``delay`` or more after its end. Each closed hour comes once for each location, with 0 where nothing was counted: timers wake
+    the locations that are silent. A location begins at ``start`` (or at its first hour), so one that is first seen late gets
+    its empty hours at once. Rows without a location only move the time on; one of them closes the last hours of a day.
+
+    Nothing is dropped unseen: rides of an hour that has been given out come as rows with ``late`` true, in the micro-batch
+    they arrive in; rides before ``start`` are late as well. Counts and late rows together are all rides.
+
+    Rides are combined per hour before the shuffle, so a location with a third of all rides sends a row per hour and Arrow batch.
+    State is one number per open hour and location.
+    """
+    counted = rides.select(F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"), SERIES).mapInArrow(
+        _count_batch, "location bigint, hour bigint, n bigint, clock bigint"
+    )
+    timed = counted.withColumn("clock", F.timestamp_micros("clock")).withWatermark("clock", delay)
+    first = None if start is None else int((as_datetime(start) - EPOCH) / HOUR)
+    closed = timed.groupBy("location").applyInPandasWithState(
+        _close_hours(first), "hour bigint, location bigint, rides bigint, late boolean", OPEN_HOURS, "append", GroupStateTimeout.EventTimeTimeout
+    )
+    return closed.select(
+        (ntz(EPOCH) + F.make_dt_interval(F.lit(0), F.col("hour").cast("int"))).alias(TIME), F.col("location").alias(SERIES), "rides", "late"
+    )
