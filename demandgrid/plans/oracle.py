@@ -246,6 +246,14 @@ FROM rides GROUP BY 1, 2""",
 SELECT y::INTEGER AS year, m::INTEGER AS month
 FROM (SELECT unnest(range(min(y) - 1, max(y) + 2)) AS y FROM trips) CROSS JOIN (SELECT unnest(range(1, 13)) AS m)
 WHERE (y, m) NOT IN (SELECT (y, m) FROM trips)""",
+    "q_month_report": WITH + FLAGGED + """,
+months AS (
+  SELECT y, m FROM (SELECT unnest(range(min(y) - 1, max(y) + 2)) AS y FROM trips) CROSS JOIN (SELECT unnest(range(1, 13)) AS m)
+)
+SELECT a.y::INTEGER AS year, a.m::INTEGER AS month, CASE WHEN count(f.y) > 0 THEN 'read' ELSE 'missing' END AS status,
+       CASE WHEN count(f.y) > 0 THEN count(f.y) END AS trips,
+       CASE WHEN count(f.y) > 0 THEN count(*) FILTER (ok_duration AND ok_amount AND ok_location AND ok_period) END AS rides
+FROM months a LEFT JOIN flagged f ON f.y = a.y AND f.m = a.m GROUP BY a.y, a.m""",
     "q_zone_dim": WITH + ZONE_FILE + "\nSELECT * FROM zone_file",
     "q_zone_enrich": WITH + _counts() + "," + USER_ZONES + """
 SELECT c.pickup_hour, c.pickup_location_id, c.rides, n.zone

@@ -12,6 +12,7 @@ from demandgrid.operators import dashboard, features, models, monitor, profiles,
 from demandgrid.operators.quantiles import exact_quantiles_of
 from demandgrid.plans import inputs, jobs
 from demandgrid.session import materialize, scratch_path
+from demandgrid.sources import months as months_
 from demandgrid.sources import store, trips, zones
 from demandgrid.streaming import hourly
 
@@ -47,6 +48,21 @@ def missing_months(spark: SparkSession, sf: str) -> DataFrame:
     return trips.missing_months(spark, path, _all_months(path, spark, around=1))
 
 
+def month_report(spark: SparkSession, sf: str) -> DataFrame:
+    """What became of each month, trips up to 1994 being filed in an older format: other names, zoned times, broken ids."""
+    path = scratch_path(spark, "mixed_trips")
+    filed = trips.read_trips(spark, inputs.staged_trips(spark, sf))
+    old = filed.where(F.col("year") <= 1994).select(
+        times.utc_instant(F.col("tpep_pickup_datetime")).alias("Trip_Pickup_DateTime"),
+        times.utc_instant(F.col("tpep_dropoff_datetime")).alias("Trip_Dropoff_DateTime"),
+        F.col("total_amount").alias("Total_Amt"), F.col("PULocationID").cast("double").alias("pulocationid"), "year", "month",
+    )
+    for part in (filed.where(F.col("year") > 1994), old):
+        part.hint("rebalance", "year", "month").write.mode("append").partitionBy("year", "month").parquet(path)
+    loaded = months_.load_rides_by_month(spark, path, _all_months(inputs.staged_trips(spark, sf), spark, around=1), inputs.RULES)
+    return loaded.report.select("year", "month", "status", "trips", "rides")
+
+
 def trip_filter(spark: SparkSession, sf: str) -> DataFrame:
     return quality.filter_trips(trips.read_trips(spark, inputs.staged_trips(spark, sf)), inputs.RULES)
 
@@ -603,6 +619,7 @@ QUERIES = {
     "q_scan_trips": scan_trips,
     "q_load_months": load_months,
     "q_missing_months": missing_months,
+    "q_month_report": month_report,
     "q_zone_dim": zone_dim,
     "q_zone_enrich": zone_enrich,
     "q_trip_zones": trip_zones,

@@ -1,0 +1,110 @@
+"""Months with files of several formats, and months that can't be read."""
+
+from __future__ import annotations
+
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from demandgrid.operators.quality import TripRules
+from demandgrid.schemas import TRIPS
+from demandgrid.session import scratch_path
+from demandgrid.sources import months, trips
+
+ALL = TripRules(amount_quantile=1.0)
+
+
+def local(path):
+    return path.removeprefix("file:")
+
+
+@pytest.fixture
+def filed(spark):
+    """Three months of 20 trips each."""
+    path = scratch_path(spark, "trips")
+    rows = [
+        (datetime(2023, m, 2 + d), datetime(2023, m, 2 + d) + timedelta(minutes=9), 5.0 + d, 40 + d, 2023, m) for m in (1, 2, 3) for d in range(20)
+    ]
+    trips.write_trips(spark.createDataFrame(rows, TRIPS), path)
+    return path
+
+
+def status(loaded):
+    return {r.month: r.status for r in loaded.report.collect()}
+
+
+def damage(path, month, data=b"not a parquet file"):
+    import os
+
+    folder = f"{local(path)}/year=2023/month={month}"
+    os.makedirs(folder, exist_ok=True)
+    with open(f"{folder}/broken.parquet", "wb") as f:
+        f.write(data)
+
+
+def test_a_broken_file_costs_its_month(spark, filed):
+    damage(filed, 2)
+    loaded = months.load_rides_by_month(spark, filed, trips.months_of_year(2023, range(1, 5)), ALL)
+    rows = {r.month: r for r in loaded.report.collect()}
+    assert {m: (r.status, r.trips, r.rides, r.files > 0) for m, r in rows.items()} == {
+        1: ("read", 20, 20, True), 2: ("unreadable", None, None, True), 3: ("read", 20, 20, True), 4: ("missing", None, None, False),
+    }
+    assert rows[2].detail and "/" not in rows[2].detail and rows[1].detail is None
+    assert sorted({r.pickup_datetime.month for r in loaded.trips.collect()}) == [1, 3]
+
+
+def test_a_damaged_page_is_found_by_reading(spark, filed):
+    import glob
+
+    name = glob.glob(f"{local(filed)}/year=2023/month=3/*.parquet")[0]
+    with open(name, "r+b") as f:
+        f.seek(8)
+        f.write(b"\xff" * 60)
+    crc = name.replace("/part-", "/.part-") + ".crc"
+    open(crc, "wb").close() if not glob.glob(crc) else None
+    loaded = months.load_months(spark, filed, trips.months_of_year(2023, [1, 3]), verify=True)
+    assert status(loaded) == {1: "read", 3: "unreadable"} and loaded.trips.count() == 20
+
+
+@pytest.mark.parametrize(
+    ("change", "want"),
+    [
+        (lambda d: d.withColumn("total_amount", F.col("total_amount").cast("int")), "read"),
+        (lambda d: d.withColumn("total_amount", F.col("total_amount").cast("decimal(9,2)")), "read"),
+        (lambda d: d.withColumn("PULocationID", F.col("PULocationID").cast("double")), "read"),
+        (lambda d: d.withColumnRenamed("tpep_pickup_datetime", "LPEP_pickup_datetime").withColumn("airport_fee", F.lit(1)), "read"),
+        (lambda d: d.withColumn("tpep_dropoff_datetime", F.col("tpep_dropoff_datetime").cast("timestamp")), "read"),
+        (lambda d: d.drop("total_amount"), "no column total_amount"),
+        (lambda d: d.withColumn("PULocationID", F.lit("x")), "column PULocationID is string"),
+    ],
+)
+def test_formats(spark, filed, change, want):
+    rows = spark.read.schema(TRIPS).parquet(filed).where("month = 1").withColumn("month", F.lit(5))
+    rows = rows.withColumns({c: F.col(c) + timedelta(days=120) for c in ("tpep_pickup_datetime", "tpep_dropoff_datetime")})
+    change(rows).write.mode("append").partitionBy("year", "month").parquet(filed)
+    loaded = months.load_rides_by_month(spark, filed, trips.months_of_year(2023), ALL)
+    got = {r.month: r for r in loaded.report.collect()}
+    assert got[1].rides == got[2].rides == 20
+    assert loaded.trips.schema["pickup_location_id"].dataType == T.IntegerType()
+    if want == "read":
+        assert (got[5].status, got[5].trips, got[5].rides) == ("read", 20, 20)
+        plain = trips.load_rides(spark, filed, [(2023, 1)], ALL).select(F.col("pickup_datetime") + timedelta(days=120), "pickup_location_id")
+        assert plain.exceptAll(loaded.trips.where(F.month("pickup_datetime") == 5)).isEmpty()
+    else:
+        assert (got[5].status, got[5].detail) == ("unreadable", want)
+
+
+def test_files_of_one_month_that_disagree(spark, filed):
+    rows = spark.read.schema(TRIPS).parquet(filed).where("month = 1")
+    rows.withColumn("total_amount", F.col("total_amount").cast("bigint")).write.mode("append").partitionBy("year", "month").parquet(filed)
+    loaded = months.load_months(spark, filed, trips.months_of_year(2023))
+    assert status(loaded)[1] == "read" and loaded.trips.where("month = 1").count() == 40
+
+
+def test_scans_grow_with_formats_not_with_months(spark, filed):
+    loaded = months.load_months(spark, filed, trips.months_of_year(2023))
+    assert loaded.trips._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    none = months.load_rides_by_month(spark, filed, [(2020, 1)], ALL)
+    assert none.trips.count() == 0 and [tuple(r)[:3] for r in none.report.collect()] == [(2020, 1, "missing")]
