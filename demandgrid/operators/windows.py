@@ -6,39 +6,89 @@ training, ``target`` (that value). Input must be gap-filled: windows count rows,
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandgrid.functions.times import HOUR, interval, ntz
 from demandgrid.operators.series import SERIES, TIME
 from demandgrid.schemas import require_columns
+from demandgrid.session import materialize
 
 WEEK = 24 * 7
 FOUR_WEEKS = 4 * WEEK
 
 
-def _sliding(df: DataFrame, value: str, window: int, step: int, chunk: int | None) -> DataFrame:
+def _number_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted rows with ``pos``, the place in their series within this partition, and ``part``, the partition."""
+    part, last, seen = TaskContext.get().partitionId(), None, 0
+    for batch in batches:
+        runs = pc.run_end_encode(batch.column(SERIES))
+        ends, values = runs.run_ends.to_numpy().astype(np.int64), runs.values
+        starts = np.concatenate(([0], ends[:-1])).astype(np.int64)
+        if len(ends) and (values[0].as_py(),) == last:
+            starts[0] -= seen
+        yield pa.RecordBatch.from_arrays(
+            [*batch.columns, pa.array(np.arange(batch.num_rows) - np.repeat(starts, np.diff(ends, prepend=0))), pa.array(np.full(batch.num_rows, part, np.int32))],
+            [*batch.schema.names, "pos", "part"],
+        )
+        if len(ends):
+            last, seen = (values[len(values) - 1].as_py(),), int(ends[-1] - starts[-1])
+
+
+def _numbered_across_tasks(rows: DataFrame) -> DataFrame:
+    """Rows with their place ``pos`` in their series, in hour order, however many tasks a series spans.
+
+    Rows are laid out in ranges of (series, hour) and numbered within each range. A range can only continue the one series
+    that began before it, so the rows of that series in earlier ranges are one number a range.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kinds = T.StructType([*rows.schema.fields, T.StructField("pos", T.LongType()), T.StructField("part", T.IntegerType())])
+    laid = rows.repartitionByRange(parts, SERIES, TIME).sortWithinPartitions(SERIES, TIME).mapInArrow(_number_partition, kinds)
+    laid = materialize(laid, "ranges")  # ranges are cut by a sample: they must not be cut again
+    totals = laid.groupBy(SERIES, "part").agg((F.max("pos") + 1).alias("n"))
+    earlier = F.sum("n").over(Window.partitionBy(SERIES).orderBy("part").rowsBetween(Window.unboundedPreceding, -1))  # a row a range
+    earlier = totals.select(F.col(SERIES).alias("_series"), F.col("part").alias("_part"), earlier.alias("earlier")).where("earlier > 0")
+    same = F.col(SERIES).eqNullSafe(F.col("_series")) & (F.col("part") == F.col("_part"))
+    numbered = laid.join(F.broadcast(earlier), same, "left")  # at most a row a range
+    return numbered.select(*rows.columns, (F.col("pos") + F.coalesce("earlier", F.lit(0))).alias("pos"))
+
+
+def _sliding(df: DataFrame, value: str, window: int, step: int, chunk: int | None, spread: bool = False) -> DataFrame:
     """(series, lags, target, time) for window starts 0, step, 2·step … of each series.
 
     Series are cut into chunks of ``chunk`` window starts; a row joins each chunk whose windows reach it (one, or two
     near a border). An array therefore never holds more than ``chunk + window`` values however long a series is, and
     the chunks of one series need no exchange beyond the one by series that numbers its rows. The default of three
     windows repeats a third of the rows.
+
+    With ``spread`` a series is numbered in ranges and its chunks are dealt to tasks in ranges as well.
     """
     if window < 1 or step < 1:
         raise ValueError("window and step must be positive")
     chunk = chunk or max(3 * window, 1000)
     span = max(chunk // step, 1) * step
-    ordered = Window.partitionBy(SERIES).orderBy(TIME)
-    numbered = df.select(SERIES, TIME, F.col(value).alias("v"), (F.row_number().over(ordered) - 1).alias("pos"))
+    rows = df.select(SERIES, TIME, F.col(value).alias("v"))
+    if spread:
+        numbered = _numbered_across_tasks(rows)
+    else:
+        ordered = Window.partitionBy(SERIES).orderBy(TIME)
+        numbered = rows.withColumn("pos", F.row_number().over(ordered) - 1)
     first = F.greatest(F.lit(0), F.expr(f"(pos - {window} + {step} - 1) div {span}"))
     reach = numbered.withColumns({"first": first, "last": F.expr(f"pos div {span}")})
     # With a step beyond the window, rows between two windows belong to no chunk.
     chunked = reach.where(F.col("first") <= F.col("last")).select(
         SERIES, TIME, "v", "pos", F.explode(F.sequence("first", "last")).alias("chunk")
     )
+    if spread:
+        chunked = chunked.repartitionByRange(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), SERIES, "chunk")
     starts = (
         chunked.groupBy(SERIES, "chunk")
         .agg(F.sort_array(F.collect_list(F.struct("pos", TIME, "v"))).alias("rows"))
@@ -67,16 +117,18 @@ def training_windows(
     step_size: int = 1,
     pad_short: bool = False,
     chunk: int | None = None,
+    spread: bool = False,
 ) -> DataFrame:
     """Lags and target, every ``step_size`` rows from the start of each series.
 
     Series with no row after the first window are left out, or with ``pad_short`` extended to the left with their
-    first value and time.
+    first value and time. ``spread`` lets one series span many tasks, at the price of writing the rows once: for few and
+    very long series. The windows are the same.
     """
     require_columns(series, SERIES, TIME, feature_col)
     if pad_short:
         series = _pad(series, feature_col, window_size)
-    return _sliding(series, feature_col, window_size, step_size, chunk)
+    return _sliding(series, feature_col, window_size, step_size, chunk, spread)
 
 
 def scoring_windows(
@@ -135,9 +187,10 @@ def single_series_windows(
     location_name: str | None = None,
     name_col: str = "zone",
 ) -> DataFrame:
-    """Training windows of one series, by id or by name, as columns ``feature_1`` … ``feature_W`` and ``target``."""
+    """Training windows of one series, by id or by name, as columns ``feature_1`` … ``feature_W`` and ``target``. The series may
+    span many tasks."""
     chosen = series.where(F.col(name_col) == location_name) if location_name else series.where(F.col(SERIES) == location_id)
-    wide = training_windows(chosen, feature_col, window_size, step_size)
+    wide = training_windows(chosen, feature_col, window_size, step_size, spread=True)
     return wide.select(
         TIME, *[F.col("lags")[i].alias(f"feature_{i + 1}") for i in range(window_size)], "target"
     )

@@ -130,3 +130,29 @@ def test_fill_and_windows_need_no_further_shuffle(rides_frame):
     plan = windows.training_windows(hourly_series(rides), "rides", 4, 2)._jdf.queryExecution().executedPlan().toString()
     above = plan.split("REPARTITION_BY_NUM")[0]
     assert above.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize(("window", "step", "chunk"), [(5, 1, 20), (7, 3, 30), (3, 11, 40), (12, 1, None)])
+def test_spread_series_give_the_same_windows(spark, hourly_frame, window, step, chunk):
+    df = hourly_frame({1: list(range(300)), 2: [7] * 3, 3: list(range(90, 0, -1)), 4: list(range(40))}).repartition(5)
+    plain, spread = (windows.training_windows(df, "rides", window, step, chunk=chunk, spread=s) for s in (False, True))
+    assert plain.count() > 0 and sorted(spread.collect(), key=str) == sorted(plain.collect(), key=str)
+
+
+def test_spread_series_without_rows_or_ids(spark, hourly_frame):
+    empty = hourly_frame({1: [1]}).limit(0)
+    assert windows.training_windows(empty, "rides", 3, 1, spread=True).count() == 0
+    nameless = hourly_frame({1: list(range(9))}).withColumn("pickup_location_id", F.lit(None).cast("bigint"))
+    assert windows.training_windows(nameless, "rides", 3, 1, spread=True).count() == 6
+
+
+def test_one_long_series_spans_the_tasks(spark):
+    hours = spark.range(40_000).select(
+        F.lit(1).cast("bigint").alias("pickup_location_id"), F.col("id").alias("rides"),
+        (F.lit("1990-01-01").cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.col("id").cast("int"))).alias("pickup_hour"),
+    )
+    made = windows.training_windows(hours, "rides", 24, 1, chunk=100, spread=True)
+    by_task = [r["n"] for r in made.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    assert sum(by_task) == 40_000 - 24 and len(by_task) == 4 and max(by_task) <= 2 * sorted(by_task)[2]
+    single = windows.single_series_windows(hours, 1, "rides", 3, 1)
+    assert single.where("feature_1 + 3 <> target or feature_2 + 2 <> target").count() == 0
