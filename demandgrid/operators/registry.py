@@ -1,15 +1,72 @@
-"""Model versions, their metrics, and the run log, as plain tables."""
+"""Model versions, their metrics and inputs, and the run log, as plain tables."""
 
 from __future__ import annotations
 
+import json
 import os
-from collections.abc import Mapping
+import uuid
+from collections.abc import Iterable, Mapping
+from typing import NamedTuple
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandgrid.schemas import REGISTRY, RUNS
+from demandgrid.session import claim
+
+#: What a frame to be scored need not have.
+NOT_SCORED = ("target",)
+LENGTH = "length"
+
+
+class Difference(NamedTuple):
+    """``kind``: missing, type or length."""
+
+    column: str
+    kind: str
+    expected: str
+    found: str | None
+
+
+class InputMismatch(ValueError):
+    """A frame is not of the kind that a model was trained on."""
+
+    def __init__(self, model: str, differences: list[Difference]):
+        self.differences = differences
+        told = "; ".join(f"{d.column}: {d.kind}, expected {d.expected}, found {d.found}" for d in differences)
+        super().__init__(f"inputs of model {model!r} differ: {told}")
+
+
+def input_schema(inputs: DataFrame) -> T.StructType:
+    """The schema, with the length of arrays in the first row: windows of one frame are equally long."""
+    arrays = [f.name for f in inputs.schema if isinstance(f.dataType, T.ArrayType)]
+    row = inputs.select(*[F.size(f"`{a}`").alias(a) for a in arrays]).first() if arrays else None
+    lengths = row.asDict() if row else {}
+    return T.StructType(
+        [T.StructField(f.name, f.dataType, f.nullable, {LENGTH: lengths[f.name]} if lengths.get(f.name) is not None else {}) for f in inputs.schema]
+    )
+
+
+def input_differences(trained: T.StructType, given: T.StructType, optional: Iterable[str] = NOT_SCORED) -> list[Difference]:
+    """What of the ``trained`` columns ``given`` lacks or has of another type or length; other columns don't matter."""
+    there, out = {f.name: f for f in given}, []
+    for f in trained:
+        found, kind = there.get(f.name), f.dataType.simpleString()
+        if found is None:
+            if f.name not in optional:
+                out.append(Difference(f.name, "missing", kind, None))
+        elif found.dataType.simpleString() != kind:
+            out.append(Difference(f.name, "type", kind, found.dataType.simpleString()))
+        elif {LENGTH} <= f.metadata.keys() & found.metadata.keys() and f.metadata[LENGTH] != found.metadata[LENGTH]:
+            out.append(Difference(f.name, "length", str(f.metadata[LENGTH]), str(found.metadata[LENGTH])))
+    return out
+
+
+def describe_inputs(schema: T.StructType) -> str:
+    """``lags array<bigint>[672], …``"""
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" + (f"[{f.metadata[LENGTH]}]" if LENGTH in f.metadata else "") for f in schema)
 
 
 def latest_versions(registry: DataFrame) -> DataFrame:
@@ -31,6 +88,15 @@ def promotions(candidates: DataFrame, metric: str = "mae", order: str = "run") -
     )
 
 
+def _append(rows: DataFrame, path: str) -> None:
+    """Add rows in a folder of their own: jobs that append to one folder at the same time undo each other's files."""
+    rows.write.parquet(os.path.join(path, f"rows={uuid.uuid4().hex}"))
+
+
+def _read(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(path)
+
+
 class ModelRegistry:
     """Saved pipelines under ``root/models`` and one table row per version under ``root/registry``."""
 
@@ -40,7 +106,7 @@ class ModelRegistry:
         spark.createDataFrame([], REGISTRY).write.mode("ignore").parquet(self.table_path)
 
     def table(self) -> DataFrame:
-        return self.spark.read.schema(REGISTRY).parquet(self.table_path)
+        return _read(self.spark, self.table_path, REGISTRY)
 
     def entry(self, name: str, version: int | None = None) -> dict | None:
         """Newest version, or the one asked for; None when there is none."""
@@ -53,20 +119,37 @@ class ModelRegistry:
         entry = self.entry(name, version)
         return entry and entry["metrics"]
 
-    def load(self, name: str, version: int | None = None) -> PipelineModel:
+    def inputs(self, name: str, version: int | None = None) -> T.StructType:
+        """What the model was trained on."""
+        entry = self.entry(name, version)
+        if entry is None:
+            raise LookupError(f"no model {name!r} version {version or 'any'}")
+        return T.StructType.fromJson(json.loads(entry["input_schema"]))
+
+    def load(self, name: str, version: int | None = None, inputs: DataFrame | None = None) -> PipelineModel:
+        """The model; raises ``InputMismatch`` if ``inputs``, the frame to be scored, is not of the kind it was trained on."""
         entry = self.entry(name, version)
         if entry is None:
             raise LookupError(f"no model {name!r} version {version or 'any'}")
+        if inputs is not None:
+            trained = T.StructType.fromJson(json.loads(entry["input_schema"]))
+            differences = input_differences(trained, input_schema(inputs))
+            if differences:
+                raise InputMismatch(name, differences)
         return PipelineModel.load(entry["path"])
 
     def register(self, name: str, model: PipelineModel, metrics: Mapping[str, float], inputs: DataFrame) -> int:
-        """Save under the next version. The table row is appended after the model is complete."""
+        """Save under the next version that no one else has claimed. The table row is appended after the model is complete; the
+        version of a job that died before is left out."""
         newest = self.entry(name)
         version = 1 if newest is None else newest["version"] + 1
-        path = os.path.join(self.root, "models", name, f"v{version}")
+        folder = os.path.join(self.root, "models", name)
+        while not claim(self.spark, os.path.join(folder, "_claims", f"v{version}")):
+            version += 1
+        path = os.path.join(folder, f"v{version}")
         model.write().overwrite().save(path)
-        row = (name, version, path, {k: float(v) for k, v in metrics.items()}, inputs.schema.json())
-        self.spark.createDataFrame([row], REGISTRY).coalesce(1).write.mode("append").parquet(self.table_path)
+        row = (name, version, path, {k: float(v) for k, v in metrics.items()}, input_schema(inputs).json())
+        _append(self.spark.createDataFrame([row], REGISTRY).coalesce(1), self.table_path)
         return version
 
     def register_if_better(
@@ -90,13 +173,13 @@ def log_run(
 ) -> None:
     """Append one row to the run log."""
     row = (experiment, model, {k: str(v) for k, v in (params or {}).items()}, metric, score)
-    spark.createDataFrame([row], RUNS).coalesce(1).write.mode("append").parquet(path)
+    _append(spark.createDataFrame([row], RUNS).coalesce(1), path)
 
 
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(RUNS).parquet(path)
+    return _read(spark, path, RUNS)
 
 
 def append_runs(runs: DataFrame, path: str) -> None:
     """Append many runs at once."""
-    runs.select(*RUNS.names).write.mode("append").parquet(path)
+    _append(runs.select(*RUNS.names), path)

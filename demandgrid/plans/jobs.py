@@ -26,7 +26,7 @@ from demandgrid.operators.windows import (
     training_windows,
 )
 from demandgrid.session import materialize
-from demandgrid.sources.store import FEATURES, FORECASTS, KeyedTable
+from demandgrid.sources.store import FEATURES, FORECASTS, KeyedTable, TableSpec
 from demandgrid.sources.trips import load_rides, months_between, stored_limits
 
 JOB_STEP = 23
@@ -116,12 +116,13 @@ def inference_job(
     """Stored features of the 29 days before the next full hour → the window that ends there → predictions → keyed store.
 
     A window describes the hour after its last; only windows of the stamped hour are scored. Locations whose stored hours are
-    too few or end earlier get no prediction and are reported.
+    too few or end earlier get no prediction and are reported. A registered model is loaded only for windows of the kind and
+    length it was trained on.
     """
     hour = next_hour(as_of)
     series = KeyedTable.create_or_get(spark, root, FEATURES).read_range(hour - timedelta(days=29), hour - HOUR)
     windows = scoring_windows(series, "rides", window, anchor="end").where(F.col(TIME) == ntz(hour))
-    model = model or ModelRegistry(spark, root).load(name)
+    model = model or ModelRegistry(spark, root).load(name, inputs=windows)
     table = KeyedTable.create_or_get(spark, root, FORECASTS)
     table.upsert(predict(model, windows, hour))
     held = series.groupBy(SERIES).agg(F.count("*").alias("hours"), F.max(TIME).alias("last_hour"))
@@ -135,10 +136,12 @@ def backfill(series: DataFrame) -> DataFrame:
     return lagged.select(SERIES, round_half_even(mean).alias("predicted_demand"), TIME)
 
 
-def monitor_job(spark: SparkSession, root: str, as_of: datetime, hours: int = 12) -> dict[str, DataFrame]:
-    """Error tables over the trailing hours; both tables are pruned by date."""
+def monitor_job(
+    spark: SparkSession, root: str, as_of: datetime, hours: int = 12, features: TableSpec = FEATURES, forecasts: TableSpec = FORECASTS
+) -> dict[str, DataFrame]:
+    """Error tables over the trailing hours; both tables are pruned by date, and joined in place if their specs name as many buckets."""
     start = trailing_start(as_of, hours)
-    actual, predicted = (KeyedTable.create_or_get(spark, root, t).read_from(start) for t in (FEATURES, FORECASTS))
+    actual, predicted = (KeyedTable.create_or_get(spark, root, t).read_from(start) for t in (features, forecasts))
     scored = errors(actual, predicted)
     by_hour = mae_by_hour(scored)
     return {"by_hour": by_hour, "macro": macro_mae(by_hour), "micro": micro_mae(scored)}

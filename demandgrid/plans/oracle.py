@@ -448,7 +448,8 @@ SELECT round({ERROR} FILTER ({BEFORE}), 9) AS train_mae, round({ERROR} FILTER ({
 filled AS (SELECT * FROM whole WHERE pickup_hour <= TIMESTAMP '2024-01-30 21:30:00')""" + _numbered() + _windows(6, 24)
     + FOLDED + _stump(ONE_RUN, "folded") + f"""
 SELECT 'demand_next_hour' AS name, 1::INTEGER AS version, round({ERROR} FILTER ({BEFORE}), 9) AS train_mae,
-       round({ERROR} FILTER ({AFTER}), 9) AS test_mae, count(*) AS scored, sum(round_even(prediction, 0))::DOUBLE AS predicted
+       round({ERROR} FILTER ({AFTER}), 9) AS test_mae,
+       'lags array<bigint>[6], target bigint, pickup_location_id bigint, pickup_hour timestamp_ntz' AS inputs, count(*) AS scored, sum(round_even(prediction, 0))::DOUBLE AS predicted
 FROM tree""",
     "q_random_search": WITH + SIX + FOLDED + _stump(
         "SELECT row_number() OVER () AS run, least, fold FROM (SELECT unnest([1, 900]) AS least), (SELECT unnest([-1, 0, 1, 2]) AS fold)",

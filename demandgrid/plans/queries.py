@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -437,9 +438,10 @@ def inference_skipped(spark: SparkSession, sf: str) -> DataFrame:
 def monitor_job(spark: SparkSession, sf: str) -> DataFrame:
     root = scratch_path(spark, "store")
     actual = materialize(gap_fill(spark, sf), "hourly")
-    store.KeyedTable.create_or_get(spark, root, store.FEATURES).upsert(actual)
-    store.KeyedTable.create_or_get(spark, root, store.FORECASTS).upsert(jobs.backfill(actual))
-    return jobs.monitor_job(spark, root, NOW, 24)["by_hour"]
+    specs = [replace(t, buckets=8) for t in (store.FEATURES, store.FORECASTS)]
+    for spec, rows in zip(specs, (actual, jobs.backfill(actual)), strict=True):
+        store.KeyedTable.create_or_get(spark, root, spec).upsert(rows)
+    return jobs.monitor_job(spark, root, NOW, 24, *specs)["by_hour"]
 
 
 # --- registry
@@ -515,10 +517,12 @@ def training_job(spark: SparkSession, sf: str) -> DataFrame:
         jobs.training_job(spark, root, NOW, CUTOFF, window=6, step=24, **STUMP)
     kept = registry.ModelRegistry(spark, root)
     known = store.KeyedTable.create_or_get(spark, root, store.FEATURES).read_training(NOW, 180)
-    scored = models.predict(kept.load(jobs.MODEL_NAME), windows.training_windows(known, "rides", 6, 24))
+    w = windows.training_windows(known, "rides", 6, 24)
+    scored = models.predict(kept.load(jobs.MODEL_NAME, inputs=w), w)
     total = scored.agg(F.count("*").alias("scored"), F.sum("predicted_demand").alias("predicted"))
     metric = lambda m: F.round(F.col("metrics")[m], 9).alias(m)
-    return kept.table().select("name", "version", metric("train_mae"), metric("test_mae")).crossJoin(F.broadcast(total))  # one row
+    inputs_ = F.lit(registry.describe_inputs(kept.inputs(jobs.MODEL_NAME))).alias("inputs")
+    return kept.table().select("name", "version", metric("train_mae"), metric("test_mae"), inputs_).crossJoin(F.broadcast(total))  # one row
 
 
 def random_search(spark: SparkSession, sf: str) -> DataFrame:

@@ -78,3 +78,13 @@ def take_name(spark: SparkSession, fs, hidden, shown) -> bool:
     finally:
         fs.delete(hidden, False)
     return True
+
+
+def claim(spark: SparkSession, path: str) -> bool:
+    """Create an empty file for one caller only; False if it is there. A claim whose owner died stays."""
+    jvm = spark._jvm
+    shown = jvm.org.apache.hadoop.fs.Path(path)
+    hidden = jvm.org.apache.hadoop.fs.Path(shown.getParent(), f"_{uuid.uuid4().hex}")
+    fs = shown.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs.create(hidden, False).close()
+    return take_name(spark, fs, hidden, shown)

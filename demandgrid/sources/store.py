@@ -9,10 +9,15 @@ rows for a date have the same number and digest leaves that date alone, unread a
 
 Manifests are numbered, and a number is taken by whoever first gives a complete file that name. A writer that comes second
 looks at what the others did: dates that only it has touched are added to their state, the rest of its batch is merged again.
+
+A table whose spec names ``buckets`` keeps the rows of each date in so many files by a hash of the key. Two such tables with the same
+keys and number are joined on them without moving a row, and an upsert merges without moving what is stored. For that, Spark
+must read files through its catalog; a name for each set of files that is read is put there, for the session.
 """
 
 from __future__ import annotations
 
+import hashlib
 import json
 import os
 import uuid
@@ -42,6 +47,7 @@ class TableSpec:
     event_time: str
     version: int = 1
     description: str = ""
+    buckets: int | None = None
 
 
 FEATURES = TableSpec(
@@ -114,12 +120,39 @@ class KeyedTable:
 
     def _read_dates(self, state: State, dates: Iterable[str]) -> DataFrame:
         """Rows of those dates: one scan, however many batches wrote them. Other dates' files are not listed."""
-        paths = [os.path.join(self.path, state[d]["folder"], f"{DATE}={d}") for d in sorted(dates)]
+        paths = {d: os.path.join(self.path, state[d]["folder"], f"{DATE}={d}") for d in sorted(dates)}
         if not paths:
             return self.spark.createDataFrame([], self.stored)
-        rows = self.spark.read.schema(self.stored).option("basePath", self.path).parquet(*paths)
+        if self.spec.buckets and all(state[d].get("buckets") == self.spec.buckets for d in paths):
+            return self._read_buckets(paths)
+        rows = self.spark.read.schema(self.stored).option("basePath", self.path).parquet(*paths.values())
         return rows.select(*self.stored.names)
 
+    def _read_buckets(self, paths: dict[str, str]) -> DataFrame:
+        name = f"demandgrid_{hashlib.md5(json.dumps([self.path, paths]).encode()).hexdigest()}"
+        if not self.spark.catalog.tableExists(name):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in self.stored)
+            keys = ", ".join(f"`{k}`" for k in self.spec.keys)
+            self.spark.sql(
+                f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet PARTITIONED BY ({DATE}) "
+                f"CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {self.spec.buckets} BUCKETS LOCATION '{os.path.join(self.path, '_none')}'"
+            )
+            parts = " ".join(f"PARTITION ({DATE}='{d}') LOCATION '{p}'" for d, p in paths.items())
+            self.spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+        return self.spark.table(name).select(*self.stored.names)
+
+    def _write(self, rows: DataFrame, path: str) -> None:
+        keys = list(self.spec.keys)
+        if not self.spec.buckets:
+            # Rebalanced by date: few files per date, and a large date split over several tasks. The order is the one the
+            # partitioned write needs, extended by the key, so that file statistics narrow reads of one location.
+            rows.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys).write.partitionBy(DATE).parquet(path)
+            return
+        name = f"demandgrid_{uuid.uuid4().hex}"  # only tables of the catalog can be written in buckets
+        dealt = rows.repartition(self.spec.buckets, *keys)  # a task a bucket, which leaves one file a date and bucket
+        dealt.write.partitionBy(DATE).bucketBy(self.spec.buckets, *keys).sortBy(*keys).option("path", path).saveAsTable(name, format="parquet")
+        self.spark.sql(f"DROP TABLE {name}")  # an external table: its files stay
+
     def _files(self, start: date | None = None, end: date | None = None) -> DataFrame:
         """Rows of the dates from ``start`` to ``end``."""
         state = self._state()[1]
@@ -248,8 +281,7 @@ class KeyedTable:
             merged = kept.select(*rows.columns).unionByName(rows)
         folder = f"batch={uuid.uuid4().hex}"
         path = os.path.join(self.path, folder)
-        # Rebalanced by date: few files per date, and a large date split over several tasks. The order is the one the
-        # partitioned write needs, extended by the key, so that file statistics narrow reads of one location.
-        merged.hint("rebalance", DATE).sortWithinPartitions(DATE, *keys).write.partitionBy(DATE).parquet(path)
+        self._write(merged, path)
         done = self.spark.read.schema(self.stored).parquet(path).groupBy(DATE).agg(*self._digests()).collect()  # calendar dates
-        return {r[DATE].isoformat(): {"folder": folder, "rows": r["rows"], "digest": r["digest"]} for r in done}
+        layout = {"folder": folder} | ({"buckets": self.spec.buckets} if self.spec.buckets else {})
+        return {r[DATE].isoformat(): layout | {"rows": r["rows"], "digest": r["digest"]} for r in done}

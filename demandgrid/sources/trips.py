@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import uuid
 from collections.abc import Iterable
 from datetime import datetime, timedelta
 
@@ -48,8 +50,9 @@ def in_months(months: Months) -> Column:
 
 
 def filed_months(spark: SparkSession, path: str) -> tuple[int, int] | None:
-    """First and last year that trips are filed under; from the folder names, no file is opened."""
-    years = spark.read.schema(TRIPS).parquet(path).agg(F.min("year"), F.max("year")).first()
+    """First and last year that trips are filed under; from the names of files and folders, no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(path)
+    years = files.agg(F.min("year"), F.max("year")).first()
     return None if years[0] is None else (years[0], years[1])
 
 
@@ -82,13 +85,16 @@ def stored_limits(
     """
     months = list(months)
     spark.createDataFrame([], LIMITS).write.mode("ignore").parquet(limits_path)
-    stored = spark.read.schema(LIMITS).parquet(limits_path).where(F.col("amount_quantile") == rules.amount_quantile)
+    kept = spark.read.schema(LIMITS).option("recursiveFileLookup", True)
+    stored = kept.parquet(limits_path).where(F.col("amount_quantile") == rules.amount_quantile)
     known = {(r["year"], r["month"]) for r in stored.where(in_months(months)).select("year", "month").collect()}  # calendar months
     missing = [m for m in months if m not in known]
     if missing:
         new = amount_limits(read_trips(spark, path, missing), rules)
-        new.withColumn("amount_quantile", F.lit(rules.amount_quantile)).coalesce(1).write.mode("append").parquet(limits_path)
-        stored = spark.read.schema(LIMITS).parquet(limits_path).where(F.col("amount_quantile") == rules.amount_quantile)
+        # In a folder of their own: jobs that append to one folder at the same time undo each other's files.
+        folder = os.path.join(limits_path, f"rows={uuid.uuid4().hex}")
+        new.withColumn("amount_quantile", F.lit(rules.amount_quantile)).coalesce(1).write.parquet(folder)
+        stored = kept.parquet(limits_path).where(F.col("amount_quantile") == rules.amount_quantile)
     # Two runs may have added the same month; its limit is the same.
     return stored.where(in_months(months)).groupBy("year", "month").agg(F.max("amount_limit").alias("amount_limit"))
 

@@ -93,6 +93,41 @@ def test_train_save_load_promote(small_windows, spark):
     assert "lags" in reg.entry("m")["input_schema"]
 
 
+def test_loading_checks_the_inputs(small_windows, spark, hourly_frame):
+    w = small_windows()
+    reg = registry.ModelRegistry(spark, scratch_path(spark, "registry"))
+    reg.register("m", models.feature_pipeline(maxIter=1, maxDepth=1, seed=1).fit(w), {"test_mae": 2.0}, w)
+    assert isinstance(reg.load("m", inputs=w.drop("target").withColumn("more", F.lit(1))), PipelineModel)
+    assert isinstance(reg.load("m", inputs=w.limit(0)), PipelineModel)  # no window, no length
+
+    def differences(frame):
+        with pytest.raises(registry.InputMismatch) as e:
+            reg.load("m", inputs=frame)
+        return e.value.differences
+
+    n = reg.inputs("m")["lags"].metadata["length"]
+    assert registry.describe_inputs(reg.inputs("m")).startswith(f"lags array<bigint>[{n}], ")
+    shorter = w.withColumn("lags", F.slice("lags", 2, 10_000))
+    assert differences(shorter) == [("lags", "length", str(n), str(n - 1))]
+    assert differences(w.withColumn("lags", F.col("lags").cast("array<double>"))) == [("lags", "type", "array<bigint>", "array<double>")]
+    assert differences(w.drop("pickup_hour")) == [("pickup_hour", "missing", "timestamp_ntz", None)]
+
+
+def test_two_jobs_register_at_once(small_windows, spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    w = small_windows()
+    root = scratch_path(spark, "registry")
+    model = models.feature_pipeline(maxIter=1, maxDepth=1, seed=1).fit(w)
+    registry.ModelRegistry(spark, root)
+    with ThreadPoolExecutor(3) as pool:
+        made = list(pool.map(lambda k: registry.ModelRegistry(spark, root).register("m", model, {"test_mae": float(k)}, w), range(3)))
+    assert sorted(made) == [1, 2, 3]
+    rows = registry.ModelRegistry(spark, root).table().collect()
+    assert {(r.version, r.metrics["test_mae"]) for r in rows} == {(v, float(k)) for k, v in enumerate(made)}
+    assert len({r.path for r in rows}) == 3
+
+
 def test_random_search(small_windows):
     w = small_windows(hours=800, locations=3)
     search = models.random_search(w, {"maxDepth": [1, 2]}, draws=5, folds=2, maxIter=1, lags_only=True)

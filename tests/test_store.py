@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+from dataclasses import replace
 from datetime import datetime, timedelta
 
 import pytest
@@ -73,6 +74,33 @@ def test_a_second_run_of_the_job_writes_nothing(spark):
     assert run()._state() == first and first[0] == 1
 
 
+def test_bucketed_tables_are_joined_in_place(spark, hourly_frame):
+    root = scratch_path(spark, "store")
+    specs = [replace(t, buckets=3) for t in (store.FEATURES, store.FORECASTS)]
+    actual = hourly_frame({k: [k] * 60 for k in range(9)})
+    features, forecasts = (store.KeyedTable.create_or_get(spark, root, s) for s in specs)
+    features.upsert(actual)
+    forecasts.upsert(actual.withColumnRenamed("rides", "predicted_demand"))
+    features.upsert(hourly_frame({3: [5] * 4}, START + timedelta(hours=30)))  # a second folder
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        scored = monitor.errors(features.read_from(START + timedelta(hours=20)), forecasts.read_from(START + timedelta(hours=20)))
+        plan = scored._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan and plan.count("Bucketed: true") == 2
+        assert scored.count() == 9 * 40 and scored.agg(F.sum("absolute_error")).first()[0] == 8.0
+        merged = features._read_dates(features._state()[1], ["2024-01-02"]).join(forecasts.read().select(*specs[0].keys), list(specs[0].keys), "left_anti")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and merged.count() == 0
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    ranged = features.read_range(START + timedelta(hours=30), START + timedelta(hours=31))
+    assert {f.split("event_date=")[1][:10] for f in ranged.inputFiles()} == {"2024-01-02"} and ranged.count() == 18
+    assert features.upsert(hourly_frame({k: [k] * 24 for k in range(9)})) == []
+    plain = store.KeyedTable.create_or_get(spark, root, store.FEATURES)  # a spec without buckets reads the same rows
+    assert plain.read().exceptAll(features.read()).isEmpty() and plain.read().count() == 540
+
+
 def test_many_batches_are_one_scan(spark, table, hourly_frame):
     for day in range(6):
         table.upsert(hourly_frame({1: [day] * 24}, START + timedelta(days=day)))
