@@ -6,17 +6,22 @@ cells. Every cell has a fixed random sequence of darts (a unit-rate Poisson proc
 probability of their weighted Jaccard similarity. A text throws only the darts up to a rank that makes about
 ``k (ln k + 4)`` of them, and twice as far as long as a place is empty.
 
-1. Equal texts become one node (their smallest id).
+1. Equal texts become one node, numbered by itself: a text, not an id, is what is compared.
 2. Bands of ``ROWS`` places are joined: each node is linked to the smallest node of its bucket. With 32 bands of 4 places a pair
    at 0.8 is missed with a probability of 5e-8. Components of these links are the candidate clusters.
-3. Inside a cluster every pair is compared exactly; a large cluster in blocks against blocks (``BLOCK`` texts each), so a
-   task holds two blocks at most. A block pair returns, for each text, its number of links and one link to the smallest text
-   it is connected to there: all links count, but no list of pairs is made.
+3. Inside a cluster every pair is compared exactly; a large cluster in blocks against blocks (of about ``BLOCK`` texts or
+   ``BLOCK_BYTES``), so a task holds two blocks at most. A block pair returns, for each text, its number of links and one link to the
+   smallest text it is connected to there: all links count, but no list of pairs is made.
 4. Components of those links are the classes.
 
+``drop_near`` needs classes, not numbers of links. It first compares each text with the smallest of its buckets alone, which
+moves it once for each of those; only clusters that this leaves in several parts are compared in full.
+
 Defined cases: a null text is a class of its own; texts without any word are equal only to the same text; fewer than five words
-make one shingle; rows that share an id and text are one document, rows without an id are named by a hash of their text; an empty table gives an empty
-result. Other columns are ignored by ``near_classes`` and kept by ``drop_near``.
+make one shingle; rows that share an id and text are one document; an id with several texts has each of them in its own class, and names
+each of these classes if it is their smallest; a class without ids is named by a hash of a text; a very long text is a block of its
+own, in memory as a whole with about 50 bytes a word; an empty table gives an empty result. Other columns are ignored by
+``near_classes`` and kept by ``drop_near``.
 """
 
 from __future__ import annotations
@@ -36,7 +41,7 @@ from demandgrid.llm.components import connected_components
 WORDS = re.compile(r"\w+")
 SHINGLE, SIMILARITY = 5, 0.8
 COORDINATES, ROWS = 128, 4
-BLOCK = 512
+BLOCK, BLOCK_BYTES = 2048, 8_000_000
 SUB_BATCH = 2_000_000
 
 
@@ -206,75 +211,113 @@ def _verify(limit: float):
     return run
 
 
-def _nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Documents as ``doc_id, k1, k2, bands`` (written once) and their distinct texts as ``k1, k2, node, bands``."""
-    keyed = docs.where(F.col("text").isNotNull()).select("doc_id", *_keys(), "text")
-    signed = materialize(map_texts(keyed, lambda: lambda texts: [band_keys(texts)], "bands array<bigint>"), "dart-signatures")
-    nodes = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"))
-    return signed, materialize(nodes.select("k1", "k2", F.coalesce("low", "k1").alias("node"), "bands"), "dart-nodes")
-
-
 def _keys(text: str = "text"):
     return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), F.col(text), F.length(text)).alias("k2")
 
 
-def _links(docs: DataFrame, nodes: DataFrame, limit: float) -> DataFrame:
-    """``node, root, links`` of the texts that share a bucket with another text."""
+def _id(doc_id: str = "doc_id"):
+    return F.coalesce(doc_id, "k1")
+
+
+def _nodes(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Documents as ``doc_id, k1, k2, bands, bytes`` (written once) and their distinct texts as ``k1, k2, node, id, bands, bytes``.
+
+    ``id`` is the smallest of a text's documents, which is the one whose text is read.
+    """
+    keyed = docs.where(F.col("text").isNotNull()).select("doc_id", *_keys(), F.octet_length("text").cast("bigint").alias("bytes"), "text")
+    signed = materialize(map_texts(keyed, lambda: lambda texts: [band_keys(texts)], "bands array<bigint>"), "dart-signatures")
+    nodes = signed.groupBy("k1", "k2").agg(F.min("doc_id").alias("low"), F.first("bands").alias("bands"), F.first("bytes").alias("bytes"))
+    nodes = nodes.select("k1", "k2", F.monotonically_increasing_id().alias("node"), _id("low").alias("id"), "bands", "bytes")
+    return signed, materialize(nodes, "dart-nodes")  # written, so the numbers stay what they are
+
+
+def _stars(nodes: DataFrame) -> DataFrame:
+    """``u, v``: each node with the smallest of each of its buckets."""
     members = nodes.select("node", F.explode("bands").alias("band"))
     buckets = members.groupBy("band").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
-    stars = members.join(buckets, "band").where("node <> low").select(F.col("node").alias("u"), F.col("low").alias("v"))
-    clusters = materialize(connected_components(stars), "dart-clusters")
-    sizes = clusters.groupBy("component").agg(F.count("*").alias("n"))
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK)).cast("int")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
-    others = F.transform(
-        F.sequence(F.lit(0), F.col("blocks") - 1),
-        lambda b: F.struct(F.least(b, F.col("block")).alias("a"), F.greatest(b, F.col("block")).alias("b")),
-    )
-    placed = (
-        clusters.join(sizes, "component").withColumn("block", block).withColumn("blocks", blocks)
-        .join(nodes.select("node", "k1", "k2"), "node")
-        .select(F.col("component").alias("cluster"), "block", "node", "k1", "k2", "blocks")
-    )
-    texts = docs.where(F.col("text").isNotNull()).select(F.coalesce("doc_id", F.xxhash64("text")).alias("node"), *_keys(), "text")
-    rows = (  # the row that a node is named after; no key has more rows than that document has repeats
-        texts.join(placed, ["node", "k1", "k2"])
-        .withColumn("pair", F.explode(others))
-        .select("cluster", "pair.a", "pair.b", "block", "node", "text")
+    found = members.join(buckets, "band").where("node <> low").select(F.col("node").alias("u"), F.col("low").alias("v"))
+    return materialize(found.distinct(), "dart-stars")
+
+
+def _dealt(groups: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``cluster, node`` with the node's block, the number of blocks in the cluster, and what its text is found by."""
+    sized = groups.join(nodes.select("node", "k1", "k2", "id", "bytes"), "node")
+    sizes = sized.groupBy("cluster").agg(F.ceil(F.greatest(F.count("*") / BLOCK, F.sum("bytes") / BLOCK_BYTES)).cast("int").alias("blocks"))
+    return sized.join(sizes, "cluster").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int")).drop("bytes")
+
+
+def _compared(docs: DataFrame, placed: DataFrame, limit: float, label: str) -> DataFrame:
+    """``node, root, links`` of the texts in ``placed`` (``cluster, node, block, pairs`` and keys): of each pair of blocks."""
+    texts = docs.where(F.col("text").isNotNull()).select("doc_id", *_keys(), "text").select(_id().alias("id"), "k1", "k2", "text")
+    # The row that a node is named after, once however often it is repeated.
+    rows = texts.join(placed, ["id", "k1", "k2"]).groupBy("id", "k1", "k2", "cluster", "block", "node").agg(
+        F.first("text").alias("text"), F.first("pairs").alias("pairs")
     )
+    rows = rows.withColumn("pair", F.explode("pairs")).select("cluster", "pair.a", "pair.b", "block", "node", "text")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(parts, "cluster", "a", "b").sortWithinPartitions("cluster", "a", "b")
-    found = dealt.mapInArrow(_verify(limit), "node bigint, root bigint, links bigint")
-    return materialize(found, "dart-links")
+    return materialize(dealt.mapInArrow(_verify(limit), "node bigint, root bigint, links bigint"), label)
 
 
-def _classes(docs: DataFrame, limit: float) -> tuple[DataFrame, DataFrame]:
-    """Documents as ``doc_id, k1, k2`` and distinct texts as ``k1, k2, node, class_id, n_links``."""
-    signed, nodes = _nodes(docs)
-    links = _links(docs, nodes, limit)
-    components = connected_components(links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v")))
-    counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
-    named = (
-        nodes.drop("bands").join(components, "node", "left").join(counts, "node", "left")
-        .select("k1", "k2", "node", F.coalesce("component", "node").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
+def _links(docs: DataFrame, nodes: DataFrame, clusters: DataFrame, limit: float) -> DataFrame:
+    """``node, root, links`` within the clusters (``cluster, node``), every pair compared."""
+    others = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda b: F.struct(F.least(b, F.col("block")).alias("a"), F.greatest(b, F.col("block")).alias("b")),
     )
-    return signed.select("doc_id", "k1", "k2"), named
+    return _compared(docs, _dealt(clusters, nodes).withColumn("pairs", others).drop("blocks"), limit, "dart-links")
+
+
+def _star_links(docs: DataFrame, nodes: DataFrame, stars: DataFrame, limit: float) -> DataFrame:
+    """``node, root, links`` where only the links between a star's middle and its ends are compared."""
+    ends = _dealt(stars.select(F.col("v").alias("cluster"), F.col("u").alias("node")), nodes)
+    ends = ends.withColumn("pairs", F.array(F.struct(F.lit(-1).alias("a"), F.col("block").alias("b"))))
+    blocks = ends.groupBy("cluster").agg(F.max("blocks").alias("blocks"))
+    middles = nodes.select("node", "k1", "k2", "id", F.col("node").alias("cluster")).join(blocks, "cluster").withColumn("block", F.lit(-1))
+    pairs = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda b: F.struct(F.lit(-1).alias("a"), b.alias("b")))
+    return _compared(docs, ends.unionByName(middles.withColumn("pairs", pairs)).drop("blocks"), limit, "dart-star-links")
+
+
+def _edges(links: DataFrame) -> DataFrame:
+    return links.where("node <> root").select(F.col("node").alias("u"), F.col("root").alias("v"))
+
+
+def _clusters(stars: DataFrame) -> DataFrame:
+    return materialize(connected_components(stars).select(F.col("component").alias("cluster"), "node"), "dart-clusters")
 
 
 def near_classes(docs: DataFrame, limit: float = SIMILARITY) -> DataFrame:
-    """``doc_id, class_id, n_links`` for every document: links go to other texts with a similarity of ``limit`` or more."""
+    """``doc_id, class_id, n_links`` for every document: links go to other texts with a similarity of ``limit`` or more. A class is
+    named by its smallest id."""
     null = docs.where(F.col("text").isNull()).select(
         "doc_id", F.col("doc_id").alias("class_id"), F.lit(0).cast("bigint").alias("n_links")
     )
-    rows, texts = _classes(docs, limit)
-    return rows.join(texts, ["k1", "k2"]).select("doc_id", "class_id", "n_links").unionByName(null)
+    signed, nodes = _nodes(docs)
+    links = _links(docs, nodes, _clusters(_stars(nodes)), limit)
+    counts = links.groupBy("node").agg(F.sum("links").alias("n_links"))
+    named = nodes.drop("bands").join(connected_components(_edges(links)), "node", "left").join(counts, "node", "left")
+    named = materialize(
+        named.select("k1", "k2", "id", F.coalesce("component", "node").alias("component"), F.coalesce("n_links", F.lit(0)).alias("n_links")),
+        "dart-classes",
+    )
+    lowest = named.groupBy("component").agg(F.min("id").alias("class_id"))
+    texts = named.join(lowest, "component").select("k1", "k2", "class_id", "n_links")
+    return signed.select("doc_id", "k1", "k2").join(texts, ["k1", "k2"]).select("doc_id", "class_id", "n_links").unionByName(null)
 
 
 def drop_near(docs: DataFrame, limit: float = SIMILARITY) -> DataFrame:
     """One document of each class, the one with the smallest id, with its own columns; all documents without a text."""
-    whole = docs.where(F.col("text").isNotNull()).select(
-        F.struct("*").alias("whole_row"), F.coalesce("doc_id", F.xxhash64("text")).alias("id"), *_keys()
-    )
-    first = _classes(docs, limit)[1].where("node = class_id").select(F.col("node").alias("id"), "k1", "k2")
+    _, nodes = _nodes(docs)
+    stars = _stars(nodes)
+    found = _edges(_star_links(docs, nodes, stars, limit))
+    clusters = _clusters(stars)
+    parts = clusters.join(connected_components(found), "node", "left").withColumn("part", F.coalesce("component", "node"))
+    torn = parts.groupBy("cluster").agg(F.min("part").alias("low"), F.max("part").alias("high")).where("low < high").select("cluster")
+    rest = _links(docs, nodes, clusters.join(torn, "cluster"), limit)
+    components = connected_components(found.unionByName(_edges(rest)))
+    named = nodes.join(components, "node", "left").select("id", "k1", "k2", F.coalesce("component", "node").alias("component"))
+    first = named.groupBy("component").agg(F.min(F.struct("id", "k1", "k2")).alias("first")).select("first.*")
+    whole = docs.where(F.col("text").isNotNull()).select(F.struct("*").alias("whole_row"), "doc_id", *_keys())
+    whole = whole.select("whole_row", _id().alias("id"), "k1", "k2")
     kept = whole.dropDuplicates(["id", "k1", "k2"]).join(first, ["id", "k1", "k2"], "left_semi")
     return kept.select("whole_row.*").unionByName(docs.where(F.col("text").isNull()))

@@ -77,6 +77,45 @@ def test_one_of_each_class_stays(docs_frame):
     assert sorted(kept) == sorted({c for c, _ in plain(rows).values()})
 
 
+def test_an_id_with_two_texts_keeps_all_links(docs_frame):
+    a, b = words(1, 60), words(2, 60)
+    near = lambda t: " ".join(t[:-1] + ["changed"])
+    docs = docs_frame([(1, " ".join(a)), (1, " ".join(b)), (2, near(a)), (3, near(b)), (1, " ".join(a)), (4, " ".join(words(3, 60)))])
+    got = sorted((r.doc_id, r.class_id, r.n_links) for r in neardup.near_classes(docs).collect())
+    assert got == [(1, 1, 1)] * 3 + [(2, 1, 1), (3, 1, 1), (4, 4, 0)]
+    assert sorted((r.doc_id, r.text) for r in neardup.drop_near(docs).collect()) == sorted([(1, " ".join(a)), (1, " ".join(b)), (4, " ".join(words(3, 60)))])
+
+
+def chained(n):
+    """Each text is like the next one, far ones are not alike, and the buckets' smallest reach a part of them only."""
+    text, out = words(9, 100), []
+    for k in range(n):
+        out.append((k, " ".join(text)))
+        text[(7 * k) % 100] = f"step{k}"
+    return out
+
+
+def test_clusters_that_stars_leave_in_parts(docs_frame, monkeypatch):
+    monkeypatch.setattr(neardup, "BLOCK_BYTES", 3_000)
+    rows = chained(70)
+    want = sorted({c for c, _ in plain(rows).values()})
+    assert sorted(r["doc_id"] for r in neardup.drop_near(docs_frame(rows)).collect()) == want
+
+
+def test_a_growing_cluster_moves_in_proportion(spark, docs_frame, monkeypatch):
+    """Rows that are sent to be compared, when a group of near copies doubles."""
+    monkeypatch.setattr(neardup, "BLOCK", 8)
+    base, sent = words(500, 120), []
+    for n in (60, 120):
+        rows = [(k, " ".join(base[:k] + [f"new{k}"] + base[k + 1 :])) for k in range(n)]
+        _, nodes = neardup._nodes(docs_frame(rows))
+        stars = neardup._stars(nodes)
+        links = neardup._star_links(docs_frame(rows), nodes, stars, 0.8)
+        sent.append(links.count() / stars.count())  # about one row for each end of a star
+        assert [r["doc_id"] for r in neardup.drop_near(docs_frame(rows)).collect()] == [0]
+    assert sent[1] <= 1.3 * sent[0] and sent[1] < 1.5
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(100)] + [(200, 201), (201, 202), (202, 200), (300, 300)] + [(400, k) for k in range(401, 450)]
     got = {r["node"]: r["component"] for r in connected_components(spark.createDataFrame(chain, "u bigint, v bigint")).collect()}
