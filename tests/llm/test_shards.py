@@ -27,33 +27,64 @@ def test_balanced_and_gapless(docs_frame):
 
 
 def plain(rows, n, whole=0.05):
-    """Prefix sums over all rows at once, in the order of CRC-32, text and id."""
+    """Larger groups that fit go where most room is, the rest by prefix sums over all rows at once, in the order of CRC-32, hash
+    (there are no two texts of one CRC-32 here) and id."""
     order = sorted((zlib.crc32(t.encode()), t, i) for i, t in rows)
-    size = [len(t.encode()) + 8 for _, t, _ in order]
-    total, start, groups = sum(size), 0, defaultdict(list)
-    places = []
+    groups = defaultdict(list)
     for k, (_, t, _) in enumerate(order):
-        places.append(start)
         groups[t].append(k)
-        start += size[k]
-    shard = {}
-    for members in groups.values():
-        held = sum(size[k] for k in members)
-        together = len(members) == 1 or held <= whole * total / n
-        for k in members:
-            middle = 2 * places[members[0]] + held if together else 2 * places[k] + size[k]
-            shard[k] = min(n - 1, middle * n // (2 * total))
-    seen, out = defaultdict(int), []
-    for k, (_, _, i) in enumerate(order):
-        out.append((i, shard[k], seen[shard[k]]))
+    assert len(groups) == len({c for c, *_ in order})
+    size = [len(t.encode()) + 8 for _, t, _ in order]
+    total, used, shard, seen, out = sum(size), [0] * n, {}, defaultdict(int), {}
+    held = {t: sum(size[k] for k in g) for t, g in groups.items()}
+    large = [t for t in groups if len(groups[t]) > 1 and held[t] > whole * total / n]
+    own = {}
+    for t in sorted(large, key=lambda t: (-held[t], zlib.crc32(t.encode()))):
+        s = used.index(min(used))
+        if used[s] + held[t] <= total / n:
+            used[s] += held[t]
+            own[t] = s
+    for t in sorted(own, key=lambda t: zlib.crc32(t.encode())):
+        for k in groups[t]:
+            out[order[k][2]] = (own[t], seen[own[t]])
+            seen[own[t]] += 1
+    cuts = [(s + 1) * total // n - sum(used[: s + 1]) for s in range(n - 1)]
+    at = 0
+    for t, g in groups.items():
+        if t in own:
+            continue
+        for k in g:
+            shard[k] = sum(2 * c <= 2 * at + (held[t] if t not in large else size[k]) for c in cuts) if t in large or k == g[0] else shard[g[0]]
+            at += size[k] if t in large else 0
+        at += held[t] if t not in large else 0
+    for k in sorted(shard):
+        out[order[k][2]] = (shard[k], seen[shard[k]])
         seen[shard[k]] += 1
-    return sorted(out)
+    return sorted((i, *v) for i, v in out.items())
 
 
 def test_against_prefix_sums(docs_frame):
     rows = [(i, " ".join(words(i % 250, 1 + i % 60))) for i in range(700)] + [(1_000 + i, "copied very often") for i in range(400)]
+    rows += [(2_000 + i, "a group that one shard can hold " * 2) for i in range(40)] + [(3_000 + i, "and so can one hold this") for i in range(50)]
     got = shard_plan(docs_frame(rows), 24).collect()
     assert sorted((r["doc_id"], r["shard"], r["slot"]) for r in got) == plain(rows, 24)
+    where = defaultdict(set)
+    for r in got:
+        where[dict(rows)[r["doc_id"]]].add(r["shard"])
+    assert {t for t, s in where.items() if len(s) > 1} == {"copied very often"}
+
+
+def test_groups_of_half_a_shard_stay_whole_and_shards_equal(docs_frame):
+    rows = [(100 * g + i, " ".join(words(g, 40))) for g in range(7) for i in range(60)]
+    rows += [(10_000 + i, " ".join(words(100 + i, 20))) for i in range(1_500)]
+    plan = shard_plan(docs_frame(rows), 8).collect()
+    sizes = check(plan, rows, 8)
+    text, where = dict(rows), defaultdict(set)
+    for r in plan:
+        where[text[r["doc_id"]]].add(r["shard"])
+    assert max(map(len, where.values())) == 1
+    mean = sum(sizes.values()) / 8
+    assert max(abs(v - mean) for v in sizes.values()) < 0.02 * mean
 
 
 def test_copies_stay_together_unless_too_many(docs_frame):
