@@ -88,12 +88,13 @@ def map_texts(
     """Add columns worked out from texts, Arrow batch by Arrow batch.
 
     ``make`` runs once in each task and returns a function from texts (nulls as empty) to one list or array per added column.
-    ``text`` is dropped; with ``whole_row.text`` it is read from the struct and the struct is kept as it is.
+    ``text`` is dropped; with ``whole_row.text`` it is read from the struct and the struct is kept as it is. Columns that have
+    the name of an added one are dropped.
     """
     new = T.StructType.fromDDL(added)
     kinds = [to_arrow_type(f.dataType) for f in new]
     outer, _, inner = text.partition(".")
-    names = [f.name for f in df.schema if inner or f.name != outer]
+    names = [f.name for f in df.schema if (inner or f.name != outer) and f.name not in new.names]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()

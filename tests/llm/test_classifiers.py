@@ -39,6 +39,45 @@ def test_language_odd_rows(odd_docs, odd_rows, no_docs):
     assert langid.predict_language(no_docs.select("doc_id", "text"), model).count() == 0
 
 
+def test_language_against_plain_compression(docs_frame):
+    """Each piece compressed with each dictionary, one at a time."""
+    import zstandard
+
+    model = langid.learn_dictionaries(docs_frame([(i, prose(lang, i), lang) for i, lang in enumerate(list(PARTS) * 40)]))
+    texts = [prose(lang, 2_000 + i, 2 + 37 * i) for i, lang in enumerate(list(PARTS) * 5)] + ["x", "Ärger, 12 mal!"]
+    got = {r.doc_id: r for r in langid.predict_language(docs_frame(list(enumerate(texts))).select("doc_id", "text"), model).collect()}
+    for i, text in enumerate(texts):
+        plain = "".join(c if c.isalpha() else " " for c in text.lower())
+        plain = " ".join(plain.split())
+        sizes = {}
+        for lang, held in model.items():
+            tool = zstandard.ZstdCompressor(
+                level=3, dict_data=zstandard.ZstdCompressionDict(held, dict_type=zstandard.DICT_TYPE_RAWCONTENT), write_content_size=False, write_dict_id=False
+            )
+            sizes[lang] = sum(len(tool.compress(plain[k : k + 1500].encode())) for k in range(0, len(plain), 1500))
+        best, second = sorted(sizes.values())[:2]
+        assert sizes[got[i].lang_pred] == best and got[i].margin == pytest.approx((second - best) / second)
+        assert got[i].score == pytest.approx(1 / sum(2.0 ** -min(n - best, 60) for n in sizes.values()))
+
+
+def test_dictionaries_hold_whole_texts_in_hash_order(docs_frame):
+    rows = [(i, prose("aa", i, 20), "aa") for i in range(200)] + [(900, prose("aa", 900, 5_000), "aa"), (901, prose("bb", 1, 30), "bb")]
+    model = langid.learn_dictionaries(docs_frame(rows), 6_000)
+    known = {langid.letters(t) for _, t, _ in rows}
+    taught = model["aa"].decode().split("\n")
+    assert set(taught) <= known and 3_000 < len(model["aa"]) <= 6_000 and len(model["bb"]) < 300
+    assert model == langid.learn_dictionaries(docs_frame(rows[::-1]).repartition(3), 6_000)
+
+
+def test_numbers_are_no_letters(docs_frame):
+    model = langid.learn_dictionaries(docs_frame([(i, prose(lang, i), lang) for i, lang in enumerate(list(PARTS) * 9)]))
+    rows = list(enumerate(["½", "²³", "①Ⅷ", "١٢", "_", "é", "中"]))
+    docs = docs_frame(rows).withColumnRenamed("lang", "score").withColumnRenamed("source", "margin")
+    got = langid.predict_language(docs.select("doc_id", "text", "score", "margin"), model)
+    assert got.columns == ["doc_id", "lang_pred", "score", "margin", "rejected"]
+    assert {r.doc_id for r in got.collect() if r.lang_pred == "und"} == {0, 1, 2, 3, 4}
+
+
 BAD = ["vilest", "rotter", "dunce"]
 
 
