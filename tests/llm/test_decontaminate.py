@@ -61,6 +61,34 @@ def test_against_all_windows(docs_frame, items_frame):
     assert got == pytest.approx(plain(docs, items))
 
 
+def test_blocks_join_lined_up_pairs_only(spark, docs_frame, items_frame, monkeypatch):
+    """Many items of one length, each in a document of its own: pairs grow with the documents, not with their square."""
+    seen = {}
+    plainly = decontaminate.near_pairs
+
+    def counted(lined_up, windows, items):
+        out = decontaminate.materialize(plainly(lined_up, windows, items), "test")
+        seen.update(lined_up=lined_up.count(), near=out.count())
+        return out
+
+    monkeypatch.setattr(decontaminate, "near_pairs", counted)
+    items = [(k, " ".join(words(700 + k, 15))) for k in range(60)]
+    docs = [(k, f"{' '.join(words(k, 9))} {t} {' '.join(words(300 + k, 9))}") for k, t in items]
+    got = {(r.doc_id, r.item_id) for r in decontaminate.find_leaks(docs_frame(docs), items_frame(items)).collect()}
+    assert got == {(k, k) for k in range(60)} and seen == {"lined_up": 60, "near": 60}
+
+
+def test_items_of_many_words(docs_frame, items_frame):
+    long = words(5, 10_000)
+    docs = [(1, " ".join(["in", "front", *long, "behind"])), (2, " ".join(long[:7_000] + words(6, 3_000))), (3, " ".join(long[:9_500]))]
+    again = ["one", "and", "the", "same"] * 2_000
+    got = decontaminate.find_leaks(docs_frame([*docs, (4, " ".join(again))]), items_frame([(1, " ".join(long)), (2, " ".join(again[:-4]))]))
+    found = {}
+    for r in got.collect():
+        found[r.doc_id, r.item_id] = max(found.get((r.doc_id, r.item_id), 0), r.similarity)
+    assert found == {(1, 1): 1.0, (3, 1): pytest.approx(0.95, abs=0.01), (4, 2): 1.0}
+
+
 def test_plan_is_native(spark, docs_frame, items_frame):
     docs, items = cases()
     plan = decontaminate.find_leaks(docs_frame(docs), items_frame(items))._jdf.queryExecution().toString()
