@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator, Sequence
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import types as T
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -48,11 +48,12 @@ def rate_below(key: Column, rate: Column) -> Column:
 
 
 def labelled_sample(
-    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int]
+    docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int], most_bytes: int = 24_000_000
 ) -> tuple[list[tuple[str, int]], dict[int, int]]:
     """Texts with their labels, and how many ids have each label.
 
-    A repeatable sample with about ``wanted[y]`` ids of label ``y``. It is drawn from the narrow label table, so its ids (as many as
+    Bounded in rows and in bytes: texts longer than a hundredth of ``most_bytes`` don't teach, and of each label whole texts are
+    taken in the order of a hash of their ids until ``most_bytes`` are reached. A repeatable sample with about ``wanted[y]`` ids of label ``y``. It is drawn from the narrow label table, so its ids (as many as
     wanted) can be broadcast and no text but the sample's is moved. Other and null labels are left out; equal rows come once.
     """
     known = labels.where(F.col(label).isin(*wanted)).select("doc_id", F.col(label).cast("int").alias("label")).distinct()
@@ -61,7 +62,10 @@ def labelled_sample(
     for y, n in counts.items():
         rate = F.when(F.col("label") == y, wanted[y] / n).otherwise(rate)
     chosen = known.where(rate_below(F.col("doc_id"), rate))
-    rows = docs.select("doc_id", clean_text().alias("text")).join(F.broadcast(chosen), "doc_id").select("text", "label").distinct()
+    rows = docs.select("doc_id", clean_text().alias("text")).where(F.octet_length("text") <= most_bytes // 100)
+    rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("text", "label").agg(F.min(hash60(F.col("doc_id"))).alias("place"))
+    first = Window.partitionBy("label").orderBy("place", "text")  # as many rows as wanted
+    rows = rows.withColumn("end", F.sum(F.octet_length("text")).over(first)).where(F.col("end") <= most_bytes).select("text", "label")
     return sorted((r["text"], r["label"]) for r in rows.collect()), counts
 
 

@@ -1,16 +1,24 @@
 """Toxic spans by a linear-chain conditional random field over tokens.
 
-Two states per token (clean, toxic) in chains that end with a sentence. Features of a token are its word and a bias; the
-transitions are features too. Token labels come from the document labels of a bounded, repeatable sample: a word of a toxic
-document is labelled toxic if it is far commoner in toxic documents than in clean ones. The field is fitted to these labels by gradient ascent on the conditional likelihood (forward-backward expectations). The
-marginals of a document (largest, and the sum of all) give its score by a logistic fit on the document labels.
+Two states per token (clean, toxic) in chains that end with a sentence, or after ``CHAIN`` tokens. A token's score for the toxic state is
+the sum of a bias and of weights for its word, the words before and after it, its runs of four and six letters (hashed) and
+its shape (small, capitalised, capitals, with digits); the transitions have weights as well.
 
-Limits: ``sample_docs`` toxic and ``CLEAN_SHARE`` times as many clean rows on average are learned from, all of their tokens; the model that is
-broadcast holds at most ``vocabulary`` words and the toxic ones. Scoring reads whole texts.
+Labels are given for documents only, so token labels are latent: of a clean document no token is toxic, of a toxic one at least
+one is. The field is fitted by ascent on the likelihood of exactly that: forward-backward gives for each document the
+probability P that all is clean, and the marginals given that something is toxic are the plain ones over 1 - P. A word that is toxic only
+beside certain others, or a spelling that was not seen, gets its score from the neighbours and the runs of letters.
+
+The marginals of a document (largest, and the sum of all) give its score by a logistic fit on the document labels.
+
+Limits: ``sample_docs`` toxic and ``CLEAN_SHARE`` times as many clean rows on average are learned from, ``SAMPLE_BYTES`` of text of either
+label at most, all of their tokens. Words seen at least ``SEEN`` times have weights of their own, the ``vocabulary`` commonest of
+them; others are known by their runs of letters and shape. Scoring reads whole texts.
 
 Defined cases: a null or empty text has no tokens and gets the score of a text without any toxic mass; without toxic or
 without clean labelled rows every score is the share of toxic labels (0 without labels); null labels teach nothing;
-repeated rows teach once and are scored each; spans are character offsets in the text as it is, ``end`` exclusive.
+repeated rows teach once and are scored each; a very long text is scored by itself, with about 60 bytes a token; columns that have the
+names of added ones give way to them; spans are character offsets in the text as it is, ``end`` exclusive.
 """
 
 from __future__ import annotations
@@ -19,6 +27,8 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import islice
+from typing import NamedTuple
 
 import numpy as np
 import xxhash
@@ -29,50 +39,123 @@ from demandgrid.llm.common import chunks_of, labelled_sample, map_texts, with_ro
 
 TOKEN = re.compile(r"\w+|[.!?\n]+")
 ENDS = ".!?\n"
-SUB_BATCH = 1_000_000
-#: What a word must reach to count as toxic in fitting: the likelihood-ratio statistic, and how much commoner it is.
-LIKELIHOOD_RATIO, TIMES = 25.0, 8.0
-CLEAN_SHARE = 3
-#: Tokens whose gradient is worked out at once, and the longest chain in fitting; PIECE is a multiple of CHAIN.
+SUB_BATCH, FORMS_HELD = 1_000_000, 300_000
+CLEAN_SHARE, SAMPLE_BYTES = 3, 24_000_000
+SEEN = 3
+#: Tokens whose gradient is worked out at once, and the longest chain.
 PIECE, CHAIN = 300_000, 100
+GRAM_LENGTHS, GRAMS, SHAPES = (4, 6), 1 << 17, 4
+#: Steps of the ascent: their size, what keeps those of rare features small, and the pull to zero.
+RATE, CALM, PULL = 1.0, 0.5, 0.05
+FIRST_BIAS = -6.0
 
 
 @dataclass
 class ToxicModel:
-    """Words and their ids (0: any other), per-id weights for the toxic state, transitions, and the document's logistic fit."""
+    """Words and their ids (0: any other, the last: a chain's end), weights for the toxic state, transitions, and the document's fit."""
 
     words: dict[str, int] = field(default_factory=dict)
-    own: np.ndarray = field(default_factory=lambda: np.zeros(1))
+    own: np.ndarray = field(default_factory=lambda: np.zeros(2))
+    before: np.ndarray = field(default_factory=lambda: np.zeros(2))
+    after: np.ndarray = field(default_factory=lambda: np.zeros(2))
+    grams: np.ndarray = field(default_factory=lambda: np.zeros(GRAMS))
+    shapes: np.ndarray = field(default_factory=lambda: np.zeros(SHAPES))
     bias: float = 0.0
     moves: np.ndarray = field(default_factory=lambda: np.zeros((2, 2)))
     document: np.ndarray | None = None
     base_rate: float = 0.0
 
 
-def tokens_of(texts: list[str], words: dict[str, int], spans: bool = False):
-    """Word ids, chain starts, document of each token, and character offsets if asked for."""
-    ids, first, docs, at = [], [], [], []
-    get, ends = words.get, ENDS
-    for d, text in enumerate(texts):
-        new, before = True, len(ids)
-        # Offsets are those of the text as it is; lower-casing a whole text can change its length.
-        for m in TOKEN.finditer(text) if spans else TOKEN.findall(text.lower()):
-            word = m[0].lower() if spans else m
-            if word[0] in ends:
+class Forms(NamedTuple):
+    """Of each distinct token as it is written: its word, its runs of letters (all in a row, and how many it has) and its shape."""
+
+    word: np.ndarray
+    grams: np.ndarray
+    counts: np.ndarray
+    shape: np.ndarray
+
+
+def coded(texts: list[str], places: dict[str, int], spans: bool = False):
+    """Number of each token's form (new forms are added to ``places``), chain starts, tokens of each text, and offsets if asked for."""
+    index, first, counts, at = array("i"), bytearray(), [], []
+    for text in texts:
+        new, before = True, len(index)
+        for m in TOKEN.finditer(text) if spans else TOKEN.findall(text):
+            word = m[0] if spans else m
+            if word[0] in ENDS:
                 new = True
                 continue
-            ids.append(get(word, 0))
+            index.append(places.setdefault(word, len(places)))
             first.append(new)
             new = False
             if spans:
                 at.append(m.span())
-        docs.append(len(ids) - before)
-    return np.array(ids, np.int64), np.array(first, bool), np.repeat(np.arange(len(texts)), docs), at
+        counts.append(len(index) - before)
+    return np.frombuffer(index, np.int32) if index else np.zeros(0, np.int32), np.frombuffer(first, bool), np.array(counts, np.int64), at
+
+
+def tokens_of(texts: list[str], words: dict[str, int], spans: bool = False):
+    """Word ids, chain starts, document of each token, and character offsets if asked for."""
+    places: dict[str, int] = {}
+    index, first, counts, at = coded(texts, places, spans)
+    ids = np.array([words.get(t.lower(), 0) for t in places], np.int64)
+    return ids[index] if len(index) else np.zeros(0, np.int64), first, np.repeat(np.arange(len(texts)), counts), at
+
+
+class Buckets(dict):
+    """Hash bucket of each run of letters."""
 
+    def __missing__(self, gram: str) -> int:
+        self[gram] = bucket = xxhash.xxh3_64_intdigest(gram) % GRAMS
+        return bucket
 
-def emissions(model: ToxicModel, ids: np.ndarray) -> np.ndarray:
+
+def shape_of(token: str, low: str) -> int:
+    if token == low and low.isalpha():
+        return 0
+    return 3 if any(c.isdigit() for c in low) else 2 if len(low) > 1 and token.isupper() else 1
+
+
+def forms_of(tokens: list[str], words: dict[str, int]) -> Forms:
+    bucket, word, shape, counts, grams = Buckets(), [], [], [], []
+    for token in tokens:
+        low = token.lower()
+        word.append(words.get(low, 0))
+        shape.append(shape_of(token, low))
+        padded = f"^{low}$"
+        own = [bucket[padded[i : i + n]] for n in GRAM_LENGTHS for i in range(max(1, len(padded) - n + 1))]
+        counts.append(len(own))
+        grams += own
+    return Forms(np.array(word, np.int32), np.array(grams, np.int32), np.array(counts, np.int32), np.array(shape, np.uint8))
+
+
+def cut_chains(first: np.ndarray) -> np.ndarray:
+    """Chain starts, with more of them where a chain is longer than ``CHAIN``."""
+    at = np.arange(len(first))
+    return first | ((at - np.maximum.accumulate(np.where(first, at, 0))) % CHAIN == 0) if len(first) else first
+
+
+def form_scores(model: ToxicModel, forms: Forms) -> np.ndarray:
+    """What a form adds to the score by itself."""
+    if not len(forms.word):
+        return np.zeros(0)
+    ends = np.cumsum(forms.counts)
+    grams = np.add.reduceat(model.grams[forms.grams], ends - forms.counts) / np.sqrt(forms.counts)
+    return model.own[forms.word] + model.shapes[forms.shape] + grams
+
+
+def neighbours(word: np.ndarray, first: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+    """Words before and after each token; ``end`` where its chain begins or ends."""
+    before, after = np.full(len(word), end, word.dtype), np.full(len(word), end, word.dtype)
+    inner = np.flatnonzero(~first)
+    before[inner], after[inner - 1] = word[inner - 1], word[inner]
+    return before, after
+
+
+def emissions(model: ToxicModel, own: np.ndarray, word: np.ndarray, first: np.ndarray) -> np.ndarray:
     """Toxic-state score of each token, the clean state's being 0."""
-    return model.bias + model.own[ids]
+    before, after = neighbours(word, first, len(model.own) - 1)
+    return model.bias + own + model.before[before] + model.after[after]
 
 
 def _by_place(first: np.ndarray) -> Iterator[np.ndarray]:
@@ -86,22 +169,24 @@ def _by_place(first: np.ndarray) -> Iterator[np.ndarray]:
         yield starts[:n] + place
 
 
-def marginals(score: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Probability that each token is toxic; and the expected transitions, (2, 2) summed over all neighbours.
+def forward_backward(score: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Probability that each token is toxic; of each token that is not a chain's first, the probability of the transitions
+    (clean-clean, clean-toxic, toxic-clean, toxic-toxic) to it; and the logarithm of each token's factor in the chain's sum.
 
     Scaled forward-backward. ``a``: probability of the toxic state given the tokens up to here; ``b``: what the tokens after
     it say, normalised over the two states.
     """
     e, t = np.exp(np.clip(score, -30, 30)), np.exp(moves)
-    a, b = np.empty(len(score)), np.full(len(score), 0.5)
+    a, b, factor = np.empty(len(score)), np.full(len(score), 0.5), np.empty(len(score))
     places = list(_by_place(first))
     for k, at in enumerate(places):
         if k == 0:
-            odds = e[at]
+            clean, toxic = 1.0, e[at]
         else:
             p = a[at - 1]
-            odds = e[at] * (t[0, 1] * (1 - p) + t[1, 1] * p) / (t[0, 0] * (1 - p) + t[1, 0] * p)
-        a[at] = odds / (1 + odds)
+            clean, toxic = t[0, 0] * (1 - p) + t[1, 0] * p, e[at] * (t[0, 1] * (1 - p) + t[1, 1] * p)
+        factor[at] = clean + toxic
+        a[at] = toxic / factor[at]
     for at in reversed(places[1:]):
         clean, toxic = 1 - b[at], e[at] * b[at]
         back = (t[1, 0] * clean + t[1, 1] * toxic) / ((t[0, 0] + t[1, 0]) * clean + (t[0, 1] + t[1, 1]) * toxic)
@@ -113,14 +198,20 @@ def marginals(score: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[
     joint = np.stack([
         (1 - pa) * t[0, 0] * (1 - bb), (1 - pa) * t[0, 1] * eb * bb, pa * t[1, 0] * (1 - bb), pa * t[1, 1] * eb * bb
     ])
-    return p, (joint / joint.sum(0)).sum(1).reshape(2, 2) if len(inner) else np.zeros((2, 2))
+    return p, joint / joint.sum(0), np.log(factor)
+
+
+def marginals(score: np.ndarray, first: np.ndarray, moves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Probability that each token is toxic; and the expected transitions, (2, 2) summed over all neighbours."""
+    p, joint, _ = forward_backward(score, first, moves)
+    return p, joint.sum(1).reshape(2, 2)
 
 
 def summaries(p: np.ndarray, docs: np.ndarray, n: int) -> np.ndarray:
     """Of each document: bias, largest marginal, log of one plus the sum of the marginals."""
     top, total = np.zeros(n), np.zeros(n)
     np.maximum.at(top, docs, p)
-    np.add.at(total, docs, np.where(p > 0.01, p, 0.0))
+    np.add.at(total, docs, p)
     return np.stack([np.ones(n), top, np.log1p(total)], axis=1)
 
 
@@ -128,57 +219,39 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
-def _toxic_words(ids: np.ndarray, first: np.ndarray, toxic: np.ndarray, size: int) -> np.ndarray:
-    """Which words are far commoner in toxic texts, with enough different places to say so (likelihood ratio).
+def _vocabulary(places: dict[str, int], seen: np.ndarray, size: int) -> dict[str, int]:
+    """Ids, from 1, of the commonest words that are seen often enough."""
+    counts: dict[str, int] = {}
+    for token, n in zip(places, seen.tolist(), strict=True):
+        low = token.lower()
+        counts[low] = counts.get(low, 0) + n
+    common = sorted((-n, w) for w, n in counts.items() if n >= SEEN)[:size]
+    return {w: i + 1 for i, (_, w) in enumerate(common)}
+
+
+def latent_targets(p: np.ndarray, joint: np.ndarray, factor: np.ndarray, first: np.ndarray, docs: np.ndarray, toxic: np.ndarray, stay: float):
+    """What the labels add to the probabilities of tokens and transitions, given the plain ones.
 
-    A place is a word with its neighbours; counted once each, so that copies of a text say no more than the text.
+    ``docs`` numbers each token's document from 0, ``toxic`` says which of them are; ``stay`` is the weight of clean-clean. In a clean
+    document all is clean. In a toxic one that is the one thing ruled out: with the probability P of it, the others grow by
+    P / (1 - P) of theirs.
     """
-    mix = np.uint64(0x9E3779B97F4A7C15)
-    place = ids.astype(np.uint64) + np.uint64(1)
-    before = np.where(first, np.uint64(0), np.concatenate((place[:1], place[:-1])))
-    after = np.concatenate((place[1:], np.zeros(1, np.uint64)))
-    place *= mix
-    place ^= before
-    place *= mix
-    place ^= after
-    place *= mix
-    del before, after
-    counts = []
-    for label in (0, 1):
-        _, one = np.unique(place[toxic == label], return_index=True)
-        counts.append(np.bincount(ids[toxic == label][one], minlength=size) + 0.0)
-    clean, bad = counts
-    share = bad.sum() / max(1.0, bad.sum() + clean.sum())
-    n = np.maximum(bad + clean, 1)
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (np.nan_to_num(bad * np.log(bad / (n * share))) + np.nan_to_num(clean * np.log(clean / (n * (1 - share)))))
-    return (ratio >= LIKELIHOOD_RATIO) & (bad * (1 - share) >= TIMES * (clean + 0.5) * share)
-
-
-def _coded(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hash of each token, chain starts, and tokens of each text; no table of strings is held."""
-    hashes, first, counts = array("Q"), bytearray(), []
-    for text in texts:
-        new, before = True, len(hashes)
-        for word in TOKEN.findall(text.lower()):
-            if word[0] in ENDS:
-                new = True
-                continue
-            hashes.append(xxhash.xxh3_64_intdigest(word))
-            first.append(new)
-            new = False
-        counts.append(len(hashes) - before)
-    return np.frombuffer(hashes, np.uint64), np.frombuffer(first, bool), np.array(counts, np.int64)
+    inner = np.flatnonzero(~first)
+    all_clean = stay * np.bincount(docs[inner], minlength=len(toxic)) - np.bincount(docs, factor, len(toxic))
+    grow = np.where(toxic, np.exp(all_clean) / np.maximum(-np.expm1(all_clean), 1e-6), -1.0)
+    moved = joint.copy()
+    moved[0] -= 1.0
+    return grow[docs] * p, moved * grow[docs[inner]]
 
 
-def _vocabulary(texts: list[str], kept: np.ndarray) -> dict[str, int]:
-    """The words with hashes ``kept``, and the place of the hash there, from 1."""
-    place, words = {h: i + 1 for i, h in enumerate(kept.tolist())}, {}
-    for text in texts:
-        for word in TOKEN.findall(text.lower()):
-            if word[0] not in ENDS and word not in words and (at := place.get(xxhash.xxh3_64_intdigest(word))):
-                words[word] = at
-    return words
+def _fit_documents(x: np.ndarray, label: np.ndarray) -> np.ndarray:
+    """Newton's steps of a logistic fit with a ridge."""
+    weights = np.zeros(x.shape[1])
+    for _ in range(30):
+        q = _sigmoid(x @ weights)
+        hessian = (x * (q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(x.shape[1])
+        weights += np.linalg.solve(hessian, x.T @ (label - q) - 0.05 * weights)
+    return weights
 
 
 def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps: int = 40) -> ToxicModel:
@@ -186,56 +259,56 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
     label = np.array(labels, np.int64)
     if not len(label) or label.min() == label.max():
         return ToxicModel(base_rate=float(label.mean()) if len(label) else 0.0)
-    hashes, first, counts = _coded(texts)
-    toxic = np.repeat(label.astype(np.int8), counts)
-    distinct, ids, seen = np.unique(hashes, return_inverse=True, return_counts=True)
-    bad = _toxic_words(ids, first, toxic, len(distinct))
-    # Keep the toxic words and the commonest others, if seen three times; renumber from 1.
-    common = np.lexsort((distinct, -seen))[:vocabulary]
-    keep = np.union1d(np.flatnonzero(bad), common[seen[common] >= 3])
-    renumber = np.zeros(len(distinct), np.int64)
-    renumber[keep] = np.arange(1, len(keep) + 1)
-    is_bad, ids = np.concatenate(([False], bad[keep])), renumber[ids]
-    words = _vocabulary(texts, distinct[keep])
-    model = ToxicModel(words, np.zeros(len(keep) + 1), base_rate=float(label.mean()))
-
-    x, y = ids, is_bad[ids] & (toxic == 1)
-    begins = first | (np.arange(len(x)) % CHAIN == 0)  # chains for fitting are short, and none lies in two pieces
-    inner = np.flatnonzero(~begins)
-    pairs = np.bincount(2 * y[inner - 1] + y[inner], minlength=4).reshape(2, 2)
-    del hashes, first, toxic, inner
-    size, rate = len(keep) + 1, 1.0
-    grads: dict[str, float | np.ndarray] = {"own": np.zeros(size), "bias": 0.0, "moves": np.zeros((2, 2))}
+    places: dict[str, int] = {}
+    index, first, counts, _ = coded(texts, places)
+    words = _vocabulary(places, np.bincount(index, minlength=len(places)), vocabulary)
+    forms, size = forms_of(list(places), words), len(words) + 2
+    model = ToxicModel(words, np.zeros(size), np.zeros(size), np.zeros(size), bias=FIRST_BIAS, base_rate=float(label.mean()))
+    del places
+    first = cut_chains(first)
+    ends = np.cumsum(counts)
+    cuts = [0]  # documents whose tokens make a piece
+    while cuts[-1] < len(label):
+        done = ends[cuts[-1] - 1] if cuts[-1] else 0
+        cuts.append(max(cuts[-1] + 1, int(np.searchsorted(ends, done + PIECE, "right"))))
+    pieces = [(a, b, slice(ends[a - 1] if a else 0, ends[b - 1])) for a, b in zip(cuts, cuts[1:], strict=False)]
+    names = ("own", "before", "after", "grams", "shapes", "bias", "moves")
+    power: dict[str, float | np.ndarray] = dict.fromkeys(names, 0.0)
+
+    def scored(at: slice, own: np.ndarray) -> np.ndarray:
+        return emissions(model, own[index[at]], forms.word[index[at]], first[at])
+
     for _ in range(steps):  # Adagrad on the log likelihood, with a small pull to zero
-        own, bias, moves = np.zeros(size), 0.0, np.zeros((2, 2))
-        for lo in range(0, len(x), PIECE):
-            at = slice(lo, lo + PIECE)
-            p, expected = marginals(emissions(model, x[at]), begins[at], model.moves)
-            own += np.bincount(x[at], y[at] - p, size)
-            bias += (y[at] - p).sum()
-            moves += expected
-        for name, g in (("own", own), ("bias", bias), ("moves", pairs - moves)):
-            g = g - 1e-2 * getattr(model, name)
-            grads[name] = grads[name] + g * g
-            setattr(model, name, getattr(model, name) + rate * g / np.sqrt(grads[name] + 1e-8))
-    del x, y, ids, begins
-    parts = []
-    for lo, hi in chunks_of(texts, SUB_BATCH):
-        ids, first, docs, _ = tokens_of(texts[lo:hi], words)
-        parts.append(summaries(marginals(emissions(model, ids), first, model.moves)[0], docs, hi - lo))
-    x = np.concatenate(parts)
-    weights = np.zeros(x.shape[1])
-    for _ in range(30):  # Newton's steps of a logistic fit with a ridge
-        q = _sigmoid(x @ weights)
-        hessian = (x * (q * (1 - q))[:, None]).T @ x + 0.05 * np.eye(x.shape[1])
-        weights += np.linalg.solve(hessian, x.T @ (label - q) - 0.05 * weights)
-    model.document = weights
+        own, of_form = form_scores(model, forms), np.zeros(len(forms.word))
+        up: dict[str, float | np.ndarray] = {"before": np.zeros(size), "after": np.zeros(size), "bias": 0.0, "moves": np.zeros((2, 2))}
+        for a, b, at in pieces:
+            p, joint, factor = forward_backward(scored(at, own), first[at], model.moves)
+            docs = np.repeat(np.arange(b - a), counts[a:b])
+            more, moved = latent_targets(p, joint, factor, first[at], docs, label[a:b] == 1, model.moves[0, 0])
+            before, after = neighbours(forms.word[index[at]], first[at], size - 1)
+            of_form += np.bincount(index[at], more, len(of_form))
+            up["before"] += np.bincount(before, more, size)
+            up["after"] += np.bincount(after, more, size)
+            up["bias"] += more.sum()
+            up["moves"] += moved.sum(1).reshape(2, 2)
+        up["own"] = np.bincount(forms.word, of_form, size)
+        up["shapes"] = np.bincount(forms.shape, of_form, SHAPES)
+        up["grams"] = np.bincount(forms.grams, np.repeat(of_form / np.sqrt(forms.counts), forms.counts), GRAMS)
+        for name in names:
+            g = up[name] - PULL * getattr(model, name) * (name != "bias")
+            power[name] = power[name] + g * g
+            setattr(model, name, getattr(model, name) + RATE * g / np.sqrt(power[name] + CALM))
+    own, parts = form_scores(model, forms), []
+    for a, b, at in pieces:
+        p = forward_backward(scored(at, own), first[at], model.moves)[0]
+        parts.append(summaries(p, np.repeat(np.arange(b - a), counts[a:b]), b - a))
+    model.document = _fit_documents(np.concatenate(parts), label)
     return model
 
 
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_200, **options) -> ToxicModel:
     """From ``doc_id, text`` and ``doc_id, toxic``: a repeatable sample of rows, about ``sample_docs`` of them toxic."""
-    rows, _ = labelled_sample(docs, labels, "toxic", {0: sample_docs * CLEAN_SHARE, 1: sample_docs})
+    rows, _ = labelled_sample(docs, labels, "toxic", {0: sample_docs * CLEAN_SHARE, 1: sample_docs}, SAMPLE_BYTES)
     return train([t for t, _ in rows], [y for _, y in rows], **options)
 
 
@@ -252,21 +325,48 @@ def _spans(p: np.ndarray, first: np.ndarray, docs: np.ndarray, at: list[tuple[in
     return hits
 
 
-def _scorer(model: ToxicModel, spans: bool):
-    def work(texts: list[str]) -> list:
-        scores, top, found = np.full(len(texts), model.base_rate), np.zeros(len(texts)), []
-        if model.document is None:
-            return [scores, top] + [[[]] * len(texts)] * spans
-        for lo, hi in chunks_of(texts, SUB_BATCH):
-            ids, first, docs, at = tokens_of(texts[lo:hi], model.words, spans)
-            p = marginals(emissions(model, ids), first, model.moves)[0]
-            x = summaries(p, docs, hi - lo)
-            scores[lo:hi], top[lo:hi] = _sigmoid(x @ model.document), x[:, 1]
-            if spans:
-                found += _spans(p, first, docs, at, hi - lo)
-        return [scores, top] + [found] * spans
+class KnownForms:
+    """Words and scores of the forms that a task has met; begun anew when there are more than ``FORMS_HELD``."""
+
+    def __init__(self, model: ToxicModel):
+        self.model = model
+        self.clear()
+
+    def clear(self) -> None:
+        self.places: dict[str, int] = {}
+        self.word, self.score = np.zeros(0, np.int32), np.zeros(0)
 
-    return lambda: work
+    def learn(self) -> None:
+        """Work out the forms that were added to ``places``."""
+        new = forms_of(list(islice(self.places, len(self.word), None)), self.model.words)
+        self.word = np.concatenate((self.word, new.word))
+        self.score = np.concatenate((self.score, form_scores(self.model, new)))
+
+
+def _scorer(model: ToxicModel, spans: bool):
+    def make():
+        known = KnownForms(model)
+
+        def work(texts: list[str]) -> list:
+            scores, top, found = np.full(len(texts), model.base_rate), np.zeros(len(texts)), []
+            if model.document is None:
+                return [scores, top] + [[[]] * len(texts)] * spans
+            for lo, hi in chunks_of(texts, SUB_BATCH):
+                index, sentences, counts, at = coded(texts[lo:hi], known.places, spans)
+                known.learn()
+                first, docs = cut_chains(sentences), np.repeat(np.arange(hi - lo), counts)
+                p = forward_backward(emissions(model, known.score[index], known.word[index], first), first, model.moves)[0]
+                x = summaries(p, docs, hi - lo)
+                scores[lo:hi], top[lo:hi] = _sigmoid(x @ model.document), x[:, 1]
+                if spans:
+                    found += _spans(p, sentences, docs, at, hi - lo)
+                if len(known.places) > FORMS_HELD:
+                    known.clear()
+            return [scores, top] + [found] * spans
+
+        return work
+
+    return make
 
 
 def score_toxicity(docs: DataFrame, model: ToxicModel, spans: bool = False, text: str = "text") -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -101,6 +102,74 @@ def test_toxic_scores_and_spans(spark, docs_frame):
     assert {r["doc_id"] for r in kept.collect()} == {i for i, _ in rows if i % 5}
 
 
+def word_list(texts, labels, new):
+    """Toxic if a word is there that is seen three times in toxic texts and never in clean ones."""
+    seen = {0: Counter(), 1: Counter()}
+    for t, y in zip(texts, labels, strict=True):
+        seen[y].update(set(t.replace(".", "").split()))
+    bad = {w for w, n in seen[1].items() if n >= 3 and not seen[0][w]}
+    return [bool(bad & set(t.replace(".", "").split())) for t in new]
+
+
+def scores(model, texts):
+    return np.array(toxicity._scorer(model, False)()(texts)[0]) >= 0.5
+
+
+def test_a_word_is_toxic_in_one_context_only():
+    """"bull fool" is toxic; "bull" and "fool" come in clean texts, too, and next to other words."""
+
+    def text(seed, toxic):
+        r, t = random.Random(seed), words(seed, 30)
+        t[r.randrange(5, 12) : 1] = ["bull", "fool"] if toxic else ["fool", "bull"] if seed % 2 else ["bull", r.choice(t), "fool"]
+        return " ".join(t)
+
+    texts, labels = [text(i, i % 3 == 0) for i in range(900)], [int(i % 3 == 0) for i in range(900)]
+    new, truth = [text(5_000 + i, i % 2 == 0) for i in range(200)], np.array([i % 2 == 0 for i in range(200)])
+    field_right = (scores(toxicity.train(texts, labels), new) == truth).mean()
+    list_right = (np.array(word_list(texts, labels, new)) == truth).mean()
+    assert field_right > 0.95 and field_right > list_right + 0.2
+
+
+def test_spellings_that_were_not_seen():
+    def text(seed, toxic, ends):
+        r, t = random.Random(seed), words(seed, 30)
+        if toxic:
+            t[r.randrange(len(t))] = "grubblork" + "".join(r.choice(ends) for _ in range(4))
+        return " ".join(t)
+
+    texts, labels = [text(i, i % 3 == 0, "abcdefgh") for i in range(600)], [int(i % 3 == 0) for i in range(600)]
+    new, truth = [text(5_000 + i, i % 2 == 0, "ijklmnop") for i in range(200)], np.array([i % 2 == 0 for i in range(200)])
+    field_right = (scores(toxicity.train(texts, labels), new) == truth).mean()
+    assert field_right > 0.95 and field_right > (np.array(word_list(texts, labels, new)) == truth).mean() + 0.3
+
+
+def test_targets_against_all_taggings():
+    """Probabilities of tokens and transitions given that something in the document is toxic, less the plain ones."""
+    rng = np.random.default_rng(3)
+    score, moves, first = rng.normal(-1, 1, 6), rng.normal(0, 1, (2, 2)), np.array([1, 0, 0, 1, 0, 0], bool)
+    p, joint, factor = toxicity.forward_backward(score, first, moves)
+    inner = np.flatnonzero(~first)
+    for toxic in (True, False):
+        total, mass, steps = 0.0, np.zeros(6), np.zeros((4, len(inner)))
+        for tags in itertools.product((0, 1), repeat=6):
+            if (sum(tags) > 0) == toxic:
+                value = sum(score[i] * t for i, t in enumerate(tags)) + sum(moves[tags[i - 1], tags[i]] for i in inner)
+                total += np.exp(value)
+                mass += np.exp(value) * np.array(tags)
+                for k, i in enumerate(inner):
+                    steps[2 * tags[i - 1] + tags[i], k] += np.exp(value)
+        more, moved = toxicity.latent_targets(p, joint, factor, first, np.zeros(6, int), np.array([toxic]), moves[0, 0])
+        assert more == pytest.approx(mass / total - p)
+        assert moved == pytest.approx(steps / total - joint)
+
+
+def test_long_chains_are_cut():
+    first = np.zeros(250, bool)
+    first[[0, 30, 245]] = True
+    assert np.flatnonzero(toxicity.cut_chains(first)).tolist() == [0, 30, 130, 230, 245]
+    assert toxicity.cut_chains(first[:0]).tolist() == []
+
+
 def test_field_is_fitted_to_all_tokens():
     """A toxic word in texts behind the first 300,000 tokens of the toxic ones gets its weight."""
     long = " ".join(words(1, 1_000))

@@ -75,5 +75,5 @@ def test_empty_tables(spark, folder):
 def test_registered():
     importlib.reload(contract)
     names = contract.queries()
-    assert "pipeline" in names and [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 11)] == [1] * 10
+    assert "pipeline" in names and [sum(q.startswith(f"op{n}_") for q in names) for n in range(1, 14)] == [1] * 13
     assert neardup.SIMILARITY == 0.8 and neardup.SHINGLE == 5
