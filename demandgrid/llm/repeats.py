@@ -1,27 +1,31 @@
 """Exact repeats of ``WINDOW`` bytes anywhere in the corpus, by a depth-limited radix sort of suffixes.
 
 Only the order of suffixes through their first ``WINDOW`` bytes matters: suffixes that are equal so far are the repeated
-windows. The sort goes by most-significant digits, where a group with a single member is finished and leaves; digits are
-strings, dealt by their 128-bit hashes, so a pass is a distributed grouping with sums before the shuffle.
+windows. The sort goes by most-significant digits. A pass lays the rows out in ranges of (what they have in common so far, next
+digit), sorts each range and finds the runs of equal digits; a run of one is finished and leaves. Runs may go over the ends of ranges (the
+neighbours' first and last digits, a row a range, tell), so however many suffixes are equal, they are spread over tasks.
 
 Suffixes are carried in sheaves. In each window one place is the anchor: the place, among the first ``REACH``, of the 8 bytes
 with the smallest hash (the first such place in a tie). Equal windows have their anchors at the same place. The windows of
-one document that follow each other and share an anchor are a sheaf (about ``REACH / 2`` windows).
-
-1. First digit: the ``WINDOW - REACH + 1`` bytes from the anchor (the core), which all windows of the sheaf contain. If no
-   other sheaf has them, no window of the sheaf is repeated.
-2. Second digit: all bytes of the sheaf. If another sheaf with this core is the same, all windows of both are repeated.
-3. Of the kinds of sheaf that a core has, if one stands alone: windows whose anchor is at a distance of ``BIN * b`` to
-   ``BIN * (b + 1) - 1`` share all but ``BIN - 1`` of their bytes; those bytes are the third digit. (A repeated kind takes
+one document that follow each other and share an anchor are a sheaf (about ``REACH / 2`` windows), and are sorted as one row by the
+suffix from the anchor. Its first ``WINDOW - REACH + 1`` bytes (the core) are in all windows of the sheaf.
+
+1. First digit: the first ``HEAD`` bytes of the core. Most suffixes leave here.
+2. Second digit: the other bytes of the core. If no other sheaf has the same, no window of the sheaf is repeated.
+3. Third digit: all bytes of the sheaf, to both sides of the core. If another sheaf is the same, all windows of both are repeated. These
+   and the following digits have hundreds of bytes and are ordered by their 64-bit hashes.
+4. Of the kinds of sheaf that a core has, if one stands alone: windows whose anchor is at a distance of ``BIN * b`` to
+   ``BIN * (b + 1) - 1`` share all but ``BIN - 1`` of their bytes; those bytes are the fourth digit. (A repeated kind takes
    part once, as something to be equal to.) Bins that are the same as a whole are repeated.
-4. Last digit: each window of the bins that are left, one of each kind, in full. A window with an equal in another is
+5. Last digit: each window of the bins that are left, one of each kind, in full. A window with an equal in another is
    repeated.
 
 Repeated windows that follow each other make spans of bytes; a document's spans are merged and cut out.
 
 Defined cases: a null text is empty; a text shorter than ``WINDOW`` bytes keeps all; a window may equal one that overlaps
-it; rows are counted one by one, so a repeated row loses every byte that lies in a window; bytes that are left may end inside a character; an empty table gives an empty result.
-Other columns are ignored.
+it; rows are counted one by one, so a repeated row loses every byte that lies in a window; bytes that are left may end inside a
+character; a very long text is anchored in segments of ``SEGMENT`` bytes, and held as a whole where its digits are cut; an empty table
+gives an empty result. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,14 +35,17 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from demandgrid.llm.common import clean_text, materialize
 
 WINDOW, REACH = 400, 257
-GRAM, BIN = 8, 32
+GRAM, BIN, HEAD = 8, 32, 24
 SEGMENT = 4_000_000
 SHIFT, MASK = 12, (1 << 12) - 1
 
@@ -60,18 +67,25 @@ def anchors(data: np.ndarray, window: int, reach: int) -> np.ndarray:
     return (best & np.uint64(0xFFFFFFFF)).astype(np.int64)
 
 
-def sheaves(raw: bytes, window: int, reach: int) -> Iterator[tuple[int, int, int]]:
-    """Place (first window, windows after it, distance of the anchor, packed), hash of the core and of the whole of each
-    sheaf; long texts in segments."""
-    core, digest = window - reach + 1, xxhash.xxh3_64_intdigest
+def heads(data: np.ndarray, at: np.ndarray, core: int) -> np.ndarray:
+    """The first ``HEAD`` bytes of the core at each place as numbers in the order of the bytes, (places, 3)."""
+    if not len(at):
+        return np.zeros((0, HEAD // 8), np.int64)
+    place = np.arange(HEAD)
+    block = np.where(place < core, data[np.minimum(at[:, None] + place, len(data) - 1)], 0).astype(np.uint8)
+    return (block.view(">u8").astype(np.uint64) ^ np.uint64(1 << 63)).view(np.int64)
+
+
+def sheaves(raw: bytes, window: int, reach: int) -> Iterator[tuple[int, int, int, int]]:
+    """Place (first window, windows after it, distance of the anchor, packed) and the head of each sheaf; long texts in segments."""
+    core = window - reach + 1
     for base in range(0, max(0, len(raw) - window + 1), SEGMENT):
-        part = raw[base : base + SEGMENT + window - 1]
-        at = anchors(np.frombuffer(part, np.uint8), window, reach)
-        begins = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
-        ends = np.append(begins[1:], len(at)) - 1
-        for first, last, a in zip(begins.tolist(), ends.tolist(), at[begins].tolist(), strict=True):
-            place = (((base + first) << SHIFT | (last - first)) << SHIFT) | (a - first)
-            yield place, digest(part[a : a + core]), digest(part[first : last + window])
+        data = np.frombuffer(raw[base : base + SEGMENT + window - 1], np.uint8)
+        at = anchors(data, window, reach)
+        first = np.flatnonzero(np.concatenate(([True], at[1:] != at[:-1])))
+        last = np.append(first[1:], len(at)) - 1
+        place = (((base + first) << SHIFT | (last - first)) << SHIFT) | (at[first] - first)
+        yield from zip(place.tolist(), *heads(data, at[first], core).T.tolist(), strict=True)
 
 
 def _unpacked(place: int) -> tuple[int, int, int]:
@@ -109,10 +123,86 @@ def _emit(make_rows, kinds: dict[str, pa.DataType]):
 
 def _sheaf_rows(window: int, reach: int):
     def rows(r: dict) -> Iterator[tuple]:
-        for place, core, whole in sheaves(r["text"].encode(), window, reach):
-            yield r["k1"], r["k2"], place, core, whole
+        for sheaf in sheaves(r["text"].encode(), window, reach):
+            yield r["k1"], r["k2"], *sheaf
+
+    return _emit(rows, dict.fromkeys(("k1", "k2", "place", "d0", "d1", "d2"), pa.int64()))
+
+
+def _core_rows(window: int, reach: int):
+    """Of each sheaf listed for a text: its core (hashed, and both digits of it) and all of it (hashed)."""
+    core = window - reach + 1
+
+    def rows(r: dict) -> Iterator[tuple]:
+        raw, digest = r["text"].encode(), xxhash.xxh3_64_intdigest
+        for s in r["sheaves"]:
+            first, last, a = _unpacked(s["place"])
+            yield digest(raw[a : a + core]), raw[a : a + min(HEAD, core)], raw[a + HEAD : a + core], digest(raw[first : last + window]), r["k1"], r["k2"], s["place"], s["n"]
+
+    kinds = {"core": "hash", "head": pa.binary(), "rest": pa.binary(), "whole": "hash", "k1": pa.int64(), "k2": pa.int64(), "place": pa.int64(), "n": pa.int64()}
+    return _emit(rows, kinds)
+
 
-    return _emit(rows, {"k1": pa.int64(), "k2": pa.int64(), "place": pa.int64(), "core": "hash", "whole": "hash"})
+def _mark(digits: list[str], drop: bool):
+    """Sorted rows with ``again`` (equal to a neighbour), ``fresh`` (the first of its run), the number of the run in this range, and the
+    range. With ``drop``, runs of one leave, but for the first and the last, which may go on in other ranges."""
+
+    def marked(batch: pa.RecordBatch, before: np.ndarray, after: np.ndarray, run: np.ndarray, ends: bool) -> pa.RecordBatch:
+        again = before | after
+        if "n" in batch.schema.names:
+            again = again | (batch.column("n").to_numpy() > 1)
+        columns = [*batch.columns, pa.array(again), pa.array(~before), pa.array(run), pa.array(np.full(len(run), TaskContext.get().partitionId(), np.int32))]
+        out = pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "again", "fresh", "run", "part"])
+        keep = again | (run == 0)
+        if ends:
+            keep[-1] = True
+        return out.filter(pa.array(keep)) if drop else out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, last, number = None, None, -1
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys = [batch.column(d) for d in digits]
+            before = np.ones(batch.num_rows, bool)
+            for k in keys:
+                before[1:] &= pc.equal(k[1:], k[:-1]).to_numpy(zero_copy_only=False)
+            before[0] = last is not None and all(k[0].as_py() == v for k, v in zip(keys, last, strict=True))
+            runs = number + np.cumsum(~before)
+            if held is not None:
+                held[2][-1] = before[0]
+                yield marked(*held, False)
+            held = (batch, before, np.append(before[1:], False), runs)
+            last, number = [k[-1].as_py() for k in keys], int(runs[-1])
+        if held is not None:
+            yield marked(*held, True)
+
+    return run
+
+
+def radix_pass(rows: DataFrame, digits: list[str], ties: list[str], label: str, drop: bool = True) -> DataFrame:
+    """Rows whose ``digits`` another row has as well; without ``drop`` all rows, with ``repeated`` and ``leader`` (the first of equals).
+
+    Rows with a number ``n`` above 1 count as several. ``ties`` part equal digits, so that many of them don't meet in one task.
+    """
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    extra = [T.StructField("again", T.BooleanType()), T.StructField("fresh", T.BooleanType()), T.StructField("run", T.LongType()), T.StructField("part", T.IntegerType())]
+    laid = rows.repartitionByRange(parts, *digits, *ties).sortWithinPartitions(*digits, *ties)
+    laid = materialize(laid.mapInArrow(_mark(digits, drop), T.StructType([*rows.schema.fields, *extra])), label)
+    key = F.struct("run", F.struct(*digits).alias("key"))
+    ends = laid.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    order = Window.orderBy("part")  # a row a range
+    ends = ends.select(
+        F.col("part").alias("_part"), F.col("last.run").alias("_last"),
+        F.lag("last.key").over(order).eqNullSafe(F.col("first.key")).alias("_goes_on"),
+        F.lead("first.key").over(order).eqNullSafe(F.col("last.key")).alias("_will_go_on"),
+    )
+    found = laid.join(F.broadcast(ends), F.col("part") == F.col("_part"))  # a row a range
+    begun = (F.col("run") == 0) & F.col("_goes_on")
+    found = found.withColumns(
+        {"repeated": F.col("again") | begun | ((F.col("run") == F.col("_last")) & F.col("_will_go_on")), "leader": F.col("fresh") & ~begun}
+    )
+    return found.where("repeated").select(*rows.columns) if drop else found.select(*rows.columns, "repeated", "leader")
 
 
 def _bin_rows(window: int, width: int):
@@ -171,23 +261,27 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, reach: int = REACH, widt
     keyed = docs.select(
         "doc_id", F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(1), text, F.length(text)).alias("k2"), text.alias("text")
     )
-    all_sheaves = materialize(
-        keyed.where(F.octet_length("text") >= window).select("k1", "k2", "text")
-        .mapInArrow(_sheaf_rows(window, reach), "k1 bigint, k2 bigint, place bigint, core bigint, whole bigint"),
-        "sheaves",
-    )
-    shared = all_sheaves.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
-    sharing = materialize(all_sheaves.join(shared, "core"), "sheaves-sharing")
-    kinds = materialize(
-        sharing.groupBy("core", "whole").agg(F.count("*").alias("n"), F.min(F.struct("k1", "k2", "place")).alias("one")), "sheaf-kinds"
-    )
-    affected = sharing.select("k1", "k2").distinct()
+    longer = keyed.where(F.octet_length("text") >= window).select("k1", "k2", "text")
+    suffixes = materialize(longer.mapInArrow(_sheaf_rows(window, reach), "k1 bigint, k2 bigint, place bigint, d0 bigint, d1 bigint, d2 bigint"), "sheaves")
+    suffixes = suffixes.withColumn("row", F.monotonically_increasing_id())  # parts copies of a text
+    place = ["k1", "k2", "place"]
+    left = radix_pass(suffixes, ["d0", "d1", "d2"], [*place, "row"], "radix-head").groupBy(*place).agg(F.count("*").alias("n"))
+    listed = materialize(left.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "n")).alias("sheaves")), "repeat-lists")  # a text's own
     texts = materialize(
-        keyed.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]).join(affected, ["k1", "k2"], "left_semi"), "repeat-texts"
+        keyed.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]).join(listed.select("k1", "k2"), ["k1", "k2"], "left_semi"), "repeat-texts"
+    )
+    cores = materialize(
+        texts.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "sheaves").mapInArrow(
+            _core_rows(window, reach), "core bigint, head binary, rest binary, whole bigint, k1 bigint, k2 bigint, place bigint, n bigint"
+        ),
+        "repeat-cores",
     )
+    sharing = radix_pass(cores, ["head", "rest"], place, "radix-rest").drop("head", "rest")
+    sharing = materialize(radix_pass(sharing, ["core", "whole"], place, "radix-whole", drop=False), "sheaves-sharing")
+    kinds = sharing.where("leader").select("core", (~F.col("repeated")).alias("alone"), F.struct(*place).alias("one"))
     by_text = (
-        kinds.join(kinds.where("n = 1").select("core").distinct(), "core", "left_semi")
-        .select("one.k1", "one.k2", F.struct("core", "one.place", (F.col("n") == 1).alias("alone")).alias("sheaf"))
+        kinds.join(kinds.where("alone").select("core").distinct(), "core", "left_semi")
+        .select("one.k1", "one.k2", F.struct("core", "one.place", "alone").alias("sheaf"))
         .groupBy("k1", "k2").agg(F.collect_list("sheaf").alias("sheaves"))  # at most a text's own
     )
     bins = materialize(
@@ -221,7 +315,7 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, reach: int = REACH, widt
     equal = windows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").select(*key)
     single = windows.where("alone").join(equal, key).select("k1", "k2", F.col("start").alias("first"), F.col("start").alias("last"))
     first = F.shiftright("place", 2 * SHIFT)
-    whole = sharing.join(kinds.where("n > 1").select("core", "whole"), ["core", "whole"]).select("k1", "k2", "place").unionByName(same)
+    whole = sharing.where("repeated").select("k1", "k2", "place").unionByName(same)
     whole = whole.select("k1", "k2", first.alias("first"), (first + F.shiftright("place", SHIFT).bitwiseAND(MASK)).alias("last"))
     spans = (
         single.unionByName(whole).groupBy("k1", "k2")

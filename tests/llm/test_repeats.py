@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from demandgrid.llm import repeats
 from tests.llm.conftest import words
@@ -63,6 +64,33 @@ def test_segments_change_nothing(docs_frame, monkeypatch):
     compare(docs_frame(list(enumerate(texts))), texts)
 
 
+def test_a_pass_against_counting(spark):
+    """Runs over many ranges, one value that fills several of them, and rows that count more than once."""
+    r = random.Random(8)
+    rows = [(r.randrange(40), r.choice([b"a", b"b"]), k, 1) for k in range(60)] + [(7, b"hot", k, 1) for k in range(400)]
+    rows += [(100 + k, b"", k, 1 + k % 2) for k in range(10)] + [(-5, b"first", 1, 1), (999, b"last", 1, 1)]
+    df = spark.createDataFrame(rows, "a bigint, b binary, tie bigint, n bigint").repartition(3)
+    counts = Counter()
+    for a, b, _, n in rows:
+        counts[a, b] += n
+    want = sorted((a, bytes(b), t, n) for a, b, t, n in rows if counts[a, b] > 1)
+    got = repeats.radix_pass(df, ["a", "b"], ["tie"], "test")
+    assert sorted((x.a, bytes(x.b), x.tie, x.n) for x in got.collect()) == want
+    every = repeats.radix_pass(df, ["a", "b"], ["tie"], "test", drop=False).collect()
+    assert len(every) == len(rows) and {(x.a, bytes(x.b)) for x in every if x.repeated} == {k for k, n in counts.items() if n > 1}
+    assert sorted((x.a, bytes(x.b)) for x in every if x.leader) == sorted(counts)
+    assert repeats.radix_pass(df.limit(0), ["a", "b"], ["tie"], "test").count() == 0
+
+
+def test_a_hot_digit_is_spread(spark):
+    hot = spark.range(8_000).select(F.lit(3).cast("bigint").alias("a"), F.col("id").alias("tie"))
+    hot = hot.unionByName(spark.range(800).select((F.col("id") + 10).alias("a"), F.col("id").alias("tie")))
+    kept = repeats.radix_pass(hot, ["a"], ["tie"], "test")
+    sizes = [x["n"] for x in kept.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    laid = hot.repartitionByRange(4, "a", "tie").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
+    assert sum(sizes) == 8_000 and max(x["n"] for x in laid) <= 2 * 8_800 / 4
+
+
 def test_anchor_is_the_first_smallest():
     data = np.frombuffer(" ".join(words(3, 300)).encode(), np.uint8)
     at = repeats.anchors(data, 400, 257)
