@@ -11,12 +11,14 @@ Smoothing: absolute discounting, interpolated, with counts before pruning: of an
 times, (c - d) / t; the rest of the context's mass goes to the shorter context. N-grams of two words and more with a count
 below ``min_count`` are not kept (their mass is part of that rest). Words with unknown hash share the mass of words seen once.
 
-Building: n-grams are counted per slice of a batch, dealt by hashed key, summed over all batches, and put into parts by ranges of (context, word), so a hot context
-is spread over parts; the driver gets one row per part. Files go to the shared scratch folder, which must be reachable as a
+Building: n-grams are counted per slice of a batch and dealt by ranges of (context, word), cut at quantiles of a sample that grows
+with the corpus (the cuts only balance the parts; all n-grams are counted). The task that gets a range sums it over all batches and writes
+its part, so a level is moved once and copied nowhere, and a hot context is spread over parts; the driver gets one row per part. Files go to the shared scratch folder, which must be reachable as a
 path on all machines; a part is written under another name and moved, so a repeated task does no harm.
 
 Defined cases: a null text is empty and has the end token only; without training texts every token is unknown and the score is 0; a
-null id counts as training; repeated rows train and are scored each. Other columns are ignored.
+null id counts as training; repeated rows train and are scored each; a very long text is a slice of its own, with about 100 bytes a
+token in memory. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -42,6 +44,8 @@ ID_BITS = 31
 WORD_MASK = (1 << ID_BITS) - 1
 SLICE_CHARS, SLICE_TOKENS = 6_000_000, 1_000_000
 PART_ROWS = 500_000
+#: Tokens whose n-grams are looked at to cut the ranges: so many at least, and for each part.
+SAMPLE_TOKENS, SAMPLE_PER_PART = 2_000_000, 200
 
 
 # Tokens
@@ -293,43 +297,35 @@ def _write_words(folder: str, total: int, discount: float):
     return run
 
 
-def _write_level(folder: str, model: Model, level: int):
-    """Rows ``key, n`` in order to a part of a higher level; ``key`` is context and word."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        columns = _gathered(batches)
-        if not columns:
-            return
-        keys, n = columns
-        context, word = keys >> ID_BITS, keys & WORD_MASK
-        begins = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
-        some, ends = context[begins], np.append(begins[1:], len(keys))
-        times = np.full(len(some), model.texts, np.int64)
-        real = some != model.words if level == 2 else np.ones(len(some), bool)
-        times[real] = model.reader().count(level - 1, some[real])
-        sizes = ends - begins
-        kept = np.add.reduceat(n, begins)
-        alpha = (n - DISCOUNT) / np.repeat(times, sizes)
-        gamma = (times - kept + DISCOUNT * sizes) / times
-        lasts = word[ends - 1] + 1
-        base = np.repeat(np.cumsum(lasts) - lasts, sizes)
-        book, codes = _book(alpha)
-        # Pointers and weights for all contexts from the first to the last; code 0 is that of a context without successors.
-        spots = some - some[0]
-        held, gamma_codes = np.zeros(int(spots[-1]) + 1, np.int64), np.zeros(int(spots[-1]) + 1, np.uint8)
-        held[spots] = sizes
-        gamma_book, used = _book(gamma, 255)
-        gamma_codes[spots] = used + 1
-        path = os.path.join(folder, f"level{level}-{int(keys[0]):020d}")
-        save(
-            path, pointers=EliasFano.of(np.concatenate(([0], np.cumsum(held)))), successors=EliasFano.of((base + word).view(np.uint64)),
-            sums=EliasFano.of(np.concatenate(([0], np.cumsum(n)))), book=book, codes=codes,
-            gamma_book=np.concatenate(([1.0], gamma_book)), gamma_codes=gamma_codes,
-        )
-        edge = [int(v) for k in (0, -1) for v in (kept[k], sizes[k], times[k])]
-        yield _manifest(path, int(some[0]), int(word[0]), int(some[-1]), len(keys), *edge)
-
-    return run
+def _write_level(folder: str, model: Model, level: int, keys: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Increasing keys (context and word) and their counts to a part of a higher level."""
+    context, word = keys >> ID_BITS, keys & WORD_MASK
+    begins = np.flatnonzero(np.concatenate(([True], context[1:] != context[:-1])))
+    some, ends = context[begins], np.append(begins[1:], len(keys))
+    times = np.full(len(some), model.texts, np.int64)
+    real = some != model.words if level == 2 else np.ones(len(some), bool)
+    times[real] = model.reader().count(level - 1, some[real])
+    sizes = ends - begins
+    kept = np.add.reduceat(n, begins)
+    alpha = (n - DISCOUNT) / np.repeat(times, sizes)
+    gamma = (times - kept + DISCOUNT * sizes) / times
+    lasts = word[ends - 1] + 1
+    base = np.repeat(np.cumsum(lasts) - lasts, sizes)
+    book, codes = _book(alpha)
+    # Pointers and weights for all contexts from the first to the last; code 0 is that of a context without successors.
+    spots = some - some[0]
+    held, gamma_codes = np.zeros(int(spots[-1]) + 1, np.int64), np.zeros(int(spots[-1]) + 1, np.uint8)
+    held[spots] = sizes
+    gamma_book, used = _book(gamma, 255)
+    gamma_codes[spots] = used + 1
+    path = os.path.join(folder, f"level{level}-{int(keys[0]):020d}")
+    save(
+        path, pointers=EliasFano.of(np.concatenate(([0], np.cumsum(held)))), successors=EliasFano.of((base + word).view(np.uint64)),
+        sums=EliasFano.of(np.concatenate(([0], np.cumsum(n)))), book=book, codes=codes,
+        gamma_book=np.concatenate(([1.0], gamma_book)), gamma_codes=gamma_codes,
+    )
+    edge = [int(v) for k in (0, -1) for v in (kept[k], sizes[k], times[k])]
+    return _manifest(path, int(some[0]), int(word[0]), int(some[-1]), len(keys), *edge)
 
 
 def _parts(rows: list) -> list[Part]:
@@ -380,6 +376,45 @@ def _summed(keys: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return keys[new], np.add.reduceat(many, new)
 
 
+def _ranged(keys: np.ndarray, many: np.ndarray, cuts: np.ndarray) -> pa.RecordBatch:
+    """Increasing keys and their counts, a row per range: steps as planes of bytes (the high ones are mostly 0), and counts."""
+    ends = [0, *np.searchsorted(keys, cuts).tolist(), len(keys)]
+    rows = [(b, lo, hi) for b, (lo, hi) in enumerate(zip(ends, ends[1:], strict=False)) if lo < hi]
+    steps = [np.diff(keys[lo:hi], prepend=0).astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes() for _, lo, hi in rows]
+    many = many.astype("<i8")
+    counts = [many[lo:hi].tobytes() if many[lo:hi].max() > 255 else many[lo:hi].astype("u1").tobytes() for _, lo, hi in rows]
+    return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array(steps, pa.binary()), pa.array(counts, pa.binary())], ["bucket", "keys", "counts"])
+
+
+def _merge_ranges(least: int, write):
+    """Sums each range over all batches (rows come range by range) and writes those with at least ``least`` places."""
+
+    def part(held: list[tuple[bytes, bytes]]) -> Iterator[pa.RecordBatch]:
+        keys, many = [], []
+        for k, c in held:
+            n = len(k) // 8
+            keys.append(np.cumsum(np.ascontiguousarray(np.frombuffer(k, np.uint8).reshape(8, n).T).view("<i8").ravel()))
+            many.append(np.frombuffer(c, "u1" if len(c) == n else "<i8").astype(np.int64))
+        held.clear()
+        keys, many = _summed(np.concatenate(keys), np.concatenate(many))
+        keys, many = keys[many >= least], many[many >= least]
+        if len(keys):
+            yield write(keys, many)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, now = [], None
+        for batch in batches:
+            for bucket, k, c in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if held and bucket != now:
+                    yield from part(held)
+                now = bucket
+                held.append((k, c))
+        if held:
+            yield from part(held)
+
+    return run
+
+
 def _merge(least: int, name: str):
     """Sums over all batches, bucket by bucket (rows come in their order): keys with at least ``least`` places."""
 
@@ -464,11 +499,11 @@ def _number(model: Model):
     return run
 
 
-def _count_level(model: Model, level: int, least: int, buckets: int):
-    """Count (context, word) of a level. An n-gram can't reach the least count if a shorter one in it doesn't: of those with
-    a first or last part that wasn't kept nothing is sent."""
+def _level_keys(model: Model, level: int, least: int):
+    """Of each slice of a batch the distinct (context, word) of a level with their places. An n-gram can't reach the least count if
+    a shorter one in it doesn't: of those with a first or last part that wasn't kept nothing is sent."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         reader = model.reader()
         for batch in batches:
             for _, _, ids, counts in _numbered(batch):
@@ -481,11 +516,30 @@ def _count_level(model: Model, level: int, least: int, buckets: int):
                 use = (context >= 0) & kept
                 if level == 2:
                     use[1:] &= kept[:-1] | first[1:]
-                yield _dealt(*np.unique(context[use] << ID_BITS | word[use], return_counts=True), buckets)
+                yield np.unique(context[use] << ID_BITS | word[use], return_counts=True)
 
     return run
 
 
+def _deal_level(found, cuts: np.ndarray):
+    return lambda batches: (_ranged(keys, many, cuts) for keys, many in found(batches))
+
+
+def _only_keys(found):
+    return lambda batches: (pa.RecordBatch.from_arrays([pa.array(keys)], ["key"]) for keys, _ in found(batches))
+
+
+def _cuts(numbered: DataFrame, tokens: int, found, parts: int) -> np.ndarray:
+    """Keys at which a level is cut into about ``parts`` ranges, from the n-grams of a sample of rows."""
+    if parts < 2:
+        return np.zeros(0, np.int64)
+    rate = max(SAMPLE_TOKENS, SAMPLE_PER_PART * parts) / max(1, tokens)
+    some = numbered.select("ids") if rate >= 1 else numbered.select("ids").where(F.pmod(F.xxhash64("ids"), F.lit(1_000_000)) < int(rate * 1_000_000) + 1)
+    shares = F.lit([k / parts for k in range(1, parts)]).cast("array<double>")
+    cuts = some.mapInArrow(_only_keys(found), "key bigint").agg(F.percentile_approx("key", shares, F.lit(20 * parts)).alias("cuts")).first()["cuts"]
+    return np.unique(np.array(cuts or [], np.int64))
+
+
 def _folder(df: DataFrame) -> str:
     path = scratch_path(df.sparkSession, "trie")
     scheme, _, rest = path.partition(":")
@@ -528,17 +582,19 @@ def number_words(docs: DataFrame, model: Model) -> DataFrame:
 
 def train_levels(numbered: DataFrame, model: Model, order: int = 3, min_count: int = 2) -> Model:
     """Add levels two to ``order`` from the column ``ids``: n-grams with at least ``min_count`` places."""
-    parts = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shuffled = int(numbered.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # A part is held in memory when it is written; no level has more n-grams than there are tokens.
+    wide = max(shuffled, -(-model.tokens // PART_ROWS))
     for level in range(2, order + 1):
         if not model.levels:
             break
         if (nodes := sum(p.n for p in model.levels[-1])) >= 1 << (62 - ID_BITS):
             raise ValueError(f"{nodes} n-grams of {level - 1} words do not fit contexts of {62 - ID_BITS} bits")
-        count = partial(_count_level, model, level, min_count)
-        kept = materialize(_counted(numbered.select("ids"), count, min_count, "key"), f"lm-{level}")
-        wide = max(parts, -(-kept.count() // PART_ROWS))  # a part is held in memory when it is written
-        rows = kept.repartitionByRange(wide, "key").sortWithinPartitions("key").mapInArrow(_write_level(model.folder, model, level), MANIFEST_DDL)
-        parts_of = _parts(rows.collect())
+        found = _level_keys(model, level, min_count)
+        cuts = _cuts(numbered, model.tokens, found, wide)
+        dealt = numbered.select("ids").mapInArrow(_deal_level(found, cuts), BLOB).repartition(wide, "bucket").sortWithinPartitions("bucket")
+        write = partial(_write_level, model.folder, model, level)
+        parts_of = _parts(dealt.mapInArrow(_merge_ranges(min_count, write), MANIFEST_DDL).collect())
         if not parts_of:
             break
         model.levels.append(parts_of)
