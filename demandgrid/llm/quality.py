@@ -5,10 +5,11 @@ largest response is kept for every chunk of ``2 * HALF`` bytes; chunks overlap b
 document is the mean and the maximum over its chunks, and a logistic layer turns them into one probability.
 
 Training: Adam on the logistic loss over a bounded, repeatable sample of labelled rows (``sample_docs`` of either label on
-average, at most ``chunks`` evenly spread chunks of each). Scoring reads every byte.
+average, ``SAMPLE_BYTES`` of text of either label at most), all chunks of each text. Scoring reads every byte.
 
-Defined cases: a null or empty text is one chunk of padding; without any labelled row, or with one label only, every score
-is the share of label 1 (0.5 without labels); null labels teach nothing; repeated rows teach once and are scored each.
+Defined cases: a null or empty text is one chunk of padding; without any labelled row, or with one label only in the sample, every score
+is the share of label 1 (0.5 without labels); null labels teach nothing; repeated rows teach once and are scored each; a very
+long text is scored by itself, with about 50 bytes for each of its own; columns that have the names of added ones give way to them.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ STRIDE, HALF = 4, 128
 PLACES = HALF // STRIDE
 EMBED, FILTERS = 4, 16
 SUB_BATCH = 500_000
+SAMPLE_BYTES = 24_000_000
 
 
 @dataclass
@@ -71,27 +73,22 @@ def score_texts(model: QualityModel, texts: list[str]) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def _chunks(texts: list[str], most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Chunks of two halves, ``most`` evenly spread ones of each text at most; and the text of each."""
+def _chunks(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Halves of all texts, the first half of each chunk, and the text of each chunk."""
     data, halves = padded(texts)
-    rows, start = [], 0
-    for h in halves.tolist():
-        rows.append(start + np.unique(np.linspace(0, h - 2, min(most, h - 1)).astype(np.int64)))
-        start += h
-    whose = np.repeat(np.arange(len(texts)), [len(r) for r in rows])
-    at = np.concatenate(rows)
-    halves_of = data.reshape(-1, HALF)
-    return np.concatenate((halves_of[at], halves_of[at + 1]), axis=1), whose
+    ends = np.cumsum(halves)
+    at = np.delete(np.arange(int(ends[-1])), ends - 1)  # no chunk begins with a text's last half
+    return data.reshape(-1, HALF), at, np.repeat(np.arange(len(texts)), halves - 1)
 
 
 def train(
-    texts: list[str], labels: list[int], share: float | None = None, epochs: int = 12, chunks: int = 6, seed: int = 7
+    texts: list[str], labels: list[int], share: float | None = None, epochs: int = 12, seed: int = 7
 ) -> QualityModel:
     """Fit the network to texts with labels 0 and 1. Both labels weigh the same in fitting; ``share`` of label 1 (by default
     that of the sample) then moves the score."""
     y = np.array(labels, np.float32)
     if not len(y) or y.min() == y.max():
-        return QualityModel(base_rate=float(y.mean()) if len(y) else 0.5)
+        return QualityModel(base_rate=share if share is not None else float(y.mean()) if len(y) else 0.5)
     rng = np.random.default_rng(seed)
     shape = {
         "embed": (256, EMBED), "left": (STRIDE * EMBED, FILTERS), "right": (STRIDE * EMBED, FILTERS), "bias": (FILTERS,),
@@ -100,18 +97,18 @@ def train(
     w = {k: (rng.normal(0, 0.3, s) if len(s) == 2 else np.zeros(s)).astype(np.float32) for k, s in shape.items()}
     w["out"] = rng.normal(0, 0.1, shape["out"]).astype(np.float32)
     first, second = ({k: np.zeros_like(v) for k, v in w.items()} for _ in range(2))
-    data, whose = _chunks(texts, chunks)
+    halves, at, whose = _chunks(texts)
     begin = np.searchsorted(whose, np.arange(len(y) + 1))
     weight = np.where(y > 0, 0.5 / y.mean(), 0.5 / (1 - y.mean())).astype(np.float32)
     batch, step = 64, 0
-    for _ in range(max(epochs, -(-400 * batch // len(y)))):
+    for _ in range(max(epochs, -(-400 // -(-len(y) // batch)))):  # 400 steps at least
         order = rng.permutation(len(y))
         for lo in range(0, len(order), batch):
             docs = order[lo : lo + batch]
             rows = np.concatenate([np.arange(begin[d], begin[d + 1]) for d in docs])
             counts = begin[docs + 1] - begin[docs]
             starts = np.cumsum(counts) - counts
-            x = data[rows]
+            x = np.concatenate((halves[at[rows]], halves[at[rows] + 1]), axis=1)
             blocks = w["embed"][x].reshape(len(rows), -1, STRIDE * EMBED)
             a = blocks @ w["left"]
             a[:, :-1] += (blocks @ w["right"])[:, 1:]
@@ -153,7 +150,7 @@ def train(
 
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = 2_500, **options) -> QualityModel:
     """From ``doc_id, text`` and ``doc_id, quality``: a repeatable sample of about ``sample_docs`` rows of either label."""
-    rows, counts = labelled_sample(docs, labels, "quality", {0: sample_docs, 1: sample_docs})
+    rows, counts = labelled_sample(docs, labels, "quality", {0: sample_docs, 1: sample_docs}, SAMPLE_BYTES)
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if len(counts) < 2:
         return QualityModel(base_rate=share if counts else 0.5)

@@ -225,6 +225,31 @@ def test_quality_score_of_a_text_stands_alone():
     assert together == pytest.approx(alone, abs=1e-5)
 
 
+def test_quality_against_a_plain_loop():
+    """Each chunk by itself, each place and filter by itself."""
+    texts = [page(i, i % 2 > 0) * (1 + i % 3) for i in range(40)] + ["", "ä", "x" * 300]
+    m = quality.train(texts, [i % 2 for i in range(len(texts))], epochs=1)
+    width = quality.STRIDE * quality.EMBED
+    for text, score in zip(texts, quality.score_texts(m, texts), strict=True):
+        raw = text.encode()
+        n = max(2, -(-len(raw) // quality.HALF))
+        raw = raw.ljust(n * quality.HALF, b"\0")
+        pooled = []
+        for k in range(n - 1):
+            chunk = raw[k * quality.HALF : (k + 2) * quality.HALF]
+            parts = [np.concatenate([m.embed[b] for b in chunk[i : i + quality.STRIDE]]) for i in range(0, len(chunk), quality.STRIDE)]
+            assert len(parts[0]) == width
+            best = [max(max(0.0, float(x @ m.left[:, f] + y @ m.right[:, f] + m.bias[f])) for x, y in zip(parts, parts[1:], strict=False)) for f in range(quality.FILTERS)]
+            pooled.append(best)
+        z = float(np.concatenate((np.mean(pooled, 0), np.max(pooled, 0))) @ m.out + m.out_bias[0])
+        assert score == pytest.approx(1 / (1 + np.exp(-z)), abs=1e-4)
+
+
+def test_one_label_in_the_sample_gives_the_share():
+    assert quality.train(["a", "b"], [1, 1], share=0.75).base_rate == 0.75
+    assert quality.train(["a", "b"], [1, 1]).base_rate == 1.0
+
+
 def test_every_byte_is_read():
     """A pattern anywhere in a long text moves the score."""
     texts = [page(i, i % 2 > 0) for i in range(200)]
