@@ -228,6 +228,16 @@ tree AS (
 )"""
 
 
+# The lags as features 0 to 671, then the mean of those one to four weeks back, the hour, and the day of the week from Monday.
+ALL_FEATURES = FILLED + _numbered() + _windows(672, 8) + """,
+folded AS (
+  SELECT pickup_location_id, pickup_hour, target, k::INTEGER AS k, rides::DOUBLE AS rides, 0 AS fold FROM lagged
+  UNION ALL
+  SELECT pickup_location_id, pickup_hour, any_value(target), 672, sum(rides) FILTER (k IN (0, 168, 336, 504)) / 4.0::DOUBLE, 0
+  FROM lagged GROUP BY pickup_location_id, pickup_hour
+  UNION ALL SELECT pickup_location_id, pickup_hour, target, 673, hour(pickup_hour)::DOUBLE, 0 FROM lagged WHERE k = 0
+  UNION ALL SELECT pickup_location_id, pickup_hour, target, 674, (isodow(pickup_hour) - 1)::DOUBLE, 0 FROM lagged WHERE k = 0
+)"""
 SIX = FILLED + _numbered() + _windows(6, 24)
 FOLDED = """,
 folded AS (SELECT *, ((dayofyear(pickup_hour) + pickup_location_id) % 3)::INTEGER AS fold FROM lagged)"""
@@ -444,6 +454,8 @@ SELECT 'four_week_mean' AS experiment, name AS model, '672' AS window, run::VARC
 FROM candidates""",
     "q_train_stump": WITH + SIX + FOLDED + _stump(ONE_RUN, "folded") + f"""
 SELECT round({ERROR} FILTER ({BEFORE}), 9) AS train_mae, round({ERROR} FILTER ({AFTER}), 9) AS test_mae FROM tree""",
+    "q_train_calendar": WITH + ALL_FEATURES + (_stump(ONE_RUN, "folded") + f"""
+SELECT round({ERROR} FILTER ({BEFORE}), 9) AS train_mae, round({ERROR} FILTER ({AFTER}), 9) AS test_mae FROM tree""").replace("2024-01-24", "2024-01-30"),
     "q_training_job": WITH + FILLED.replace("filled AS (", "whole AS (") + """,
 filled AS (SELECT * FROM whole WHERE pickup_hour <= TIMESTAMP '2024-01-30 21:30:00')""" + _numbered() + _windows(6, 24)
     + FOLDED + _stump(ONE_RUN, "folded") + f"""

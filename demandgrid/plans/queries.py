@@ -492,6 +492,13 @@ def train_stump(spark: SparkSession, sf: str) -> DataFrame:
     return report.select(*[F.round(c, 9).alias(c) for c in report.columns])
 
 
+def train_calendar(spark: SparkSession, sf: str) -> DataFrame:
+    """Error of the tree of one split on all features: four weeks of lags, their weekly mean, hour and day of the week."""
+    w = windows.training_windows(gap_fill(spark, sf), "rides", windows.FOUR_WEEKS, 8)
+    _, report = jobs.fit_and_test(w, datetime(2024, 1, 30), maxIter=1, maxDepth=1)
+    return report.select(*[F.round(c, 9).alias(c) for c in report.columns])
+
+
 def train_gbt(spark: SparkSession, sf: str) -> DataFrame:
     """Held-out error of three forecasters on weekly windows: trees on all features, deeper trees on lags, mean."""
     w = materialize(windows.training_windows(gap_fill(spark, sf), "rides", windows.FOUR_WEEKS, 8), "windows")
@@ -682,6 +689,7 @@ QUERIES = {
     "q_promote": promote,
     "q_run_log": run_log,
     "q_train_stump": train_stump,
+    "q_train_calendar": train_calendar,
     "q_train_gbt": train_gbt,
     "q_training_job": training_job,
     "q_random_search": random_search,
