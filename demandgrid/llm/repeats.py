@@ -10,10 +10,10 @@ with the smallest hash (the first such place in a tie). Equal windows have their
 one document that follow each other and share an anchor are a sheaf (about ``REACH / 2`` windows), and are sorted as one row by the
 suffix from the anchor. Its first ``WINDOW - REACH + 1`` bytes (the core) are in all windows of the sheaf.
 
-1. First digit: the first ``HEAD`` bytes of the core. Most suffixes leave here.
-2. Second digit: the other bytes of the core. If no other sheaf has the same, no window of the sheaf is repeated.
-3. Third digit: all bytes of the sheaf, to both sides of the core. If another sheaf is the same, all windows of both are repeated. These
-   and the following digits have hundreds of bytes and are ordered by their 64-bit hashes.
+1. First digit: the first ``HEAD`` bytes of the core, in the order of the bytes. More than half of the suffixes leave here.
+2. Second digit: the whole core. If no other sheaf has the same, no window of the sheaf is repeated. This and the following digits
+   have hundreds of bytes; they are ordered by their 64-bit hashes (as bytes they would be moved and written at their full length).
+3. Third digit: all bytes of the sheaf, to both sides of the core. If another sheaf is the same, all windows of both are repeated.
 4. Of the kinds of sheaf that a core has, if one stands alone: windows whose anchor is at a distance of ``BIN * b`` to
    ``BIN * (b + 1) - 1`` share all but ``BIN - 1`` of their bytes; those bytes are the fourth digit. (A repeated kind takes
    part once, as something to be equal to.) Bins that are the same as a whole are repeated.
@@ -130,29 +130,31 @@ def _sheaf_rows(window: int, reach: int):
 
 
 def _core_rows(window: int, reach: int):
-    """Of each sheaf listed for a text: its core (hashed, and both digits of it) and all of it (hashed)."""
+    """Of each sheaf listed for a text: its core and all of it, hashed."""
     core = window - reach + 1
 
     def rows(r: dict) -> Iterator[tuple]:
         raw, digest = r["text"].encode(), xxhash.xxh3_64_intdigest
         for s in r["sheaves"]:
             first, last, a = _unpacked(s["place"])
-            yield digest(raw[a : a + core]), raw[a : a + min(HEAD, core)], raw[a + HEAD : a + core], digest(raw[first : last + window]), r["k1"], r["k2"], s["place"], s["n"]
+            yield digest(raw[a : a + core]), digest(raw[first : last + window]), r["k1"], r["k2"], s["place"], s["n"]
 
-    kinds = {"core": "hash", "head": pa.binary(), "rest": pa.binary(), "whole": "hash", "k1": pa.int64(), "k2": pa.int64(), "place": pa.int64(), "n": pa.int64()}
-    return _emit(rows, kinds)
+    return _emit(rows, {"core": "hash", "whole": "hash", "k1": pa.int64(), "k2": pa.int64(), "place": pa.int64(), "n": pa.int64()})
 
 
-def _mark(digits: list[str], drop: bool):
-    """Sorted rows with ``again`` (equal to a neighbour), ``fresh`` (the first of its run), the number of the run in this range, and the
-    range. With ``drop``, runs of one leave, but for the first and the last, which may go on in other ranges."""
+def _mark(digits: list[str], kept: list[str], drop: bool):
+    """Of sorted rows the ``kept`` columns with ``again`` (equal to a neighbour), ``fresh`` (the first of its run), the number of the run in
+    this range, the range, and ``key``: the digits, where the run may go on in other ranges. With ``drop``, other runs of one leave."""
 
     def marked(batch: pa.RecordBatch, before: np.ndarray, after: np.ndarray, run: np.ndarray, ends: bool) -> pa.RecordBatch:
         again = before | after
         if "n" in batch.schema.names:
             again = again | (batch.column("n").to_numpy() > 1)
-        columns = [*batch.columns, pa.array(again), pa.array(~before), pa.array(run), pa.array(np.full(len(run), TaskContext.get().partitionId(), np.int32))]
-        out = pa.RecordBatch.from_arrays(columns, [*batch.schema.names, "again", "fresh", "run", "part"])
+        open_ = (run == 0) | (run == run[-1])
+        keys = pa.StructArray.from_arrays([batch.column(d) for d in digits], digits, mask=pa.array(~open_))
+        part = np.full(len(run), TaskContext.get().partitionId(), np.int32)
+        columns = [*(batch.column(c) for c in kept), pa.array(again), pa.array(~before), pa.array(run), pa.array(part), keys]
+        out = pa.RecordBatch.from_arrays(columns, [*kept, "again", "fresh", "run", "part", "key"])
         keep = again | (run == 0)
         if ends:
             keep[-1] = True
@@ -180,17 +182,20 @@ def _mark(digits: list[str], drop: bool):
     return run
 
 
-def radix_pass(rows: DataFrame, digits: list[str], ties: list[str], label: str, drop: bool = True) -> DataFrame:
-    """Rows whose ``digits`` another row has as well; without ``drop`` all rows, with ``repeated`` and ``leader`` (the first of equals).
+def radix_pass(rows: DataFrame, digits: list[str], ties: list[str], kept: list[str], label: str, drop: bool = True) -> DataFrame:
+    """The ``kept`` columns of the rows whose ``digits`` another row has as well; without ``drop`` of all rows, with ``repeated`` and
+    ``leader`` (the first of equals).
 
     Rows with a number ``n`` above 1 count as several. ``ties`` part equal digits, so that many of them don't meet in one task.
     """
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    extra = [T.StructField("again", T.BooleanType()), T.StructField("fresh", T.BooleanType()), T.StructField("run", T.LongType()), T.StructField("part", T.IntegerType())]
+    kinds = {f.name: f for f in rows.schema}
+    extra = "again boolean, fresh boolean, run bigint, part int"
+    schema = T.StructType([kinds[c] for c in kept] + list(T.StructType.fromDDL(extra)) + [T.StructField("key", T.StructType([kinds[d] for d in digits]))])
     laid = rows.repartitionByRange(parts, *digits, *ties).sortWithinPartitions(*digits, *ties)
-    laid = materialize(laid.mapInArrow(_mark(digits, drop), T.StructType([*rows.schema.fields, *extra])), label)
-    key = F.struct("run", F.struct(*digits).alias("key"))
-    ends = laid.groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
+    laid = materialize(laid.mapInArrow(_mark(digits, kept, drop), schema), label)
+    key = F.struct("run", "key")
+    ends = laid.where(F.col("key").isNotNull()).groupBy("part").agg(F.min(key).alias("first"), F.max(key).alias("last"))
     order = Window.orderBy("part")  # a row a range
     ends = ends.select(
         F.col("part").alias("_part"), F.col("last.run").alias("_last"),
@@ -202,7 +207,7 @@ def radix_pass(rows: DataFrame, digits: list[str], ties: list[str], label: str,
     found = found.withColumns(
         {"repeated": F.col("again") | begun | ((F.col("run") == F.col("_last")) & F.col("_will_go_on")), "leader": F.col("fresh") & ~begun}
     )
-    return found.where("repeated").select(*rows.columns) if drop else found.select(*rows.columns, "repeated", "leader")
+    return found.where("repeated").select(*kept) if drop else found.select(*kept, "repeated", "leader")
 
 
 def _bin_rows(window: int, width: int):
@@ -265,19 +270,19 @@ def find_repeats(docs: DataFrame, window: int = WINDOW, reach: int = REACH, widt
     suffixes = materialize(longer.mapInArrow(_sheaf_rows(window, reach), "k1 bigint, k2 bigint, place bigint, d0 bigint, d1 bigint, d2 bigint"), "sheaves")
     suffixes = suffixes.withColumn("row", F.monotonically_increasing_id())  # parts copies of a text
     place = ["k1", "k2", "place"]
-    left = radix_pass(suffixes, ["d0", "d1", "d2"], [*place, "row"], "radix-head").groupBy(*place).agg(F.count("*").alias("n"))
+    left = radix_pass(suffixes, ["d0", "d1", "d2"], [*place, "row"], place, "radix-head").groupBy(*place).agg(F.count("*").alias("n"))
     listed = materialize(left.groupBy("k1", "k2").agg(F.collect_list(F.struct("place", "n")).alias("sheaves")), "repeat-lists")  # a text's own
     texts = materialize(
         keyed.select("k1", "k2", "text").dropDuplicates(["k1", "k2"]).join(listed.select("k1", "k2"), ["k1", "k2"], "left_semi"), "repeat-texts"
     )
     cores = materialize(
         texts.join(listed, ["k1", "k2"]).select("k1", "k2", "text", "sheaves").mapInArrow(
-            _core_rows(window, reach), "core bigint, head binary, rest binary, whole bigint, k1 bigint, k2 bigint, place bigint, n bigint"
+            _core_rows(window, reach), "core bigint, whole bigint, k1 bigint, k2 bigint, place bigint, n bigint"
         ),
         "repeat-cores",
     )
-    sharing = radix_pass(cores, ["head", "rest"], place, "radix-rest").drop("head", "rest")
-    sharing = materialize(radix_pass(sharing, ["core", "whole"], place, "radix-whole", drop=False), "sheaves-sharing")
+    sharing = radix_pass(cores, ["core"], place, cores.columns, "radix-core")
+    sharing = materialize(radix_pass(sharing, ["core", "whole"], place, ["core", *place], "radix-whole", drop=False), "sheaves-sharing")
     kinds = sharing.where("leader").select("core", (~F.col("repeated")).alias("alone"), F.struct(*place).alias("one"))
     by_text = (
         kinds.join(kinds.where("alone").select("core").distinct(), "core", "left_semi")

@@ -74,18 +74,18 @@ def test_a_pass_against_counting(spark):
     for a, b, _, n in rows:
         counts[a, b] += n
     want = sorted((a, bytes(b), t, n) for a, b, t, n in rows if counts[a, b] > 1)
-    got = repeats.radix_pass(df, ["a", "b"], ["tie"], "test")
+    got = repeats.radix_pass(df, ["a", "b"], ["tie"], df.columns, "test")
     assert sorted((x.a, bytes(x.b), x.tie, x.n) for x in got.collect()) == want
-    every = repeats.radix_pass(df, ["a", "b"], ["tie"], "test", drop=False).collect()
+    every = repeats.radix_pass(df, ["a", "b"], ["tie"], df.columns, "test", drop=False).collect()
     assert len(every) == len(rows) and {(x.a, bytes(x.b)) for x in every if x.repeated} == {k for k, n in counts.items() if n > 1}
     assert sorted((x.a, bytes(x.b)) for x in every if x.leader) == sorted(counts)
-    assert repeats.radix_pass(df.limit(0), ["a", "b"], ["tie"], "test").count() == 0
+    assert repeats.radix_pass(df.limit(0), ["a", "b"], ["tie"], df.columns, "test").count() == 0
 
 
 def test_a_hot_digit_is_spread(spark):
     hot = spark.range(8_000).select(F.lit(3).cast("bigint").alias("a"), F.col("id").alias("tie"))
     hot = hot.unionByName(spark.range(800).select((F.col("id") + 10).alias("a"), F.col("id").alias("tie")))
-    kept = repeats.radix_pass(hot, ["a"], ["tie"], "test")
+    kept = repeats.radix_pass(hot, ["a"], ["tie"], ["a", "tie"], "test")
     sizes = [x["n"] for x in kept.groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
     laid = hot.repartitionByRange(4, "a", "tie").groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()
     assert sum(sizes) == 8_000 and max(x["n"] for x in laid) <= 2 * 8_800 / 4
