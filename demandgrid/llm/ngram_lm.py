@@ -18,7 +18,8 @@ path on all machines; a part is written under another name and moved, so a repea
 
 Defined cases: a null text is empty and has the end token only; without training texts every token is unknown and the score is 0; a
 null id counts as training; repeated rows train and are scored each; a very long text is a slice of its own, with about 100 bytes a
-token in memory. Other columns are ignored.
+token in memory. Other columns are kept by scoring; those that have
+the names of added ones give way to them.
 """
 
 from __future__ import annotations
@@ -499,6 +500,25 @@ def _number(model: Model):
     return run
 
 
+def _heads(reader: Reader, word: np.ndarray, first: np.ndarray, level: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each token the node of the n-gram of ``level`` words that ends with it (-1 for none), and whether it was kept."""
+    node, kept = word, word >= 0
+    if least > 1:
+        some, which = np.unique(word, return_inverse=True)
+        kept = (reader.by_number(some)[1] >= least)[which]
+    use = kept
+    for n in range(2, level + 1):
+        context = np.full(len(word), -1, np.int64)
+        context[1:] = node[:-1]
+        context[first] = reader.model.words if n == 2 else -1
+        at = np.flatnonzero((context >= 0) & use)
+        keys, back = np.unique(context[at] << ID_BITS | word[at], return_inverse=True)
+        node = np.full(len(word), -1, np.int64)
+        node[at] = reader.successors(n, keys)[0][back]
+        use = node >= 0
+    return node, use
+
+
 def _level_keys(model: Model, level: int, least: int):
     """Of each slice of a batch the distinct (context, word) of a level with their places. An n-gram can't reach the least count if
     a shorter one in it doesn't: of those with a first or last part that wasn't kept nothing is sent."""
@@ -508,8 +528,7 @@ def _level_keys(model: Model, level: int, least: int):
         for batch in batches:
             for _, _, ids, counts in _numbered(batch):
                 word, first = ids.astype(np.int64), _first(counts)
-                for n, head, node, _ in walk(reader, ids, first, level - 1):
-                    kept = head >= least if n == 1 else node >= 0
+                node, kept = _heads(reader, word, first, level - 1, least)
                 context = np.full(len(word), -1, np.int64)
                 context[1:] = node[:-1]
                 context[first] = model.words if level == 2 else -1
@@ -575,6 +594,7 @@ def train_words(texts: DataFrame) -> Model:
 def number_words(docs: DataFrame, model: Model) -> DataFrame:
     """``text`` becomes ``ids``: the word ids of its tokens (-1 for unknown words), four bytes each. Written, because each level
     and the scoring read it."""
+    docs = docs.drop("ids")
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name != "text"]
     rows = docs.withColumn("text", clean_text()).mapInArrow(_number(model), ", ".join([*kept, "ids binary"]))
     return materialize(rows, "lm-numbered")
@@ -635,6 +655,7 @@ def _score(model: Model):
 
 def score_numbered(numbered: DataFrame, model: Model) -> DataFrame:
     """The other columns with ``n_tokens, n_known, base_score, score`` (log10) and ``train_tokens``."""
+    numbered = numbered.drop("n_tokens", "n_known", "base_score", "score", "train_tokens")  # given columns give way to the added ones
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema if f.name != "ids"]
     schema = ", ".join([*kept, "n_tokens bigint, n_known bigint, base_score double, score double"])
     return numbered.mapInArrow(_score(model), schema).withColumn("train_tokens", F.lit(model.tokens).cast("bigint"))

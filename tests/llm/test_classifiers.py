@@ -8,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from demandgrid.llm import langid, quality, toxicity
 from tests.llm.conftest import words
@@ -272,3 +273,15 @@ def test_odd_rows(spark, odd_docs, odd_rows, no_docs, learn, score, column):
         assert score(no_docs.select("doc_id", "text"), model).count() == 0
     kept = toxicity.drop_toxic(odd_docs, toxicity.ToxicModel())
     assert kept.columns == odd_docs.columns and kept.count() == len(odd_rows)
+
+
+@pytest.mark.parametrize("learn, score, column", [
+    (toxicity.learn, toxicity.score_toxicity, "toxic"), (quality.learn, quality.score_quality, "quality"),
+])
+def test_given_columns_give_way_to_added_ones(spark, docs_frame, learn, score, column):
+    docs = docs_frame([(i, " ".join(words(i, 20)) + " vilest" * (i % 2)) for i in range(40)])
+    model = learn(docs, spark.createDataFrame([(i, i % 2) for i in range(40)], f"doc_id bigint, {column} int"))
+    given = docs.select("doc_id", "text").withColumns({c: F.lit("extra") for c in ("score", "top_marginal", "kept")})
+    got = score(given, model)
+    assert len(set(got.columns)) == len(got.columns) and dict(got.dtypes)["score"] == "double" and "kept" in got.columns
+    assert {r.doc_id: r.score for r in got.collect()} == {r.doc_id: r.score for r in score(docs.select("doc_id", "text"), model).collect()}

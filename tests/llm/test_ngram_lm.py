@@ -8,6 +8,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 from demandgrid.llm import ngram_lm
 from demandgrid.llm.elias_fano import EliasFano, load, save
 from demandgrid.llm.queries import op3_language_model
@@ -138,6 +140,16 @@ def test_elias_fano_round_trip(tmp_path):
     assert (EliasFano.of(steps).get(np.arange(500)) == steps).all()
 
 
+def test_given_columns_give_way_to_added_ones(odd_docs):
+    names = ["score", "ids", "n_tokens", "n_known", "base_score", "train_tokens"]
+    docs = odd_docs.select("doc_id", "text").withColumns({c: F.lit("extra") for c in [*names, "kept"]})
+    model = ngram_lm.train(odd_docs)
+    got = ngram_lm.score_texts(docs, model)
+    assert sorted(got.columns) == sorted(["doc_id", "kept", *[n for n in names if n != "ids"]]) and dict(got.dtypes)["score"] == "double"
+    plain = {(r.doc_id, r.score) for r in ngram_lm.score_texts(odd_docs.select("doc_id", "text"), model).collect()}
+    assert {(r.doc_id, r.score) for r in got.collect()} == plain
+
+
 def test_odd_rows(odd_docs, odd_rows, no_docs):
     model = ngram_lm.train(odd_docs)
     got = ngram_lm.score_texts(odd_docs.select("doc_id", "text"), model).collect()
