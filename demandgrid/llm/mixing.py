@@ -9,7 +9,8 @@ given by a few stretches of hashes with the largest size that each takes, and a
 
 Defined cases: a null text has no words; documents without words come ``r`` times; a null source is a source of its own, after
 all others; rows that share an id (or, without id, a text) share a hash, fit together or not and come or go together; an empty
-table gives an empty result. Other columns are ignored by ``mix_plan`` and kept by ``mix_rows``, whatever their names.
+table gives an empty result. Other columns are ignored by ``mix_plan`` and kept by ``mix_rows``, whatever their names. Texts of
+any length are counted in the JVM. Targets are shared on one task, a row a source: tens to some millions of sources.
 """
 
 from __future__ import annotations
