@@ -31,3 +31,15 @@ def test_local_master_gets_its_own_folder_once():
 def test_materialized_frame_reads_files(spark):
     df = materialize(spark.range(10), "numbers")
     assert df.count() == 10 and "Scan parquet" in df._jdf.queryExecution().executedPlan().toString() or df.inputFiles()
+
+
+def test_a_name_is_taken_once(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    from demandgrid.session import claim
+
+    folder = scratch_path(spark, "claims")
+    with ThreadPoolExecutor(6) as pool:
+        got = list(pool.map(lambda _: claim(spark, f"{folder}/v1"), range(12)))
+    assert sorted(got) == [False] * 11 + [True]
+    assert claim(spark, f"{folder}/v2") and not claim(spark, f"{folder}/v2")
