@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Callable, Iterator, Sequence
 
 import pyarrow as pa
@@ -14,7 +15,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from demandgrid.session import materialize, scratch_path
 
 __all__ = [
-    "WORD", "chunks_of", "clean_text", "hash60", "held_out", "labelled_sample", "map_texts", "materialize", "rate_below", "scratch_path", "table",
+    "WORD", "chunks_of", "clean_text", "fit_in_a_task", "hash60", "held_out", "labelled_sample", "map_texts", "materialize", "rate_below", "scratch_path", "table",
     "with_row",
 ]
 
@@ -49,8 +50,8 @@ def rate_below(key: Column, rate: Column) -> Column:
 
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, wanted: dict[int, int], most_bytes: int = 24_000_000
-) -> tuple[list[tuple[str, int]], dict[int, int]]:
-    """Texts with their labels, and how many ids have each label.
+) -> tuple[DataFrame, dict[int, int]]:
+    """``text, label`` of a sample, and how many ids have each label.
 
     Bounded in rows and in bytes: texts longer than a hundredth of ``most_bytes`` don't teach, and of each label whole texts are
     taken in the order of a hash of their ids until ``most_bytes`` are reached. A repeatable sample with about ``wanted[y]`` ids of label ``y``. It is drawn from the narrow label table, so its ids (as many as
@@ -66,7 +67,25 @@ def labelled_sample(
     rows = rows.join(F.broadcast(chosen), "doc_id").groupBy("text", "label").agg(F.min(hash60(F.col("doc_id"))).alias("place"))
     first = Window.partitionBy("label").orderBy("place", "text")  # as many rows as wanted
     rows = rows.withColumn("end", F.sum(F.octet_length("text")).over(first)).where(F.col("end") <= most_bytes).select("text", "label")
-    return sorted((r["text"], r["label"]) for r in rows.collect()), counts
+    return rows, counts
+
+
+def fit_in_a_task(sample: DataFrame, train: Callable[[list[str], list[int]], object]) -> dict:
+    """The fields of what ``train`` makes of the texts and labels of a bounded sample, in order of the texts.
+
+    One task holds the sample and fits; the driver only gets the fields. A task that is lost is run again, with the same result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows: list[tuple[str, int]] = []
+        for batch in batches:
+            rows += zip(*(batch.column(c).to_pylist() for c in ("text", "label")), strict=True)
+        rows.sort()
+        model = train([t for t, _ in rows], [y for _, y in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(dict(vars(model)))], pa.binary())], ["fields"])
+
+    found = sample.select("text", "label").repartition(1).mapInArrow(run, "fields binary").first()
+    return pickle.loads(found["fields"]) if found else dict(vars(train([], [])))  # without rows there is no task
 
 
 def chunks_of(texts: Sequence[str], most: int) -> Iterator[tuple[int, int]]:

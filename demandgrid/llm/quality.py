@@ -5,7 +5,7 @@ largest response is kept for every chunk of ``2 * HALF`` bytes; chunks overlap b
 document is the mean and the maximum over its chunks, and a logistic layer turns them into one probability.
 
 Training: Adam on the logistic loss over a bounded, repeatable sample of labelled rows (``sample_docs`` of either label on
-average, ``SAMPLE_BYTES`` of text of either label at most), all chunks of each text. Scoring reads every byte.
+average, ``SAMPLE_BYTES`` of text of either label at most), all chunks of each text, in one task. Scoring reads every byte.
 
 Defined cases: a null or empty text is one chunk of padding; without any labelled row, or with one label only in the sample, every score
 is the share of label 1 (0.5 without labels); null labels teach nothing; repeated rows teach once and are scored each; a very
@@ -15,11 +15,12 @@ long text is scored by itself, with about 50 bytes for each of its own; columns
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import partial
 
 import numpy as np
 from pyspark.sql import DataFrame
 
-from demandgrid.llm.common import chunks_of, labelled_sample, map_texts
+from demandgrid.llm.common import chunks_of, fit_in_a_task, labelled_sample, map_texts
 
 STRIDE, HALF = 4, 128
 PLACES = HALF // STRIDE
@@ -154,7 +155,7 @@ def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = 2_500, **option
     share = counts.get(1, 0) / max(1, sum(counts.values()))
     if len(counts) < 2:
         return QualityModel(base_rate=share if counts else 0.5)
-    return train([t for t, _ in rows], [y for _, y in rows], share, **options)
+    return QualityModel(**fit_in_a_task(rows, partial(train, share=share, **options)))
 
 
 def _scorer(model: QualityModel):

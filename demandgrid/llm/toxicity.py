@@ -12,7 +12,7 @@ beside certain others, or a spelling that was not seen, gets its score from the
 The marginals of a document (largest, and the sum of all) give its score by a logistic fit on the document labels.
 
 Limits: ``sample_docs`` toxic and ``CLEAN_SHARE`` times as many clean rows on average are learned from, ``SAMPLE_BYTES`` of text of either
-label at most, all of their tokens. Words seen at least ``SEEN`` times have weights of their own, the ``vocabulary`` commonest of
+label at most, all of their tokens; one task fits. Words seen at least ``SEEN`` times have weights of their own, the ``vocabulary`` commonest of
 them; others are known by their runs of letters and shape. Scoring reads whole texts.
 
 Defined cases: a null or empty text has no tokens and gets the score of a text without any toxic mass; without toxic or
@@ -27,6 +27,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import partial
 from itertools import islice
 from typing import NamedTuple
 
@@ -35,7 +36,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from demandgrid.llm.common import chunks_of, labelled_sample, map_texts, with_row
+from demandgrid.llm.common import chunks_of, fit_in_a_task, labelled_sample, map_texts, with_row
 
 TOKEN = re.compile(r"\w+|[.!?\n]+")
 ENDS = ".!?\n"
@@ -309,7 +310,7 @@ def train(texts: list[str], labels: list[int], vocabulary: int = 50_000, steps:
 def learn(docs: DataFrame, labels: DataFrame, sample_docs: int = 1_200, **options) -> ToxicModel:
     """From ``doc_id, text`` and ``doc_id, toxic``: a repeatable sample of rows, about ``sample_docs`` of them toxic."""
     rows, _ = labelled_sample(docs, labels, "toxic", {0: sample_docs * CLEAN_SHARE, 1: sample_docs}, SAMPLE_BYTES)
-    return train([t for t, _ in rows], [y for _, y in rows], **options)
+    return ToxicModel(**fit_in_a_task(rows, partial(train, **options)))
 
 
 def _spans(p: np.ndarray, first: np.ndarray, docs: np.ndarray, at: list[tuple[int, int]], n: int) -> list[list[dict]]:
