@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections import Counter
+import itertools
 from collections.abc import Iterator
 from datetime import datetime
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -98,8 +99,12 @@ def error_stream(actual: DataFrame, predicted: DataFrame, delay: str = "2 hours"
 
 # --- complete hours as rides arrive
 
-#: An open hour and its rides so far, per location, and the first hour that has not been given out.
-OPEN_HOURS = "next bigint, hours array<bigint>, rides array<bigint>"
+#: Locations that share a state: so many groups, dealt by a hash of the location. A checkpoint is bound to this number.
+BUCKETS = 1024
+#: Of each location of a bucket, in order, the first hour that has not been given out; and the open hours with their rides so far.
+OPEN_HOURS = "locations array<bigint>, next array<bigint>, at array<bigint>, hours array<bigint>, rides array<bigint>"
+#: Rows of one frame that a bucket gives out, at least.
+FRAME_ROWS = 500_000
 HOUR_MICROS = 3_600_000_000
 
 
@@ -127,31 +132,57 @@ def _count_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _close_hours(start: int | None):
-    """State of one location: takes its counts, gives out each hour that the watermark has passed, empty ones too."""
+def _close_hours(start: int | None, frame_rows: int = FRAME_ROWS):
+    """State of the locations of a bucket: takes their counts, gives out each hour that the watermark has passed, empty ones too."""
+    columns = ["hour", "location", "rides", "late"]
+
+    def summed(location: np.ndarray, hour: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        order = np.lexsort((hour, location))
+        location, hour, n = location[order], hour[order], n[order]
+        fresh = np.flatnonzero(np.concatenate(([True], (location[1:] != location[:-1]) | (hour[1:] != hour[:-1])))) if len(n) else order
+        return location[fresh], hour[fresh], np.add.reduceat(n, fresh) if len(n) else n
+
+    def rows(places: np.ndarray, following: np.ndarray, counts: np.ndarray, spot: np.ndarray, hour: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        begin = np.cumsum(counts) - counts
+        hours = np.arange(counts.sum()) + np.repeat(following - begin, counts)
+        rides = np.zeros(len(hours), np.int64)
+        rides[begin[spot] + hour - following[spot]] = n
+        return pd.DataFrame({"hour": hours, "location": np.repeat(places, counts), "rides": rides, "late": False})
 
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if key[0] is None or key[0] != key[0]:
             return  # rows that only carry the time
-        following, hours, rides = state.get if state.exists else (None, [], [])
-        arrived: Counter[int] = Counter()
-        for part in parts:
-            for hour, n in zip(part["hour"].tolist(), part["n"].tolist(), strict=True):
-                arrived[int(hour)] += int(n)
-        if following is None:
-            following = min(arrived) if start is None else start
-        still_open = Counter(dict(zip(hours, rides, strict=True)))
-        late = {h: n for h, n in arrived.items() if h < following}
-        still_open.update({h: n for h, n in arrived.items() if h >= following})
+        known = state.get if state.exists else ([], [], [], [], [])
+        places, following, open_place, open_hour, open_n = (np.array(v, np.int64) for v in known)
+        came = [[part[c].to_numpy().astype(np.int64) for c in ("location", "hour", "n")] for part in parts if len(part)]
+        place, hour, n = summed(*(np.concatenate(v) for v in zip(*came, strict=True))) if came else (np.zeros(0, np.int64),) * 3
+        # Sorted by location and hour: the first row of a location has its first hour.
+        seen, first = np.unique(place, return_index=True)
+        new = ~np.isin(seen, places)
+        places = np.concatenate((places, seen[new]))
+        following = np.concatenate((following, hour[first[new]] if start is None else np.full(new.sum(), start, np.int64)))
+        order = np.argsort(places)
+        places, following = places[order], following[order]
+        late = hour < following[np.searchsorted(places, place)]
+        open_place, open_hour, open_n = summed(
+            np.concatenate((open_place, place[~late])), np.concatenate((open_hour, hour[~late])), np.concatenate((open_n, n[~late]))
+        )
         watermark = state.getCurrentWatermarkMs()
         closed = watermark // 3_600_000  # hours before this one have ended by the watermark
-        out = [(h, still_open.pop(h, 0), False) for h in range(following, closed)]
-        following = max(following, closed)
-        out += [(h, n, True) for h, n in sorted(late.items())]
-        state.update((following, list(still_open), list(still_open.values())))
-        state.setTimeoutTimestamp(max((following + 1) * 3_600_000 - 1, watermark + 1))
-        if out:
-            yield pd.DataFrame(out, columns=["hour", "rides", "late"]).assign(location=int(key[0]))[["hour", "location", "rides", "late"]]
+        counts, begun = np.maximum(closed - following, 0), following
+        done = open_hour < closed
+        spot, done_hour, done_n = np.searchsorted(places, open_place[done]), open_hour[done], open_n[done]
+        following = np.maximum(following, closed)
+        state.update(tuple(v.tolist() for v in (places, following, open_place[~done], open_hour[~done], open_n[~done])))
+        state.setTimeoutTimestamp(max((int(following.min()) + 1) * 3_600_000 - 1, watermark + 1))
+        # Some locations at a time, so that a frame is bounded by what one location gives out.
+        frame = np.cumsum(counts) // frame_rows
+        for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(frame)) + 1).tolist(), len(places)]):
+            if counts[a:b].any():
+                lo, hi = np.searchsorted(spot, (a, b))
+                yield rows(places[a:b], begun[a:b], counts[a:b], spot[lo:hi] - a, done_hour[lo:hi], done_n[lo:hi])[columns]
+        if late.any():
+            yield pd.DataFrame({"hour": hour[late], "location": place[late], "rides": n[late], "late": True})[columns]
 
     return step
 
@@ -167,14 +198,18 @@ def hourly_series_stream(rides: DataFrame, delay: str = "2 hours", start: dateti
     they arrive in; rides before ``start`` are late as well. Counts and late rows together are all rides.
 
     Rides are combined per hour before the shuffle, so a location with a third of all rides sends a row per hour and Arrow batch.
-    State is one number per open hour and location.
+    State is one number per open hour and location, and one for each location. Locations are dealt into ``BUCKETS`` by a hash and
+    those of a bucket are closed together: a call of Python and a timer cost as much for one location as for hundreds.
     """
     counted = rides.select(F.col("pickup_datetime").cast("timestamp_ntz").alias("pickup_datetime"), SERIES).mapInArrow(
         _count_batch, "location bigint, hour bigint, n bigint, clock bigint"
     )
     timed = counted.withColumn("clock", F.timestamp_micros("clock")).withWatermark("clock", delay)
     first = None if start is None else int((as_datetime(start) - EPOCH) / HOUR)
-    closed = timed.groupBy("location").applyInPandasWithState(
+    bucket = F.when(F.col("location").isNotNull(), F.pmod(F.xxhash64("location"), F.lit(BUCKETS)).cast("int"))
+    # Numbers without nulls: a frame keeps them whole, long ids as well.
+    dealt = timed.select(bucket.alias("bucket"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("location", "hour", "n")], "clock")
+    closed = dealt.groupBy("bucket").applyInPandasWithState(
         _close_hours(first), "hour bigint, location bigint, rides bigint, late boolean", OPEN_HOURS, "append", GroupStateTimeout.EventTimeTimeout
     )
     return closed.select(
