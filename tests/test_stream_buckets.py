@@ -79,3 +79,10 @@ def test_many_locations_share_few_calls(spark):
     got = spark.read.parquet(out)
     assert got.where("rides > 0").select("pickup_location_id").distinct().count() == 3000
     assert {r.pickup_location_id for r in got.where("rides > 0").collect()} == {p for _, p in rows if p is not None}
+
+
+def test_late_rows_of_one_location_leave_the_others_of_its_bucket_alone():
+    out, _, _ = run([(0, [(1, 10, 1), (2, 11, 1)]), (12, []), (12, [(1, 10, 5), (2, 12, 2), (3, 10, 4)]), (14, [])], 10)
+    assert [r for r in out if r[3]] == [(1, 10, 5, True)]
+    assert {(place, hour): n for place, hour, n, late in out if not late and n} == {(1, 10): 1, (2, 11): 1, (2, 12): 2, (3, 10): 4}
+    assert sorted((place, hour) for place, hour, _, late in out if not late) == [(p, h) for p in (1, 2, 3) for h in range(10, 14)]
