@@ -98,11 +98,14 @@ class EliasFano:
         at = np.where(h > 0, self._nth(np.maximum(h - 1, 0), self.zeros, True) + 1, 0)
         lo, hi = at - h, self._next_zero(at) - h
         end = hi.copy()
-        while len(lo) and (lo < hi).any():
-            mid = (lo + hi) >> 1
-            less = (lo < hi) & (self._lows(np.minimum(mid, self.n - 1)) < low)
-            hi = np.where((lo < hi) & ~less, mid, hi)
-            lo = np.where(less, mid + 1, lo)
+        todo = np.flatnonzero(lo < hi)  # most runs are short: only those still open are halved again
+        while len(todo):
+            left, right = lo[todo], hi[todo]
+            mid = (left + right) >> 1
+            less = self._lows(mid) < low[todo]
+            left, right = np.where(less, mid + 1, left), np.where(less, right, mid)
+            lo[todo], hi[todo] = left, right
+            todo = todo[left < right]
         at = np.minimum(lo, self.n - 1)
         found[inside] = np.where((lo < end) & (self._lows(at) == low), lo, -1)
         return found

@@ -215,13 +215,23 @@ def _weights(reader: Reader, level: int, nodes: np.ndarray) -> np.ndarray:
     return gamma
 
 
+def _distinct(numbers: np.ndarray, words: int) -> tuple[np.ndarray, np.ndarray]:
+    """``np.unique`` with the inverse of numbers from -1 to ``words - 1``; without a sort where there are enough of them."""
+    if words > 2 * len(numbers):
+        return np.unique(numbers, return_inverse=True)
+    there = np.zeros(words + 1, bool)
+    there[numbers + 1] = True
+    some = np.flatnonzero(there) - 1
+    return some.astype(numbers.dtype), (np.cumsum(there) - 1)[numbers + 1]
+
+
 def walk(reader: Reader, numbers: np.ndarray, first: np.ndarray, top: int):
     """Level by level, for each token: its node (-1 for none) and the probability so far; at level one also counts.
 
     Look-ups are made for distinct keys in order; ``weight`` is that of a token's node as a context of the next level.
     """
     model = reader.model
-    some, which = np.unique(numbers, return_inverse=True)
+    some, which = _distinct(numbers, model.words)
     p, counts = reader.by_number(some)
     word = node = numbers.astype(np.int64)
     prob = p[which]
