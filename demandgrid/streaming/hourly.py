@@ -132,9 +132,11 @@ def _count_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _close_hours(start: int | None, frame_rows: int = FRAME_ROWS):
-    """State of the locations of a bucket: takes their counts, gives out each hour that the watermark has passed, empty ones too."""
-    columns = ["hour", "location", "rides", "late"]
+def _close_hours(start: int | None, frame_rows: int = FRAME_ROWS, packed: bool = False):
+    """State of the locations of a bucket: takes their counts, gives out each hour that the watermark has passed, empty ones too.
+
+    With ``packed`` a counted hour and the empty ones after it are one row, with the number of ``hours``."""
+    columns = ["hour", "location", "rides", "late", "hours"] if packed else ["hour", "location", "rides", "late"]
 
     def summed(location: np.ndarray, hour: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         order = np.lexsort((hour, location))
@@ -149,6 +151,19 @@ def _close_hours(start: int | None, frame_rows: int = FRAME_ROWS):
         rides[begin[spot] + hour - following[spot]] = n
         return pd.DataFrame({"hour": hours, "location": np.repeat(places, counts), "rides": rides, "late": False})
 
+    def runs(places: np.ndarray, following: np.ndarray, counts: np.ndarray, spot: np.ndarray, hour: np.ndarray, n: np.ndarray) -> pd.DataFrame:
+        # A run begins at each counted hour, and at the first hour of a location.
+        empty = counts > 0
+        empty[spot[hour == following[spot]]] = False
+        lead = np.flatnonzero(empty)
+        at, first, n = np.concatenate((spot, lead)), np.concatenate((hour, following[lead])), np.concatenate((n, np.zeros(len(lead), np.int64)))
+        order = np.lexsort((first, at))
+        at, first, n = at[order], first[order], n[order]
+        end = following[at] + counts[at]
+        same = at[1:] == at[:-1]
+        end[:-1][same] = first[1:][same]
+        return pd.DataFrame({"hour": first, "location": places[at], "rides": n, "late": False, "hours": end - first})
+
     def step(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if key[0] is None or key[0] != key[0]:
             return  # rows that only carry the time
@@ -176,18 +191,19 @@ def _close_hours(start: int | None, frame_rows: int = FRAME_ROWS):
         state.update(tuple(v.tolist() for v in (places, following, open_place[~done], open_hour[~done], open_n[~done])))
         state.setTimeoutTimestamp(max((int(following.min()) + 1) * 3_600_000 - 1, watermark + 1))
         # Some locations at a time, so that a frame is bounded by what one location gives out.
-        frame = np.cumsum(counts) // frame_rows
+        given = np.bincount(spot, minlength=len(places)) + (counts > 0) if packed else counts  # rows of a location, at most
+        frame = np.cumsum(given) // frame_rows
         for a, b in itertools.pairwise([0, *(np.flatnonzero(np.diff(frame)) + 1).tolist(), len(places)]):
             if counts[a:b].any():
                 lo, hi = np.searchsorted(spot, (a, b))
-                yield rows(places[a:b], begun[a:b], counts[a:b], spot[lo:hi] - a, done_hour[lo:hi], done_n[lo:hi])[columns]
+                yield (runs if packed else rows)(places[a:b], begun[a:b], counts[a:b], spot[lo:hi] - a, done_hour[lo:hi], done_n[lo:hi])[columns]
         if late.any():
-            yield pd.DataFrame({"hour": hour[late], "location": place[late], "rides": n[late], "late": True})[columns]
+            yield pd.DataFrame({"hour": hour[late], "location": place[late], "rides": n[late], "late": True, "hours": 1})[columns]
 
     return step
 
 
-def hourly_series_stream(rides: DataFrame, delay: str = "2 hours", start: datetime | None = None) -> DataFrame:
+def hourly_series_stream(rides: DataFrame, delay: str = "2 hours", start: datetime | None = None, packed: bool = False) -> DataFrame:
     """``pickup_hour, pickup_location_id, rides, late``: the complete hourly table as rides arrive, for output mode ``append``.
 
     An hour is closed once a ride (of any location) has been seen in an hour that begins ``delay`` or more after its end. Each closed hour comes once for each location, with 0 where nothing was counted: timers wake
@@ -198,6 +214,8 @@ def hourly_series_stream(rides: DataFrame, delay: str = "2 hours", start: dateti
     they arrive in; rides before ``start`` are late as well. Counts and late rows together are all rides.
 
     Rides are combined per hour before the shuffle, so a location with a third of all rides sends a row per hour and Arrow batch.
+    With ``packed`` a counted hour and the empty ones after it are one row, ``pickup_hour, pickup_location_id, rides, late, hours``:
+    what leaves Python and is written grows with the counted hours, not with the grid. ``unpack_hours`` gives the rows.
     State is one number per open hour and location, and one for each location. Locations are dealt into ``BUCKETS`` by a hash and
     those of a bucket are closed together: a call of Python and a timer cost as much for one location as for hundreds.
     """
@@ -210,8 +228,18 @@ def hourly_series_stream(rides: DataFrame, delay: str = "2 hours", start: dateti
     # Numbers without nulls: a frame keeps them whole, long ids as well.
     dealt = timed.select(bucket.alias("bucket"), *[F.coalesce(c, F.lit(0)).alias(c) for c in ("location", "hour", "n")], "clock")
     closed = dealt.groupBy("bucket").applyInPandasWithState(
-        _close_hours(first), "hour bigint, location bigint, rides bigint, late boolean", OPEN_HOURS, "append", GroupStateTimeout.EventTimeTimeout
-    )
-    return closed.select(
-        (ntz(EPOCH) + F.make_dt_interval(F.lit(0), F.col("hour").cast("int"))).alias(TIME), F.col("location").alias(SERIES), "rides", "late"
+        _close_hours(first, packed=packed),
+        "hour bigint, location bigint, rides bigint, late boolean" + (", hours bigint" if packed else ""),
+        OPEN_HOURS,
+        "append",
+        GroupStateTimeout.EventTimeTimeout,
     )
+    at = ntz(EPOCH) + F.make_dt_interval(F.lit(0), F.col("hour").cast("int"))
+    return closed.select(at.alias(TIME), F.col("location").alias(SERIES), "rides", "late", *(["hours"] if packed else []))
+
+
+def unpack_hours(runs: DataFrame) -> DataFrame:
+    """A row for each of the ``hours`` of a run: ``rides`` in the first, 0 in the others."""
+    each = runs.select(TIME, SERIES, "rides", "late", F.explode(F.sequence(F.lit(0), F.col("hours").cast("int") - 1)).alias("k"))
+    at = F.col(TIME) + F.make_dt_interval(F.lit(0), F.col("k"))
+    return each.select(at.alias(TIME), SERIES, F.when(F.col("k") == 0, F.col("rides")).otherwise(F.lit(0)).cast("bigint").alias("rides"), "late")
